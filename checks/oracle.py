@@ -125,3 +125,77 @@ SELECT item_id, rank, neighbour_id, sim FROM (
          row_number() OVER (PARTITION BY item_id ORDER BY sim DESC, neighbour_id) AS rank
   FROM (SELECT i AS item_id, j AS neighbour_id, round(sim, 6) AS sim FROM p
         UNION ALL SELECT j, i, round(sim, 6) FROM p)) WHERE rank <= 5""")
+
+
+CLEAN_CTE = r"""cl AS (
+  SELECT item_id, title AS raw_title,
+         regexp_replace(trim(regexp_replace(title, '\s*\((\d{4})\)\s*$', '')),
+                        '^(.*),\s+(The|A|An|La|Le|Les|Il|El|Das|Der|Die)$', '\2 \1') AS title,
+         CAST(NULLIF(regexp_extract(title, '\s*\((\d{4})\)\s*$', 1), '') AS INTEGER) AS year,
+         list_filter(string_split(genres, '|'), lambda g: g <> '' AND g <> '(no genres listed)') AS genres
+  FROM items)"""
+
+CAT_CTE = """cat AS (
+  SELECT cl.item_id, cl.title, coalesce(cl.year, 0) AS year, cl.genres, m.n, m.rating_sum / m.n AS mean_rating,
+         CASE WHEN lk.tmdb <> 0 THEN lk.tmdb END AS tmdb, CASE WHEN lk.imdb <> '' THEN lk.imdb END AS imdb
+  FROM cl JOIN m ON cl.item_id = m.item_id LEFT JOIN links lk ON cl.item_id = lk.item_id
+  WHERE m.n >= 3)"""
+
+GENRES_CTE = """ig AS (SELECT item_id, unnest(genres) AS genre, unnest(generate_series(0, len(genres) - 1)) AS position FROM cl)"""
+
+DICT_CTE = """gd AS (
+  SELECT genre, row_number() OVER (ORDER BY genre) - 1 AS genre_id FROM (SELECT DISTINCT genre FROM ig))"""
+
+
+def catalog_ctes(with_neighbours: bool = False, k: int = 30) -> list[str]:
+    out = [CLEAN_CTE, CAT_CTE, GENRES_CTE, DICT_CTE]
+    if with_neighbours:
+        out += pair_cte("p", min_item=8) + [shrunk_cte("ps", "p")] + neighbour_cte("nb", "ps", k=k)
+        out.append("""nbc AS (
+  SELECT * FROM nb WHERE item_id IN (SELECT item_id FROM cat) AND neighbour_id IN (SELECT item_id FROM cat))""")
+    return out
+
+
+ORACLE["catalog"] = with_ctes(*catalog_ctes(), select="""
+SELECT item_id, title, CAST(year AS BIGINT) AS year, n, round(mean_rating, 6) AS mean_rating,
+       round_even(mean_rating, 1) AS mean_rating_1dp, tmdb, imdb, array_to_string(genres, '|') AS genre_list
+FROM cat""")
+
+ORACLE["catalog_titles"] = with_ctes(*catalog_ctes(), select="""
+SELECT item_id, raw_title, title, CAST(year AS BIGINT) AS year FROM cl""")
+
+ORACLE["genre_dictionary"] = with_ctes(*catalog_ctes(), select="""
+SELECT genre, CAST(genre_id AS BIGINT) AS genre_id FROM gd""")
+
+ORACLE["catalog_genre_ids"] = with_ctes(*catalog_ctes(), select="""
+SELECT ig.item_id, CAST(ig.position AS BIGINT) AS position, ig.genre, CAST(gd.genre_id AS BIGINT) AS genre_id
+FROM ig JOIN gd ON ig.genre = gd.genre WHERE ig.item_id IN (SELECT item_id FROM cat)""")
+
+ORACLE["catalog_summary"] = with_ctes(*catalog_ctes(with_neighbours=True), select="""
+SELECT (SELECT count(*) FROM cat) AS movies,
+       (SELECT count(DISTINCT item_id) FROM nbc) AS with_neighbours,
+       (SELECT count(*) FROM gd) AS genres,
+       CAST(8 AS BIGINT) AS min_common,
+       (SELECT count(*) FROM r) AS ratings""")
+
+ORACLE["neighbours_in_catalog"] = with_ctes(*catalog_ctes(with_neighbours=True), select="""
+SELECT item_id, rank, neighbour_id, sim FROM nbc""")
+
+ORACLE["catalog_search"] = with_ctes(*catalog_ctes(), select="""
+SELECT item_id, title, n FROM cat WHERE contains(lower(title), 'bolt') AND list_contains(genres, 'SMALL')""")
+
+ORACLE["catalog_page"] = with_ctes(*catalog_ctes(), select="""
+SELECT item_id, title, n, CAST(position AS BIGINT) AS position, CAST(total AS BIGINT) AS total FROM (
+  SELECT item_id, title, n, row_number() OVER (ORDER BY n DESC, item_id) - 1 AS position,
+         count(*) OVER () AS total FROM cat)
+WHERE position >= 54 AND position < 108""")
+
+ORACLE["seed_profiles"] = with_ctes(*catalog_ctes(), select="""
+SELECT user_id, pick, item_id FROM (
+  SELECT u.user_id, pool.item_id,
+         row_number() OVER (PARTITION BY u.user_id
+                            ORDER BY md5(concat('0:', CAST(u.user_id AS VARCHAR), ':', CAST(pool.item_id AS VARCHAR))),
+                                     pool.item_id) AS pick
+  FROM (SELECT DISTINCT user_id FROM f) u
+  CROSS JOIN (SELECT item_id FROM cat ORDER BY n DESC, item_id LIMIT 260) pool)
+WHERE pick <= 4""")

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastegraph.operators import catalog as cat_ops
 from tastegraph.operators import similarity as sim_ops
 from tastegraph.operators import stats as stat_ops
 from tastegraph.sources import fixtures as fx
@@ -92,4 +93,98 @@ def q_item_neighbours_topk(spark, sf_dir):
 def q_similar_items_topk(spark, sf_dir):
     return sim_ops.similar_items(raw_similarity(spark, sf_dir), k=5).select(
         "item_id", F.col("rank").cast("long").alias("rank"), "neighbour_id", "sim")
+
+
+# ---- J8, C14, J13, J17 ---------------------------------------------------------
+
+SEARCH_QUERY = "bolt"
+SEARCH_GENRE = "SMALL"
+PAGE_OFFSET = 54
+PAGE_SIZE = 54
+
+
+def catalog_of(spark: SparkSession, sf_dir: str, ratings: DataFrame | None = None) -> DataFrame:
+    r = ratings if ratings is not None else fx.ratings(spark, sf_dir)
+    return cat_ops.build_catalog(fx.items(spark, sf_dir), stat_ops.item_stats(r),
+                                 fx.links(spark, sf_dir), min_ratings=MIN_RATINGS_CATALOG)
+
+
+def catalog_neighbours(spark: SparkSession, sf_dir: str, ratings: DataFrame | None = None,
+                       k: int = TOP_NEIGHBOURS) -> tuple[DataFrame, DataFrame]:
+    """(catalogue, neighbour lists pruned to it): the precompute artefact."""
+    r = ratings if ratings is not None else fx.ratings(spark, sf_dir)
+    cat = catalog_of(spark, sf_dir, r)
+    return cat, cat_ops.prune_neighbours(item_neighbours(spark, sf_dir, r, k=k), cat)
+
+
+@query("catalog")
+def q_catalog(spark, sf_dir):
+    c = catalog_of(spark, sf_dir)
+    return c.select("item_id", "title", F.col("year").cast("long").alias("year"), "n",
+                    r6(F.col("mean_rating")).alias("mean_rating"), "mean_rating_1dp", "tmdb", "imdb",
+                    F.concat_ws("|", "genres").alias("genre_list"))
+
+
+@query("catalog_titles")
+def q_catalog_titles(spark, sf_dir):
+    c = cat_ops.clean_items(fx.items(spark, sf_dir))
+    return c.select("item_id", "raw_title", "title", F.col("year").cast("long").alias("year"))
+
+
+@query("genre_dictionary")
+def q_genre_dictionary(spark, sf_dir):
+    d = cat_ops.genre_dictionary(cat_ops.clean_items(fx.items(spark, sf_dir)))
+    return d.select("genre", F.col("genre_id").cast("long").alias("genre_id"))
+
+
+@query("catalog_genre_ids")
+def q_catalog_genre_ids(spark, sf_dir):
+    cat = catalog_of(spark, sf_dir)
+    d = cat_ops.genre_dictionary(cat_ops.clean_items(fx.items(spark, sf_dir)))
+    g = cat_ops.catalog_genre_ids(cat, d)
+    return g.select("item_id", F.col("position").cast("long").alias("position"), "genre",
+                    F.col("genre_id").cast("long").alias("genre_id"))
+
+
+@query("catalog_summary")
+def q_catalog_summary(spark, sf_dir):
+    r = fx.ratings(spark, sf_dir)
+    cat, nb = catalog_neighbours(spark, sf_dir, r)
+    d = cat_ops.genre_dictionary(cat_ops.clean_items(fx.items(spark, sf_dir)))
+    one = spark.range(1)
+    return one.select(
+        cat.select(F.count(F.lit(1))).scalar().alias("movies"),
+        nb.select(F.count_distinct("item_id")).scalar().alias("with_neighbours"),
+        d.select(F.count(F.lit(1))).scalar().alias("genres"),
+        F.lit(MIN_COMMON).cast("long").alias("min_common"),
+        r.select(F.count(F.lit(1))).scalar().alias("ratings"),
+    )
+
+
+@query("neighbours_in_catalog")
+def q_neighbours_in_catalog(spark, sf_dir):
+    _, nb = catalog_neighbours(spark, sf_dir)
+    return nb.select("item_id", F.col("rank").cast("long").alias("rank"), "neighbour_id", "sim")
+
+
+@query("catalog_search")
+def q_catalog_search(spark, sf_dir):
+    found = cat_ops.search_catalog(catalog_of(spark, sf_dir), SEARCH_QUERY, SEARCH_GENRE)
+    return found.select("item_id", "title", "n")
+
+
+@query("catalog_page")
+def q_catalog_page(spark, sf_dir):
+    page = cat_ops.catalog_page(catalog_of(spark, sf_dir), offset=PAGE_OFFSET, size=PAGE_SIZE)
+    return page.select("item_id", "title", "n", F.col("position").cast("long").alias("position"),
+                       F.col("total").cast("long").alias("total"))
+
+
+@query("seed_profiles")
+def q_seed_profiles(spark, sf_dir):
+    users = fx.feedback(spark, sf_dir).select("user_id")
+    s = cat_ops.seed_profiles(catalog_of(spark, sf_dir), users)
+    return s.select("user_id", F.col("pick").cast("long").alias("pick"), "item_id")
+
+
 FLAGSHIP = "similar_items_topk"

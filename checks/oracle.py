@@ -199,3 +199,58 @@ SELECT user_id, pick, item_id FROM (
   FROM (SELECT DISTINCT user_id FROM f) u
   CROSS JOIN (SELECT item_id FROM cat ORDER BY n DESC, item_id LIMIT 260) pool)
 WHERE pick <= 4""")
+
+
+# ---- K1 feedback fold: closed form for the state, per-event replay for the
+# insertion position (window formulation, independent of the Spark aggregates) ----
+
+FOLD_CTES = [
+    """lc AS (SELECT user_id, max(event_id) AS ce FROM f WHERE action = 'clear' GROUP BY user_id)""",
+    """fa AS (SELECT f.* FROM f LEFT JOIN lc ON f.user_id = lc.user_id
+           WHERE action <> 'clear' AND (ce IS NULL OR event_id > ce))""",
+    """fs AS (SELECT *,
+        max(CASE WHEN action IN ('dislike','remove','seed') THEN event_id END) OVER (PARTITION BY user_id, item_id) AS se,
+        max(CASE WHEN action IN ('like','seed','dislike') THEN event_id END) OVER (PARTITION BY user_id, item_id) AS le
+      FROM fa)""",
+    """fg AS (SELECT user_id, item_id,
+        max(CASE WHEN event_id = se AND action = 'seed' THEN 1 ELSE 0 END) AS init,
+        sum(CASE WHEN action = 'like' AND (se IS NULL OR event_id > se) THEN 1 ELSE 0 END) AS nl,
+        max(CASE WHEN event_id = le AND action = 'dislike' THEN 1 ELSE 0 END) AS dis
+      FROM fs GROUP BY user_id, item_id)""",
+    """fstate AS (SELECT user_id, item_id,
+        CASE WHEN (init + nl) % 2 = 1 THEN 'liked' ELSE 'disliked' END AS state
+      FROM fg WHERE (init + nl) % 2 = 1 OR dis = 1)""",
+    """w1 AS (SELECT *,
+        sum(CASE WHEN action = 'like' THEN 1 ELSE 0 END)
+          OVER (PARTITION BY user_id, item_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS cuml,
+        max(CASE WHEN action IN ('seed','dislike','remove') THEN event_id END)
+          OVER (PARTITION BY user_id, item_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS anc
+      FROM fa)""",
+    """w2 AS (SELECT w1.*, x.action AS anc_action, coalesce(x.cuml, 0) AS anc_cuml
+      FROM w1 LEFT JOIN w1 x ON x.user_id = w1.user_id AND x.item_id = w1.item_id AND x.event_id = w1.anc)""",
+    """w3 AS (SELECT *, CASE WHEN anc_action = 'seed' THEN CASE WHEN (cuml - anc_cuml) % 2 = 0 THEN 1 ELSE 0 END
+                          ELSE CASE WHEN (cuml - anc_cuml) % 2 = 1 THEN 1 ELSE 0 END END AS on_after
+      FROM w2)""",
+    """w4 AS (SELECT *, lag(on_after) OVER (PARTITION BY user_id, item_id ORDER BY event_id) AS on_before FROM w3)""",
+    """fsince AS (SELECT user_id, item_id, max(event_id) AS since_event FROM w4
+      WHERE on_after = 1 AND coalesce(on_before, 0) = 0 GROUP BY user_id, item_id)""",
+    """prefs AS (SELECT s.user_id, s.item_id, s.state,
+        CASE WHEN s.state = 'liked' THEN x.since_event END AS since_event
+      FROM fstate s LEFT JOIN fsince x ON s.user_id = x.user_id AND s.item_id = x.item_id)""",
+]
+
+ORACLE["feedback_state"] = with_ctes(*FOLD_CTES, select="""
+SELECT user_id, item_id, state, since_event FROM prefs""")
+
+ORACLE["feedback_counts"] = with_ctes(*FOLD_CTES, select="""
+SELECT user_id, count(*) FILTER (WHERE state = 'liked') AS likes,
+       count(*) FILTER (WHERE state = 'disliked') AS dislikes
+FROM prefs GROUP BY user_id""")
+
+ORACLE["picks_newest_first"] = with_ctes(*FOLD_CTES, select="""
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY since_event DESC, item_id) AS position,
+       item_id, since_event
+FROM prefs WHERE state = 'liked'""")
+
+ORACLE["valid_prefs"] = with_ctes(*catalog_ctes(), *FOLD_CTES, select="""
+SELECT user_id, item_id, state FROM prefs WHERE item_id IN (SELECT item_id FROM cat)""")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.operators import catalog as cat_ops
+from tastegraph.operators import feedback as fb_ops
 from tastegraph.operators import similarity as sim_ops
 from tastegraph.operators import stats as stat_ops
 from tastegraph.sources import fixtures as fx
@@ -187,4 +188,32 @@ def q_seed_profiles(spark, sf_dir):
     return s.select("user_id", F.col("pick").cast("long").alias("pick"), "item_id")
 
 
+# ---- K1, D12, E9, B12 ------------------------------------------------------------
+
+def prefs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fb_ops.fold_feedback(fx.feedback(spark, sf_dir))
+
+
+@query("feedback_state")
+def q_feedback_state(spark, sf_dir):
+    return prefs_of(spark, sf_dir).select("user_id", "item_id", "state", "since_event")
+
+
+@query("feedback_counts")
+def q_feedback_counts(spark, sf_dir):
+    return fb_ops.preference_counts(prefs_of(spark, sf_dir))
+
+
+@query("picks_newest_first")
+def q_picks_newest_first(spark, sf_dir):
+    p = fb_ops.picks_newest_first(prefs_of(spark, sf_dir))
+    return p.select("user_id", F.col("position").cast("long").alias("position"), "item_id", "since_event")
+
+
+@query("valid_prefs")
+def q_valid_prefs(spark, sf_dir):
+    v = fb_ops.valid_prefs(prefs_of(spark, sf_dir), catalog_of(spark, sf_dir))
+    return v.select("user_id", "item_id", "state")
+
+
 FLAGSHIP = "similar_items_topk"

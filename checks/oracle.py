@@ -254,3 +254,117 @@ FROM prefs WHERE state = 'liked'""")
 
 ORACLE["valid_prefs"] = with_ctes(*catalog_ctes(), *FOLD_CTES, select="""
 SELECT user_id, item_id, state FROM prefs WHERE item_id IN (SELECT item_id FROM cat)""")
+
+
+# ---- J9 - J12: profile scoring (brute-force backfill over users x catalogue) ----
+
+def profile_ctes(k: int = 30) -> list[str]:
+    return catalog_ctes(with_neighbours=True, k=k) + FOLD_CTES + [
+        """vp AS (SELECT user_id, item_id, state FROM prefs WHERE item_id IN (SELECT item_id FROM cat))""",
+        """lk AS (SELECT user_id, item_id FROM vp WHERE state = 'liked')""",
+        """dk AS (SELECT user_id, item_id FROM vp WHERE state = 'disliked')""",
+        """contrib AS (
+  SELECT lk.user_id, nbc.neighbour_id AS item_id, lk.item_id AS source_id, nbc.sim
+  FROM lk JOIN nbc ON lk.item_id = nbc.item_id
+  WHERE NOT EXISTS (SELECT 1 FROM vp WHERE vp.user_id = lk.user_id AND vp.item_id = nbc.neighbour_id))""",
+        """sc AS (
+  SELECT user_id, item_id, sum(w) AS cf, sum(is_like) AS n_liked, sum(1 - is_like) AS n_disliked FROM (
+    SELECT user_id, item_id, CAST(CAST(sim AS DECIMAL(18,6)) AS DECIMAL(24,8)) AS w, 1 AS is_like FROM contrib
+    UNION ALL
+    SELECT dk.user_id, nbc.neighbour_id, CAST(-(CAST(nbc.sim AS DECIMAL(18,6)) * 1.15) AS DECIMAL(24,8)), 0
+    FROM dk JOIN nbc ON dk.item_id = nbc.item_id)
+  GROUP BY user_id, item_id HAVING sum(is_like) > 0)""",
+        """cg AS (SELECT item_id, unnest(genres) AS genre FROM cat)""",
+        """gc AS (SELECT lk.user_id, cg.genre, count(*) AS cnt FROM lk JOIN cg ON lk.item_id = cg.item_id GROUP BY 1, 2)""",
+        """gt AS (SELECT user_id, sum(cnt) AS total FROM gc GROUP BY 1)""",
+        """popt AS (SELECT item_id,
+    CAST(round(log10(n + 1) / log10((SELECT max(n) FROM cat) + 1), 6) AS DECIMAL(18,6)) AS pop6 FROM cat)""",
+        """need AS (
+  SELECT u.user_id, 12 - coalesce(h.cnt, 0) AS want
+  FROM (SELECT DISTINCT user_id FROM lk) u
+  LEFT JOIN (SELECT user_id, count(*) AS cnt FROM sc GROUP BY 1) h ON h.user_id = u.user_id
+  WHERE 12 - coalesce(h.cnt, 0) > 0)""",
+        """bfc AS (
+  SELECT need.user_id, c.item_id FROM need JOIN cat c ON len(c.genres) > 0
+  WHERE NOT EXISTS (SELECT 1 FROM sc WHERE sc.user_id = need.user_id AND sc.item_id = c.item_id)
+    AND NOT EXISTS (SELECT 1 FROM vp WHERE vp.user_id = need.user_id AND vp.item_id = c.item_id)
+    AND EXISTS (SELECT 1 FROM cg JOIN gc ON gc.genre = cg.genre
+                WHERE cg.item_id = c.item_id AND gc.user_id = need.user_id))""",
+        """gsc AS (
+  SELECT x.user_id, x.item_id,
+         CAST(round(CAST(coalesce(sum(gc.cnt), 0) AS DOUBLE) / CAST(coalesce(max(gt.total), 1) AS DOUBLE), 6)
+              AS DECIMAL(18,6)) AS g6
+  FROM (SELECT user_id, item_id FROM sc UNION ALL SELECT user_id, item_id FROM bfc) x
+  LEFT JOIN cg ON cg.item_id = x.item_id
+  LEFT JOIN gc ON gc.user_id = x.user_id AND gc.genre = cg.genre
+  LEFT JOIN gt ON gt.user_id = x.user_id
+  GROUP BY x.user_id, x.item_id)""",
+        """cfr AS (
+  SELECT sc.user_id, sc.item_id, sc.cf, gsc.g6, popt.pop6,
+         sc.cf + 0.35 * gsc.g6 + 0.05 * popt.pop6 AS final, 0 AS genre_only
+  FROM sc JOIN gsc ON gsc.user_id = sc.user_id AND gsc.item_id = sc.item_id
+          JOIN popt ON popt.item_id = sc.item_id)""",
+        """bfr AS (
+  SELECT user_id, item_id, cf, g6, pop6, final, genre_only FROM (
+    SELECT b.user_id, b.item_id, CAST(0 AS DECIMAL(24,8)) AS cf, gsc.g6, popt.pop6,
+           0.35 * gsc.g6 + 0.05 * popt.pop6 AS final, 1 AS genre_only, need.want,
+           row_number() OVER (PARTITION BY b.user_id ORDER BY 0.35 * gsc.g6 + 0.05 * popt.pop6 DESC, b.item_id) AS r
+    FROM bfc b JOIN need ON need.user_id = b.user_id
+    JOIN gsc ON gsc.user_id = b.user_id AND gsc.item_id = b.item_id
+    JOIN popt ON popt.item_id = b.item_id)
+  WHERE r <= want)""",
+        """recs AS (
+  SELECT *, max(final) OVER (PARTITION BY user_id) AS best FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY final DESC, item_id) AS rank
+    FROM (SELECT * FROM cfr UNION ALL SELECT * FROM bfr)) WHERE rank <= 24)""",
+    ]
+
+
+RECS_SELECT = """
+SELECT user_id, rank, item_id, CAST(cf AS DOUBLE) AS cf, CAST(g6 AS DOUBLE) AS genre_score,
+       CAST(pop6 AS DOUBLE) AS pop, CAST(final AS DOUBLE) AS final,
+       CASE WHEN CAST(best AS DOUBLE) > 0
+            THEN least(greatest(CAST(floor(60.0 + 39.0 * (CAST(final AS DOUBLE) / CAST(best AS DOUBLE)) + 0.5)
+                                     AS BIGINT), 58), 99)
+            ELSE 58 END AS pct,
+       CAST(genre_only AS BIGINT) AS genre_only
+FROM recs"""
+
+ORACLE["candidate_scores"] = with_ctes(*profile_ctes(), select="""
+SELECT user_id, item_id, CAST(cf AS DOUBLE) AS cf, CAST(n_liked AS BIGINT) AS n_liked,
+       CAST(n_disliked AS BIGINT) AS n_disliked FROM sc""")
+
+ORACLE["genre_affinity"] = with_ctes(*profile_ctes(), select="""
+SELECT gc.user_id, gc.genre, gc.cnt, round(CAST(gc.cnt AS DOUBLE) / CAST(gt.total AS DOUBLE), 6) AS aff
+FROM gc JOIN gt ON gc.user_id = gt.user_id""")
+
+ORACLE["taste_top3"] = with_ctes(*profile_ctes(), select="""
+SELECT user_id, rank, genre, cnt FROM (
+  SELECT gc.user_id, gc.genre, gc.cnt,
+         row_number() OVER (PARTITION BY gc.user_id ORDER BY gc.cnt DESC, gd.genre_id) AS rank
+  FROM gc JOIN gd ON gc.genre = gd.genre) WHERE rank <= 3""")
+
+ORACLE["recommendations"] = with_ctes(*profile_ctes(), select=RECS_SELECT)
+
+ORACLE["recommendations_backfill"] = with_ctes(*profile_ctes(k=5), select=RECS_SELECT)
+
+ORACLE["recommendation_reasons"] = with_ctes(*profile_ctes(k=5), """names AS (
+  SELECT user_id, item_id, max(CASE WHEN k = 1 THEN title END) AS a, max(CASE WHEN k = 2 THEN title END) AS b
+  FROM (SELECT c.user_id, c.item_id, t.title,
+               row_number() OVER (PARTITION BY c.user_id, c.item_id ORDER BY c.sim DESC, c.source_id) AS k
+        FROM contrib c JOIN cat t ON t.item_id = c.source_id
+        WHERE t.title IS NOT NULL AND t.title <> ''
+          AND EXISTS (SELECT 1 FROM recs WHERE recs.user_id = c.user_id AND recs.item_id = c.item_id))
+  WHERE k <= 2 GROUP BY user_id, item_id)""", """tg AS (
+  SELECT user_id, item_id, genre FROM (
+    SELECT recs.user_id, recs.item_id, ig.genre,
+           row_number() OVER (PARTITION BY recs.user_id, recs.item_id
+                              ORDER BY coalesce(gc.cnt, 0) DESC, ig.position) AS k
+    FROM recs JOIN ig ON ig.item_id = recs.item_id
+    LEFT JOIN gc ON gc.user_id = recs.user_id AND gc.genre = ig.genre) WHERE k = 1)""", select="""
+SELECT recs.user_id, recs.item_id,
+       CASE WHEN names.b IS NOT NULL THEN 'Loved by fans of ' || names.a || ' & ' || names.b
+            WHEN names.a IS NOT NULL THEN 'Because you liked ' || names.a
+            ELSE 'A ' || coalesce(tg.genre, 'great') || ' pick in your wheelhouse' END AS reason
+FROM recs LEFT JOIN names ON names.user_id = recs.user_id AND names.item_id = recs.item_id
+LEFT JOIN tg ON tg.user_id = recs.user_id AND tg.item_id = recs.item_id""")

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tastegraph.operators import catalog as cat_ops
 from tastegraph.operators import feedback as fb_ops
+from tastegraph.operators import profiles as prof_ops
 from tastegraph.operators import similarity as sim_ops
 from tastegraph.operators import stats as stat_ops
+from tastegraph.session import ensure_checkpoint_dir
 from tastegraph.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +40,14 @@ def r6(c):
     return F.round(c, 6)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's checkpoint folder and read it back: a
+    reused intermediate is computed once, its lineage is cut, and a lost executor
+    cannot force a recompute of everything before it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 # ---- shared sub-plans -------------------------------------------------------
 
 def raw_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,4 +226,70 @@ def q_valid_prefs(spark, sf_dir):
     return v.select("user_id", "item_id", "state")
 
 
-FLAGSHIP = "similar_items_topk"
+# ---- J9 - J12 ------------------------------------------------------------------
+
+def profile_inputs(spark: SparkSession, sf_dir: str, k: int = TOP_NEIGHBOURS):
+    """(valid preferences, neighbour lists in the catalogue, catalogue), each cut
+    from its lineage once (they are read several times by the scorer)."""
+    r = materialize(fx.ratings(spark, sf_dir))
+    cat = materialize(catalog_of(spark, sf_dir, r))
+    nb = materialize(cat_ops.prune_neighbours(item_neighbours(spark, sf_dir, r, k=k), cat))
+    prefs = materialize(fb_ops.valid_prefs(prefs_of(spark, sf_dir), cat))
+    return prefs, nb, cat
+
+
+def _recs_out(recs: DataFrame) -> DataFrame:
+    return recs.select("user_id", F.col("rank").cast("long").alias("rank"), "item_id", "cf",
+                       "genre_score", "pop", "final", "pct",
+                       F.col("genre_only").cast("long").alias("genre_only"))
+
+
+@query("candidate_scores")
+def q_candidate_scores(spark, sf_dir):
+    prefs, nb, _ = profile_inputs(spark, sf_dir)
+    s = prof_ops.candidate_scores(prefs, nb)
+    return s.select("user_id", "item_id", F.col("cf").cast("double").alias("cf"),
+                    F.col("n_liked").cast("long").alias("n_liked"),
+                    F.col("n_disliked").cast("long").alias("n_disliked"))
+
+
+@query("genre_affinity")
+def q_genre_affinity(spark, sf_dir):
+    prefs, _, cat = profile_inputs(spark, sf_dir)
+    a = prof_ops.genre_affinity(prefs, cat)
+    return a.select("user_id", "genre", "cnt", r6(F.col("aff")).alias("aff"))
+
+
+@query("taste_top3")
+def q_taste_top3(spark, sf_dir):
+    prefs, _, cat = profile_inputs(spark, sf_dir)
+    d = cat_ops.genre_dictionary(cat_ops.clean_items(fx.items(spark, sf_dir)))
+    t = prof_ops.taste_top(prefs, cat, d, k=3)
+    return t.select("user_id", F.col("rank").cast("long").alias("rank"), "genre", "cnt")
+
+
+@query("recommendations")
+def q_recommendations(spark, sf_dir):
+    prefs, nb, cat = profile_inputs(spark, sf_dir)
+    return _recs_out(prof_ops.recommend(prefs, nb, cat))
+
+
+BACKFILL_K = 5
+
+
+@query("recommendations_backfill")
+def q_recommendations_backfill(spark, sf_dir):
+    """The same scorer over five-neighbour lists: short candidate lists, so the
+    genre backfill fills many users."""
+    prefs, nb, cat = profile_inputs(spark, sf_dir, k=BACKFILL_K)
+    return _recs_out(prof_ops.recommend(prefs, nb, cat))
+
+
+@query("recommendation_reasons")
+def q_recommendation_reasons(spark, sf_dir):
+    prefs, nb, cat = profile_inputs(spark, sf_dir, k=BACKFILL_K)
+    recs = prof_ops.recommend(prefs, nb, cat)
+    return prof_ops.reasons(recs, prefs, nb, cat)
+
+
+FLAGSHIP = "recommendations"

@@ -368,3 +368,111 @@ SELECT recs.user_id, recs.item_id,
             ELSE 'A ' || coalesce(tg.genre, 'great') || ' pick in your wheelhouse' END AS reason
 FROM recs LEFT JOIN names ON names.user_id = recs.user_id AND names.item_id = recs.item_id
 LEFT JOIN tg ON tg.user_id = recs.user_id AND tg.item_id = recs.item_id""")
+
+
+# ---- I1, J6, J7, J14 ----------------------------------------------------------
+
+SPLIT_CTES = [
+    """sp AS (SELECT r.*, CASE WHEN substr(md5(concat(CAST(user_id AS VARCHAR), ':', CAST(item_id AS VARCHAR), ':0')), 1, 2) < 'cd'
+                          THEN 'train' ELSE 'test' END AS split FROM r)""",
+    """tr AS (SELECT * FROM sp WHERE split = 'train')""",
+    """te AS (SELECT * FROM sp WHERE split = 'test')""",
+]
+
+
+def cf_ctes(name: str = "cfp", sims: str = "pt", upper: bool = False, ties_rank: bool = False,
+            signed: bool = False) -> list[str]:
+    if upper:
+        nb = f"""{name}_nb AS (SELECT i AS item_id, j AS neighbour_id, CAST(round(sim, 6) AS DECIMAL(18,6)) AS sim FROM {sims})"""
+    else:
+        nb = f"""{name}_nb AS (
+  SELECT i AS item_id, j AS neighbour_id, CAST(round(sim, 6) AS DECIMAL(18,6)) AS sim FROM {sims}
+  UNION ALL SELECT j, i, CAST(round(sim, 6) AS DECIMAL(18,6)) FROM {sims})"""
+    ranker = "rank() OVER (PARTITION BY user_id, item_id ORDER BY sim DESC)" if ties_rank else \
+        "row_number() OVER (PARTITION BY user_id, item_id ORDER BY sim DESC, neighbour_id)"
+    den = "sum(sim)" if signed else "sum(abs(sim))"
+    cond = f"{den} <> 0" if signed else f"{den} > 0"
+    return [nb, f"""{name}_rows AS (
+  SELECT t.user_id, t.item_id, x.item_id AS neighbour_id, CAST(x.rating AS DECIMAL(10,4)) AS nr, n.sim
+  FROM (SELECT DISTINCT user_id, item_id FROM te) t JOIN tr x ON t.user_id = x.user_id
+  JOIN {name}_nb n ON n.item_id = t.item_id AND n.neighbour_id = x.item_id
+  WHERE x.item_id <> t.item_id)""", f"""{name}_top AS (
+  SELECT * FROM (SELECT *, {ranker} AS k FROM {name}_rows) WHERE k <= 10)""", f"""{name} AS (
+  SELECT user_id, item_id,
+         CASE WHEN {cond} THEN CAST(sum(sim * nr) AS DOUBLE) / CAST({den} AS DOUBLE) END AS prediction,
+         count(*) AS n_neighbours
+  FROM {name}_top GROUP BY user_id, item_id)"""]
+
+
+ORACLE["hash_split"] = with_ctes(*SPLIT_CTES, select="SELECT user_id, item_id, rating, split FROM sp")
+
+ORACLE["item_cf_predictions"] = with_ctes(*SPLIT_CTES, *pair_cte("pt", source="tr"), *cf_ctes(), select="""
+SELECT user_id, item_id, round(prediction, 6) AS prediction, n_neighbours FROM cfp WHERE prediction IS NOT NULL""")
+
+ORACLE["item_cf_predictions_as_written"] = with_ctes(
+    *SPLIT_CTES, *pair_cte("p"), *cf_ctes(sims="p", upper=True, ties_rank=True, signed=True), select="""
+SELECT user_id, item_id, round(prediction, 6) AS prediction, n_neighbours FROM cfp WHERE prediction IS NOT NULL""")
+
+COMPONENT_CTES = [
+    """c_item AS (SELECT te.user_id, te.item_id, CAST(round(m.mu, 6) AS DECIMAL(20,6)) AS p FROM te
+  JOIN (SELECT item_id, sum(rating) / count(*) AS mu FROM tr GROUP BY 1) m ON m.item_id = te.item_id)""",
+    """c_user AS (SELECT te.user_id, te.item_id, CAST(round(m.mu, 6) AS DECIMAL(20,6)) AS p FROM te
+  JOIN (SELECT user_id, sum(rating) / count(*) AS mu FROM tr GROUP BY 1) m ON m.user_id = te.user_id)""",
+    """c_cf AS (SELECT user_id, item_id, CAST(round(prediction, 6) AS DECIMAL(20,6)) AS p FROM cfp
+  WHERE prediction IS NOT NULL)""",
+]
+
+ORACLE["blend_equal"] = with_ctes(*SPLIT_CTES, *pair_cte("pt", source="tr"), *cf_ctes(), *COMPONENT_CTES, select="""
+SELECT a.user_id, a.item_id, CAST(a.p AS DOUBLE) AS item_mean_prediction, CAST(b.p AS DOUBLE) AS cf_prediction,
+       CAST(0.5 * a.p + 0.5 * b.p AS DOUBLE) AS hybrid_prediction, te.rating AS actual_rating
+FROM c_item a JOIN c_cf b ON a.user_id = b.user_id AND a.item_id = b.item_id
+JOIN te ON te.user_id = a.user_id AND te.item_id = a.item_id""")
+
+ORACLE["blend_weight_search"] = with_ctes(*SPLIT_CTES, *pair_cte("pt", source="tr"), *cf_ctes(), *COMPONENT_CTES, """w AS (
+  SELECT * FROM (VALUES (0, 0.2, 0.3, 0.5), (1, 0.3, 0.3, 0.4), (2, 0.4, 0.3, 0.3)) AS t(weight_id, w1, w2, w3))""",
+    """j AS (SELECT a.p AS pa, b.p AS pb, c.p AS pc, CAST(te.rating AS DECIMAL(20,6)) AS y
+  FROM c_item a JOIN c_cf b ON a.user_id = b.user_id AND a.item_id = b.item_id
+  JOIN c_user c ON c.user_id = a.user_id AND c.item_id = a.item_id
+  JOIN te ON te.user_id = a.user_id AND te.item_id = a.item_id)""",
+    """s AS (SELECT w.weight_id, w.w1, w.w2, w.w3, count(*) AS n,
+         sum(CAST(w.w1 * j.pa + w.w2 * j.pb + w.w3 * j.pc - j.y AS DECIMAL(12,7)) *
+             CAST(w.w1 * j.pa + w.w2 * j.pb + w.w3 * j.pc - j.y AS DECIMAL(12,7))) AS sse
+  FROM j CROSS JOIN w GROUP BY 1, 2, 3, 4)""", select="""
+SELECT CAST(weight_id AS BIGINT) AS weight_id, CAST(w1 AS DOUBLE) AS w_item_mean, CAST(w2 AS DOUBLE) AS w_cf,
+       CAST(w3 AS DOUBLE) AS w_user_mean, round(sqrt(CAST(sse AS DOUBLE) / CAST(n AS DOUBLE)), 6) AS rmse,
+       CAST(n AS BIGINT) AS n,
+       CAST(CASE WHEN row_number() OVER (ORDER BY sqrt(CAST(sse AS DOUBLE) / CAST(n AS DOUBLE)), weight_id) = 1
+                 THEN 1 ELSE 0 END AS BIGINT) AS best
+FROM s""")
+
+_METRIC_ROWS = """
+  SELECT 'rmse' AS metric, sqrt(mse) AS value, detail FROM agg UNION ALL
+  SELECT 'mse', mse, detail FROM agg UNION ALL
+  SELECT 'n', CAST(n AS DOUBLE), detail FROM agg UNION ALL
+  SELECT 'coverage', CAST(n AS DOUBLE) / CAST((SELECT count(*) FROM te) AS DOUBLE), detail FROM agg"""
+
+ORACLE["rating_metrics"] = with_ctes(*SPLIT_CTES, *pair_cte("pt", source="tr"), *cf_ctes(), """e AS (
+  SELECT CAST(CAST(round(c.prediction, 6) AS DECIMAL(20,6)) - CAST(te.rating AS DECIMAL(20,6)) AS DECIMAL(12,6)) AS e0,
+         CAST(CAST(round(least(greatest(c.prediction, 1.0), 5.0), 6) AS DECIMAL(20,6))
+              - CAST(te.rating AS DECIMAL(20,6)) AS DECIMAL(12,6)) AS e1
+  FROM cfp c JOIN te ON te.user_id = c.user_id AND te.item_id = c.item_id WHERE c.prediction IS NOT NULL)""",
+    """agg AS (
+  SELECT 'item_cf' AS detail, count(*) AS n, CAST(sum(e0 * e0) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mse FROM e
+  UNION ALL
+  SELECT 'item_cf, clamped to [1.0, 5.0]', count(*), CAST(sum(e1 * e1) AS DOUBLE) / CAST(count(*) AS DOUBLE) FROM e)""",
+    select=f"SELECT metric, round(value, 6) AS value, detail FROM ({_METRIC_ROWS})")
+
+ORACLE["ranking_map"] = with_ctes(*SPLIT_CTES, *pair_cte("pt", source="tr", min_item=8), shrunk_cte("pts", "pt"),
+                                  *neighbour_cte("nbt", "pts"), """cand AS (
+  SELECT x.user_id, n.neighbour_id AS item_id, sum(CAST(n.sim AS DECIMAL(18,6))) AS score
+  FROM tr x JOIN nbt n ON n.item_id = x.item_id
+  WHERE NOT EXISTS (SELECT 1 FROM tr y WHERE y.user_id = x.user_id AND y.item_id = n.neighbour_id)
+  GROUP BY 1, 2)""", """pl AS (
+  SELECT * FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank
+                 FROM cand) WHERE rank <= 10)""", """hits AS (
+  SELECT pl.user_id, pl.rank, CASE WHEN te.item_id IS NULL THEN 0 ELSE 1 END AS hit
+  FROM pl LEFT JOIN te ON te.user_id = pl.user_id AND te.item_id = pl.item_id)""", """cum AS (
+  SELECT *, sum(hit) OVER (PARTITION BY user_id ORDER BY rank ROWS UNBOUNDED PRECEDING) AS c FROM hits)""",
+    """aps AS (SELECT user_id, sum(CASE WHEN hit = 1 THEN CAST(c AS DOUBLE) / rank ELSE 0.0 END) AS ps
+  FROM cum GROUP BY 1)""", """nrel AS (SELECT user_id, count(*) AS n_rel FROM te GROUP BY 1)""", select="""
+SELECT round(avg(ps / n_rel), 6) AS map, count(*) AS users FROM aps JOIN nrel ON aps.user_id = nrel.user_id""")

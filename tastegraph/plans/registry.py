@@ -9,10 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastegraph.operators import blend as blend_ops
 from tastegraph.operators import catalog as cat_ops
+from tastegraph.operators import evaluate as eval_ops
 from tastegraph.operators import feedback as fb_ops
+from tastegraph.operators import predict as pred_ops
 from tastegraph.operators import profiles as prof_ops
 from tastegraph.operators import similarity as sim_ops
+from tastegraph.operators import split as split_ops
 from tastegraph.operators import stats as stat_ops
 from tastegraph.session import ensure_checkpoint_dir
 from tastegraph.sources import fixtures as fx
@@ -292,4 +296,95 @@ def q_recommendation_reasons(spark, sf_dir):
     return prof_ops.reasons(recs, prefs, nb, cat)
 
 
+# ---- I1, J6, J7, J14 ----------------------------------------------------------
+
+BLEND_GRID = [("0.2", "0.3", "0.5"), ("0.3", "0.3", "0.4"), ("0.4", "0.3", "0.3")]
+
+
+def split_of(spark: SparkSession, sf_dir: str):
+    """(train, test) by the md5 hash split, cut from the lineage once."""
+    s = materialize(split_ops.hash_split(fx.ratings(spark, sf_dir)))
+    return (s.where(F.col("split") == "train").drop("split"),
+            s.where(F.col("split") == "test").drop("split"))
+
+
+def cf_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
+    sims = sim_ops.pair_similarity(train)
+    return pred_ops.predict_item_cf(test, sims, train, n=10)
+
+
+@query("hash_split")
+def q_hash_split(spark, sf_dir):
+    return split_ops.hash_split(fx.ratings(spark, sf_dir)).select("user_id", "item_id", "rating", "split")
+
+
+@query("item_cf_predictions")
+def q_item_cf_predictions(spark, sf_dir):
+    train, test = split_of(spark, sf_dir)
+    p = cf_predictions(train, test)
+    return p.select("user_id", "item_id", r6(F.col("prediction")).alias("prediction"), "n_neighbours")
+
+
+@query("item_cf_predictions_as_written")
+def q_item_cf_predictions_as_written(spark, sf_dir):
+    """One-sided pair table built from all ratings (held-out ones included), rank
+    ties, signed denominator: the first written form, kept as an option."""
+    r = fx.ratings(spark, sf_dir)
+    train, test = split_of(spark, sf_dir)
+    sims = sim_ops.pair_similarity(r)
+    p = pred_ops.predict_item_cf(test, sims, train, n=10, direction="upper", ties="rank",
+                                 denominator="signed")
+    return p.select("user_id", "item_id", r6(F.col("prediction")).alias("prediction"), "n_neighbours")
+
+
+def baseline_components(spark, sf_dir):
+    train, test = split_of(spark, sf_dir)
+    cf = materialize(cf_predictions(train, test))
+    return train, test, {
+        "item_mean": pred_ops.predict_item_mean(test, train),
+        "cf": cf,
+        "user_mean": pred_ops.predict_user_mean(test, train),
+    }
+
+
+@query("blend_equal")
+def q_blend_equal(spark, sf_dir):
+    _, test, comps = baseline_components(spark, sf_dir)
+    b = blend_ops.blend({"item_mean": comps["item_mean"], "cf": comps["cf"]}, {"item_mean": "0.5", "cf": "0.5"})
+    b = b.join(test.select("user_id", "item_id", F.col("rating").alias("actual_rating")), ["user_id", "item_id"])
+    return b.select("user_id", "item_id",
+                    F.col("item_mean_prediction").cast("double").alias("item_mean_prediction"),
+                    F.col("cf_prediction").cast("double").alias("cf_prediction"),
+                    F.col("hybrid_prediction").cast("double").alias("hybrid_prediction"), "actual_rating")
+
+
+@query("blend_weight_search")
+def q_blend_weight_search(spark, sf_dir):
+    _, test, comps = baseline_components(spark, sf_dir)
+    s = blend_ops.search_weights(comps, test, BLEND_GRID)
+    return s.select(F.col("weight_id").cast("long").alias("weight_id"), "w_item_mean", "w_cf", "w_user_mean",
+                    r6(F.col("rmse")).alias("rmse"), F.col("n").cast("long").alias("n"),
+                    F.col("best").cast("long").alias("best"))
+
+
+@query("rating_metrics")
+def q_rating_metrics(spark, sf_dir):
+    train, test = split_of(spark, sf_dir)
+    cf = materialize(cf_predictions(train, test))
+    m = eval_ops.rating_metrics(cf, test, name="item_cf").unionByName(
+        eval_ops.rating_metrics(cf, test, name="item_cf", clamp=(1.0, 5.0)))
+    return m.select("metric", r6(F.col("value")).alias("value"), "detail")
+
+
+@query("ranking_map")
+def q_ranking_map(spark, sf_dir):
+    train, test = split_of(spark, sf_dir)
+    nb = sim_ops.neighbours(
+        sim_ops.pair_similarity(train, min_item=MIN_RATINGS_SIM, min_common=MIN_COMMON,
+                                shrink=SHRINK_LAMBDA, clip=True), k=TOP_NEIGHBOURS, min_sim=MIN_SIM)
+    top = pred_ops.recommend_from_ratings(train, materialize(nb), k=10)
+    m = eval_ops.mean_average_precision(top, test)
+    return m.select(r6(F.col("map")).alias("map"), F.col("users").cast("long").alias("users"))
+
+
 FLAGSHIP = "recommendations"

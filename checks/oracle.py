@@ -476,3 +476,16 @@ ORACLE["ranking_map"] = with_ctes(*SPLIT_CTES, *pair_cte("pt", source="tr", min_
     """aps AS (SELECT user_id, sum(CASE WHEN hit = 1 THEN CAST(c AS DOUBLE) / rank ELSE 0.0 END) AS ps
   FROM cum GROUP BY 1)""", """nrel AS (SELECT user_id, count(*) AS n_rel FROM te GROUP BY 1)""", select="""
 SELECT round(avg(ps / n_rel), 6) AS map, count(*) AS users FROM aps JOIN nrel ON aps.user_id = nrel.user_id""")
+
+
+# ---- I9, I11: genre index (StringIndexer order) and multi-hot coordinates ----
+
+ORACLE["genre_index"] = with_ctes(*catalog_ctes(), select="""
+SELECT genre, CAST(row_number() OVER (ORDER BY cnt DESC, genre) - 1 AS BIGINT) AS genre_index, cnt
+FROM (SELECT genre, count(*) AS cnt FROM ig GROUP BY genre)""")
+
+ORACLE["item_multihot"] = with_ctes(*catalog_ctes(), """gix AS (
+  SELECT genre, row_number() OVER (ORDER BY cnt DESC, genre) - 1 AS genre_index
+  FROM (SELECT genre, count(*) AS cnt FROM ig GROUP BY genre))""", select="""
+SELECT DISTINCT ig.item_id, CAST(gix.genre_index AS BIGINT) AS genre_index, 1.0::DOUBLE AS value
+FROM ig JOIN gix ON ig.genre = gix.genre""")

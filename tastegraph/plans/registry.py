@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from tastegraph.operators import blend as blend_ops
 from tastegraph.operators import catalog as cat_ops
+from tastegraph.operators import content as content_ops
 from tastegraph.operators import evaluate as eval_ops
+from tastegraph.operators import factors as factor_ops
 from tastegraph.operators import feedback as fb_ops
 from tastegraph.operators import predict as pred_ops
 from tastegraph.operators import profiles as prof_ops
 from tastegraph.operators import similarity as sim_ops
 from tastegraph.operators import split as split_ops
 from tastegraph.operators import stats as stat_ops
+from tastegraph.plans import batch as batch_plan
 from tastegraph.session import ensure_checkpoint_dir
 from tastegraph.sources import fixtures as fx
 
@@ -387,4 +390,57 @@ def q_ranking_map(spark, sf_dir):
     return m.select(r6(F.col("map")).alias("map"), F.col("users").cast("long").alias("users"))
 
 
+# ---- I2 - I14, J15, J16, J18 (MLlib) ---------------------------------------------------------
+
+ALS_FIXED = dict(rank=10, max_iter=10, reg_param=0.17)
+
+
+@query("genre_index")
+def q_genre_index(spark, sf_dir):
+    gi = content_ops.genre_index(content_ops.item_genre_rows(fx.items(spark, sf_dir)))
+    return gi.select("genre", F.col("genre_index").cast("long").alias("genre_index"), "cnt")
+
+
+@query("item_multihot")
+def q_item_multihot(spark, sf_dir):
+    rows = content_ops.item_genre_rows(fx.items(spark, sf_dir))
+    m = content_ops.item_multihot(rows, content_ops.genre_index(rows))
+    return m.select("item_id", F.col("genre_index").cast("long").alias("genre_index"), "value")
+
+
+@query("als_predictions")
+def q_als_predictions(spark, sf_dir):
+    train, test = split_of(spark, sf_dir)
+    model = factor_ops.fit_factors(train, **ALS_FIXED)
+    return factor_ops.score_pairs(model, test)
+
+
+@query("als_topk")
+def q_als_topk(spark, sf_dir):
+    train, _ = split_of(spark, sf_dir)
+    model = factor_ops.fit_factors(train, **ALS_FIXED)
+    return factor_ops.recommend_from_factors(model, 10).select(
+        "user_id", F.col("rank").cast("long").alias("rank"), "item_id", "score")
+
+
+@query("als_grid")
+def q_als_grid(spark, sf_dir):
+    train, _ = split_of(spark, sf_dir)
+    _, grid = factor_ops.tune_factors(train)
+    return grid
+
+
+@query("forest_predictions")
+def q_forest_predictions(spark, sf_dir):
+    train, test = split_of(spark, sf_dir)
+    model, feats = content_ops.content_model(train, fx.items(spark, sf_dir))
+    return content_ops.score_content(model, feats, test)
+
+
+@query("metrics_report")
+def q_metrics_report(spark, sf_dir):
+    res = batch_plan.run(fx.ratings(spark, sf_dir), fx.items(spark, sf_dir))
+    return res.metrics
+
+
 FLAGSHIP = "recommendations"

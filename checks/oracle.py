@@ -489,3 +489,7 @@ ORACLE["item_multihot"] = with_ctes(*catalog_ctes(), """gix AS (
   FROM (SELECT genre, count(*) AS cnt FROM ig GROUP BY genre))""", select="""
 SELECT DISTINCT ig.item_id, CAST(gix.genre_index AS BIGINT) AS genre_index, 1.0::DOUBLE AS value
 FROM ig JOIN gix ON ig.genre = gix.genre""")
+
+# K2 / K3: the stream ends in the batch results
+ORACLE["feedback_stream"] = ORACLE["feedback_state"]
+ORACLE["feedback_stream_recommendations"] = ORACLE["recommendations"]

@@ -23,6 +23,8 @@ from tastegraph.operators import stats as stat_ops
 from tastegraph.plans import batch as batch_plan
 from tastegraph.session import ensure_checkpoint_dir
 from tastegraph.sources import fixtures as fx
+from tastegraph.streaming import feedback_stream as stream_ops
+from tastegraph.streaming import rescore as rescore_ops
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -443,4 +445,29 @@ def q_metrics_report(spark, sf_dir):
     return res.metrics
 
 
+# ---- K2, K3 (Structured Streaming) ----------------------------------------------
+
+
+@query("feedback_stream")
+def q_feedback_stream(spark, sf_dir):
+    """The fold as a stream (Trigger.AvailableNow over the events file); the same
+    rows as feedback_state."""
+    cur = stream_ops.run_feedback_stream(spark, sf_dir)
+    return cur.select("user_id", "item_id", "state", "since_event")
+
+
+@query("feedback_stream_recommendations")
+def q_feedback_stream_recommendations(spark, sf_dir):
+    """Recommendations kept current by re-scoring each micro-batch's touched users;
+    after the stream has consumed everything, the same rows as recommendations."""
+    from tastegraph.session import scratch_path
+
+    r = materialize(fx.ratings(spark, sf_dir))
+    cat = materialize(catalog_of(spark, sf_dir, r))
+    nb = materialize(cat_ops.prune_neighbours(item_neighbours(spark, sf_dir, r), cat))
+    sink = scratch_path(spark, "recs-sink")
+    stream_ops.run_feedback_stream(spark, sf_dir, on_batch=rescore_ops.rescorer(nb, cat, sink))
+    return _recs_out(rescore_ops.current_recommendations(spark, sink))
+
+
 FLAGSHIP = "recommendations"

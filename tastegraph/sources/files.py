@@ -43,5 +43,5 @@ def read_links(spark: SparkSession, path: str | None, fmt: str = "csv") -> DataF
     return raw.select(
         F.col("movieId").alias("item_id"),
         F.coalesce(F.trim(F.col("imdbId")), F.lit("")).alias("imdb"),
-        F.try_cast(F.nullif(F.trim(F.col("tmdbId")), F.lit("")), "long").alias("tmdb"),
+        F.nullif(F.trim(F.col("tmdbId")), F.lit("")).try_cast("long").alias("tmdb"),
     ).where(F.col("item_id").isNotNull())

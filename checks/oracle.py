@@ -493,3 +493,16 @@ FROM ig JOIN gix ON ig.genre = gix.genre""")
 # K2 / K3: the stream ends in the batch results
 ORACLE["feedback_stream"] = ORACLE["feedback_state"]
 ORACLE["feedback_stream_recommendations"] = ORACLE["recommendations"]
+
+
+ORACLE["profile_summary"] = with_ctes(*profile_ctes(), select="""
+SELECT c.user_id, c.likes, c.dislikes, CAST(coalesce(x.matches, 0) AS BIGINT) AS matches
+FROM (SELECT user_id, count(*) FILTER (WHERE state = 'liked') AS likes,
+             count(*) FILTER (WHERE state = 'disliked') AS dislikes FROM vp GROUP BY user_id) c
+LEFT JOIN (SELECT user_id, count(*) AS matches FROM recs GROUP BY user_id) x ON x.user_id = c.user_id""")
+
+ORACLE["similar_items_for_item"] = with_ctes(*pair_cte("p"), select="""
+SELECT CAST(1 AS BIGINT) AS item_id, CASE WHEN i = 1 THEN j ELSE i END AS neighbour_id, c AS n_common,
+       round(sim, 6) AS sim
+FROM p WHERE i = 1 OR j = 1
+ORDER BY round(sim, 6) DESC, CASE WHEN i = 1 THEN j ELSE i END LIMIT 5""")

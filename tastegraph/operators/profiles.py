@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegraph.functions import numeric
+from tastegraph.operators.skew import salted_join
 
 # Fixed values of the profile scorer.
 DISLIKE_WEIGHT = Decimal("1.15")
@@ -51,12 +52,15 @@ def disliked_of(prefs: DataFrame) -> DataFrame:
     return prefs.where(F.col("state") == "disliked").select("user_id", "item_id")
 
 
-def contributions(prefs: DataFrame, nb: DataFrame) -> DataFrame:
+def contributions(prefs: DataFrame, nb: DataFrame, *, heavy_item: int = 1_000_000) -> DataFrame:
     """user_id, item_id (candidate), source_id (liked item), sim: one row per liked
-    item and neighbour, candidates already liked or disliked removed (anti-join)."""
+    item and neighbour, candidates already liked or disliked removed (anti-join).
+    An item liked by very many users is salted (its few neighbour rows are
+    replicated per bucket)."""
     liked = liked_of(prefs).withColumnRenamed("item_id", "source_id")
-    rows = liked.join(nb.select(F.col("item_id").alias("source_id"),
-                                F.col("neighbour_id").alias("item_id"), "sim"), "source_id")
+    rows = salted_join(liked, nb.select(F.col("item_id").alias("source_id"),
+                                        F.col("neighbour_id").alias("item_id"), "sim"),
+                       ["source_id"], salt_cols=["user_id"], threshold=heavy_item)
     return rows.join(prefs.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
 
 

@@ -470,4 +470,27 @@ def q_feedback_stream_recommendations(spark, sf_dir):
     return _recs_out(rescore_ops.current_recommendations(spark, sink))
 
 
+# ---- D12, G1 -----------------------------------------------------------------------
+
+TARGET_ITEM = 1
+
+
+@query("profile_summary")
+def q_profile_summary(spark, sf_dir):
+    """user_id, likes, dislikes, matches (recommendation rows; 0 without likes)."""
+    prefs, nb, cat = profile_inputs(spark, sf_dir)
+    counts = fb_ops.preference_counts(prefs)
+    recs = prof_ops.recommend(prefs, nb, cat).groupBy("user_id").agg(F.count(F.lit(1)).alias("matches"))
+    return counts.join(recs, "user_id", "left").select(
+        "user_id", "likes", "dislikes", F.coalesce(F.col("matches"), F.lit(0)).cast("long").alias("matches"))
+
+
+@query("similar_items_for_item")
+def q_similar_items_for_item(spark, sf_dir):
+    """The five items most similar to one item (either side of the pair), as the
+    first written top-5 report."""
+    s = sim_ops.similar_items(raw_similarity(spark, sf_dir), TARGET_ITEM, k=5)
+    return s.select("item_id", "neighbour_id", "n_common", "sim")
+
+
 FLAGSHIP = "recommendations"

@@ -70,3 +70,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+class persisted:
+    """``with persisted(df) as d:`` keeps ``df`` in memory/disk for the block and
+    releases it afterwards (an explicit cache scope for a reused intermediate)."""
+
+    def __init__(self, df, level=None):
+        from pyspark import StorageLevel
+
+        self.df = df
+        self.level = level or StorageLevel.MEMORY_AND_DISK
+
+    def __enter__(self):
+        return self.df.persist(self.level)
+
+    def __exit__(self, *exc):
+        self.df.unpersist()
+        return False

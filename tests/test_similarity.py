@@ -110,3 +110,30 @@ def test_similar_items_single_target(spark):
     every = S.similar_items(sims, k=2).toPandas()
     want = every[every.item_id == 3].sort_values("rank")
     assert list(one.neighbour_id) == list(want.neighbour_id)
+
+
+def test_salted_join_equals_plain_join(spark):
+    from tastegraph.operators.skew import salted_join
+
+    left = spark.createDataFrame([(k % 3, i) for i, k in enumerate(range(60))] + [(7, 100)], "k long, a long")
+    right = spark.createDataFrame([(0, "x"), (0, "y"), (1, "z"), (5, "w")], "k long, b string")
+    plain = sorted(tuple(r) for r in left.join(right, ["k"]).collect())
+    salted = sorted(tuple(r) for r in salted_join(left, right, ["k"], salt_cols=["a"], threshold=4,
+                                                  max_salt=5).select("k", "a", "b").collect())
+    assert plain == salted
+    lj = sorted(tuple(r) for r in salted_join(left, right, ["k"], salt_cols=["a"], threshold=4, how="left")
+                .select("k", "a", "b").collect())
+    assert lj == sorted(tuple(r) for r in left.join(right, ["k"], "left").collect())
+
+
+def test_cf_prediction_salted_equals_plain(spark):
+    from tastegraph.operators import predict as P
+    from tastegraph.operators import split as SP
+
+    s = SP.hash_split(fx.ratings(spark, SF_SMALL))
+    train, test = s.where("split = 'train'"), s.where("split = 'test'")
+    sims = S.pair_similarity(train)
+    a = P.predict_item_cf(test, sims, train).toPandas().sort_values(["user_id", "item_id"]).reset_index(drop=True)
+    b = P.predict_item_cf(test, sims, train, heavy_targets=3).toPandas().sort_values(
+        ["user_id", "item_id"]).reset_index(drop=True)
+    assert a.equals(b)

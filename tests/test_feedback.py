@@ -92,3 +92,28 @@ def test_stream_restart_and_replay(spark, scratch):
     cur = FS.run_feedback_stream(spark, src, glob="events-*.parquet", sink=sink, checkpoint=ck)
     batch = FB.fold_feedback(fx.feedback(spark, SF_SMALL))
     assert as_dict(cur) == as_dict(batch)
+
+
+def test_fold_random_sequences(spark):
+    """Random event sequences over few users and items (many repeats, toggles,
+    clears): the aggregate fold equals the replay."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    actions = st.sampled_from(["like", "like", "seed", "dislike", "remove", "clear"])
+    seqs = st.lists(st.tuples(st.integers(1, 3), st.integers(1, 4), actions), min_size=1, max_size=60)
+
+    collected = []
+
+    @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(seqs)
+    def gen(seq):
+        collected.append(seq)
+
+    gen()
+    rows = []
+    for case, seq in enumerate(collected):
+        for k, (u, i, a) in enumerate(seq):
+            rows.append((k + 1, case * 10 + u, i, a))
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, item_id long, action string")
+    assert as_dict(FB.fold_feedback(ev)) == brute_force(ev.toPandas())

@@ -12,9 +12,9 @@ that share a genre with the profile (and are not scored, liked or disliked) are
 added with cf = 0. The top 24 by final are kept; pct = clamp(round(60 + 39 final /
 best), 58, 99), 58 when best <= 0. Users without likes get no rows.
 
-Sums of similarities are exact decimals (the neighbour similarity is already
-rounded to 6 places), so results do not depend on the order rows meet in a
-shuffle. Candidate generation is bounded: each preference row meets at most k
+Sums of similarities are exact integers (the neighbour similarity is already
+rounded to 6 places; see ``UNIT``), so results do not depend on the order rows
+meet in a shuffle. Candidate generation is bounded: each preference row meets at most k
 neighbour rows; the backfill never enumerates users x catalogue (see
 ``_backfill``).
 """
@@ -37,11 +37,20 @@ MAX_RECS = 24
 MIN_RECS = 12
 PCT_FLOOR, PCT_CEIL, PCT_BASE, PCT_SPAN = 58, 99, 60, 39
 
-DEC = "decimal(24,8)"
+# Scores are exact integers in units of 1e-8 (similarities and the 6-place genre
+# and popularity terms times the fixed weights fit exactly): long sums are exact,
+# independent of shuffle order, and far cheaper than wide-decimal sums.
+UNIT = 100_000_000
 
 
-def _dec(x: Decimal) -> Column:
-    return F.lit(x)
+def _u6(x: Column) -> Column:
+    """A value rounded once to 6 places, as an exact long in micro-units."""
+    return F.round(F.round(x, 6) * 1_000_000).cast("long")
+
+
+def _w(x: Decimal) -> int:
+    """A fixed weight in hundredths (1.15 -> 115)."""
+    return int(x * 100)
 
 
 def liked_of(prefs: DataFrame) -> DataFrame:
@@ -66,25 +75,31 @@ def contributions(prefs: DataFrame, nb: DataFrame, *, heavy_item: int = 1_000_00
 
 def candidate_scores(prefs: DataFrame, nb: DataFrame, *,
                      dislike_weight: Decimal = DISLIKE_WEIGHT) -> DataFrame:
-    """user_id, item_id, cf (exact decimal), n_liked, n_disliked.
+    """user_id, item_id, cf_u (exact, in 1e-8 units), n_liked, n_disliked.
 
     Liked and disliked contributions are one union and one aggregate by
     (user, candidate) (partial on the map side); a candidate must have a liked
-    contribution, so a dislike never creates one."""
-    liked = contributions(prefs, nb).select(
-        "user_id", "item_id", F.col("sim").cast("decimal(18,6)").cast(DEC).alias("w"),
-        F.lit(1).alias("is_like"))
+    contribution, so a dislike never creates one, and must not be liked or
+    disliked itself."""
+    liked = liked_of(prefs).withColumnRenamed("item_id", "source_id")
+    liked = salted_join(liked, nb.select(F.col("item_id").alias("source_id"),
+                                         F.col("neighbour_id").alias("item_id"), "sim"),
+                        ["source_id"], salt_cols=["user_id"], threshold=1_000_000)
+    liked = liked.select("user_id", "item_id", (_u6(F.col("sim")) * 100).alias("w"),
+                         F.lit(1).alias("is_like"))
     dis = disliked_of(prefs).withColumnRenamed("item_id", "source_id").join(
         nb.select(F.col("item_id").alias("source_id"), F.col("neighbour_id").alias("item_id"), "sim"),
         "source_id")
-    dis = dis.select("user_id", "item_id",
-                     (-(F.col("sim").cast("decimal(18,6)") * _dec(dislike_weight))).cast(DEC).alias("w"),
+    dis = dis.select("user_id", "item_id", (-_u6(F.col("sim")) * _w(dislike_weight)).alias("w"),
                      F.lit(0).alias("is_like"))
     agg = liked.unionByName(dis).groupBy("user_id", "item_id").agg(
-        F.sum("w").alias("cf"),
+        F.sum("w").alias("cf_u"),
         F.sum("is_like").alias("n_liked"),
         F.count_if(F.col("is_like") == 0).alias("n_disliked"))
-    return agg.where(F.col("n_liked") > 0)
+    # candidates the user already liked or disliked are dropped after the
+    # aggregate: one anti-join row per (user, candidate), not per contribution
+    agg = agg.where(F.col("n_liked") > 0)
+    return agg.join(prefs.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
 
 
 def genre_counts(prefs: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -112,15 +127,15 @@ def taste_top(prefs: DataFrame, catalog: DataFrame, dictionary: DataFrame, *, k:
 
 
 def _popularity(catalog: DataFrame) -> DataFrame:
-    """item_id, pop6: log10(n + 1) / log10(n_max + 1) rounded to 6 places."""
+    """item_id, pop6: log10(n + 1) / log10(n_max + 1) rounded to 6 places (micro-units)."""
     n_max = catalog.select(F.max("n")).scalar()
     pop = F.log10(F.col("n") + 1) / F.log10(n_max + 1)
-    return catalog.select("item_id", F.round(pop, 6).cast("decimal(18,6)").alias("pop6"))
+    return catalog.select("item_id", _u6(pop).alias("pop6"))
 
 
 def _genre_score(rows: DataFrame, counts: DataFrame, catalog: DataFrame) -> DataFrame:
     """rows (user_id, item_id, ...) + g6: sum of the user's genre affinity over the
-    item's genres, as (sum of counts) / total, rounded once to 6 places."""
+    item's genres, as (sum of counts) / total, rounded once to 6 places (micro-units)."""
     totals = counts.select("user_id", "total").distinct()
     ig = rows.select("user_id", "item_id").join(
         catalog.select("item_id", F.explode("genres").alias("genre")), "item_id")
@@ -128,11 +143,12 @@ def _genre_score(rows: DataFrame, counts: DataFrame, catalog: DataFrame) -> Data
           .groupBy("user_id", "item_id").agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("gsum")))
     out = rows.join(gs, ["user_id", "item_id"], "left").join(totals, "user_id", "left")
     g = F.coalesce(F.col("gsum"), F.lit(0)) / F.coalesce(F.col("total"), F.lit(1))
-    return out.withColumn("g6", F.round(g, 6).cast("decimal(18,6)")).drop("gsum", "total")
+    return out.withColumn("g6", _u6(g)).drop("gsum", "total")
 
 
-def _final(cf: Column) -> Column:
-    return (cf + _dec(GENRE_WEIGHT) * F.col("g6") + _dec(POP_WEIGHT) * F.col("pop6")).cast("decimal(30,8)")
+def _final(cf_u: Column) -> Column:
+    """final in 1e-8 units: cf + 0.35 g + 0.05 pop, exactly."""
+    return cf_u + F.col("g6") * _w(GENRE_WEIGHT) + F.col("pop6") * _w(POP_WEIGHT)
 
 
 def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, catalog: DataFrame,
@@ -166,11 +182,11 @@ def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, catalog:
                        F.explode(F.sequence(F.lit(1), F.col("lim"))).alias("sig_rank"))
     cand = ranks.join(sig_items, ["sig", "sig_rank"])
     cand = cand.join(ex, ["user_id", "item_id"], "left_anti")
-    cand = cand.withColumn("g6", F.round(F.col("gsum") / F.col("total"), 6).cast("decimal(18,6)"))
-    cand = cand.withColumn("cf", F.lit(0).cast(DEC)).withColumn("final", _final(F.col("cf")))
+    cand = cand.withColumn("g6", _u6(F.col("gsum") / F.col("total")))
+    cand = cand.withColumn("cf_u", F.lit(0).cast("long")).withColumn("final", _final(F.col("cf_u")))
     wu = Window.partitionBy("user_id").orderBy(F.col("final").desc(), F.col("item_id").asc())
     return (cand.withColumn("r", F.row_number().over(wu)).where(F.col("r") <= F.col("want"))
-            .select("user_id", "item_id", "cf", "g6", "pop6", "final", F.lit(1).alias("genre_only")))
+            .select("user_id", "item_id", "cf_u", "g6", "pop6", "final", F.lit(1).alias("genre_only")))
 
 
 def recommend(prefs: DataFrame, nb: DataFrame, catalog: DataFrame, *, max_recs: int = MAX_RECS,
@@ -179,8 +195,8 @@ def recommend(prefs: DataFrame, nb: DataFrame, catalog: DataFrame, *, max_recs:
     scores = candidate_scores(prefs, nb)
     counts = genre_counts(prefs, catalog)
     pop = _popularity(catalog)
-    cf_rows = _genre_score(scores.select("user_id", "item_id", "cf"), counts, catalog).join(pop, "item_id")
-    cf_rows = cf_rows.select("user_id", "item_id", "cf", "g6", "pop6", _final(F.col("cf")).alias("final"),
+    cf_rows = _genre_score(scores.select("user_id", "item_id", "cf_u"), counts, catalog).join(pop, "item_id")
+    cf_rows = cf_rows.select("user_id", "item_id", "cf_u", "g6", "pop6", _final(F.col("cf_u")).alias("final"),
                              F.lit(0).alias("genre_only"))
     rows = cf_rows
     if backfill:
@@ -193,15 +209,17 @@ def recommend(prefs: DataFrame, nb: DataFrame, catalog: DataFrame, *, max_recs:
         rows = rows.unionByName(_backfill(need, counts, excluded, catalog, pop))
     w = Window.partitionBy("user_id").orderBy(F.col("final").desc(), F.col("item_id").asc())
     top = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_recs)
-    best = F.max("final").over(Window.partitionBy("user_id")).cast("double")
-    ratio = F.col("final").cast("double") / best
+    best = F.max("final").over(Window.partitionBy("user_id")).cast("double") / UNIT
+    ratio = (F.col("final").cast("double") / UNIT) / best
     raw_pct = numeric.half_up_integer(F.lit(float(PCT_BASE)) + F.lit(float(PCT_SPAN)) * ratio)
     pct = F.when(best > 0, numeric.clamp(raw_pct, PCT_FLOOR, PCT_CEIL)).otherwise(F.lit(PCT_FLOOR))
+    # exact integers -> the nearest double (|value| < 2^53, so one correctly
+    # rounded division)
     return top.select("user_id", "rank", "item_id",
-                      F.col("cf").cast("double").alias("cf"),
-                      F.col("g6").cast("double").alias("genre_score"),
-                      F.col("pop6").cast("double").alias("pop"),
-                      F.col("final").cast("double").alias("final"),
+                      (F.col("cf_u").cast("double") / UNIT).alias("cf"),
+                      (F.col("g6").cast("double") / 1_000_000).alias("genre_score"),
+                      (F.col("pop6").cast("double") / 1_000_000).alias("pop"),
+                      (F.col("final").cast("double") / UNIT).alias("final"),
                       pct.cast("long").alias("pct"), "genre_only")
 
 

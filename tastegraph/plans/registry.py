@@ -257,7 +257,7 @@ def _recs_out(recs: DataFrame) -> DataFrame:
 def q_candidate_scores(spark, sf_dir):
     prefs, nb, _ = profile_inputs(spark, sf_dir)
     s = prof_ops.candidate_scores(prefs, nb)
-    return s.select("user_id", "item_id", F.col("cf").cast("double").alias("cf"),
+    return s.select("user_id", "item_id", (F.col("cf_u").cast("double") / prof_ops.UNIT).alias("cf"),
                     F.col("n_liked").cast("long").alias("n_liked"),
                     F.col("n_disliked").cast("long").alias("n_disliked"))
 

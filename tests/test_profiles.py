@@ -30,11 +30,11 @@ def test_dislike_never_creates_a_candidate(spark):
     cat = catalog(spark, CAT)
     nb = nb_df(spark, [(1, 2, 0.5), (1, 3, 0.25), (4, 5, 0.4), (4, 2, 0.2)])
     prefs = prefs_df(spark, [(7, 1, "liked"), (7, 4, "disliked")])
-    s = {r.item_id: (r.cf, r.n_liked, r.n_disliked) for r in P.candidate_scores(prefs, nb).collect()}
+    s = {r.item_id: (r.cf_u, r.n_liked, r.n_disliked) for r in P.candidate_scores(prefs, nb).collect()}
     # 5 is only reachable from the disliked item: no row; 2 gets 0.5 - 1.15 * 0.2
     assert set(s) == {2, 3}
-    assert s[2][0] == Decimal("0.5") - Decimal("1.15") * Decimal("0.2")
-    assert s[3][:2] == (Decimal("0.25"), 1)
+    assert s[2][0] == 50_000_000 - 115 * 200_000  # 0.5 - 1.15 * 0.2 in 1e-8 units
+    assert s[3][:2] == (25_000_000, 1)
 
 
 def test_recommend_backfill_pct_and_exclusions(spark):

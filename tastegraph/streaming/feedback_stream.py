@@ -89,8 +89,13 @@ def fold_user(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
                             "last_event": [last]})
 
 
+# Files per micro-batch: bounds each batch (and so each user's group in one call)
+# even when a large backlog is waiting; Trigger.AvailableNow honours it.
+MAX_FILES_PER_TRIGGER = 64
+
+
 def start_feedback_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, *,
-                          glob: str = "events.parquet", max_files: int | None = None,
+                          glob: str = "events.parquet", max_files: int | None = MAX_FILES_PER_TRIGGER,
                           on_batch: Callable[[DataFrame, int], None] | None = None,
                           available_now: bool = True):
     reader = (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob))
@@ -120,7 +125,7 @@ def current_preferences(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def run_feedback_stream(spark: SparkSession, source_dir: str, *, glob: str = "events.parquet",
-                        max_files: int | None = None, sink: str | None = None,
+                        max_files: int | None = MAX_FILES_PER_TRIGGER, sink: str | None = None,
                         checkpoint: str | None = None, on_batch=None) -> DataFrame:
     """Process everything available (Trigger.AvailableNow) and return the current
     preferences. Sink and stream checkpoint default to fresh folders under the

@@ -25,9 +25,3 @@ def half_up_integer(x: Column) -> Column:
 def half_even(x: Column, digits: int) -> Column:
     """Round half to even at ``digits`` decimals (Python's round on display values)."""
     return F.bround(x, digits)
-
-
-def to_decimal6(x: Column) -> Column:
-    """Round a double once to 6 decimals and keep it exact from then on, so sums do
-    not depend on the order rows meet in a shuffle."""
-    return F.round(x, 6).cast("decimal(18,6)")

@@ -22,10 +22,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _l(x: Column) -> Column:
-    return x.cast("long")
-
-
 def _exact_terms(n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy):
     """Integer numerator and squared norms, all scale factors cancelled. Each
     product is overflow-checked (``try_*`` gives null), so the caller can fall back

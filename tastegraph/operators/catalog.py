@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegraph.functions import hashing, numeric, text
+from tastegraph.functions.numbering import number_rows
 
 
 def clean_items(items: DataFrame, *, drop_sentinel: bool = True) -> DataFrame:
@@ -27,12 +28,10 @@ def item_genres(clean: DataFrame) -> DataFrame:
 
 
 def genre_dictionary(clean: DataFrame) -> DataFrame:
-    """genre, genre_id: the distinct genre names in name order, numbered from 0.
-
-    The distinct set is a vocabulary (tens of names), so the final numbering runs
-    over that small set only; the explode and distinct are distributed."""
+    """genre, genre_id: the distinct genre names in name order, numbered from 0
+    (distributed sort and numbering; no single-partition window)."""
     names = item_genres(clean).select("genre").distinct()
-    return names.select("genre", (F.row_number().over(Window.orderBy("genre")) - 1).alias("genre_id"))
+    return number_rows(names, [F.col("genre").asc()], "genre_id")
 
 
 def build_catalog(items: DataFrame, stats: DataFrame, links: DataFrame | None = None, *,
@@ -88,6 +87,7 @@ def catalog_page(catalog: DataFrame, q: str = "", genre: str | None = None, *,
     found = search_catalog(catalog, q, genre)
     total = found.select(F.count(F.lit(1))).scalar()
     page = found.orderBy(F.col("n").desc(), F.col("item_id").asc()).offset(offset).limit(size)
+    # the window runs over the page only (at most ``size`` rows, after the limit)
     pos = F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("item_id").asc())) - 1 + offset
     return page.select("*", pos.alias("position"), total.alias("total"))
 
@@ -102,6 +102,7 @@ def seed_profiles(catalog: DataFrame, users: DataFrame, *, pool: int = 260, k: i
     meets it through an equi-join on pool position, a fan-out bounded by ``pool``,
     and the per-user cut keeps k rows before any shuffle."""
     top = catalog.orderBy(F.col("n").desc(), F.col("item_id").asc()).limit(pool)
+    # numbering over the pool only (at most ``pool`` rows, after the limit)
     slots = top.select("item_id", (F.row_number().over(
         Window.orderBy(F.col("n").desc(), F.col("item_id").asc())) - 1).alias("slot"))
     size = top.select(F.count(F.lit(1))).scalar()

@@ -70,3 +70,12 @@ def test_seed_profiles_distinct_and_stable(spark):
     b = C.seed_profiles(cat, users.repartition(3), pool=2, k=4).toPandas()
     key = ["user_id", "pick", "item_id"]
     assert a.sort_values(key).reset_index(drop=True).equals(b.sort_values(key).reset_index(drop=True))
+
+
+def test_number_rows_distributed(spark):
+    from tastegraph.functions.numbering import number_rows
+
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("v"))
+    got = number_rows(df, [F.col("v").desc()], "k").toPandas().sort_values("k")
+    assert list(got.k) == list(range(5000))
+    assert list(got.v) == sorted(range(5000), reverse=True)

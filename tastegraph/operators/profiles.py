@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegraph.functions import numeric
+from tastegraph.functions.numbering import number_rows
 from tastegraph.operators.skew import salted_join
 
 # Fixed values of the profile scorer.
@@ -164,8 +165,12 @@ def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, catalog:
     instead of users x catalogue."""
     items = catalog.where(F.size("genres") > 0).join(pop, "item_id").select(
         "item_id", "pop6", F.concat_ws("\u0001", F.array_sort("genres")).alias("sig"))
-    w = Window.partitionBy("sig").orderBy(F.col("pop6").desc(), F.col("item_id").asc())
-    sig_items = items.withColumn("sig_rank", F.row_number().over(w))
+    # rank within a signature from one distributed sort of the catalogue: a
+    # signature holding most items never sits whole in one window task
+    numbered = number_rows(items, [F.col("sig").asc(), F.col("pop6").desc(), F.col("item_id").asc()], "_g")
+    first = numbered.groupBy("sig").agg(F.min("_g").alias("_g0"))
+    sig_items = (numbered.join(first, "sig")
+                 .withColumn("sig_rank", (F.col("_g") - F.col("_g0") + 1).cast("int")).drop("_g", "_g0"))
     sig_genres = (items.select("sig").distinct()
                   .select("sig", F.explode(F.split("sig", "\u0001")).alias("genre"))
                   .groupBy("sig", "genre").agg(F.count(F.lit(1)).alias("mult")))

@@ -34,7 +34,12 @@ def _max_where(cond: Column, value: Column | None = None) -> Column:
 
 
 def _after_last_clear(events: DataFrame) -> DataFrame:
-    ev = events.select("event_id", "user_id", "item_id", "action")
+    # an event without a user, an unknown action, or a per-item action without an
+    # item cannot change any state; a clear needs no item
+    ev = (events.select("event_id", "user_id", "item_id", "action")
+          .where(F.col("user_id").isNotNull() & F.col("event_id").isNotNull()
+                 & F.col("action").isin("like", "seed", "dislike", "remove", "clear")
+                 & (F.col("item_id").isNotNull() | (F.col("action") == "clear"))))
     clears = (ev.where(F.col("action") == "clear").groupBy("user_id")
               .agg(F.max("event_id").alias("clear_id")))
     kept = ev.where(F.col("action") != "clear").join(clears, "user_id", "left")

@@ -101,7 +101,9 @@ def start_feedback_stream(spark: SparkSession, source_dir: str, sink: str, check
     reader = (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    events = feedback_from_events(reader.parquet(source_dir)).select("event_id", "user_id", "item_id", "action")
+    events = (feedback_from_events(reader.parquet(source_dir))
+              .select("event_id", "user_id", "item_id", "action")
+              .where(F.col("user_id").isNotNull() & F.col("event_id").isNotNull()))
     folded = events.groupBy("user_id").applyInPandasWithState(
         fold_user, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 

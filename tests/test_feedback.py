@@ -117,3 +117,10 @@ def test_fold_random_sequences(spark):
             rows.append((k + 1, case * 10 + u, i, a))
     ev = spark.createDataFrame(rows, "event_id long, user_id long, item_id long, action string")
     assert as_dict(FB.fold_feedback(ev)) == brute_force(ev.toPandas())
+
+
+def test_dirty_events_change_nothing(spark, scratch):
+    rows = [(1, 1, 10, "like"), (2, 1, None, "like"), (3, 1, 11, "bogus"), (4, 1, None, "clear"),
+            (5, 1, 12, "seed"), (6, None, 12, "like")]
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, item_id long, action string")
+    assert as_dict(FB.fold_feedback(ev)) == {(1, 12): ("liked", 5)}

@@ -37,9 +37,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session,
+    whose server owns the checkpoint folder."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect has no driver-side context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     return spark.conf.get("spark.checkpoint.dir", None) or None
@@ -49,18 +59,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a scratch one only when
     the session has none and runs in local mode (tests, bench). A cluster must
     name a shared folder in ``spark.checkpoint.dir``."""
+    sc = _context(spark)
     current = checkpoint_dir(spark)
+    if sc is None:
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir is unset; name a shared folder for checkpoints")
+        return current
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return spark.sparkContext.getCheckpointDir() or current
-    master = spark.sparkContext.master
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return sc.getCheckpointDir() or current
+    master = sc.master
     if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is unset; name a shared folder for checkpoints")
     scratch = tempfile.mkdtemp(prefix="tastegraph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return spark.sparkContext.getCheckpointDir() or scratch
+    sc.setCheckpointDir(scratch)
+    try:
+        spark.conf.set("spark.checkpoint.dir", scratch)
+    except Exception:  # a static conf in some deployments; the context already has it
+        pass
+    return sc.getCheckpointDir() or scratch
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

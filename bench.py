@@ -25,6 +25,9 @@ HEADLINE = [
     "blend_weight_search",
     "ranking_map",
     "feedback_stream",
+    "similar_items_for_item",
+    "als_predictions",
+    "forest_predictions",
 ]
 
 

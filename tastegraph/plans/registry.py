@@ -489,7 +489,8 @@ def q_profile_summary(spark, sf_dir):
 def q_similar_items_for_item(spark, sf_dir):
     """The five items most similar to one item (either side of the pair), as the
     first written top-5 report."""
-    s = sim_ops.similar_items(raw_similarity(spark, sf_dir), TARGET_ITEM, k=5)
+    sims = sim_ops.similarity_to(fx.ratings(spark, sf_dir), [TARGET_ITEM])
+    s = sim_ops.similar_items(sims, TARGET_ITEM, k=5)
     return s.select("item_id", "neighbour_id", "n_common", "sim")
 
 

@@ -137,3 +137,16 @@ def test_cf_prediction_salted_equals_plain(spark):
     b = P.predict_item_cf(test, sims, train, heavy_targets=3).toPandas().sort_values(
         ["user_id", "item_id"]).reset_index(drop=True)
     assert a.equals(b)
+
+
+def test_similarity_to_equals_full_table(spark, small_pairs):
+    r, p = small_pairs
+    for items in ([1], [3, 7, 150]):
+        part = S.similarity_to(r, items).toPandas().sort_values(["item_i", "item_j"]).reset_index(drop=True)
+        want = p[p.item_i.isin(items) | p.item_j.isin(items)].sort_values(["item_i", "item_j"]).reset_index(drop=True)
+        assert part[["item_i", "item_j", "n_common"]].equals(want[["item_i", "item_j", "n_common"]])
+        assert (part.sim - want.sim).abs().max() == 0.0
+    gated = S.similarity_to(r, [5], min_item=8, min_common=8, shrink=25, clip=True).toPandas()
+    full = S.pair_similarity(r, min_item=8, min_common=8, shrink=25, clip=True).toPandas()
+    full = full[(full.item_i == 5) | (full.item_j == 5)]
+    assert len(gated) == len(full)

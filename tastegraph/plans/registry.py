@@ -297,7 +297,7 @@ def q_recommendations_backfill(spark, sf_dir):
 @query("recommendation_reasons")
 def q_recommendation_reasons(spark, sf_dir):
     prefs, nb, cat = profile_inputs(spark, sf_dir, k=BACKFILL_K)
-    recs = prof_ops.recommend(prefs, nb, cat)
+    recs = materialize(prof_ops.recommend(prefs, nb, cat))  # read three times by reasons
     return prof_ops.reasons(recs, prefs, nb, cat)
 
 

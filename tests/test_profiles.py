@@ -15,7 +15,7 @@ def catalog(spark, rows):
 
 def nb_df(spark, rows):
     return spark.createDataFrame([(a, k, b, s) for k, (a, b, s) in enumerate(rows, 1)],
-                                 "item_id long, rank int, neighbour_id long, sim double")
+                                 "item_id long, rank int, neighbour_id long, sim double")  # may be empty
 
 
 def prefs_df(spark, rows):
@@ -80,3 +80,40 @@ def test_reasons_templates(spark):
     assert rs[3] == "Loved by fans of Two & One"
     assert rs[4] == "Because you liked One"
     assert rs[5] == "A A pick in your wheelhouse"
+
+
+@pytest.mark.parametrize("have", [0, 1, 5, 11, 12, 14])
+def test_backfill_tops_up_to_twelve(spark, have):
+    # items 1..60 share genre A; the user likes item 100 (genre A) whose neighbour list
+    # reaches `have` items; backfill adds 12 - have of the remaining A items
+    cat = catalog(spark, [(i, f"T{i}", ["A"], 200 - i) for i in range(1, 61)] + [(100, "Liked", ["A"], 1)])
+    nb = nb_df(spark, [(100, i, 0.5 - i / 1000) for i in range(1, have + 1)])
+    prefs = prefs_df(spark, [(7, 100, "liked")])
+    recs = P.recommend(prefs, nb, cat).toPandas()
+    assert (recs.genre_only == 0).sum() == have
+    assert len(recs) == max(12, have)
+    assert (recs.genre_only == 1).sum() == max(0, 12 - have)
+    assert 100 not in set(recs.item_id)
+    # the backfill takes the most popular remaining items of the genre
+    assert sorted(recs[recs.genre_only == 1].item_id) == list(range(have + 1, have + 1 + max(0, 12 - have)))
+
+
+def test_recommendation_invariants_on_fixture(spark):
+    from tastegraph.plans.registry import QUERIES, prefs_of
+
+    d = "/root/testdata/sf0.01"
+    recs = QUERIES["recommendations_backfill"](spark, d).toPandas()
+    prefs = prefs_of(spark, d).toPandas()
+    seen = set(zip(prefs.user_id, prefs.item_id))
+    assert not any((u, i) in seen for u, i in zip(recs.user_id, recs.item_id))
+    assert recs.pct.between(58, 99).all()
+    g = recs.groupby("user_id")
+    assert (g.size() <= 24).all()
+    assert all(list(x["rank"].sort_values()) == list(range(1, len(x) + 1)) for _, x in g)
+    top = recs[recs["rank"] == 1]
+    assert (top[top.final > 0].pct == 99).all()
+    # ranks follow final desc, item id asc
+    for _, x in g:
+        x = x.sort_values("rank")
+        keys = list(zip(-x.final, x.item_id))
+        assert keys == sorted(keys)

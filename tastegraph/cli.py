@@ -55,9 +55,9 @@ def main(argv=None) -> int:
         ratings = files.read_ratings(spark, a.ratings, a.format)
         items = files.read_items(spark, a.items, a.format)
         if a.cmd == "precompute":
-            from tastegraph.plans import precompute
+            from tastegraph.plans import artefact
 
-            precompute.run(ratings, items, files.read_links(spark, a.links, a.format), out=a.out)
+            artefact.run(ratings, items, files.read_links(spark, a.links, a.format), out=a.out)
         else:
             from tastegraph.plans import batch
             from tastegraph.sources import sinks

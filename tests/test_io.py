@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from tastegraph.operators import evaluate as E
-from tastegraph.plans import precompute
+from tastegraph.plans import artefact
 from tastegraph.sources import files, fixtures as fx, sinks
 
 from .conftest import SF_SMALL
@@ -39,7 +39,7 @@ def test_metrics_csv_sink(spark, scratch):
 
 def test_precompute_artefact(spark, scratch):
     out = os.path.join(scratch, "artefact")
-    res = precompute.run(fx.ratings(spark, SF_SMALL), fx.items(spark, SF_SMALL), fx.links(spark, SF_SMALL), out=out)
+    res = artefact.run(fx.ratings(spark, SF_SMALL), fx.items(spark, SF_SMALL), fx.links(spark, SF_SMALL), out=out)
     meta = spark.read.parquet(f"{out}/meta").first()
     assert meta.movies == 200 and meta.min_common == 8
     js = spark.read.json(f"{out}/neighbours_json")

@@ -3,8 +3,9 @@
 Events arrive as files (parquet, fixed schema). State is kept per user with
 ``applyInPandasWithState``: the last applied event id and the user's current item
 states. Within a micro-batch a user's new events are applied in event-id order;
-an event at or below the last applied id is a replay and is ignored, so a batch
-re-run after a failure changes nothing. ``clear`` touches every item of the user,
+an event at or below the last applied id is a replay or arrived late; it is
+ignored and counted (``late_events``), so a batch re-run after a failure changes
+nothing. ``clear`` touches every item of the user,
 which is why the state key is the user and not (user, item). A user's group in one
 call holds that user's events of one micro-batch (bounded by ``max_files``) plus
 their current items (bounded by the catalogue).
@@ -29,9 +30,9 @@ from tastegraph.session import scratch_path
 from tastegraph.sources.fixtures import feedback_from_events
 
 EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
-OUT_SCHEMA = "user_id long, item_id long, state string, since_event long, last_event long"
+OUT_SCHEMA = "user_id long, item_id long, state string, since_event long, last_event long, late_events long"
 STATE_SCHEMA = ("last_event long, items array<long>, liked array<int>, disliked array<int>, "
-                "since array<long>")
+                "since array<long>, late long")
 
 
 def _apply(cur: dict, event_id: int, item: int, action: str) -> dict:
@@ -59,13 +60,15 @@ def _apply(cur: dict, event_id: int, item: int, action: str) -> dict:
 def fold_user(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     user_id = int(key[0])
     if state.exists:
-        last, items, liked, disliked, since = state.get
+        last, items, liked, disliked, since, late = state.get
         cur = {int(i): [int(a), int(b), None if s is None or pd.isna(s) else int(s)]
                for i, a, b, s in zip(items, liked, disliked, since)}
     else:
-        last, cur = -1, {}
+        last, cur, late = -1, {}, 0
     ev = pd.concat(list(pdfs), ignore_index=True).sort_values("event_id", kind="stable")
-    ev = ev[ev["event_id"] > last]
+    stale = ev["event_id"] <= last  # replayed or late: at or before the last applied event
+    late = int(late) + int(stale.sum())
+    ev = ev[~stale]
     for eid, item, action in zip(ev["event_id"], ev["item_id"], ev["action"]):
         if action is None:
             continue
@@ -74,7 +77,7 @@ def fold_user(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
     cur = {i: e for i, e in cur.items() if i is not None and (e[0] or e[1])}
     keys = sorted(cur)
     state.update((last, keys, [cur[i][0] for i in keys], [cur[i][1] for i in keys],
-                  [cur[i][2] for i in keys]))
+                  [cur[i][2] for i in keys], late))
     if keys:
         yield pd.DataFrame({
             "user_id": [user_id] * len(keys),
@@ -82,11 +85,12 @@ def fold_user(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
             "state": ["liked" if cur[i][0] else "disliked" for i in keys],
             "since_event": pd.array([cur[i][2] if cur[i][0] else None for i in keys], dtype="Int64"),
             "last_event": [last] * len(keys),
+            "late_events": [late] * len(keys),
         })
     else:
         yield pd.DataFrame({"user_id": [user_id], "item_id": pd.array([None], dtype="Int64"),
                             "state": [None], "since_event": pd.array([None], dtype="Int64"),
-                            "last_event": [last]})
+                            "last_event": [last], "late_events": [late]})
 
 
 # Files per micro-batch: bounds each batch (and so each user's group in one call)
@@ -126,6 +130,25 @@ def current_preferences(spark: SparkSession, sink: str) -> DataFrame:
     return cur.select("user_id", "item_id", "state", "since_event")
 
 
+def stream_stats(spark: SparkSession, sink: str) -> DataFrame:
+    """user_id, last_event, late_events (events dropped as at or before the user's
+    last applied event, replays included) from each user's newest snapshot."""
+    snap = spark.read.parquet(sink)
+    newest = snap.groupBy("user_id").agg(F.max("batch").alias("batch"))
+    return (snap.join(newest, ["user_id", "batch"])
+            .groupBy("user_id").agg(F.max("last_event").alias("last_event"),
+                                    F.max("late_events").alias("late_events")))
+
+
+def compact(spark: SparkSession, sink: str, out: str) -> DataFrame:
+    """Write each user's newest snapshot as one table (the per-batch snapshot
+    folders can then be retired) and return it."""
+    snap = spark.read.parquet(sink)
+    newest = snap.groupBy("user_id").agg(F.max("batch").alias("batch"))
+    snap.join(newest, ["user_id", "batch"]).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def run_feedback_stream(spark: SparkSession, source_dir: str, *, glob: str = "events.parquet",
                         max_files: int | None = MAX_FILES_PER_TRIGGER, sink: str | None = None,
                         checkpoint: str | None = None, on_batch=None) -> DataFrame:

@@ -92,6 +92,12 @@ def test_stream_restart_and_replay(spark, scratch):
     cur = FS.run_feedback_stream(spark, src, glob="events-*.parquet", sink=sink, checkpoint=ck)
     batch = FB.fold_feedback(fx.feedback(spark, SF_SMALL))
     assert as_dict(cur) == as_dict(batch)
+    # the 50 replayed events were dropped and counted per user
+    stats = FS.stream_stats(spark, sink).toPandas()
+    replayed = ev.iloc[half - 50:half]
+    assert stats.late_events.sum() == len(replayed)
+    compacted = FS.compact(spark, sink, os.path.join(scratch, "compact"))
+    assert compacted.where("item_id is not null").count() == batch.count()
 
 
 def test_fold_random_sequences(spark):

@@ -71,6 +71,13 @@ def pair_similarity(ratings: DataFrame, *, min_item: int = 0, min_common: int =
                     F.pmod(F.xxhash64("item"), F.col("buckets")).cast("int").alias("salt"))
     right = r.select("u", F.col("item").alias("j"), F.col("x").alias("xb"),
                      F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("salt"))
+    # The join's output is quadratic in a user's degree while its input is linear, so
+    # AQE (which coalesces by input bytes) would merge the salt buckets back into a
+    # few tasks. Both sides are therefore partitioned explicitly by (user, salt) into
+    # the session's shuffle-partition count, which AQE keeps.
+    n_parts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(n_parts, "u", "salt")
+    right = right.repartition(n_parts, "u", "salt")
     co = left.join(right, ["u", "salt"]).where(F.col("i") < F.col("j"))
     pairs = co.groupBy("i", "j").agg(
         F.count(F.lit(1)).alias("c"),

@@ -63,8 +63,12 @@ def write_event_files(spark, n_files, folder):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").toPandas().sort_values("event_id")
     chunks = [ev.iloc[i::n_files] for i in range(n_files)] if n_files == 1 else \
         [ev[(ev.event_id * n_files // (ev.event_id.max() + 1)) == k] for k in range(n_files)]
+    base = 1_700_000_000
     for k, c in enumerate(chunks):
-        c.to_parquet(os.path.join(folder, f"events-{k:03d}.parquet"), index=False)
+        path = os.path.join(folder, f"events-{k:03d}.parquet")
+        c.to_parquet(path, index=False)
+        # files arrive in event order: the file source takes them by modification time
+        os.utime(path, (base + k, base + k))
     return ev
 
 
@@ -84,6 +88,7 @@ def test_stream_restart_and_replay(spark, scratch):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").toPandas().sort_values("event_id")
     half = len(ev) // 2
     ev.iloc[:half].to_parquet(os.path.join(src, "events-000.parquet"), index=False)
+    os.utime(os.path.join(src, "events-000.parquet"), (1_700_000_000, 1_700_000_000))
     sink, ck = os.path.join(scratch, "sink"), os.path.join(scratch, "ck")
     FS.run_feedback_stream(spark, src, glob="events-*.parquet", sink=sink, checkpoint=ck)
     # second half plus a replay of already applied events, after a restart from the checkpoint

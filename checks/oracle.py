@@ -129,7 +129,7 @@ SELECT item_id, rank, neighbour_id, sim FROM (
 
 CLEAN_CTE = r"""cl AS (
   SELECT item_id, title AS raw_title,
-         regexp_replace(trim(regexp_replace(title, '\s*\((\d{4})\)\s*$', '')),
+         regexp_replace(regexp_replace(regexp_replace(title, '\s*\((\d{4})\)\s*$', ''), '^\s+|\s+$', '', 'g'),
                         '^(.*),\s+(The|A|An|La|Le|Les|Il|El|Das|Der|Die)$', '\2 \1') AS title,
          CAST(NULLIF(regexp_extract(title, '\s*\((\d{4})\)\s*$', 1), '') AS INTEGER) AS year,
          list_filter(string_split(genres, '|'), lambda g: g <> '' AND g <> '(no genres listed)') AS genres

@@ -25,7 +25,8 @@ def title_year(raw: Column) -> Column:
 def clean_title(raw: Column) -> Column:
     """Strip the year, trim, move a trailing article to the front: 'ring, The (1961)'
     becomes 'The ring'."""
-    no_year = F.trim(F.regexp_replace(raw, YEAR_PATTERN, ""))
+    # strip surrounding whitespace of any kind (tabs, newlines), not only spaces
+    no_year = F.regexp_replace(F.regexp_replace(raw, YEAR_PATTERN, ""), r"^\s+|\s+$", "")
     return F.regexp_replace(no_year, _ARTICLE_PATTERN, "$2 $1")
 
 

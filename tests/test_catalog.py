@@ -15,6 +15,7 @@ TITLES = [
     ("Ring, The", "The Ring", None),
     ("Theory, Then (2000)", "Theory, Then", 2000),
     ("Year (12) (2001)", "Year (12)", 2001),
+    ("\tTabbed, The (1990)", "The Tabbed", 1990),
 ]
 
 

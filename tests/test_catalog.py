@@ -1,6 +1,5 @@
 """Title cleaning table, genre lists, catalogue gates, search, seeded picks."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from tastegraph.functions import text

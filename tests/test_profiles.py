@@ -1,7 +1,6 @@
 """Hand-worked profile scoring: dislike gate, backfill sizes, pct bounds and guard,
 no liked/disliked item recommended, reasons."""
 
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F

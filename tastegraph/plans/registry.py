@@ -210,7 +210,8 @@ def q_seed_profiles(spark, sf_dir):
 # ---- K1, D12, E9, B12 ------------------------------------------------------------
 
 def prefs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fb_ops.fold_feedback(fx.feedback(spark, sf_dir))
+    # the fold reads its events in three passes: parse and project them once
+    return fb_ops.fold_feedback(materialize(fx.feedback(spark, sf_dir)))
 
 
 @query("feedback_state")

@@ -506,3 +506,6 @@ SELECT CAST(1 AS BIGINT) AS item_id, CASE WHEN i = 1 THEN j ELSE i END AS neighb
        round(sim, 6) AS sim
 FROM p WHERE i = 1 OR j = 1
 ORDER BY round(sim, 6) DESC, CASE WHEN i = 1 THEN j ELSE i END LIMIT 5""")
+
+
+ORACLE["candidate_pairs"] = with_ctes(*SPLIT_CTES, select="SELECT DISTINCT user_id, item_id FROM te")

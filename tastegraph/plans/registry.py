@@ -324,6 +324,14 @@ def q_hash_split(spark, sf_dir):
     return split_ops.hash_split(fx.ratings(spark, sf_dir)).select("user_id", "item_id", "rating", "split")
 
 
+@query("candidate_pairs")
+def q_candidate_pairs(spark, sf_dir):
+    """The pairs item-CF predicts: the distinct held-out (user, item) pairs. This
+    replaces the users x items cross join that was later cut down to them."""
+    _, test = split_of(spark, sf_dir)
+    return test.select("user_id", "item_id").distinct()
+
+
 @query("item_cf_predictions")
 def q_item_cf_predictions(spark, sf_dir):
     train, test = split_of(spark, sf_dir)

@@ -126,12 +126,19 @@ def preference_counts(prefs: DataFrame) -> DataFrame:
 
 
 def picks_newest_first(prefs: DataFrame) -> DataFrame:
-    """user_id, position (1 = newest), item_id, since_event of the liked items."""
-    from pyspark.sql import Window
-
-    liked = prefs.where(F.col("state") == "liked")
-    w = Window.partitionBy("user_id").orderBy(F.col("since_event").desc(), F.col("item_id").asc())
-    return liked.select("user_id", F.row_number().over(w).alias("position"), "item_id", "since_event")
+    """user_id, position (1 = newest), item_id, since_event of the liked items.
+
+    A user's like list has no size bound, so the positions come from one
+    distributed sort of all liked rows (user, newest first) and a per-user
+    offset, not from a per-user window."""
+    from tastegraph.functions.numbering import number_rows
+
+    liked = prefs.where(F.col("state") == "liked").select("user_id", "item_id", "since_event")
+    numbered = number_rows(liked, [F.col("user_id").asc(), F.col("since_event").desc(),
+                                   F.col("item_id").asc()], "_g")
+    first = numbered.groupBy("user_id").agg(F.min("_g").alias("_g0"))
+    return numbered.join(first, "user_id").select(
+        "user_id", (F.col("_g") - F.col("_g0") + 1).cast("int").alias("position"), "item_id", "since_event")
 
 
 def valid_prefs(prefs: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastegraph.session import shuffle_partitions
+
 
 def _exact_terms(n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy):
     """Integer numerator and squared norms, all scale factors cancelled. Each
@@ -75,7 +77,7 @@ def pair_similarity(ratings: DataFrame, *, min_item: int = 0, min_common: int =
     # AQE (which coalesces by input bytes) would merge the salt buckets back into a
     # few tasks. Both sides are therefore partitioned explicitly by (user, salt) into
     # the session's shuffle-partition count, which AQE keeps.
-    n_parts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = shuffle_partitions(ratings.sparkSession)
     left = left.repartition(n_parts, "u", "salt")
     right = right.repartition(n_parts, "u", "salt")
     co = left.join(right, ["u", "salt"]).where(F.col("i") < F.col("j"))

@@ -106,3 +106,12 @@ class persisted:
     def __exit__(self, *exc):
         self.df.unpersist()
         return False
+
+
+def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
+    """The session's shuffle-partition count as an int (a non-numeric setting
+    falls back to the default)."""
+    try:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):
+        return default

@@ -63,6 +63,18 @@ def catalog_genre_ids(catalog: DataFrame, dictionary: DataFrame) -> DataFrame:
     return item_genres(catalog).join(dictionary, "genre")
 
 
+def with_genre_ids(catalog: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """catalog + genre_ids array<int>: the dictionary index of each listed genre,
+    in list order (per item, so the array is as long as the item's genre list)."""
+    ids = (catalog_genre_ids(catalog, dictionary)
+           .groupBy("item_id")
+           .agg(F.array_sort(F.collect_list(F.struct("position", F.col("genre_id").cast("int").alias("g"))))
+                .alias("l"))
+           .select("item_id", F.transform("l", lambda x: x["g"]).alias("genre_ids")))
+    return (catalog.join(ids, "item_id", "left")
+            .withColumn("genre_ids", F.coalesce(F.col("genre_ids"), F.array().cast("array<int>"))))
+
+
 def prune_neighbours(nb: DataFrame, catalog: DataFrame) -> DataFrame:
     """Neighbour rows whose item and neighbour are both in the catalogue (two
     semi-joins); items left without neighbours simply have no rows."""

@@ -32,7 +32,8 @@ def run(ratings: DataFrame, items: DataFrame, links: DataFrame | None = None, *,
     nb = sim_ops.neighbours(sims, k=k, min_sim=MIN_SIM)
     catalog = cat_ops.build_catalog(items, stats, links, min_ratings=MIN_RATINGS_CATALOG).checkpoint(eager=True)
     nb_cat = cat_ops.prune_neighbours(nb, catalog).checkpoint(eager=True)
-    genres = cat_ops.genre_dictionary(cat_ops.clean_items(items))
+    genres = cat_ops.genre_dictionary(cat_ops.clean_items(items)).checkpoint(eager=True)
+    catalog = cat_ops.with_genre_ids(catalog, genres)
     summary = ratings.sparkSession.range(1).select(
         catalog.select(F.count(F.lit(1))).scalar().alias("movies"),
         nb_cat.select(F.count_distinct("item_id")).scalar().alias("with_neighbours"),

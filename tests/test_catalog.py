@@ -79,3 +79,14 @@ def test_number_rows_distributed(spark):
     got = number_rows(df, [F.col("v").desc()], "k").toPandas().sort_values("k")
     assert list(got.k) == list(range(5000))
     assert list(got.v) == sorted(range(5000), reverse=True)
+
+
+def test_genre_ids_in_list_order(spark):
+    items, stats, links = items_stats(spark)
+    cat = C.build_catalog(items, stats, links, min_ratings=3)
+    d = C.genre_dictionary(C.clean_items(items))
+    ids = {g.genre: g.genre_id for g in d.collect()}
+    got = {r.item_id: (r.genres, r.genre_ids) for r in C.with_genre_ids(cat, d).collect()}
+    for item, (genres, gids) in got.items():
+        assert gids == [ids[g] for g in genres]
+    assert got[2][1] == [ids["Y"]]

@@ -37,6 +37,8 @@ def main(argv=None) -> int:
         p.add_argument("--format", default="csv", choices=["csv", "parquet"])
         p.add_argument("--out", required=True)
         p.add_argument("--no-tune", action="store_true")
+        p.add_argument("--as-written", action="store_true",
+                       help="evaluate with the first written choices (see plans/batch.run)")
     r = sub.add_parser("recommend")
     r.add_argument("--events", required=True, help="folder of feedback event files (parquet)")
     r.add_argument("--glob", default="*.parquet")
@@ -62,7 +64,7 @@ def main(argv=None) -> int:
             from tastegraph.plans import batch
             from tastegraph.sources import sinks
 
-            res = batch.run(ratings, items, tune=not a.no_tune)
+            res = batch.run(ratings, items, tune=not a.no_tune, as_written=a.as_written)
             sinks.write_metrics_csv(res.metrics, f"{a.out}/metrics")
             res.grid.write.mode("overwrite").parquet(f"{a.out}/grid")
             res.weight_search.write.mode("overwrite").parquet(f"{a.out}/weights")

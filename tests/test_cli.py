@@ -38,3 +38,18 @@ def test_precompute_then_recommend(spark, scratch):
     a = sorted(tuple(x) for x in live.select(*cols).collect())
     b = sorted(tuple(x) for x in batch.select(*cols).collect())
     assert a == b and len(a) == 336
+
+
+def test_evaluate_writes_metrics(spark, scratch):
+    r = fx.ratings(spark, SF_SMALL).toPandas()
+    r["timestamp"] = 0
+    r.rename(columns={"user_id": "userId", "item_id": "movieId"})[["userId", "movieId", "rating", "timestamp"]] \
+        .to_csv(os.path.join(scratch, "ratings.csv"), index=False)
+    fx.items(spark, SF_SMALL).toPandas().rename(columns={"item_id": "movieId"}) \
+        .to_csv(os.path.join(scratch, "movies.csv"), index=False)
+    for flag, out in (([], "eval"), (["--as-written"], "eval_aw")):
+        dest = os.path.join(scratch, out)
+        assert cli.main(["evaluate", "--ratings", os.path.join(scratch, "ratings.csv"),
+                         "--items", os.path.join(scratch, "movies.csv"), "--out", dest, "--no-tune"] + flag) == 0
+        m = {x.metric: x.value for x in spark.read.option("header", True).csv(f"{dest}/metrics").collect()}
+        assert float(m["ALS RMSE"]) > 0 and "Best Hybrid Model RMSE" in m

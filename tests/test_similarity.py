@@ -150,3 +150,19 @@ def test_similarity_to_equals_full_table(spark, small_pairs):
     full = S.pair_similarity(r, min_item=8, min_common=8, shrink=25, clip=True).toPandas()
     full = full[(full.item_i == 5) | (full.item_j == 5)]
     assert len(gated) == len(full)
+
+
+def test_symmetric_and_nested_order(spark, small_pairs):
+    from tastegraph.sources import sinks
+
+    r, _ = small_pairs
+    sims = S.pair_similarity(r, min_item=8, min_common=8, shrink=25, clip=True)
+    sym = S.symmetrise(sims).toPandas()
+    both = sym.merge(sym, left_on=["item_id", "neighbour_id"], right_on=["neighbour_id", "item_id"])
+    assert len(both) == len(sym) and (both.sim_x == both.sim_y).all()
+    nb = S.neighbours(sims, k=30, min_sim=0.05)
+    flat = nb.toPandas()
+    nested = {x.item_id: x.neighbours for x in sinks.nested_neighbours(nb).collect()}
+    for item, g in flat.groupby("item_id"):
+        want = list(g.sort_values("rank").neighbour_id)
+        assert [e.neighbour_id for e in nested[item]] == want

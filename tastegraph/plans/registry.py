@@ -29,13 +29,9 @@ from tastegraph.streaming import rescore as rescore_ops
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Fixed values of the precompute stage (support gates, shrinkage, cut):
-MIN_RATINGS_CATALOG = 3
-MIN_RATINGS_SIM = 8
-MIN_COMMON = 8
-SHRINK_LAMBDA = 25
-MIN_SIM = 0.05
-TOP_NEIGHBOURS = 30
+# support gates, shrinkage and cut: the fixed values of the artefact stage
+from tastegraph.plans.artefact import (  # noqa: E402
+    MIN_COMMON, MIN_RATINGS_CATALOG, MIN_RATINGS_SIM, MIN_SIM, SHRINK_LAMBDA, TOP_NEIGHBOURS)
 
 
 def query(name: str):

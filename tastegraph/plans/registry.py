@@ -21,6 +21,9 @@ from tastegraph.operators import similarity as sim_ops
 from tastegraph.operators import split as split_ops
 from tastegraph.operators import stats as stat_ops
 from tastegraph.plans import batch as batch_plan
+# support gates, shrinkage and cut: the fixed values of the artefact stage
+from tastegraph.plans.artefact import (MIN_COMMON, MIN_RATINGS_CATALOG, MIN_RATINGS_SIM, MIN_SIM,
+                                       SHRINK_LAMBDA, TOP_NEIGHBOURS)
 from tastegraph.session import ensure_checkpoint_dir
 from tastegraph.sources import fixtures as fx
 from tastegraph.streaming import feedback_stream as stream_ops
@@ -29,9 +32,6 @@ from tastegraph.streaming import rescore as rescore_ops
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# support gates, shrinkage and cut: the fixed values of the artefact stage
-from tastegraph.plans.artefact import (  # noqa: E402
-    MIN_COMMON, MIN_RATINGS_CATALOG, MIN_RATINGS_SIM, MIN_SIM, SHRINK_LAMBDA, TOP_NEIGHBOURS)
 
 
 def query(name: str):

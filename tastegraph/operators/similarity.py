@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastegraph.operators.skew import BUCKETS, heavy_keys
 from tastegraph.session import shuffle_partitions
 
 
@@ -63,12 +64,13 @@ def pair_similarity(ratings: DataFrame, *, min_item: int = 0, min_common: int =
         stats = stats.where(F.col("n") >= min_item)
         r = r.join(stats.select("item"), "item", "left_semi")
 
-    deg = r.groupBy("u").agg(F.count(F.lit(1)).alias("deg"))
-    r = r.join(deg.where(F.col("deg") >= 2), "u")
-    buckets = F.when(F.col("deg") > heavy_degree,
-                     F.least(F.ceil(F.col("deg") / F.lit(heavy_degree)), F.lit(max_salt))
-                     ).otherwise(F.lit(1)).cast("int")
-    r = r.withColumn("buckets", buckets)
+    # Only heavy users need their degree: the table of users above heavy_degree has
+    # at most rows / heavy_degree entries, so joining it costs no full shuffle of the
+    # ratings by user (AQE broadcasts it while it is small). Users with a single
+    # rating need no filter: i < j gives them no pair.
+    heavy = heavy_keys(r, ["u"], threshold=heavy_degree, max_salt=max_salt)
+    r = (r.join(heavy, "u", "left")
+         .withColumn("buckets", F.coalesce(F.col(BUCKETS), F.lit(1)).cast("int")).drop(BUCKETS))
     left = r.select("u", F.col("item").alias("i"), F.col("x").alias("xa"),
                     F.pmod(F.xxhash64("item"), F.col("buckets")).cast("int").alias("salt"))
     right = r.select("u", F.col("item").alias("j"), F.col("x").alias("xb"),

@@ -152,17 +152,11 @@ def _final(cf_u: Column) -> Column:
     return cf_u + F.col("g6") * _w(GENRE_WEIGHT) + F.col("pop6") * _w(POP_WEIGHT)
 
 
-def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, catalog: DataFrame,
-              pop: DataFrame) -> DataFrame:
-    """Genre-only rows for users short of candidates.
-
-    need: user_id, want (= MIN_RECS - have > 0). Items with the same genre list
-    (a signature) have the same genre score for a user, so within a signature
-    the best items are those with the highest popularity. For each (user,
-    signature sharing a genre with the profile) only the first want + (excluded
-    items of that signature) items in signature order can qualify; those ranks are
-    generated and equi-joined, so the work is bounded by users x signatures x 12
-    instead of users x catalogue."""
+def prepare_catalog(catalog: DataFrame) -> dict[str, DataFrame]:
+    """The parts of scoring that depend on the catalogue alone: popularity, and
+    the genre signatures with their ranked items. Compute them once (and cut them)
+    when the same catalogue scores many batches of users, as the stream does."""
+    pop = _popularity(catalog)
     items = catalog.where(F.size("genres") > 0).join(pop, "item_id").select(
         "item_id", "pop6", F.concat_ws("\u0001", F.array_sort("genres")).alias("sig"))
     # rank within a signature from one distributed sort of the catalogue: a
@@ -174,6 +168,21 @@ def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, catalog:
     sig_genres = (items.select("sig").distinct()
                   .select("sig", F.explode(F.split("sig", "\u0001")).alias("genre"))
                   .groupBy("sig", "genre").agg(F.count(F.lit(1)).alias("mult")))
+    return {"pop": pop, "sig_items": sig_items, "sig_genres": sig_genres}
+
+
+def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, prepared: dict[str, DataFrame]) -> DataFrame:
+    """Genre-only rows for users short of candidates.
+
+    need: user_id, want (= MIN_RECS - have > 0). Items with the same genre list
+    (a signature) have the same genre score for a user, so within a signature
+    the best items are those with the highest popularity. For each (user,
+    signature sharing a genre with the profile) only the first want + (excluded
+    items of that signature) items in signature order can qualify; those ranks are
+    generated and equi-joined, so the work is bounded by users x signatures x 12
+    instead of users x catalogue."""
+    sig_items, sig_genres = prepared["sig_items"], prepared["sig_genres"]
+    items = sig_items.select("item_id", "sig")
     prof = counts.join(need.select("user_id"), "user_id", "left_semi")
     user_sig = (prof.join(sig_genres, "genre")
                 .groupBy("user_id", "sig").agg(F.sum(F.col("cnt") * F.col("mult")).alias("gsum"),
@@ -195,11 +204,14 @@ def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, catalog:
 
 
 def recommend(prefs: DataFrame, nb: DataFrame, catalog: DataFrame, *, max_recs: int = MAX_RECS,
-              min_recs: int = MIN_RECS, backfill: bool = True) -> DataFrame:
-    """user_id, rank, item_id, cf, genre_score, pop, final, pct, genre_only."""
+              min_recs: int = MIN_RECS, backfill: bool = True,
+              prepared: dict[str, DataFrame] | None = None) -> DataFrame:
+    """user_id, rank, item_id, cf, genre_score, pop, final, pct, genre_only.
+    ``prepared``: the output of ``prepare_catalog(catalog)``, if already computed."""
     scores = candidate_scores(prefs, nb)
     counts = genre_counts(prefs, catalog)
-    pop = _popularity(catalog)
+    prepared = prepared if prepared is not None else prepare_catalog(catalog)
+    pop = prepared["pop"]
     cf_rows = _genre_score(scores.select("user_id", "item_id", "cf_u"), counts, catalog).join(pop, "item_id")
     cf_rows = cf_rows.select("user_id", "item_id", "cf_u", "g6", "pop6", _final(F.col("cf_u")).alias("final"),
                              F.lit(0).alias("genre_only"))
@@ -211,7 +223,7 @@ def recommend(prefs: DataFrame, nb: DataFrame, catalog: DataFrame, *, max_recs:
                 .select("user_id", (F.lit(min_recs) - F.coalesce(F.col("have"), F.lit(0))).alias("want"))
                 .where(F.col("want") > 0))
         excluded = scores.select("user_id", "item_id").unionByName(prefs.select("user_id", "item_id"))
-        rows = rows.unionByName(_backfill(need, counts, excluded, catalog, pop))
+        rows = rows.unionByName(_backfill(need, counts, excluded, prepared))
     w = Window.partitionBy("user_id").orderBy(F.col("final").desc(), F.col("item_id").asc())
     top = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_recs)
     best = F.max("final").over(Window.partitionBy("user_id")).cast("double") / UNIT

@@ -16,11 +16,15 @@ from tastegraph.operators import profiles as prof_ops
 
 
 def rescorer(nb: DataFrame, catalog: DataFrame, sink: str):
+    # catalogue-only parts of scoring (popularity, ranked genre signatures) are
+    # computed and cut once for the whole stream, not per micro-batch
+    prepared = {k: v.checkpoint(eager=True) for k, v in prof_ops.prepare_catalog(catalog).items()}
+
     def on_batch(snapshot: DataFrame, batch_id: int) -> None:
         users = snapshot.select("user_id").distinct()
         prefs = fb_ops.valid_prefs(snapshot.where(F.col("item_id").isNotNull())
                                    .select("user_id", "item_id", "state"), catalog)
-        recs = prof_ops.recommend(prefs, nb, catalog)
+        recs = prof_ops.recommend(prefs, nb, catalog, prepared=prepared)
         marker = (users.join(recs.select("user_id").distinct(), "user_id", "left_anti")
                   .select("user_id", *[F.lit(None).cast(f.dataType).alias(f.name)
                                        for f in recs.schema.fields if f.name != "user_id"]))

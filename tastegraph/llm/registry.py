@@ -7,14 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tastegraph.llm.common import table
 from tastegraph.llm.lm_score import lm_scores
+from tastegraph.llm.packing import pack_documents
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
+    "op2_best_fit_packing": op2_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {}

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tastegraph.llm.common import table
+from tastegraph.llm.fingerprints import edited_fingerprints
 from tastegraph.llm.lm_score import lm_scores
 from tastegraph.llm.packing import pack_documents
 
@@ -18,9 +19,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_fingerprints": op3_fingerprints,
 }
 
 ORACLE: dict[str, str] = {}

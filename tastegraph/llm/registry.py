@@ -9,6 +9,7 @@ from tastegraph.llm.common import table
 from tastegraph.llm.fingerprints import edited_fingerprints
 from tastegraph.llm.lm_score import lm_scores
 from tastegraph.llm.packing import pack_documents
+from tastegraph.llm.secret_scan import secret_digest
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,10 +24,15 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_fingerprints": op3_fingerprints,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}

@@ -49,9 +49,9 @@ START = np.uint64(0x51A7)
 HASHES = 5
 BITS_PER_KEY = 8
 LEVEL_STEP = 0xD6E8FEB86659FD93
-FLUSH_TOKENS = 3_000_000
-SLICE_BYTES = 6 << 20
-WORD_CACHE = 400_000
+FLUSH_TOKENS = 2_000_000
+SLICE_BYTES = 3 << 20
+WORD_CACHE = 250_000
 
 
 class Words(dict):
@@ -126,15 +126,15 @@ def filter_piece(keys: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 class Filter:
-    """Pieces by part; ``levels`` probes them."""
+    """The pieces of all parts in a row, and their lengths; ``levels`` probes them."""
 
-    def __init__(self, pieces: list[bytes], shift: int):
-        self.shift = np.uint64(shift)
-        self.single = len(pieces) == 1
-        lengths = np.array([len(p) for p in pieces], np.int64)
-        self.sizes = (lengths * 8).astype(np.uint64)
-        self.starts = ((np.cumsum(lengths) - lengths) * 8).astype(np.uint64)
-        self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
+    def __init__(self, pieces: bytes, lengths: list[int]):
+        self.shift = np.uint64(65 - len(lengths).bit_length())
+        self.single = len(lengths) == 1
+        held = np.array(lengths, np.int64)
+        self.sizes = (held * 8).astype(np.uint64)
+        self.starts = ((np.cumsum(held) - held) * 8).astype(np.uint64)
+        self.bytes = np.frombuffer(pieces, np.uint8)
 
     def levels(self, keys: np.ndarray, most: int = 64) -> np.ndarray:
         found = np.zeros(len(keys), np.int64)
@@ -164,10 +164,12 @@ def _blobs(part_bits: int, kind: int, keys: np.ndarray, counts: np.ndarray) -> I
         if part_bits else np.array([], np.int64)
     for part, (a, b) in enumerate(zip([0, *edges], [*edges, len(keys)], strict=True)):
         if b > a:
-            yield part, kind, keys[a:b].tobytes(), counts[a:b].astype(np.int64).tobytes()
+            yield part, kind, keys[a:b].tobytes(), counts[a:b].astype(np.int32).tobytes()
 
 
 COUNTS_SCHEMA = "part int, kind int, keys binary, counts binary"
+PARTS_SCHEMA = ("part int, n_words long, total long, pairs long, piece binary, bins array<long>, "
+                "bin_sums array<double>, words binary, word_counts binary")
 
 
 def _rows(found: list[tuple], types: list[tuple]) -> pa.RecordBatch:
@@ -178,9 +180,10 @@ def _rows(found: list[tuple], types: list[tuple]) -> pa.RecordBatch:
 COUNT_TYPES = [("part", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
 
 
-def ngram_counts(docs: DataFrame, part_bits: int) -> DataFrame:
-    """(part, kind, keys, counts) of all training tokens: kind 1 words, 2 pairs; one row
-    for each part and kind, its keys sorted and distinct."""
+def ngram_parts(docs: DataFrame, part_bits: int) -> DataFrame:
+    """One row for each part of the hash space, over all training tokens: its number of
+    distinct words, their tokens, its distinct pairs, its piece of the filter, its words
+    by level, and its words (sorted) with their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -208,45 +211,33 @@ def ngram_counts(docs: DataFrame, part_bits: int) -> DataFrame:
             yield _rows(flush(), COUNT_TYPES)
 
     def merge(t: pa.Table) -> pa.Table:
-        found = []
+        kinds = t["kind"].to_numpy()
+        merged = []
         for kind in (1, 2):
-            own = t.filter(pc.equal(t["kind"], kind))
+            own = t.filter(pa.array(kinds == kind))
             if not own.num_rows:
+                merged.append((np.array([], np.uint64), np.array([], np.int64)))
                 continue
             keys = np.concatenate([np.frombuffer(b, np.uint64) for b in own["keys"].to_pylist()])
-            counts = np.concatenate([np.frombuffer(b, np.int64) for b in own["counts"].to_pylist()])
+            counts = np.concatenate([np.frombuffer(b, np.int32) for b in own["counts"].to_pylist()])
             order = np.argsort(keys, kind="stable")
-            keys, counts = keys[order], counts[order]
+            keys, counts = keys[order], counts[order].astype(np.int64)
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            found.append((own["part"][0].as_py(), kind, keys[first].tobytes(), np.add.reduceat(counts, first).tobytes()))
-        return pa.Table.from_batches([_rows(found, COUNT_TYPES)])
-
-    training = docs.filter(~F.col("held_out")).select("text")
-    return (training.mapInArrow(count, COUNTS_SCHEMA)
-            .groupBy("part").applyInArrow(merge, COUNTS_SCHEMA))
-
-
-SUMMARY_SCHEMA = "part int, n_keys long, total long, pairs long, piece binary, bins array<long>, bin_sums array<double>"
-
-
-def _summaries(counts: DataFrame) -> DataFrame:
-    """Per part: distinct words, their tokens, distinct pairs, the filter piece, and the
-    words by log2 of their count."""
-
-    def build(t: pa.Table) -> pa.Table:
-        by = {r["kind"]: (np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64))
-              for r in t.to_pylist()}
-        none = (np.array([], np.uint64), np.array([], np.int64))
-        (words, n), (pairs, m) = by.get(1, none), by.get(2, none)
+            merged.append((keys[first], np.add.reduceat(counts, first)))
+        (words, n), (pairs, m) = merged
         level = level_of(n)
         bins = np.bincount(level, minlength=64)[:64]
         sums = np.bincount(level, weights=np.log(np.maximum(n, 1)), minlength=64)[:64]
         piece = filter_piece(np.concatenate([words, pairs]), np.concatenate([n, m]))
-        return pa.table({"part": pa.array([t["part"][0].as_py()], pa.int32()), "n_keys": [len(words)],
+        return pa.table({"part": pa.array([t["part"][0].as_py()], pa.int32()), "n_words": [len(words)],
                          "total": [int(n.sum())], "pairs": [len(pairs)], "piece": pa.array([piece], pa.binary()),
-                         "bins": pa.array([bins.tolist()]), "bin_sums": pa.array([sums.tolist()])})
+                         "bins": pa.array([bins.tolist()]), "bin_sums": pa.array([sums.tolist()]),
+                         "words": pa.array([words.tobytes()], pa.binary()),
+                         "word_counts": pa.array([n.tobytes()], pa.binary())})
 
-    return counts.groupBy("part").applyInArrow(build, SUMMARY_SCHEMA)
+    training = docs.filter(~F.col("held_out")).select("text")
+    return (training.mapInArrow(count, COUNTS_SCHEMA)
+            .groupBy("part").applyInArrow(merge, PARTS_SCHEMA))
 
 
 def _spread(bins: np.ndarray, log_means: np.ndarray, pairs: int) -> float:
@@ -329,10 +320,9 @@ def _scored(docs: DataFrame, model: Model, hot, filter_) -> DataFrame:
     return docs.select("rid", "doc_id", "held_out", "text").mapInArrow(run, SCORE_SCHEMA)
 
 
-def _routed(docs: DataFrame, counts_summary: DataFrame, model: Model, part_bits: int) -> DataFrame:
+def _routed(docs: DataFrame, parts: DataFrame, model: Model, part_bits: int) -> DataFrame:
     """(rid, score) when the filter is too large to broadcast: each text's distinct n-gram
     keys go to the part that owns them, are probed there, and their levels come back."""
-    shift = np.uint64(64 - part_bits) if part_bits else np.uint64(0)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -347,7 +337,7 @@ def _routed(docs: DataFrame, counts_summary: DataFrame, model: Model, part_bits:
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         pieces = right["piece"].to_pylist()
-        probe = Filter(pieces[:1], 0).levels if pieces else (lambda keys: np.zeros(len(keys), np.int64))
+        probe = Filter(pieces[0], [len(pieces[0])]).levels if pieces else (lambda keys: np.zeros(len(keys), np.int64))
         rows = [(r["rid"], r["keys"], probe(np.frombuffer(r["keys"], np.uint64)).astype(np.uint8).tobytes())
                 for r in left.to_pylist()]
         return pa.Table.from_batches([_rows(rows, [("rid", pa.int64()), ("keys", pa.binary()),
@@ -366,13 +356,27 @@ def _routed(docs: DataFrame, counts_summary: DataFrame, model: Model, part_bits:
 
     asked = written(docs.select("rid", "text").mapInArrow(ask, "part int, rid long, keys binary"), "lm-probes")
     answered = (asked.filter("part >= 0").groupBy("part")
-                .cogroup(counts_summary.select("part", "piece").groupBy("part"))
+                .cogroup(parts.select("part", "piece").groupBy("part"))
                 .applyInArrow(answer, "rid long, keys binary, levels binary"))
     sequences = asked.filter("part < 0").select("rid", "keys", F.lit(None).cast("binary").alias("levels"))
     return (answered.unionByName(sequences).groupBy("rid")
             .applyInArrow(finish, "rid long, score double"))
 
 
+def _joined(parts: DataFrame, n_parts: int) -> tuple[bytes, list[int]]:
+    """All pieces in a row (their total size is checked before), and their lengths."""
+    empty, pieces, lengths, at = bytes(8), [], [], 0
+    for r in parts.select("part", "piece").orderBy("part").toLocalIterator():
+        while at < r["part"]:
+            pieces.append(empty)
+            at += 1
+        pieces.append(bytes(r["piece"]))
+        at += 1
+    pieces += [empty] * (n_parts - at)
+    lengths = [len(p) for p in pieces]
+    return b"".join(pieces), lengths
+
+
 def lm_scores(docs: DataFrame, folds: int = 10, hot_words: int = 1 << 20, weight: float = 2.0,
               max_broadcast_bytes: int = 128 << 20, part_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every
@@ -384,9 +388,8 @@ def lm_scores(docs: DataFrame, folds: int = 10, hot_words: int = 1 << 20, weight
     size, texts = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)),
                            F.coalesce(F.sum((~F.col("held_out")).cast("long")), F.lit(0))).first()
     part_bits = max(2, int(size // part_bytes).bit_length())
-    counts = written(ngram_counts(docs, part_bits), "lm-counts")
-    summary = written(_summaries(counts), "lm-filter")
-    totals = summary.agg(F.coalesce(F.sum("n_keys"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0)),
+    parts = written(ngram_parts(docs, part_bits), "lm-parts")
+    totals = parts.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0)),
                          F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum(F.octet_length("piece")), F.lit(0)),
                          *[F.coalesce(F.sum(F.col("bins")[i]), F.lit(0)) for i in range(64)],
                          *[F.coalesce(F.sum(F.col("bin_sums")[i]), F.lit(0.0)) for i in range(64)]).first()
@@ -401,7 +404,7 @@ def lm_scores(docs: DataFrame, folds: int = 10, hot_words: int = 1 << 20, weight
     def hot_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                keys, n = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)
+                keys, n = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["word_counts"], np.int64)
                 keep = level_of(n) >= hot_level
                 yield _rows([(r["part"], keys[keep].tobytes(), n[keep].tobytes())],
                             [("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -409,13 +412,13 @@ def lm_scores(docs: DataFrame, folds: int = 10, hot_words: int = 1 << 20, weight
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                keys, n = np.frombuffer(r["keys"], np.int64), np.frombuffer(r["counts"], np.int64)
+                keys, n = np.frombuffer(r["words"], np.int64), np.frombuffer(r["word_counts"], np.int64)
                 keep = level_of(n) < hot_level
                 for a in range(0, int(keep.sum()), 100_000):
                     yield pa.RecordBatch.from_arrays([pa.array(keys[keep][a:a + 100_000]),
                                                       pa.array(n[keep][a:a + 100_000])], names=["h", "c"])
 
-    words = counts.filter("kind = 1")
+    words = parts.select("part", "words", "word_counts")
     hot_rows = sorted(words.mapInArrow(hot_only, "part int, keys binary, counts binary").collect())  # <= hot_words
     hot_keys = b"".join(r["keys"] for r in hot_rows)
     hot_counts = np.frombuffer(b"".join(r["counts"] for r in hot_rows), np.int64)
@@ -423,15 +426,12 @@ def lm_scores(docs: DataFrame, folds: int = 10, hot_words: int = 1 << 20, weight
     fits = filter_bytes <= max_broadcast_bytes
     filter_ = None
     if fits:
-        pieces = {r["part"]: r["piece"] for r in summary.select("part", "piece").toLocalIterator()}
-        filter_ = spark.sparkContext.broadcast(
-            ([pieces.get(p, bytes(8)) for p in range(1 << part_bits)], 64 - part_bits))
-        del pieces
+        filter_ = spark.sparkContext.broadcast(_joined(parts, 1 << part_bits))
     scored = written(_scored(docs, model, hot, filter_), "lm-scored")
     if not fits:
-        scored = scored.drop("score").join(_routed(docs, summary, model, part_bits), "rid")
+        scored = scored.drop("score").join(_routed(docs, parts, model, part_bits), "rid")
     rare = (scored.select("rid", F.explode("rare").alias("h"))
-            .join(words.select("keys", "counts").mapInArrow(exploded, "h long, c long"), "h", "left")
+            .join(words.mapInArrow(exploded, "h long, c long"), "h", "left")
             .groupBy("rid").agg(F.count("c").alias("rare_known"),
                                 F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(model.floor)))
                                 .alias("rare_score")))

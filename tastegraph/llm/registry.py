@@ -10,6 +10,7 @@ from tastegraph.llm.fingerprints import edited_fingerprints
 from tastegraph.llm.lm_score import lm_scores
 from tastegraph.llm.packing import pack_documents
 from tastegraph.llm.secret_scan import secret_digest
+from tastegraph.llm.toxicity import toxicity_model, toxicity_scores
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
@@ -32,6 +38,7 @@ QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_fingerprints": op3_fingerprints,
+    "op5_toxicity": op5_toxicity,
     "op10_secret_scan": op10_secret_scan,
 }
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tastegraph.llm.common import table
 from tastegraph.llm.fingerprints import edited_fingerprints
+from tastegraph.llm.html_extract import main_texts
 from tastegraph.llm.lm_score import lm_scores
 from tastegraph.llm.packing import pack_documents
 from tastegraph.llm.secret_scan import secret_digest
@@ -30,6 +31,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_fingerprints": op3_fingerprints,
     "op5_toxicity": op5_toxicity,
+    "op6_html_extract": op6_html_extract,
     "op10_secret_scan": op10_secret_scan,
 }
 

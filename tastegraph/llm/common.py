@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tastegraph.functions.numbering import number_rows
 from tastegraph.session import scratch_path
 
 MIX_1 = np.uint64(0x9E3779B97F4A7C15)
@@ -34,6 +35,24 @@ def id_remainder(doc_id: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def words_of(text: str) -> Column:
+    """Number of runs of characters other than space and U+0009 to U+000D (null: 0)."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def running_sums(df: DataFrame, order: list[Column], sums: dict[str, Column], rank: str,
+                 bucket: int = 1 << 15) -> DataFrame:
+    """df plus ``rank`` (its place in ``order``) and running sums up to and with each row, with no
+    window over more than ``bucket`` rows but one over a total for each bucket."""
+    ranked = number_rows(df, order, rank).withColumn("_bucket", F.floor(F.col(rank) / bucket))
+    totals = ranked.groupBy("_bucket").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_{n}").over(upto), F.lit(0)).alias(f"_{n}") for n in sums])
+    within = Window.partitionBy("_bucket").orderBy(rank).rowsBetween(Window.unboundedPreceding, 0)
+    return (ranked.join(offsets, "_bucket")
+            .select(*df.columns, rank, *[(F.sum(c).over(within) + F.col(f"_{n}")).alias(n) for n, c in sums.items()]))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of uint64 values (wrap-around arithmetic)."""
     x = x.astype(np.uint64, copy=True)

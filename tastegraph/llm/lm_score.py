@@ -50,12 +50,14 @@ HASHES = 5
 BITS_PER_KEY = 8
 LEVEL_STEP = 0xD6E8FEB86659FD93
 FLUSH_TOKENS = 2_000_000
-SLICE_BYTES = 3 << 20
-WORD_CACHE = 250_000
+SLICE_BYTES = 2 << 20
+WORD_CACHE = 300_000
+WORDS_KEPT = 150_000
 
 
 class Words(dict):
-    """Word -> position in ``hashes``; forgets all words when it grows too large."""
+    """Word -> position in ``hashes``; when it grows too large, it keeps the words that were
+    seen first (the frequent ones are among them)."""
 
     def __init__(self):
         super().__init__()
@@ -69,8 +71,10 @@ class Words(dict):
     def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Token hashes of all texts in a row, and the number of tokens of each."""
         if len(self) > WORD_CACHE:
+            kept = {w: at for w, at in self.items() if at < WORDS_KEPT}
             self.clear()
-            self.hashes = []
+            self.update(kept)
+            del self.hashes[WORDS_KEPT:]
         words, lengths = [], []
         for text in texts:
             found = text.lower().split()  # bytes: A-Z only; the same white space as [\x20\x09-\x0D]
@@ -104,13 +108,13 @@ def count_of(level: np.ndarray) -> np.ndarray:
 
 
 def slots(keys: np.ndarray, level: int, bits: np.ndarray) -> Iterator[np.ndarray]:
-    """The bit of each key at each of the HASHES functions, within ``bits`` bits."""
+    """The bit of each key at each of the HASHES functions, within ``bits`` (below 2^32) bits:
+    32 hash bits scaled to the size, which is cheaper than a remainder."""
     seed = mix64(keys + np.uint64(LEVEL_STEP * level % 2**64))
-    step = (seed >> np.uint64(17)) | np.uint64(1)
-    low = seed & np.uint64(0xFFFFFFFF)
+    low, step, mask = seed & np.uint64(0xFFFFFFFF), seed >> np.uint64(32), np.uint64(0xFFFFFFFF)
     for _ in range(HASHES):
-        yield low % bits
-        low = low + (step & np.uint64(0xFFFFFFF))
+        yield (low * bits) >> np.uint64(32)
+        low = (low + step) & mask
 
 
 def filter_piece(keys: np.ndarray, counts: np.ndarray) -> bytes:

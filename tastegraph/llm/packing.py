@@ -37,8 +37,8 @@ from tastegraph.llm.common import byte_texts, slices_by_bytes, written
 CLOSING_ID = 1
 WORD_END = "</w>"
 CONTROL = b"<|"
-CHUNK_CACHE = 500_000
-CHUNKS_KEPT = 250_000
+CHUNK_CACHE = 800_000
+CHUNKS_KEPT = 400_000
 SLICE_BYTES = 4 << 20
 
 
@@ -48,93 +48,114 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Chunks(dict):
+    """Chunk -> number; chunks not seen before are numbered and noted in ``new``."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.new: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        at = self[chunk] = len(self)
+        self.new.append(chunk)
+        return at
+
+
 class ChunkTokenizer:
     """Ids of whole texts from the ids of their white-space separated chunks.
 
-    For a lower-casing tokenizer that drops white space, never joins across it and marks
-    the end of each word, the ids of a text are those of its chunks in a row. Each
-    distinct chunk is encoded once while it stays in a cache of bounded size: letters
-    followed by a comma or full stop from their two halves, other letters many at once
-    (cut at the ids that end a word), and everything else on its own."""
+    For a lower-casing tokenizer that drops white space, never joins across it, marks the
+    end of each word and whose normalizer leaves lower-case ASCII words as they are, the
+    ids of a text are those of its chunks in a row. Each distinct chunk is encoded once
+    while it stays in a cache of bounded size: words (letters only) many at once, cut at
+    the ids that end a word, with a comma or full stop behind them or not; and everything
+    else on its own."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, int] = {}
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.starts: list[int] = []
-        self.lengths: list[int] = []
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.known = _Chunks()
+        self.pool = np.zeros(1 << 20, np.uint32)
         self.used = 0
+        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def _forget(self) -> None:
         """Keeps the chunks that were seen first: the frequent ones are among them."""
-        self.known = {c: at for c, at in self.known.items() if at < CHUNKS_KEPT}
-        del self.starts[CHUNKS_KEPT:], self.lengths[CHUNKS_KEPT:]
-        self.used = self.starts[-1] + self.lengths[-1]
+        self.known = _Chunks((c, at) for c, at in self.known.items() if at < CHUNKS_KEPT)
+        self.used = int((self.starts + self.lengths)[:CHUNKS_KEPT].max())
+
+    def _room(self, chunks: int, ids: int) -> None:
+        while chunks > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+        while self.used + ids > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
 
-    def _keep(self, chunk: bytes, ids: np.ndarray) -> None:
-        if self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
+    def _put(self, places: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self._room(len(self.known), len(ids))
         self.pool[self.used:self.used + len(ids)] = ids
-        self.known[chunk] = len(self.starts)
-        self.starts.append(self.used)
-        self.lengths.append(len(ids))
+        self.starts[places] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[places] = lengths
         self.used += len(ids)
 
-    def _ids(self, chunk: bytes) -> np.ndarray:
-        at = self.known[chunk]
-        return self.pool[self.starts[at]:self.starts[at] + self.lengths[at]]
+    def _each(self, chunks: list[bytes], places: np.ndarray) -> None:
+        coded = [np.array(c.ids, np.uint32) for c in self.tokenizer.encode_batch_fast(
+            [c.decode("utf-8") for c in chunks], add_special_tokens=False)]
+        self._put(places, np.concatenate(coded), np.array([len(c) for c in coded]))
 
-    def _each(self, chunks: list[bytes]) -> None:
-        coded = self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in chunks], add_special_tokens=False)
-        for chunk, code in zip(chunks, coded, strict=True):
-            self._keep(chunk, np.array(code.ids, np.uint32))
-
-    def _words(self, chunks: list[bytes]) -> None:
-        """Chunks of letters only, encoded in rows of words; a row that does not fall into
-        one piece per word is encoded chunk by chunk."""
+    def _rows(self, tokenizer, chunks: list[bytes], places: np.ndarray) -> None:
+        """Words of letters, 500 to a row; a row that does not fall into one piece per word is
+        encoded word by word."""
         rows = [chunks[a:a + 500] for a in range(0, len(chunks), 500)]
-        coded = self.tokenizer.encode_batch_fast([b" ".join(r).decode("utf-8") for r in rows],
-                                                 add_special_tokens=False)
-        for row, code in zip(rows, coded, strict=True):
+        coded = tokenizer.encode_batch_fast([b" ".join(r).decode("utf-8") for r in rows], add_special_tokens=False)
+        for k, (row, code) in enumerate(zip(rows, coded, strict=True)):
+            own = places[500 * k:500 * k + len(row)]
             ids = np.array(code.ids, np.uint32)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) != len(row) or ends[-1] != len(ids):
-                self._each(row)
-                continue
-            first, base, at = self.used, 0, len(self.starts)
-            if first + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
-            self.pool[first:first + len(ids)] = ids
-            for chunk, end in zip(row, ends.tolist(), strict=True):
-                self.known[chunk] = at
-                self.starts.append(first + base)
-                self.lengths.append(end - base)
-                base, at = end, at + 1
-            self.used += len(ids)
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        words, others, halves = {}, {}, []
-        for chunk in chunks:
-            head, tail = chunk[:-1], chunk[-1:]
+                self._each(row, own)
+            else:
+                self._put(own, ids, np.diff(ends, prepend=0))
+
+    def _words(self, chunks: list[bytes], places: np.ndarray) -> None:
+        ascii_ = np.fromiter((c.isascii() and c.islower() for c in chunks), bool, len(chunks))
+        for tokenizer, own in ((self.plain, ascii_), (self.tokenizer, ~ascii_)):
+            if own.any():
+                self._rows(tokenizer, [chunks[i] for i in np.flatnonzero(own)], places[own])
+
+    def _learn(self) -> None:
+        known, start = self.known, len(self.known) - len(self.known.new)
+        chunks, known.new = known.new, []
+        words, others, halves = [], [], []
+        for at, chunk in enumerate(chunks, start):
             if chunk.decode("utf-8").isalpha():
-                words[chunk] = None
-            elif tail in (b",", b".") and head.decode("utf-8").isalpha():
-                halves.append(chunk)
-                words[head] = None
-                others[tail] = None
+                words.append((chunk, at))
+            elif chunk[-1:] in (b",", b".") and chunk[:-1].decode("utf-8").isalpha():
+                halves.append((at, known[chunk[:-1]], known[chunk[-1:]]))  # may add two more
             else:
-                others[chunk] = None
-        if new := [c for c in words if c not in self.known]:
-            self._words(new)
-        if new := [c for c in others if c not in self.known]:
-            self._each(new)
-        for chunk in halves:
-            self._keep(chunk, np.concatenate([self._ids(chunk[:-1]), self._ids(chunk[-1:])]))
+                others.append((chunk, at))
+        for at, chunk in enumerate(known.new, start + len(chunks)):
+            (words if chunk not in (b",", b".") else others).append((chunk, at))
+        known.new = []
+        self._room(len(known), 0)
+        for work, own in ((self._words, words), (self._each, others)):
+            if own:
+                work([c for c, _ in own], np.array([at for _, at in own]))
+        if halves:
+            at, head, tail = np.array(halves).T
+            both = np.stack([head, tail], axis=1).ravel()
+            ids = self._gather(both)
+            self._put(at, ids, self.lengths[head] + self.lengths[tail])
+
+    def _gather(self, places: np.ndarray) -> np.ndarray:
+        lengths = self.lengths[places]
+        before = np.cumsum(lengths) - lengths
+        return self.pool[np.repeat(self.starts[places] - before, lengths) + np.arange(lengths.sum())]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > CHUNK_CACHE:
@@ -144,16 +165,10 @@ class ChunkTokenizer:
             # a control token in capitals is ordinary text, so such texts keep their case
             chunks += (text if CONTROL in text else text.lower()).split()
             ends.append(len(chunks))
-        known = self.known
-        missing = [c for c in dict.fromkeys(chunks) if c not in known]
-        for a in range(0, len(missing), 20_000):
-            self._learn(missing[a:a + 20_000])
-        at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-        lengths = np.array(self.lengths, np.int64)[at]
-        before = np.cumsum(lengths) - lengths
-        flat = self.pool[np.repeat(np.array(self.starts, np.int64)[at] - before, lengths) + np.arange(lengths.sum())]
-        edges = np.r_[before, lengths.sum()][ends]
-        return np.split(flat, edges[:-1]) if len(ends) else []
+        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        self._learn()
+        edges = np.r_[0, np.cumsum(self.lengths[at])][ends]
+        return np.split(self._gather(at), edges[:-1]) if len(ends) else []
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}

@@ -9,6 +9,7 @@ from tastegraph.llm.common import table
 from tastegraph.llm.fingerprints import edited_fingerprints
 from tastegraph.llm.html_extract import main_texts
 from tastegraph.llm.lm_score import lm_scores
+from tastegraph.llm.mixing import mix_digest
 from tastegraph.llm.packing import pack_documents
 from tastegraph.llm.secret_scan import secret_digest
 from tastegraph.llm.toxicity import toxicity_model, toxicity_scores
@@ -35,6 +36,10 @@ def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES = {
     "op3_fingerprints": op3_fingerprints,
     "op5_toxicity": op5_toxicity,
     "op6_html_extract": op6_html_extract,
+    "op7_mix_sources": op7_mix_sources,
     "op10_secret_scan": op10_secret_scan,
 }
 

@@ -79,10 +79,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_repeats: int
     each = F.when(F.col("words") > 0, F.least(
         F.round(F.col("target") / F.col("words") * F.lit(float(1 << UNIT))).cast("long"),
         F.lit(most_repeats << UNIT))).otherwise(F.lit(0)).cast("long")
-    start = F.pmod(F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull(), F.lit(seed)),
-                   F.lit(1 << UNIT)).cast("long")
-    ranked = number_rows(sized, [F.col("source"), F.col("size"), F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id"),
-                                 *[F.col(c) for c in carry]], "_place")
+    start = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("-"))).cast("binary")),
+                               1, UNIT // 4), 16, 10).cast("long")  # UNIT bits of a digest
+    deal = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).cast("binary"))
+    ranked = number_rows(sized, [F.col("source"), F.col("size"), deal, F.col("doc_id"), *[F.col(c) for c in carry]],
+                         "_place")
     firsts = ranked.groupBy("source").agg(F.min("_place").alias("_first"))
     plan = (targets.join(firsts, targets["source"].eqNullSafe(firsts["source"])).drop(firsts["source"])
             .select(F.col("source").alias("_source"), F.col("words").alias("source_size"), "target", "_first",
@@ -106,3 +107,43 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_repeats: int
 def mix_digest(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target",
                             (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+ORACLE_SQL = """
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+  FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS words FROM sized GROUP BY source),
+capped AS (
+  SELECT source, words, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                        WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, words * 3 AS cap FROM sources),
+running AS (
+  SELECT *, row_number() OVER o AS r, sum(cap) OVER o - cap AS caps, sum(w) OVER () - (sum(w) OVER o - w) AS left_w,
+         sum(words) OVER () AS all_words
+  FROM capped WINDOW o AS (ORDER BY cap * 10 // w, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+levels AS (SELECT *, (all_words - caps)::DOUBLE / left_w::DOUBLE AS level FROM running),
+final AS (SELECT min_by(level, r) AS level FROM levels WHERE cap::DOUBLE >= level * w),
+targets AS (
+  SELECT source, words, coalesce(least(cap::DOUBLE, f.level * w), cap::DOUBLE) AS target
+  FROM running, final f),
+plan AS (
+  SELECT *, CASE WHEN words > 0 THEN least(round(target / words * 1048576.0)::BIGINT, 3145728) ELSE 0 END AS rate,
+         ('0x' || substr(md5('11:' || coalesce(source, '-')), 1, 5))::BIGINT AS start
+  FROM targets),
+placed AS (
+  SELECT s.doc_id, s.size, p.source, p.words, p.target, p.rate, p.start,
+         row_number() OVER (PARTITION BY p.source
+                            ORDER BY s.size, md5('11:' || coalesce(s.doc_id::VARCHAR, '-')), s.doc_id) - 1 AS k
+  FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source),
+tried AS (
+  SELECT p.source, any_value(p.target) AS target, o.k AS try, (any_value(p.start) + o.k * 32768) % 1048576 AS first,
+         sum((((p.k + 1) * p.rate + (p.start + o.k * 32768) % 1048576) // 1048576
+              - (p.k * p.rate + (p.start + o.k * 32768) % 1048576) // 1048576) * p.size) AS got
+  FROM placed p, (SELECT unnest(range(32)) AS k) o GROUP BY p.source, o.k),
+best AS (
+  SELECT source, min(struct_pack(miss := abs(got - target), first := first)).first AS first FROM tried GROUP BY source)
+SELECT p.doc_id, p.size, p.words AS source_size, p.target,
+       ((((p.k + 1) * p.rate + b.first) // 1048576 - (p.k * p.rate + b.first) // 1048576) * p.size)::BIGINT AS taken,
+       (((p.k + 1) * p.rate + b.first) // 1048576 - (p.k * p.rate + b.first) // 1048576)::BIGINT AS copies
+FROM placed p JOIN best b ON p.source IS NOT DISTINCT FROM b.source
+"""

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tastegraph.llm import chat, mixing
+from tastegraph.llm.chat import chat_digest, with_probe
 from tastegraph.llm.common import table
 from tastegraph.llm.fingerprints import edited_fingerprints
 from tastegraph.llm.html_extract import main_texts
@@ -40,6 +42,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_digest(with_probe(table(spark, sf_dir, "conversations")))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
@@ -51,7 +57,11 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_html_extract": op6_html_extract,
     "op7_mix_sources": op7_mix_sources,
+    "op8_chat_windows": op8_chat_windows,
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op7_mix_sources": mixing.ORACLE_SQL,
+    "op8_chat_windows": chat.ORACLE_SQL,
+}

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +70,42 @@ def unit_open(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
+WORD_CACHE = 300_000
+WORDS_KEPT = 150_000
+
+
+class WordHashes(dict):
+    """Word -> place of its 64-bit hash; when it grows too large, it keeps the words that were
+    seen first (the frequent ones are among them). ``end``, if given, closes each text."""
+
+    def __init__(self, end: bytes | None = None):
+        super().__init__()
+        self.end = end
+        self.hashes: list[int] = []
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        return at
+
+    def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token hashes of all texts in a row, and the number of tokens of each."""
+        if len(self) > WORD_CACHE:
+            kept = {w: at for w, at in self.items() if at < WORDS_KEPT}
+            self.clear()
+            self.update(kept)
+            del self.hashes[WORDS_KEPT:]
+        words, lengths = [], np.empty(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            before = len(words)
+            words += text.lower().split()  # bytes: A-Z only; the same white space as [\x20\x09-\x0D]
+            if self.end is not None:
+                words.append(self.end)
+            lengths[i] = len(words) - before
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.array(self.hashes, np.uint64)[at], lengths
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """A text column as UTF-8 bytes; null is empty."""
     if isinstance(column, pa.ChunkedArray):

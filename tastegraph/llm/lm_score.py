@@ -38,11 +38,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import MIX_1, byte_texts, id_remainder, mix64, slices_by_bytes, written
+from tastegraph.llm.common import MIX_1, WordHashes, byte_texts, id_remainder, mix64, slices_by_bytes, written
 
 END = b" "  # no word holds a space
 START = np.uint64(0x51A7)
@@ -51,38 +50,6 @@ BITS_PER_KEY = 8
 LEVEL_STEP = 0xD6E8FEB86659FD93
 FLUSH_TOKENS = 2_000_000
 SLICE_BYTES = 2 << 20
-WORD_CACHE = 300_000
-WORDS_KEPT = 150_000
-
-
-class Words(dict):
-    """Word -> position in ``hashes``; when it grows too large, it keeps the words that were
-    seen first (the frequent ones are among them)."""
-
-    def __init__(self):
-        super().__init__()
-        self.hashes: list[int] = []
-
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = len(self.hashes)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
-        return at
-
-    def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Token hashes of all texts in a row, and the number of tokens of each."""
-        if len(self) > WORD_CACHE:
-            kept = {w: at for w, at in self.items() if at < WORDS_KEPT}
-            self.clear()
-            self.update(kept)
-            del self.hashes[WORDS_KEPT:]
-        words, lengths = [], []
-        for text in texts:
-            found = text.lower().split()  # bytes: A-Z only; the same white space as [\x20\x09-\x0D]
-            words += found
-            words.append(END)
-            lengths.append(len(found) + 1)
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return np.array(self.hashes, np.uint64)[at], np.array(lengths, np.int64)
 
 
 def contexts(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -190,7 +157,7 @@ def ngram_parts(docs: DataFrame, part_bits: int) -> DataFrame:
     by level, and its words (sorted) with their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words = WordHashes(END)
         held: list[list[np.ndarray]] = [[], []]
         n = 0
 
@@ -300,7 +267,7 @@ def _scored(docs: DataFrame, model: Model, hot, filter_) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_keys, hot_logs = (np.frombuffer(b, t) for b, t in zip(hot.value, (np.uint64, np.float64), strict=True))
         probe = Filter(*filter_.value).levels if filter_ is not None else None
-        words = Words()
+        words = WordHashes(END)
         for batch in slices_by_bytes(batches, "text", SLICE_BYTES):
             hashes, lengths = words.tokens(byte_texts(batch.column("text")))
             heads = np.cumsum(lengths) - lengths
@@ -329,7 +296,7 @@ def _routed(docs: DataFrame, parts: DataFrame, model: Model, part_bits: int) ->
     keys go to the part that owns them, are probed there, and their levels come back."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words = WordHashes(END)
         for batch in slices_by_bytes(batches, "text", SLICE_BYTES):
             found = []
             for rid, text in zip(batch.column("rid").to_pylist(), byte_texts(batch.column("text")), strict=True):

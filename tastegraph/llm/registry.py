@@ -11,6 +11,7 @@ from tastegraph.llm.common import table
 from tastegraph.llm.fingerprints import edited_fingerprints
 from tastegraph.llm.html_extract import main_texts
 from tastegraph.llm.lm_score import lm_scores
+from tastegraph.llm.minhash import near_duplicates
 from tastegraph.llm.mixing import mix_digest
 from tastegraph.llm.packing import pack_documents
 from tastegraph.llm.secret_scan import secret_digest
@@ -29,6 +30,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity_scores(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
@@ -54,6 +59,7 @@ QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_fingerprints": op3_fingerprints,
+    "op4_bagminhash": op4_bagminhash,
     "op5_toxicity": op5_toxicity,
     "op6_html_extract": op6_html_extract,
     "op7_mix_sources": op7_mix_sources,

@@ -48,9 +48,16 @@ LADDER_STEP = 1.25
 
 def _mod(x: np.ndarray) -> np.ndarray:
     """x below 2^62, modulo the Mersenne prime."""
-    x = (x & PRIME) + (x >> np.uint64(31))
-    x = (x & PRIME) + (x >> np.uint64(31))
-    return np.where(x >= PRIME, x - PRIME, x)
+    x = _folded(_folded(x))
+    np.subtract(x, PRIME, out=x, where=x >= PRIME)
+    return x
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A number below 2^32 with the same remainder, for x below 2^62."""
+    low = x & PRIME
+    low += x >> np.uint64(31)
+    return low
 
 
 class _Powers:
@@ -84,10 +91,10 @@ class PrefixHash:
         self.n = len(points)
         self.sums = []
         for k in range(len(BASES)):
-            terms = _mod((points[keep:].astype(np.uint64) + np.uint64(1)) * POWERS.up[k][keep:self.n])
+            terms = _folded((points[keep:].astype(np.uint64) + np.uint64(1)) * POWERS.up[k][keep:self.n])
             sums = np.empty(self.n + 1, np.uint64)
             sums[:keep + 1] = shared.sums[k][:keep + 1] if shared is not None else 0
-            # fewer than 2^31 terms below 2^31 each: no overflow
+            # fewer than 2^30 terms below 2^32 each: no overflow
             sums[keep + 1:] = _mod(np.cumsum(terms) + sums[keep])
             self.sums.append(sums)
 
@@ -97,7 +104,11 @@ class PrefixHash:
         return (parts[0] << np.uint64(31)) | parts[1]
 
     def span(self, start: int, end: int) -> int:
-        return int(self.spans(np.array([start]), np.array([end]))[0])
+        """As ``spans``, for one span, in Python integers."""
+        p = int(PRIME)
+        first, second = ((int(s[end]) - int(s[start])) % p * int(POWERS.down[k][start]) % p
+                         for k, s in enumerate(self.sums))
+        return first << 31 | second
 
     def windows(self, first: int, width: int) -> np.ndarray:
         """Hashes of all spans of ``width`` that start at ``first`` or later."""

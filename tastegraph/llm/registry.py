@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tastegraph.llm import chat, mixing
 from tastegraph.llm.chat import chat_digest, with_probe
 from tastegraph.llm.common import table
+from tastegraph.llm.embed_dedup import linked_vectors
 from tastegraph.llm.fingerprints import edited_fingerprints
 from tastegraph.llm.html_extract import main_texts
 from tastegraph.llm.lm_score import lm_scores
@@ -51,6 +52,10 @@ def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(with_probe(table(spark, sf_dir, "conversations")))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op6_html_extract": op6_html_extract,
     "op7_mix_sources": op7_mix_sources,
     "op8_chat_windows": op8_chat_windows,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 

@@ -109,6 +109,28 @@ def mix_digest(docs: DataFrame) -> DataFrame:
                             (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """The mix itself: each row of docs as often as it is taken, with docs' columns. Rows equal
+    in every column are alike, so their copies are given out together."""
+    key, copies, n, of = (_free(docs, x) for x in ("_key", "_copies", "_n", "_of"))
+    hashed = docs.withColumn(key, F.xxhash64(*docs.columns))
+    plan = (mix(hashed, carry=[key]).groupBy(F.col("doc_id").alias(of), key)
+            .agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(n)).filter(F.col(copies) > 0))
+    taken = hashed.join(plan, (hashed[key] == plan[key]) & hashed["doc_id"].cast("long").eqNullSafe(plan[of])) \
+        .drop(plan[key])
+    single = taken.filter(F.col(n) == 1)
+    alike = taken.filter(F.col(n) > 1).dropDuplicates([of, key])
+    return (single.unionByName(alike).withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+            .select(*docs.columns))
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not use."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 ORACLE_SQL = """
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size

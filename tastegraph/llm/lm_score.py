@@ -257,54 +257,76 @@ def _score(model: Model, hashes: np.ndarray, lengths: np.ndarray, probe) -> np.n
 
 
 SCORE_SCHEMA = ("rid long, doc_id long, held_out boolean, n_tokens long, hot_known long, hot_score double, "
-                "score double, rare array<long>")
+                "rare array<long>, score double")
+ASK_SCHEMA = SCORE_SCHEMA + ", part int, keys binary"
+ASK_TYPES = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+                       ("hot_known", pa.int64()), ("hot_score", pa.float64()), ("rare", pa.list_(pa.int64())),
+                       ("score", pa.float64()), ("part", pa.int32()), ("keys", pa.binary())])
+
+
+class _Hot:
+    """The frequent words and the log10 of their base probabilities."""
+
+    def __init__(self, keys: bytes, logs: bytes):
+        self.keys, self.logs = np.frombuffer(keys, np.uint64), np.frombuffer(logs, np.float64)
+
+    def columns(self, batch: pa.RecordBatch, hashes: np.ndarray, lengths: np.ndarray) -> list[pa.Array]:
+        """The first columns of SCORE_SCHEMA: the base score over a text's frequent words, and
+        the hashes of its other tokens."""
+        heads = np.cumsum(lengths) - lengths
+        distinct, at = np.unique(hashes, return_inverse=True)
+        if len(self.keys):
+            place = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
+            is_hot = self.keys[place] == distinct
+            logs = np.where(is_hot, self.logs[place], 0.0)
+        else:
+            is_hot, logs = np.zeros(len(distinct), bool), np.zeros(len(distinct))
+        is_hot, logs = is_hot[at], logs[at]
+        ends = np.cumsum(np.add.reduceat((~is_hot).astype(np.int64), heads))
+        rare = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(hashes[~is_hot].view(np.int64)))
+        return [batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), pa.array(lengths),
+                pa.array(np.add.reduceat(is_hot.astype(np.int64), heads)), pa.array(np.add.reduceat(logs, heads)), rare]
 
 
 def _scored(docs: DataFrame, model: Model, hot, filter_) -> DataFrame:
-    """Each text's model score (null without a broadcast filter), the base score over its
-    hot words, and the hashes of its other tokens."""
+    """SCORE_SCHEMA with a broadcast filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_keys, hot_logs = (np.frombuffer(b, t) for b, t in zip(hot.value, (np.uint64, np.float64), strict=True))
-        probe = Filter(*filter_.value).levels if filter_ is not None else None
-        words = WordHashes(END)
+        frequent, probe, words = _Hot(*hot.value), Filter(*filter_.value).levels, WordHashes(END)
         for batch in slices_by_bytes(batches, "text", SLICE_BYTES):
             hashes, lengths = words.tokens(byte_texts(batch.column("text")))
-            heads = np.cumsum(lengths) - lengths
-            distinct, at = np.unique(hashes, return_inverse=True)
-            if len(hot_keys):
-                place = np.minimum(np.searchsorted(hot_keys, distinct), len(hot_keys) - 1)
-                is_hot = (hot_keys[place] == distinct)
-                logs = np.where(is_hot, hot_logs[place], 0.0)
-            else:
-                is_hot, logs = np.zeros(len(distinct), bool), np.zeros(len(distinct))
-            is_hot, logs = is_hot[at], logs[at]
-            rare = hashes[~is_hot].view(np.int64)
-            ends = np.cumsum(np.add.reduceat((~is_hot).astype(np.int64), heads))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), pa.array(lengths),
-                 pa.array(np.add.reduceat(is_hot.astype(np.int64), heads)), pa.array(np.add.reduceat(logs, heads)),
-                 pa.array(_score(model, hashes, lengths, probe)) if probe else pa.nulls(len(lengths), pa.float64()),
-                 pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(rare))],
-                names=["rid", "doc_id", "held_out", "n_tokens", "hot_known", "hot_score", "score", "rare"])
+            yield pa.RecordBatch.from_arrays([*frequent.columns(batch, hashes, lengths),
+                                              pa.array(_score(model, hashes, lengths, probe))],
+                                             names=[f.name for f in ASK_TYPES][:8])
 
-    return docs.select("rid", "doc_id", "held_out", "text").mapInArrow(run, SCORE_SCHEMA)
+    return written(docs.select("rid", "doc_id", "held_out", "text").mapInArrow(run, SCORE_SCHEMA), "lm-scored")
 
 
-def _routed(docs: DataFrame, parts: DataFrame, model: Model, part_bits: int) -> DataFrame:
-    """(rid, score) when the filter is too large to broadcast: each text's distinct n-gram
-    keys go to the part that owns them, are probed there, and their levels come back."""
+def _routed(docs: DataFrame, parts: DataFrame, model: Model, hot, part_bits: int) -> DataFrame:
+    """SCORE_SCHEMA when the filter is too large to broadcast: each text's distinct n-gram keys go
+    to the part that owns them, are probed there, and their levels come back to the text."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes(END)
+        frequent, words = _Hot(*hot.value), WordHashes(END)
         for batch in slices_by_bytes(batches, "text", SLICE_BYTES):
+            hashes, lengths = words.tokens(byte_texts(batch.column("text")))
+            ends = np.cumsum(lengths)
+            n = len(lengths)
+            own = [hashes[e - m:e] for e, m in zip(ends, lengths, strict=True)]
+            # a row for each text, with its tokens, and one for each part that it asks
+            yield pa.RecordBatch.from_arrays(
+                [*frequent.columns(batch, hashes, lengths), pa.nulls(n, pa.float64()),
+                 pa.array(np.full(n, -1, np.int32)), pa.array([h.tobytes() for h in own], pa.binary())],
+                schema=ASK_TYPES)
             found = []
-            for rid, text in zip(batch.column("rid").to_pylist(), byte_texts(batch.column("text")), strict=True):
-                hashes, lengths = words.tokens([text])
-                keys = np.unique(np.concatenate([hashes, pair_key(contexts(hashes, lengths), hashes)]))
-                found += [(part, rid, blob) for part, _, blob, _ in _blobs(part_bits, 0, keys, np.zeros(len(keys)))]
-                found.append((-1, rid, hashes.tobytes()))
-            yield _rows(found, [("part", pa.int32()), ("rid", pa.int64()), ("keys", pa.binary())])
+            for rid, h in zip(batch.column("rid").to_pylist(), own, strict=True):
+                keys = np.unique(np.concatenate([h, pair_key(contexts(h, np.array([len(h)])), h)]))
+                found += [(rid, part, blob) for part, _, blob, _ in _blobs(part_bits, 0, keys, np.zeros(len(keys)))]
+            filled = {"rid": pa.array([f[0] for f in found], pa.int64()),
+                      "part": pa.array([f[1] for f in found], pa.int32()),
+                      "keys": pa.array([f[2] for f in found], pa.binary())}
+            yield pa.RecordBatch.from_arrays([filled.get(f.name, pa.nulls(len(found), f.type)) for f in ASK_TYPES],
+                                             schema=ASK_TYPES)
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         pieces = right["piece"].to_pylist()
@@ -316,22 +338,22 @@ def _routed(docs: DataFrame, parts: DataFrame, model: Model, part_bits: int) ->
 
     def finish(t: pa.Table) -> pa.Table:
         rows = t.to_pylist()
-        seq = [r["keys"] for r in rows if r["levels"] is None]
+        hashes = np.frombuffer(next(r["keys"] for r in rows if r["levels"] is None), np.uint64)
         keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows if r["levels"] is not None])
         levels = np.concatenate([np.frombuffer(r["levels"], np.uint8) for r in rows if r["levels"] is not None])
         order = np.argsort(keys)
         keys, levels = keys[order], levels[order].astype(np.int64)
-        hashes = np.frombuffer(seq[0], np.uint64)
         score = _score(model, hashes, np.array([len(hashes)]), lambda k: levels[np.searchsorted(keys, k)])
         return pa.table({"rid": [rows[0]["rid"]], "score": [float(score[0])]})
 
-    asked = written(docs.select("rid", "text").mapInArrow(ask, "part int, rid long, keys binary"), "lm-probes")
-    answered = (asked.filter("part >= 0").groupBy("part")
+    asked = written(docs.select("rid", "doc_id", "held_out", "text").mapInArrow(ask, ASK_SCHEMA), "lm-probes")
+    answered = (asked.filter("part >= 0").select("part", "rid", "keys").groupBy("part")
                 .cogroup(parts.select("part", "piece").groupBy("part"))
                 .applyInArrow(answer, "rid long, keys binary, levels binary"))
-    sequences = asked.filter("part < 0").select("rid", "keys", F.lit(None).cast("binary").alias("levels"))
-    return (answered.unionByName(sequences).groupBy("rid")
-            .applyInArrow(finish, "rid long, score double"))
+    texts = asked.filter("part < 0")
+    sequences = texts.select("rid", "keys", F.lit(None).cast("binary").alias("levels"))
+    scores = answered.unionByName(sequences).groupBy("rid").applyInArrow(finish, "rid long, score double")
+    return written(texts.drop("part", "keys", "score").join(scores, "rid"), "lm-scored")
 
 
 def _joined(parts: DataFrame, n_parts: int) -> tuple[bytes, list[int]]:
@@ -394,13 +416,11 @@ def lm_scores(docs: DataFrame, folds: int = 10, hot_words: int = 1 << 20, weight
     hot_keys = b"".join(r["keys"] for r in hot_rows)
     hot_counts = np.frombuffer(b"".join(r["counts"] for r in hot_rows), np.int64)
     hot = spark.sparkContext.broadcast((hot_keys, np.log10((hot_counts + 0.1) / model.floor).tobytes()))
-    fits = filter_bytes <= max_broadcast_bytes
-    filter_ = None
-    if fits:
+    if filter_bytes <= max_broadcast_bytes:
         filter_ = spark.sparkContext.broadcast(_joined(parts, 1 << part_bits))
-    scored = written(_scored(docs, model, hot, filter_), "lm-scored")
-    if not fits:
-        scored = scored.drop("score").join(_routed(docs, parts, model, part_bits), "rid")
+        scored = _scored(docs, model, hot, filter_)
+    else:
+        scored = _routed(docs, parts, model, hot, part_bits)
     rare = (scored.select("rid", F.explode("rare").alias("h"))
             .join(words.mapInArrow(exploded, "h long, c long"), "h", "left")
             .groupBy("rid").agg(F.count("c").alias("rare_known"),

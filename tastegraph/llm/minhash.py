@@ -17,15 +17,17 @@ equal to the weighted Jaccard index.
 no bucket with a probability of 0.00007. Texts whose words are equal are one class from
 the start. Then
 
-1. each class is compared with the smallest id of each of its buckets, and verified pairs
-   are joined into components;
-2. wherever a bucket still holds several components, every pair of its members from
-   different components is compared, but for those inside the largest and those that were
-   compared before.
+1. each class is compared with the most central member of each of its buckets (the one
+   that meets most others in its own buckets), and verified pairs are joined into
+   components. Pairs are first held against the signatures (a pair at 0.8 falls below
+   ``ESTIMATE`` in fewer than one case in 10^5), then against the exact index;
+2. wherever a bucket of three or more still holds several components, its members outside
+   the largest one are compared exactly with all of them, through an index of their runs.
+   Such a bucket is cut into blocks by the size of its texts, each pair of blocks is a task
+   of its own, and only links that join components leave it.
 
 So every pair that shares a bucket is compared or already in one component, and no bucket's
-members are paired all with all. Pairs are first held against the signatures (a pair at 0.8
-falls below ``ESTIMATE`` in fewer than one case in 10^5), then against the exact index.
+members are paired all with all. Buckets of the same members are compared once.
 
 Result: one row per document with ``class_id``, the smallest doc_id that its links reach, and
 ``kept`` (doc_id = class_id). Defined cases: null and empty texts (and those of white space
@@ -36,7 +38,7 @@ empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +46,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import MIX_1, WordHashes, byte_texts, mix64, slices_by_bytes, unit_open, written
-from tastegraph.llm.components import connected_components
+from tastegraph.llm.common import MIX_1, WordHashes, by_group, byte_texts, mix64, slices_by_bytes, unit_open, written
+from tastegraph.llm.components import UnionFind, connected_components
 
 WORDS = 5
 BANDS = 24
@@ -53,8 +55,9 @@ ROWS = 5
 REGISTERS = BANDS * ROWS
 ESTIMATE = 0.62
 SLICE_BYTES = 2 << 20
+BLOCK_CHARS = 4 << 20
 PIECE_STEP = np.uint64(0xA0761D6478BD642F)
-POINT_STEP = np.uint64(0xE7037ED1A0B428DB)
+POINT_STEP = 0xE7037ED1A0B428DB
 SECOND = np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -100,7 +103,7 @@ def signatures(run: np.ndarray, count: np.ndarray, text: np.ndarray, n_texts: in
     step = 0
     while len(seed):
         step += 1
-        bits = mix64(seed + np.uint64(step) * POINT_STEP)
+        bits = mix64(seed + np.uint64(step * POINT_STEP % 2 ** 64))
         time = time - np.log(unit_open(bits)) / width
         more = mix64(bits ^ SECOND)
         register = ((more >> np.uint64(32)) * np.uint64(REGISTERS)) >> np.uint64(32)
@@ -188,6 +191,62 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
+def _joining(least: float) -> Callable[[pa.Table], pa.RecordBatch | None]:
+    """For a pair of blocks of a bucket: links (a, b) that join components of its members."""
+
+    def work(t: pa.Table) -> pa.RecordBatch | None:
+        text, outer = byte_texts(t["text"]), t["outer"].to_pylist()
+        ids, part = t["doc_id"].to_pylist(), t["part"].to_pylist()
+        run, count, of = multisets(*runs(*WordHashes().tokens(text)))
+        total = np.bincount(of, weights=count, minlength=len(ids))
+        edges = np.searchsorted(of, np.arange(len(ids) + 1))
+        order = np.argsort(run, kind="stable")
+        index, index_of, index_count = run[order], of[order], count[order]
+        found, links = UnionFind(), []
+        for x in np.flatnonzero(outer).tolist():
+            own, n = run[edges[x]:edges[x + 1]], count[edges[x]:edges[x + 1]]
+            low, high = np.searchsorted(index, own), np.searchsorted(index, own, side="right")
+            times = high - low
+            at = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            shared = np.bincount(index_of[at], weights=np.minimum(index_count[at], np.repeat(n, times)),
+                                 minlength=len(ids))
+            near = shared / np.maximum(total[x] + total - shared, 1) >= least
+            for y in np.flatnonzero(near).tolist():
+                if part[x] != part[y] and found.join(part[x], part[y]):
+                    links.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return work
+
+
+def _across(met: DataFrame, parts: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links between members of a bucket that are in different components so far."""
+    once = met.groupBy("together", "n").agg(F.min("bucket").alias("bucket")).select("bucket")
+    grouped = (met.join(once, "bucket", "left_semi").select("bucket", "doc_id")
+               .join(parts, F.col("doc_id") == F.col("node"), "left")
+               .select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part")))
+    chars = texts.groupBy("doc_id").agg(F.sum(F.length("text")).alias("chars"))
+    sizes = (grouped.join(chars, "doc_id").groupBy("bucket", "part")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars")))
+    most = F.max(F.struct("n", "part", "chars")).alias("most")
+    mixed = (sizes.groupBy("bucket").agg(most, F.count(F.lit(1)).alias("parts"), F.sum("chars").alias("chars"))
+             .filter("parts > 1")
+             .select("bucket", F.col("most.part").alias("main"),
+                     F.ceil(F.col("chars") / BLOCK_CHARS).cast("int").alias("blocks"),
+                     F.ceil((F.col("chars") - F.col("most.chars") + 1) / BLOCK_CHARS).cast("int").alias("outer_blocks")))
+    left = grouped.join(mixed, "bucket")
+    side = lambda i, j, outer: left.select(
+        "bucket", "doc_id", "part", F.lit(outer).alias("outer"), i.alias("i"), j.alias("j"), "main", "blocks",
+        "outer_blocks")
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    outer = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("outer_blocks")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    placed = (side(every("outer_blocks"), own, False)
+              .unionByName(side(outer, F.lit(0), True).filter("part <> main").withColumn("j", every("blocks")))
+              .select("bucket", "i", "j", "outer", "doc_id", "part"))
+    return by_group(placed.join(texts, "doc_id"), ["bucket", "i", "j"], "a long, b long", _joining(least))
+
+
 def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """doc_id, class_id and kept of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -196,29 +255,23 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     # the smallest id of each class stands for it (ids that stand for two classes join them)
     reps = sign.join(classes.select("key", F.col("rep").alias("doc_id")), ["key", "doc_id"]).dropDuplicates(["key"])
     members = reps.select("doc_id", F.explode("bands").alias("bucket"))
-    crowded = members.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets = written(members.join(crowded, "bucket").select("bucket", "doc_id", "leader"), "minhash-buckets")
-    ids = buckets.select("doc_id").distinct()
+    crowded = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"),
+                                             F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("together"))
+               .filter("n > 1"))
+    met = written(members.join(crowded, "bucket"), "minhash-met")
+    central = met.groupBy("doc_id").agg(F.sum("n").alias("meets"))
+    leaders = (met.join(central, "doc_id").groupBy("bucket")
+               .agg(F.max(F.struct("meets", (-F.col("doc_id")).alias("minus"))).alias("most"))
+               .select("bucket", (-F.col("most.minus")).alias("leader")))
+    ids = met.select("doc_id").distinct()
     marks = written(reps.join(ids, "doc_id", "left_semi").select("doc_id", "marks"), "minhash-marks")
     # one row for each id and text: an id may have several texts, and a text many rows
     texts = written(docs.join(ids, "doc_id", "left_semi").withColumn("h", F.xxhash64("text"))
                     .dropDuplicates(["doc_id", "h"]).drop("h"), "minhash-texts")
-    first = written(buckets.filter("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
-                    .distinct(), "minhash-first")
+    first = (met.join(leaders, "bucket").filter("doc_id <> leader")
+             .select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct())
     links = written(_verified(_likely(first, marks), texts, least), "minhash-links")
-    parts = connected_components(links)
-    grouped = (buckets.select("bucket", "doc_id")
-               .join(parts, F.col("doc_id") == F.col("node"), "left")
-               .select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part")))
-    sizes = grouped.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("most"), F.count(F.lit(1)).alias("parts"))
-             .filter("parts > 1").select("bucket", F.col("most.part").alias("main")))
-    left = written(grouped.join(mixed, "bucket"), "minhash-mixed")
-    other = left.filter("part <> main").select("bucket", F.col("doc_id").alias("x"), F.col("part").alias("px"))
-    second = (other.join(left, "bucket").filter("px <> part AND (part = main OR x < doc_id)")
-              .select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
-              .join(first, ["a", "b"], "left_anti"))
-    more = written(_verified(_likely(second, marks), texts, least), "minhash-more")
+    more = written(_across(met.filter("n > 2"), connected_components(links), texts, least), "minhash-more")
     parts = connected_components(links.unionAll(more))
     classed = (classes.join(parts, F.col("rep") == F.col("node"), "left")
                .select("key", F.coalesce("component", "rep").alias("class_id")))

@@ -6,8 +6,9 @@
     python -m tastegraph.cli query NAME --sf-dir DIR --out DIR
 
 Inputs may be CSV (the public dump layout) or Parquet (``--format parquet``). The
-session comes from ``spark-submit`` (or a local one when run directly); its
-``spark.checkpoint.dir`` must name shared storage on a cluster.
+session takes its master and every other setting from ``spark-submit`` or
+``spark-defaults.conf``; nothing is set here. ``spark.checkpoint.dir`` must name shared
+storage on a cluster.
 """
 
 from __future__ import annotations
@@ -18,12 +19,7 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    from tastegraph.session import local_session
-
-    return local_session()
+    return SparkSession.builder.appName("tastegraph").getOrCreate()
 
 
 def main(argv=None) -> int:

@@ -25,14 +25,19 @@ from tastegraph.operators.skew import BUCKETS, heavy_keys
 from tastegraph.session import shuffle_partitions
 
 
+EXACT = "decimal(38,0)"
+
+
 def _exact_terms(n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy):
-    """Integer numerator and squared norms, all scale factors cancelled. Each
-    product is overflow-checked (``try_*`` gives null), so the caller can fall back
-    to the double form on huge inputs instead of failing under ANSI mode."""
-    m, a, s = F.try_multiply, F.try_add, F.try_subtract
-    num = a(s(s(m(m(n_i, n_j), sxy), m(m(s_i, n_j), sy)), m(m(s_j, n_i), sx)), m(m(c, s_i), s_j))
-    dx = a(s(m(m(n_i, n_i), sxx), m(m(m(F.lit(2).cast("long"), n_i), s_i), sx)), m(m(c, s_i), s_i))
-    dy = a(s(m(m(n_j, n_j), syy), m(m(m(F.lit(2).cast("long"), n_j), s_j), sy)), m(m(c, s_j), s_j))
+    """Integer numerator and squared norms, all scale factors cancelled. The products
+    are taken in decimal(38,0): exact up to about 10^9 ratings of each item, and the same
+    form at every size."""
+    d = [x.cast("decimal(19,0)") for x in (n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy)]
+    n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy = d
+    m = lambda a, b, z: ((a * b).cast(EXACT) * z).cast(EXACT)
+    num = m(n_i, n_j, sxy) - m(s_i, n_j, sy) - m(s_j, n_i, sx) + m(s_i, s_j, c)
+    dx = m(n_i, n_i, sxx) - m(n_i, s_i, sx) * 2 + m(s_i, s_i, c)
+    dy = m(n_j, n_j, syy) - m(n_j, s_j, sy) * 2 + m(s_j, s_j, c)
     return num, dx, dy
 
 
@@ -44,25 +49,22 @@ def _cosine(num: Column, dx: Column, dy: Column) -> Column:
 
 def pair_similarity(ratings: DataFrame, *, min_item: int = 0, min_common: int = 0,
                     shrink: float = 0.0, clip: bool = False, scale: int | None = 2,
-                    heavy_degree: int = 20000, max_salt: int = 64,
+                    heavy_degree: int = 20000, max_salt: int | None = None,
                     user_col: str = "user_id", item_col: str = "item_id",
                     rating_col: str = "rating") -> DataFrame:
     """item_i < item_j, n_common, sim.
 
-    ``scale``: ratings times ``scale`` must be integers (2 for half-steps); then
-    every sum is an exact long and the result does not depend on shuffle order.
-    ``scale=None`` uses item-centred doubles instead.
+    ``scale``: ratings times ``scale`` must be integers (2 for half-steps; any other
+    rating raises an error); then every sum is an exact long and the result does not
+    depend on shuffle order. ``scale=None`` centres each rating on its item's mean before
+    the join and sums doubles; what remains within 10^-9 of the mean counts as 0, so an
+    item whose ratings are all equal has similarity 0.
     ``min_item``: items with fewer raters are left out before the join (they
     could never reach a useful support). ``heavy_degree``: users with more ratings
-    than this are salted into ceil(deg / heavy_degree) buckets (at most ``max_salt``).
+    than this are salted into ceil(deg / heavy_degree) buckets (``max_salt``: at most so
+    many; no limit by default).
     """
-    r = _scaled(ratings, scale, user_col, item_col, rating_col)
-
-    stats = (r.groupBy("item")
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("s")))
-    if min_item > 0:
-        stats = stats.where(F.col("n") >= min_item)
-        r = r.join(stats.select("item"), "item", "left_semi")
+    r, stats = _prepared(ratings, scale, user_col, item_col, rating_col, min_item)
 
     # Only heavy users need their degree: the table of users above heavy_degree has
     # at most rows / heavy_degree entries, so joining it costs no full shuffle of the
@@ -100,31 +102,42 @@ def _scaled(ratings: DataFrame, scale, user_col, item_col, rating_col) -> DataFr
     if scale is None:
         x = F.col(rating_col).cast("double")
     else:
-        x = F.round(F.col(rating_col) * F.lit(scale)).cast("long")
+        steps = F.col(rating_col) * F.lit(scale)
+        whole = F.round(steps)
+        x = F.when(steps == whole, whole.cast("long")).when(steps.isNotNull(), F.raise_error(F.concat(
+            F.lit(f"rating is not a multiple of 1/{scale}; use scale=None: "), F.col(rating_col).cast("string")))
+            .cast("long"))
     return ratings.select(F.col(user_col).alias("u"), F.col(item_col).alias("item"), x.alias("x"))
 
 
+def _prepared(ratings: DataFrame, scale, user_col, item_col, rating_col, min_item: int) -> tuple[DataFrame, DataFrame]:
+    """(u, item, x) and item stats (item, n, s), both above the support gate. x is the scaled
+    rating, or its distance from the item's mean."""
+    r = _scaled(ratings, scale, user_col, item_col, rating_col)
+    stats = r.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"))
+    if min_item > 0:
+        stats = stats.where(F.col("n") >= min_item)
+    if scale is None:
+        mean = stats.select("item", (F.col("s") / F.col("n")).alias("mu"))
+        off = F.col("x") - F.col("mu")
+        r = r.join(mean, "item").select("u", "item", F.when(
+            F.abs(off) > 1e-9 * F.greatest(F.lit(1.0), F.abs("mu")), off).otherwise(F.lit(0.0)).alias("x"))
+    elif min_item > 0:
+        r = r.join(stats.select("item"), "item", "left_semi")
+    return r, stats
+
+
 def _finish(pairs: DataFrame, stats: DataFrame, *, scale, clip: bool, shrink: float) -> DataFrame:
     """pairs (i, j, c, sx, sy, sxy, sxx, syy) + item stats (item, n, s) -> similarity."""
-    si = stats.select(F.col("item").alias("i"), F.col("n").alias("n_i"), F.col("s").alias("s_i"))
-    sj = stats.select(F.col("item").alias("j"), F.col("n").alias("n_j"), F.col("s").alias("s_j"))
-    p = pairs.join(si, "i").join(sj, "j")
-
-    cols = [F.col(k) for k in ("n_i", "s_i", "n_j", "s_j", "c", "sx", "sy", "sxy", "sxx", "syy")]
-    n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy = cols
-    # double form: centred sums expanded with the means (used alone for non-integer
-    # ratings, and as the fallback when an exact product would overflow a long)
-    mu_i, mu_j = s_i.cast("double") / n_i, s_j.cast("double") / n_j
-    num_d = sxy - mu_j * sx - mu_i * sy + c * mu_i * mu_j
-    dx_d = sxx - F.lit(2.0) * mu_i * sx + c * mu_i * mu_i
-    dy_d = syy - F.lit(2.0) * mu_j * sy + c * mu_j * mu_j
-    sim_double = _cosine(num_d, dx_d, dy_d)
-    if scale is None:
-        sim = sim_double
+    c = F.col("c")
+    if scale is None:  # the ratings are centred already
+        p, sim = pairs, _cosine(F.col("sxy"), F.col("sxx"), F.col("syy"))
     else:
-        num, dx, dy = _exact_terms(n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy)
-        exact_ok = num.isNotNull() & dx.isNotNull() & dy.isNotNull()
-        sim = F.when(exact_ok, _cosine(num, dx, dy)).otherwise(sim_double)
+        si = stats.select(F.col("item").alias("i"), F.col("n").alias("n_i"), F.col("s").alias("s_i"))
+        sj = stats.select(F.col("item").alias("j"), F.col("n").alias("n_j"), F.col("s").alias("s_j"))
+        p = pairs.join(si, "i").join(sj, "j")
+        sim = _cosine(*_exact_terms(*[F.col(k) for k in (
+            "n_i", "s_i", "n_j", "s_j", "c", "sx", "sy", "sxy", "sxx", "syy")]))
     if clip:
         sim = F.least(F.greatest(sim, F.lit(-1.0)), F.lit(1.0))
     if shrink and shrink > 0:
@@ -141,11 +154,7 @@ def similarity_to(ratings: DataFrame, items: list[int], *, min_item: int = 0, mi
     same values), without building the whole pair table: only the raters of the
     target items are joined with their other ratings, so the work is the sum of
     the targets' raters' degrees instead of the sum of all squared degrees."""
-    r = _scaled(ratings, scale, user_col, item_col, rating_col)
-    stats = r.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"))
-    if min_item > 0:
-        stats = stats.where(F.col("n") >= min_item)
-        r = r.join(stats.select("item"), "item", "left_semi")
+    r, stats = _prepared(ratings, scale, user_col, item_col, rating_col, min_item)
     tgt = r.where(F.col("item").isin(list(items))).select("u", F.col("item").alias("t"), F.col("x").alias("xt"))
     other = r.join(tgt.select("u").distinct(), "u", "left_semi").select(
         "u", F.col("item").alias("o"), F.col("x").alias("xo"))
@@ -178,8 +187,9 @@ def symmetrise(sims: DataFrame) -> DataFrame:
 
 
 def neighbours(sims: DataFrame, *, k: int = 30, min_sim: float | None = 0.05,
-               digits: int | None = 6) -> DataFrame:
+               digits: int | None = 6, display_digits: int | None = None) -> DataFrame:
     """item_id, rank, neighbour_id, sim: the k strongest neighbours of each item.
+    ``display_digits`` rounds the kept values last, after the gate and the cut.
 
     The similarity is rounded once (``digits``) and the cut is taken on the rounded
     value, then neighbour id ascending, so float noise cannot flip a cut. The bare
@@ -191,9 +201,10 @@ def neighbours(sims: DataFrame, *, k: int = 30, min_sim: float | None = 0.05,
     if min_sim is not None:
         sym = sym.where(F.col("sim") >= F.lit(min_sim))
     w = Window.partitionBy("item_id").orderBy(F.col("sim").desc(), F.col("neighbour_id").asc())
+    sim = F.col("sim") if display_digits is None else F.round("sim", display_digits)
     return (sym.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
-            .select("item_id", "rank", "neighbour_id", "sim"))
+            .select("item_id", "rank", "neighbour_id", sim.alias("sim")))
 
 
 def similar_items(sims: DataFrame, item: int | None = None, *, k: int = 5,

@@ -1,7 +1,7 @@
 """Salted equi-join for keys that may hold a large share of one side.
 
 Keys of ``left`` with more than ``threshold`` rows are split over
-``ceil(rows / threshold)`` buckets (at most ``max_salt``): each left row takes a
+``ceil(rows / threshold)`` buckets (``max_salt``: at most so many; no limit by default): each left row takes a
 bucket from a hash of its own columns, each matching right row is replicated to
 every bucket of its key. Every (left, right) match is produced exactly once, and a
 hot key's work is spread over that many tasks instead of one. The heavy-key table
@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 SALT, BUCKETS = "_salt", "_buckets"
 
 
-def heavy_keys(df: DataFrame, on: list[str], *, threshold: int, max_salt: int) -> DataFrame:
+def heavy_keys(df: DataFrame, on: list[str], *, threshold: int, max_salt: int | None = None) -> DataFrame:
     """on..., _buckets for the keys of ``df`` with more than ``threshold`` rows."""
     n = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return (n.where(F.col("_n") > threshold)
-            .select(*on, F.least(F.ceil(F.col("_n") / F.lit(threshold)), F.lit(max_salt)).cast("int").alias(BUCKETS)))
+    buckets = F.ceil(F.col("_n") / F.lit(threshold))
+    if max_salt is not None:
+        buckets = F.least(buckets, F.lit(max_salt))
+    return n.where(F.col("_n") > threshold).select(*on, buckets.cast("int").alias(BUCKETS))
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], *, salt_cols: list[str],
-                threshold: int = 100_000, max_salt: int = 64, how: str = "inner",
+                threshold: int = 100_000, max_salt: int | None = None, how: str = "inner",
                 partitions: int | None = None) -> DataFrame:
     """``left.join(right, on, how)`` (inner or left) with hot keys of ``left`` salted.
 

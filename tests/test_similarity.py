@@ -166,3 +166,39 @@ def test_symmetric_and_nested_order(spark, small_pairs):
     for item, g in flat.groupby("item_id"):
         want = list(g.sort_values("rank").neighbour_id)
         assert [e.neighbour_id for e in nested[item]] == want
+
+
+def test_constant_items_have_similarity_zero_without_a_grid(spark):
+    """Ratings that are no multiples of a step: items of equal ratings stay at 0."""
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for u in range(40):
+        rows += [(u, 1, 3.1), (u, 2, 0.7), (u, 3, rng.uniform(0, 5)), (u, 4, 2 * rows[-1][2] if rows else 1.0)]
+    r = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    got = {(x.item_i, x.item_j): x.sim for x in S.pair_similarity(r, scale=None).collect()}
+    assert got[(1, 2)] == got[(1, 3)] == got[(2, 4)] == 0
+    assert 0 < abs(got[(3, 4)]) <= 1 + 1e-9
+    one = {(x.item_i, x.item_j): x.sim for x in S.similarity_to(r, [3], scale=None).collect()}
+    assert one[(3, 4)] == pytest.approx(got[(3, 4)])
+
+
+def test_ratings_off_the_grid_raise(spark):
+    r = spark.createDataFrame([(1, 1, 3.3), (1, 2, 4.0)], "user_id long, item_id long, rating double")
+    with pytest.raises(Exception, match="not a multiple"):
+        S.pair_similarity(r).collect()
+
+
+def test_large_counts_are_exact(spark):
+    """Sums far beyond the range of a long product: equal to Python's integers."""
+    import math
+
+    n, s = 3_000_000_000, 15_000_000_001
+    pairs = spark.createDataFrame([(1, 2, n, s, s, 80 * n, 90 * n, 95 * n)],
+                                  "i long, j long, c long, sx long, sy long, sxy long, sxx long, syy long")
+    stats = spark.createDataFrame([(1, n, s), (2, n, s)], "item long, n long, s long")
+    got = S._finish(pairs, stats, scale=2, clip=False, shrink=0).first().sim
+    num = n * n * 80 * n - 2 * s * n * s + n * s * s
+    dx, dy = (n * n * k * n - 2 * n * s * s + n * s * s for k in (90, 95))
+    assert got == pytest.approx(num / (math.sqrt(dx) * math.sqrt(dy)), rel=1e-12)

@@ -36,7 +36,8 @@ def _max_where(cond: Column, value: Column | None = None) -> Column:
 def _after_last_clear(events: DataFrame) -> DataFrame:
     # an event without a user, an unknown action, or a per-item action without an
     # item cannot change any state; a clear needs no item
-    ev = (events.select("event_id", "user_id", "item_id", "action")
+    # a repeated event counts once, as in the stream
+    ev = (events.select("event_id", "user_id", "item_id", "action").distinct()
           .where(F.col("user_id").isNotNull() & F.col("event_id").isNotNull()
                  & F.col("action").isin("like", "seed", "dislike", "remove", "clear")
                  & (F.col("item_id").isNotNull() | (F.col("action") == "clear"))))

@@ -210,7 +210,8 @@ def recommend(prefs: DataFrame, nb: DataFrame, catalog: DataFrame, *, max_recs:
     ``prepared``: the output of ``prepare_catalog(catalog)``, if already computed."""
     scores = candidate_scores(prefs, nb)
     counts = genre_counts(prefs, catalog)
-    prepared = prepared if prepared is not None else prepare_catalog(catalog)
+    if prepared is None:
+        prepared = prepare_catalog(catalog) if backfill else {"pop": _popularity(catalog)}
     pop = prepared["pop"]
     cf_rows = _genre_score(scores.select("user_id", "item_id", "cf_u"), counts, catalog).join(pop, "item_id")
     cf_rows = cf_rows.select("user_id", "item_id", "cf_u", "g6", "pop6", _final(F.col("cf_u")).alias("final"),

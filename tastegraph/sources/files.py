@@ -11,7 +11,20 @@ from tastegraph import schemas
 
 def _csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return (spark.read.schema(schema).option("header", True).option("quote", '"')
-            .option("escape", '"').option("mode", "PERMISSIVE").option("encoding", "UTF-8").csv(path))
+            .option("escape", '"').option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+            .option("enforceSchema", False).csv(path))  # the header must name the columns
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_ratings(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -34,8 +47,8 @@ def read_items(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 def read_links(spark: SparkSession, path: str | None, fmt: str = "csv") -> DataFrame:
     """item_id, imdb ('' when blank), tmdb (null when blank or not a number). A
-    missing table (path None) is an empty relation."""
-    if path is None:
+    missing table (path None, or no file there) is an empty relation."""
+    if path is None or not _exists(spark, path):
         return spark.createDataFrame([], schemas.LINKS)
     if fmt == "parquet":
         return spark.read.schema(schemas.LINKS).parquet(path)

@@ -26,10 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tastegraph import schemas
 from tastegraph.session import scratch_path
-from tastegraph.sources.fixtures import feedback_from_events
 
-EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 OUT_SCHEMA = "user_id long, item_id long, state string, since_event long, last_event long, late_events long"
 STATE_SCHEMA = ("last_event long, items array<long>, liked array<int>, disliked array<int>, "
                 "since array<long>, late long")
@@ -65,7 +64,7 @@ def fold_user(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
                for i, a, b, s in zip(items, liked, disliked, since)}
     else:
         last, cur, late = -1, {}, 0
-    ev = pd.concat(list(pdfs), ignore_index=True).sort_values("event_id", kind="stable")
+    ev = pd.concat(list(pdfs), ignore_index=True).drop_duplicates().sort_values("event_id", kind="stable")
     stale = ev["event_id"] <= last  # replayed or late: at or before the last applied event
     late = int(late) + int(stale.sum())
     ev = ev[~stale]
@@ -78,19 +77,16 @@ def fold_user(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
     keys = sorted(cur)
     state.update((last, keys, [cur[i][0] for i in keys], [cur[i][1] for i in keys],
                   [cur[i][2] for i in keys], late))
-    if keys:
-        yield pd.DataFrame({
-            "user_id": [user_id] * len(keys),
-            "item_id": keys,
-            "state": ["liked" if cur[i][0] else "disliked" for i in keys],
-            "since_event": pd.array([cur[i][2] if cur[i][0] else None for i in keys], dtype="Int64"),
-            "last_event": [last] * len(keys),
-            "late_events": [late] * len(keys),
-        })
-    else:
-        yield pd.DataFrame({"user_id": [user_id], "item_id": pd.array([None], dtype="Int64"),
-                            "state": [None], "since_event": pd.array([None], dtype="Int64"),
-                            "last_event": [last], "late_events": [late]})
+    rows = [(i, "liked" if cur[i][0] else "disliked", cur[i][2] if cur[i][0] else None) for i in keys]
+    rows = rows or [(None, None, None)]  # the marker of a user without preferences
+    yield pd.DataFrame({
+        "user_id": [user_id] * len(rows),
+        "item_id": pd.array([r[0] for r in rows], dtype="Int64"),
+        "state": pd.array([r[1] for r in rows], dtype="string"),
+        "since_event": pd.array([r[2] for r in rows], dtype="Int64"),
+        "last_event": [last] * len(rows),
+        "late_events": [late] * len(rows),
+    })
 
 
 # Files per micro-batch: bounds each batch (and so each user's group in one call)
@@ -99,13 +95,17 @@ MAX_FILES_PER_TRIGGER = 64
 
 
 def start_feedback_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, *,
-                          glob: str = "events.parquet", max_files: int | None = MAX_FILES_PER_TRIGGER,
+                          glob: str = "*.parquet", max_files: int | None = MAX_FILES_PER_TRIGGER,
+                          schema=schemas.FEEDBACK, to_events: Callable[[DataFrame], DataFrame] | None = None,
                           on_batch: Callable[[DataFrame, int], None] | None = None,
                           available_now: bool = True):
-    reader = (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob))
+    """Folds files of feedback events (``schemas.FEEDBACK``). Files of another layout need
+    their ``schema`` and ``to_events``, which maps them to event_id, user_id, item_id, action."""
+    reader = (spark.readStream.schema(schema).option("pathGlobFilter", glob))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    events = (feedback_from_events(reader.parquet(source_dir))
+    raw = reader.parquet(source_dir)
+    events = ((to_events(raw) if to_events else raw)
               .select("event_id", "user_id", "item_id", "action")
               .where(F.col("user_id").isNotNull() & F.col("event_id").isNotNull()))
     folded = events.groupBy("user_id").applyInPandasWithState(
@@ -149,16 +149,17 @@ def compact(spark: SparkSession, sink: str, out: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def run_feedback_stream(spark: SparkSession, source_dir: str, *, glob: str = "events.parquet",
+def run_feedback_stream(spark: SparkSession, source_dir: str, *, glob: str = "*.parquet",
                         max_files: int | None = MAX_FILES_PER_TRIGGER, sink: str | None = None,
-                        checkpoint: str | None = None, on_batch=None) -> DataFrame:
+                        checkpoint: str | None = None, schema=schemas.FEEDBACK, to_events=None,
+                        on_batch=None) -> DataFrame:
     """Process everything available (Trigger.AvailableNow) and return the current
     preferences. Sink and stream checkpoint default to fresh folders under the
     session's checkpoint folder (shared storage on a cluster)."""
     sink = sink or scratch_path(spark, "feedback-sink")
     checkpoint = checkpoint or scratch_path(spark, "feedback-stream-ckpt")
     q = start_feedback_stream(spark, source_dir, sink, checkpoint, glob=glob, max_files=max_files,
-                              on_batch=on_batch)
+                              schema=schema, to_events=to_events, on_batch=on_batch)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

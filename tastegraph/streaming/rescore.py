@@ -25,10 +25,8 @@ def rescorer(nb: DataFrame, catalog: DataFrame, sink: str):
         prefs = fb_ops.valid_prefs(snapshot.where(F.col("item_id").isNotNull())
                                    .select("user_id", "item_id", "state"), catalog)
         recs = prof_ops.recommend(prefs, nb, catalog, prepared=prepared)
-        marker = (users.join(recs.select("user_id").distinct(), "user_id", "left_anti")
-                  .select("user_id", *[F.lit(None).cast(f.dataType).alias(f.name)
-                                       for f in recs.schema.fields if f.name != "user_id"]))
-        recs.unionByName(marker).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        # one pass: a touched user without recommendations comes out as the marker row
+        users.join(recs, "user_id", "left").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
     return on_batch
 
 

@@ -77,7 +77,7 @@ def test_stream_equals_batch(spark, scratch, n_files):
     src = os.path.join(scratch, "src")
     os.makedirs(src)
     write_event_files(spark, n_files, src)
-    cur = FS.run_feedback_stream(spark, src, glob="events-*.parquet", max_files=1)
+    cur = FS.run_feedback_stream(spark, src, **{**fx.stream_options(), "glob": "events-*.parquet"}, max_files=1)
     batch = FB.fold_feedback(fx.feedback(spark, SF_SMALL))
     assert as_dict(cur) == as_dict(batch)
 
@@ -90,11 +90,11 @@ def test_stream_restart_and_replay(spark, scratch):
     ev.iloc[:half].to_parquet(os.path.join(src, "events-000.parquet"), index=False)
     os.utime(os.path.join(src, "events-000.parquet"), (1_700_000_000, 1_700_000_000))
     sink, ck = os.path.join(scratch, "sink"), os.path.join(scratch, "ck")
-    FS.run_feedback_stream(spark, src, glob="events-*.parquet", sink=sink, checkpoint=ck)
+    FS.run_feedback_stream(spark, src, **{**fx.stream_options(), "glob": "events-*.parquet"}, sink=sink, checkpoint=ck)
     # second half plus a replay of already applied events, after a restart from the checkpoint
     pd.concat([ev.iloc[half:], ev.iloc[half - 50:half]]).to_parquet(
         os.path.join(src, "events-001.parquet"), index=False)
-    cur = FS.run_feedback_stream(spark, src, glob="events-*.parquet", sink=sink, checkpoint=ck)
+    cur = FS.run_feedback_stream(spark, src, **{**fx.stream_options(), "glob": "events-*.parquet"}, sink=sink, checkpoint=ck)
     batch = FB.fold_feedback(fx.feedback(spark, SF_SMALL))
     assert as_dict(cur) == as_dict(batch)
     # the 50 replayed events were dropped and counted per user

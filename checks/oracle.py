@@ -7,28 +7,34 @@ written independently in SQL (window row_number instead of an arg-max aggregate)
 
 from __future__ import annotations
 
-N_CLASSES = 200
-
 BASE_CTES = {
-    "raw": f"""raw AS (
-  SELECT o_custkey AS user_id, l_partkey % {N_CLASSES} AS item_id,
-         CAST(ceil(l_quantity / 5.0) AS BIGINT) AS r2, l_shipdate AS ts,
-         row_number() OVER (PARTITION BY o_custkey, l_partkey % {N_CLASSES}
+    "cls": """cls AS (SELECT CAST(9 * ceil(sqrt(count(*))) AS BIGINT) AS classes FROM part)""",
+    "raw": """raw AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, item_id
            ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC,
                     l_quantity DESC, l_extendedprice DESC) AS rn
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
+  FROM (SELECT o_custkey AS user_id,
+          CASE WHEN l_partkey % 25 = 3 THEN classes + l_partkey * 8 + l_linenumber
+               ELSE l_partkey % classes END AS item_id,
+          CAST(ceil(l_quantity / 5.0) AS BIGINT) AS r2, l_shipdate AS ts,
+          l_shipdate, l_orderkey, l_linenumber, l_quantity, l_extendedprice
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey CROSS JOIN cls))""",
     "r": """r AS (
   SELECT user_id, item_id, r2, CAST(r2 AS DOUBLE) / 2 AS rating, ts FROM raw WHERE rn = 1)""",
     "m": """m AS (
   SELECT item_id, count(*) AS n, CAST(sum(r2) AS BIGINT) AS s, sum(rating) AS rating_sum
   FROM r GROUP BY item_id)""",
-    "items": f"""items AS (
-  SELECT p_partkey AS item_id,
-    concat(CASE WHEN p_partkey % 3 = 0 THEN concat(split_part(p_name, ' ', 2), ', The') ELSE p_name END,
-           CASE WHEN p_partkey % 10 = 9 THEN '' ELSE concat(' (', CAST(1950 + p_size AS VARCHAR), ')') END) AS title,
-    CASE WHEN p_partkey % 17 = 0 THEN '(no genres listed)'
+    "items": """items AS (
+  SELECT item_id,
+    concat(CASE WHEN item_id % 3 = 0 THEN concat(split_part(p_name, ' ', 2), ', The') ELSE p_name END,
+           CASE WHEN item_id % 10 = 9 THEN '' ELSE concat(' (', CAST(1950 + p_size AS VARCHAR), ')') END) AS title,
+    CASE WHEN item_id % 17 = 0 THEN '(no genres listed)'
          ELSE concat(split_part(p_name, ' ', 1), '|', split_part(p_name, ' ', 2), '|', p_type) END AS genres
-  FROM part WHERE p_partkey < {N_CLASSES})""",
+  FROM (SELECT p_partkey % classes AS item_id, min(p_name) AS p_name, min(p_size) AS p_size, min(p_type) AS p_type
+        FROM part CROSS JOIN cls WHERE p_partkey % 25 <> 3 GROUP BY 1 HAVING min(p_size) > 1
+        UNION ALL
+        SELECT classes + p_partkey * 8 + line, p_name, p_size, p_type
+        FROM part CROSS JOIN cls CROSS JOIN range(1, 6) lines(line) WHERE p_partkey % 25 = 3))""",
     "links": """links AS (
   SELECT item_id,
          CASE WHEN item_id % 7 = 0 THEN '' ELSE concat('tt', CAST(item_id AS VARCHAR)) END AS imdb,
@@ -348,7 +354,7 @@ ORACLE["recommendations"] = with_ctes(*profile_ctes(), select=RECS_SELECT)
 
 ORACLE["recommendations_backfill"] = with_ctes(*profile_ctes(k=5), select=RECS_SELECT)
 
-ORACLE["recommendation_reasons"] = with_ctes(*profile_ctes(k=5), """names AS (
+ORACLE["recommendation_reasons"] = with_ctes(*profile_ctes(), """names AS (
   SELECT user_id, item_id, max(CASE WHEN k = 1 THEN title END) AS a, max(CASE WHEN k = 2 THEN title END) AS b
   FROM (SELECT c.user_id, c.item_id, t.title,
                row_number() OVER (PARTITION BY c.user_id, c.item_id ORDER BY c.sim DESC, c.source_id) AS k
@@ -509,3 +515,37 @@ ORDER BY round(sim, 6) DESC, CASE WHEN i = 1 THEN j ELSE i END LIMIT 5""")
 
 
 ORACLE["candidate_pairs"] = with_ctes(*SPLIT_CTES, select="SELECT DISTINCT user_id, item_id FROM te")
+
+# ---- facts about the MLlib models' outputs -----------------------------------------
+
+ORACLE["als_prediction_pairs"] = with_ctes(*SPLIT_CTES, select="""
+SELECT user_id, item_id, true AS not_negative FROM te
+WHERE user_id IN (SELECT user_id FROM tr) AND item_id IN (SELECT item_id FROM tr)""")
+
+ORACLE["als_topk_lists"] = with_ctes(*SPLIT_CTES, select="""
+SELECT user_id, CAST(least(10, (SELECT count(DISTINCT item_id) FROM tr) - count(*)) AS BIGINT) AS n,
+       true AS ranked, true AS falling, CAST(0 AS BIGINT) AS seen
+FROM tr GROUP BY user_id HAVING count(*) < (SELECT count(DISTINCT item_id) FROM tr)""")
+
+ORACLE["als_grid_points"] = """
+SELECT CAST(rank AS BIGINT) AS rank, CAST(max_iter AS BIGINT) AS max_iter, CAST(0.17 AS DOUBLE) AS reg_param,
+       true AS positive, true AS best_is_least, CAST(1 AS BIGINT) AS n_best
+FROM (VALUES (5, 6), (5, 12), (10, 6), (10, 12)) AS g(rank, max_iter)
+WHERE (SELECT count(*) FROM lineitem) > 0"""
+
+ORACLE["forest_prediction_pairs"] = with_ctes(*SPLIT_CTES, select="""
+SELECT user_id, item_id, true AS in_range FROM te WHERE item_id IN (SELECT item_id FROM items)""")
+
+ORACLE["metrics_report_counts"] = with_ctes(*SPLIT_CTES, *pair_cte("pt", source="tr"), *cf_ctes(), """known AS (
+  SELECT user_id, item_id FROM te
+  WHERE user_id IN (SELECT user_id FROM tr) AND item_id IN (SELECT item_id FROM tr))""",
+    """cfn AS (SELECT user_id, item_id FROM cfp WHERE prediction IS NOT NULL)""",
+    """both_ AS (SELECT k.user_id, k.item_id FROM known k JOIN cfn c ON c.user_id = k.user_id AND c.item_id = k.item_id)""",
+    """counts AS (SELECT (SELECT count(*) FROM known) AS als, (SELECT count(*) FROM cfn) AS cf,
+  (SELECT count(*) FROM both_) AS hybrid,
+  (SELECT count(*) FROM both_ WHERE item_id IN (SELECT item_id FROM items)) AS best)""", select="""
+SELECT metric, has_value, n FROM counts, LATERAL (VALUES
+  ('ALS RMSE', true, CAST(als AS VARCHAR)), ('ALS MSE', true, CAST(als AS VARCHAR)), ('ALS MAP', true, ''),
+  ('Best Model Rank', true, ''), ('Best Model MaxIter', true, ''), ('Best Model RegParam', true, ''),
+  ('Item CF RMSE', true, CAST(cf AS VARCHAR)), ('Hybrid Model RMSE', true, CAST(hybrid AS VARCHAR)),
+  ('Best Hybrid Model RMSE', true, CAST(best AS VARCHAR)), ('Best Weights', false, '')) AS t(metric, has_value, n)""")

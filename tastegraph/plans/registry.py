@@ -244,6 +244,12 @@ def profile_inputs(spark: SparkSession, sf_dir: str, k: int = TOP_NEIGHBOURS):
     return prefs, nb, cat
 
 
+def profile_catalog(spark: SparkSession, sf_dir: str):
+    """(valid preferences, catalogue): what needs no neighbour list."""
+    cat = materialize(catalog_of(spark, sf_dir))
+    return materialize(fb_ops.valid_prefs(prefs_of(spark, sf_dir), cat)), cat
+
+
 def _recs_out(recs: DataFrame) -> DataFrame:
     return recs.select("user_id", F.col("rank").cast("long").alias("rank"), "item_id", "cf",
                        "genre_score", "pop", "final", "pct",
@@ -261,14 +267,14 @@ def q_candidate_scores(spark, sf_dir):
 
 @query("genre_affinity")
 def q_genre_affinity(spark, sf_dir):
-    prefs, _, cat = profile_inputs(spark, sf_dir)
+    prefs, cat = profile_catalog(spark, sf_dir)
     a = prof_ops.genre_affinity(prefs, cat)
     return a.select("user_id", "genre", "cnt", r6(F.col("aff")).alias("aff"))
 
 
 @query("taste_top3")
 def q_taste_top3(spark, sf_dir):
-    prefs, _, cat = profile_inputs(spark, sf_dir)
+    prefs, cat = profile_catalog(spark, sf_dir)
     d = cat_ops.genre_dictionary(cat_ops.clean_items(fx.items(spark, sf_dir)))
     t = prof_ops.taste_top(prefs, cat, d, k=3)
     return t.select("user_id", F.col("rank").cast("long").alias("rank"), "genre", "cnt")
@@ -293,7 +299,7 @@ def q_recommendations_backfill(spark, sf_dir):
 
 @query("recommendation_reasons")
 def q_recommendation_reasons(spark, sf_dir):
-    prefs, nb, cat = profile_inputs(spark, sf_dir, k=BACKFILL_K)
+    prefs, nb, cat = profile_inputs(spark, sf_dir)
     recs = materialize(prof_ops.recommend(prefs, nb, cat))  # read three times by reasons
     return prof_ops.reasons(recs, prefs, nb, cat)
 
@@ -444,6 +450,59 @@ def q_forest_predictions(spark, sf_dir):
     return content_ops.score_content(model, feats, test)
 
 
+# ---- facts about the models' outputs that SQL can state ---------------------------------------
+
+@query("als_prediction_pairs")
+def q_als_prediction_pairs(spark, sf_dir):
+    """The held-out pairs the model scores (user and item both in train), each not negative."""
+    p = q_als_predictions(spark, sf_dir)
+    return p.select("user_id", "item_id", (F.col("prediction") >= 0).alias("not_negative"))
+
+
+@query("als_topk_lists")
+def q_als_topk_lists(spark, sf_dir):
+    """Per user: the length of the list without the user's training items, whether its ranks are
+    1..n, its scores fall and no training item is in it."""
+    train, _ = split_of(spark, sf_dir)
+    model = factor_ops.fit_factors(train, **ALS_FIXED)
+    top = materialize(factor_ops.recommend_from_factors(model, 10, seen=train))
+    seen = top.join(train.select("user_id", "item_id"), ["user_id", "item_id"], "left_semi")
+    bad = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("seen"))
+    rows = F.array_sort(F.collect_list(F.struct("rank", "score")))  # ten rows
+    return (top.groupBy("user_id").agg(rows.alias("l"), F.count_distinct("item_id").alias("n"))
+            .join(bad, "user_id", "left")
+            .select("user_id", F.col("n").cast("long").alias("n"),
+                    (F.transform("l", lambda x: x["rank"]) == F.sequence(F.lit(1), F.size("l"))).alias("ranked"),
+                    F.forall(F.sequence(F.lit(2), F.greatest(F.size("l"), F.lit(2))),
+                             lambda i: F.coalesce(F.get("l", i - 1)["score"] <= F.get("l", i - 2)["score"], F.lit(True)))
+                    .alias("falling"), F.coalesce("seen", F.lit(0)).cast("long").alias("seen")))
+
+
+@query("als_grid_points")
+def q_als_grid_points(spark, sf_dir):
+    g = materialize(q_als_grid(spark, sf_dir))
+    least = g.agg(F.min("avg_rmse")).scalar()
+    return g.select(F.col("rank").cast("long").alias("rank"), F.col("max_iter").cast("long").alias("max_iter"),
+                    "reg_param", (F.col("avg_rmse") > 0).alias("positive"),
+                    ((F.col("best") == 1) == (F.col("avg_rmse") == least)).alias("best_is_least"),
+                    g.agg(F.sum("best")).scalar().cast("long").alias("n_best"))
+
+
+@query("forest_prediction_pairs")
+def q_forest_prediction_pairs(spark, sf_dir):
+    """The held-out pairs whose item has metadata, each within the range of the ratings."""
+    p = q_forest_predictions(spark, sf_dir)
+    return p.select("user_id", "item_id", F.col("prediction").between(0.5, 5.0).alias("in_range"))
+
+
+@query("metrics_report_counts")
+def q_metrics_report_counts(spark, sf_dir):
+    """The report's metrics, whether each has a value, and the row count that it names."""
+    m = q_metrics_report(spark, sf_dir)
+    return m.select("metric", F.col("value").isNotNull().alias("has_value"),
+                    F.regexp_extract("detail", r"n=(\d+)", 1).alias("n"))
+
+
 @query("metrics_report")
 def q_metrics_report(spark, sf_dir):
     res = batch_plan.run(fx.ratings(spark, sf_dir), fx.items(spark, sf_dir))
@@ -457,7 +516,7 @@ def q_metrics_report(spark, sf_dir):
 def q_feedback_stream(spark, sf_dir):
     """The fold as a stream (Trigger.AvailableNow over the events file); the same
     rows as feedback_state."""
-    cur = stream_ops.run_feedback_stream(spark, sf_dir)
+    cur = stream_ops.run_feedback_stream(spark, sf_dir, **fx.stream_options())
     return cur.select("user_id", "item_id", "state", "since_event")
 
 
@@ -471,7 +530,8 @@ def q_feedback_stream_recommendations(spark, sf_dir):
     cat = materialize(catalog_of(spark, sf_dir, r))
     nb = materialize(cat_ops.prune_neighbours(item_neighbours(spark, sf_dir, r), cat))
     sink = scratch_path(spark, "recs-sink")
-    stream_ops.run_feedback_stream(spark, sf_dir, on_batch=rescore_ops.rescorer(nb, cat, sink))
+    stream_ops.run_feedback_stream(spark, sf_dir, **fx.stream_options(),
+                                   on_batch=rescore_ops.rescorer(nb, cat, sink))
     return _recs_out(rescore_ops.current_recommendations(spark, sink))
 
 

@@ -1,7 +1,11 @@
 """Preference relations derived by Spark from the driver's TPC-H-ish tables.
 
-Users are customers, items are ``n_classes`` part classes, ratings come from line
-quantities, item metadata from ``part`` and feedback events from ``events``.
+Users are customers. Items are classes of parts, whose number grows with the square
+root of the part count (so that the co-raters of a pair stay about as many), and
+rare items, one for each line number of every 25th part. Ratings come from line
+quantities, item metadata from all parts of a class and feedback events from
+``events``. A class with a part of size 1 and rare items of line numbers 6 and 7 have
+ratings but no metadata: they are not in the catalogue.
 Every relation is a lazy DataFrame over the whole input tables, so its work grows
 with them. The same derivations, written in DuckDB SQL, open every oracle query.
 """
@@ -11,32 +15,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-N_CLASSES = 200
+CLASSES = 9  # times the square root of the number of parts
+RARE_EVERY, RARE_REST = 25, 3  # parts whose items are rare: p_partkey % 25 = 3
+LISTED_LINES = 5  # line numbers whose rare items have metadata
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ratings(spark: SparkSession, sf_dir: str, n_classes: int = N_CLASSES) -> DataFrame:
-    """One rating per (user, item): the newest line of that customer for that part
-    class. ``r2`` = 2 * rating is kept as an exact integer (ratings are half-steps).
+def class_count(spark: SparkSession, sf_dir: str) -> Column:
+    """The number of part classes, as a scalar subquery."""
+    parts = table(spark, sf_dir, "part").agg(F.count(F.lit(1)).alias("n"))
+    return parts.select((F.lit(CLASSES) * F.ceil(F.sqrt("n"))).cast("long").alias("classes")).scalar()
+
+
+def _item_id(part: Column, line: Column, classes: Column) -> Column:
+    rare = part % RARE_EVERY == RARE_REST
+    return F.when(rare, classes + part * 8 + line).otherwise(part % classes)
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rating per (user, item): the newest line of that customer for that item.
+    ``r2`` = 2 * rating is kept as an exact integer (ratings are half-steps).
 
     The newest line is an arg-max aggregate (partial on the map side), not a window,
     so a hot (user, item) key never lands whole in one task."""
     line = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate",
+        _item_id(F.col("l_partkey"), F.col("l_linenumber"), class_count(spark, sf_dir)).alias("item_id"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey)
     newest = F.max(F.struct(
         F.col("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber"),
         F.col("l_quantity"), F.col("l_extendedprice"),
         F.ceil(F.col("l_quantity") / F.lit(5.0)).cast("long").alias("r2"),
     )).alias("newest")
-    out = (joined
-           .groupBy(F.col("o_custkey").alias("user_id"),
-                    (F.col("l_partkey") % F.lit(n_classes)).alias("item_id"))
-           .agg(newest))
+    out = joined.groupBy("user_id", "item_id").agg(newest)
     return out.select(
         "user_id", "item_id",
         (F.col("newest.r2") / F.lit(2.0)).alias("rating"),
@@ -45,25 +60,33 @@ def ratings(spark: SparkSession, sf_dir: str, n_classes: int = N_CLASSES) -> Dat
     )
 
 
-def items(spark: SparkSession, sf_dir: str, n_classes: int = N_CLASSES) -> DataFrame:
-    """Item metadata (item_id, title, genres): the part row that names each class.
-    Nine titles in ten carry a year, one in three a trailing article, one item in 17
-    has the no-genre sentinel."""
-    part = table(spark, sf_dir, "part").where(F.col("p_partkey") < F.lit(n_classes))
-    k = F.col("p_partkey")
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item metadata (item_id, title, genres). A class takes its attributes from all of
+    its parts. Nine titles in ten carry a year, one in three a trailing article, one
+    item in 17 has the no-genre sentinel."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", F.col("p_size").cast("long"))
+    classes, rare = class_count(spark, sf_dir), F.col("p_partkey") % RARE_EVERY == RARE_REST
+    common = (part.where(~rare).withColumn("item_id", F.col("p_partkey") % classes).groupBy("item_id")
+              .agg(F.min("p_name").alias("p_name"), F.min("p_size").alias("p_size"), F.min("p_type").alias("p_type"))
+              .where(F.col("p_size") > 1))
+    line = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(LISTED_LINES).cast("long")))
+    single = (part.where(rare).withColumn("line", line)
+              .select((classes + F.col("p_partkey") * 8 + F.col("line")).alias("item_id"), "p_name", "p_size", "p_type"))
+    k = F.col("item_id")
     word = lambda i: F.split_part(F.col("p_name"), F.lit(" "), F.lit(i))
     base = F.when(k % 3 == 0, F.concat(word(2), F.lit(", The"))).otherwise(F.col("p_name"))
     year = F.when(k % 10 == 9, F.lit("")).otherwise(
         F.concat(F.lit(" ("), (F.lit(1950) + F.col("p_size")).cast("string"), F.lit(")")))
     genres = F.when(k % 17 == 0, F.lit("(no genres listed)")).otherwise(
         F.concat(word(1), F.lit("|"), word(2), F.lit("|"), F.col("p_type")))
-    return part.select(k.alias("item_id"), F.concat(base, year).alias("title"), genres.alias("genres"))
+    return common.unionByName(single).select(
+        k, F.concat(base, year).alias("title"), genres.alias("genres"))
 
 
-def links(spark: SparkSession, sf_dir: str, n_classes: int = N_CLASSES) -> DataFrame:
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Optional external ids: imdb '' for one item in 7, tmdb null for one in 5,
     no row at all for one in 11."""
-    it = items(spark, sf_dir, n_classes).select("item_id").where(F.col("item_id") % 11 != 0)
+    it = items(spark, sf_dir).select("item_id").where(F.col("item_id") % 11 != 0)
     i = F.col("item_id")
     return it.select(
         i,
@@ -87,6 +110,14 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feedback_from_events(ev)
 
 
+# the layout of the events table, and how the stream reads it
+EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+
+
+def stream_options() -> dict:
+    return {"glob": "events.parquet", "schema": EVENT_SCHEMA, "to_events": feedback_from_events}
+
+
 def feedback_from_events(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("event_id"),

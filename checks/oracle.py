@@ -516,6 +516,24 @@ ORDER BY round(sim, 6) DESC, CASE WHEN i = 1 THEN j ELSE i END LIMIT 5""")
 
 ORACLE["candidate_pairs"] = with_ctes(*SPLIT_CTES, select="SELECT DISTINCT user_id, item_id FROM te")
 
+ORACLE["pair_similarity_parts"] = with_ctes("""rp AS (
+  SELECT user_id, item_id, r2 FROM (
+    SELECT o_custkey AS user_id, l_partkey AS item_id, CAST(ceil(l_quantity / 5.0) AS BIGINT) AS r2,
+           row_number() OVER (PARTITION BY o_custkey, l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC,
+                              l_linenumber DESC, l_quantity DESC, l_extendedprice DESC) AS rn
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE rn = 1)""",
+    *pair_cte("p", source="rp"), shrunk_cte("ps", "p", min_common=3), select="""
+SELECT i AS item_i, j AS item_j, c AS n_common, round(sim, 6) AS sim FROM ps""")
+
+# ---- through files and back ---------------------------------------------------------
+
+ORACLE["ratings_csv"] = with_ctes(select="SELECT user_id, item_id, rating FROM r")
+ORACLE["items_csv"] = with_ctes(select="SELECT item_id, title, genres FROM items")
+ORACLE["links_csv"] = with_ctes(select="SELECT item_id, imdb, tmdb FROM links")
+ORACLE["metrics_csv"] = ORACLE["rating_metrics"]
+ORACLE["artefact_neighbours"] = ("SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY rank) AS BIGINT) "
+                                 "AS place, neighbour_id, sim FROM (" + ORACLE["neighbours_in_catalog"] + ")")
+
 # ---- facts about the MLlib models' outputs -----------------------------------------
 
 ORACLE["als_prediction_pairs"] = with_ctes(*SPLIT_CTES, select="""

@@ -16,8 +16,9 @@ Closed form, with all events before the user's last clear ignored:
 (the like list's insertion order, newest last).
 
 Every step is a hash aggregate by key (partial on the map side) or an equi-join
-with a one-row-per-key aggregate; there is no window, so a hot user or item never
-has to sit whole in one task, and AQE can split a skewed join partition.
+with a one-row-per-key aggregate; there is no window. Keys with more than
+``heavy_key`` events are salted in those joins: an aggregate on the join's own key
+would else follow without an exchange, and AQE does not split such a join.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegraph.operators.skew import salted_join
+
 KEY = ["user_id", "item_id"]
 RESETS = ("seed", "dislike", "remove")
 
@@ -33,7 +36,10 @@ def _max_where(cond: Column, value: Column | None = None) -> Column:
     return F.max(F.when(cond, value if value is not None else F.col("event_id")))
 
 
-def _after_last_clear(events: DataFrame) -> DataFrame:
+HEAVY_KEY = 1_000_000
+
+
+def _after_last_clear(events: DataFrame, heavy_key: int = HEAVY_KEY) -> DataFrame:
     # an event without a user, an unknown action, or a per-item action without an
     # item cannot change any state; a clear needs no item
     # a repeated event counts once, as in the stream
@@ -43,14 +49,15 @@ def _after_last_clear(events: DataFrame) -> DataFrame:
                  & (F.col("item_id").isNotNull() | (F.col("action") == "clear"))))
     clears = (ev.where(F.col("action") == "clear").groupBy("user_id")
               .agg(F.max("event_id").alias("clear_id")))
-    kept = ev.where(F.col("action") != "clear").join(clears, "user_id", "left")
+    kept = salted_join(ev.where(F.col("action") != "clear"), clears, ["user_id"], salt_cols=["event_id"],
+                       threshold=heavy_key, how="left")
     return (kept.where(F.col("clear_id").isNull() | (F.col("event_id") > F.col("clear_id")))
             .drop("clear_id"))
 
 
-def fold_feedback(events: DataFrame) -> DataFrame:
+def fold_feedback(events: DataFrame, *, heavy_key: int = HEAVY_KEY) -> DataFrame:
     """user_id, item_id, state ('liked' | 'disliked'), since_event (liked rows)."""
-    a = _after_last_clear(events)
+    a = _after_last_clear(events, heavy_key)
     act = F.col("action")
     eid = F.col("event_id")
 
@@ -65,7 +72,7 @@ def fold_feedback(events: DataFrame) -> DataFrame:
     )
     # pass 2: likes after se; first seed of the trailing seed block (after p);
     # the last reset before p (the anchor that fixes the state after p)
-    j2 = a.join(k1, KEY)
+    j2 = salted_join(a, k1, KEY, salt_cols=["event_id"], threshold=heavy_key)
     se, p = F.col("se"), F.col("p")
     k2 = j2.groupBy(*KEY).agg(
         F.count(F.when((act == "like") & (se.isNull() | (eid > se)), 1)).alias("nl"),
@@ -74,7 +81,7 @@ def fold_feedback(events: DataFrame) -> DataFrame:
         F.max(F.when(eid == p, act)).alias("p_action"),
     )
     # pass 3: likes in (q, p]: the parity that tells whether the like at p set the like
-    j3 = a.join(k2.select(*KEY, "q"), KEY)
+    j3 = salted_join(a, k2.select(*KEY, "q"), KEY, salt_cols=["event_id"], threshold=heavy_key)
     qid = F.col("q.id")
     k3 = j3.groupBy(*KEY).agg(
         F.count(F.when((act == "like") & (qid.isNull() | (eid > qid)), 1)).alias("m_all"))

@@ -88,9 +88,10 @@ def candidate_scores(prefs: DataFrame, nb: DataFrame, *,
                         ["source_id"], salt_cols=["user_id"], threshold=1_000_000)
     liked = liked.select("user_id", "item_id", (_u6(F.col("sim")) * 100).alias("w"),
                          F.lit(1).alias("is_like"))
-    dis = disliked_of(prefs).withColumnRenamed("item_id", "source_id").join(
-        nb.select(F.col("item_id").alias("source_id"), F.col("neighbour_id").alias("item_id"), "sim"),
-        "source_id")
+    dis = salted_join(disliked_of(prefs).withColumnRenamed("item_id", "source_id"),
+                      nb.select(F.col("item_id").alias("source_id"),
+                                F.col("neighbour_id").alias("item_id"), "sim"),
+                      ["source_id"], salt_cols=["user_id"], threshold=1_000_000)
     dis = dis.select("user_id", "item_id", (-_u6(F.col("sim")) * _w(dislike_weight)).alias("w"),
                      F.lit(0).alias("is_like"))
     agg = liked.unionByName(dis).groupBy("user_id", "item_id").agg(

@@ -25,6 +25,7 @@ from tastegraph.plans import batch as batch_plan
 from tastegraph.plans.artefact import (MIN_COMMON, MIN_RATINGS_CATALOG, MIN_RATINGS_SIM, MIN_SIM,
                                        SHRINK_LAMBDA, TOP_NEIGHBOURS)
 from tastegraph.session import ensure_checkpoint_dir
+from tastegraph.sources import files, sinks
 from tastegraph.sources import fixtures as fx
 from tastegraph.streaming import feedback_stream as stream_ops
 from tastegraph.streaming import rescore as rescore_ops
@@ -111,6 +112,69 @@ def q_similar_items_topk(spark, sf_dir):
         "item_id", F.col("rank").cast("long").alias("rank"), "neighbour_id", "sim")
 
 
+@query("pair_similarity_parts")
+def q_pair_similarity_parts(spark, sf_dir):
+    """Similarity with every part an item: sparse co-ratings, pairs of three or more co-raters."""
+    s = sim_ops.pair_similarity(fx.ratings(spark, sf_dir, by_part=True), min_common=3, shrink=SHRINK_LAMBDA, clip=True)
+    return s.select("item_i", "item_j", "n_common", r6(F.col("sim")).alias("sim"))
+
+
+# ---- A1-A3, A5, A6: the fixture through files and back -----------------------------------------
+
+def _csv_path(spark: SparkSession, df: DataFrame, name: str) -> str:
+    from tastegraph.session import scratch_path
+
+    path = scratch_path(spark, name)
+    df.write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+@query("ratings_csv")
+def q_ratings_csv(spark, sf_dir):
+    """The ratings, written in the published CSV layout and scanned again."""
+    out = fx.ratings(spark, sf_dir).select(
+        F.col("user_id").alias("userId"), F.col("item_id").alias("movieId"), "rating",
+        F.unix_timestamp(F.col("ts").cast("timestamp")).alias("timestamp"))
+    return files.read_ratings(spark, _csv_path(spark, out, "ratings-csv")).select("user_id", "item_id", "rating")
+
+
+@query("items_csv")
+def q_items_csv(spark, sf_dir):
+    out = fx.items(spark, sf_dir).select(F.col("item_id").alias("movieId"), "title", "genres")
+    return files.read_items(spark, _csv_path(spark, out, "items-csv")).select("item_id", "title", "genres")
+
+
+@query("links_csv")
+def q_links_csv(spark, sf_dir):
+    out = fx.links(spark, sf_dir).select(F.col("item_id").alias("movieId"), F.col("imdb").alias("imdbId"),
+                                         F.col("tmdb").alias("tmdbId"))
+    return files.read_links(spark, _csv_path(spark, out, "links-csv")).select("item_id", "imdb", "tmdb")
+
+
+@query("metrics_csv")
+def q_metrics_csv(spark, sf_dir):
+    """The metrics of item-CF through the CSV sink and back."""
+    from tastegraph.session import scratch_path
+
+    path = scratch_path(spark, "metrics-csv")
+    sinks.write_metrics_csv(q_rating_metrics(spark, sf_dir), path)
+    return spark.read.schema("metric string, value double, detail string").option("header", True).csv(path)
+
+
+@query("artefact_neighbours")
+def q_artefact_neighbours(spark, sf_dir):
+    """The neighbour lists of the written artefact (JSON lines), flat again."""
+    from tastegraph.plans import artefact
+    from tastegraph.session import scratch_path
+
+    path = scratch_path(spark, "artefact")
+    artefact.run(fx.ratings(spark, sf_dir), fx.items(spark, sf_dir), fx.links(spark, sf_dir), out=path)
+    lists = spark.read.schema("item_id long, neighbours array<struct<neighbour_id: long, sim: double>>") \
+        .json(f"{path}/neighbours_json")
+    return lists.select("item_id", F.posexplode("neighbours").alias("place", "n")).select(
+        "item_id", (F.col("place") + 1).cast("long").alias("place"), "n.neighbour_id", "n.sim")
+
+
 # ---- J8, C14, J13, J17 ---------------------------------------------------------
 
 SEARCH_QUERY = "bolt"

@@ -35,15 +35,17 @@ def _item_id(part: Column, line: Column, classes: Column) -> Column:
     return F.when(rare, classes + part * 8 + line).otherwise(part % classes)
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rating per (user, item): the newest line of that customer for that item.
-    ``r2`` = 2 * rating is kept as an exact integer (ratings are half-steps).
+def ratings(spark: SparkSession, sf_dir: str, by_part: bool = False) -> DataFrame:
+    """One rating per (user, item): the newest line of that customer for that item
+    (``by_part``: every part is an item). ``r2`` = 2 * rating is kept as an exact integer
+    (ratings are half-steps).
 
     The newest line is an arg-max aggregate (partial on the map side), not a window,
     so a hot (user, item) key never lands whole in one task."""
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate",
-        _item_id(F.col("l_partkey"), F.col("l_linenumber"), class_count(spark, sf_dir)).alias("item_id"))
+        (F.col("l_partkey") if by_part else _item_id(F.col("l_partkey"), F.col("l_linenumber"),
+                                                     class_count(spark, sf_dir))).alias("item_id"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey)
     newest = F.max(F.struct(

@@ -135,3 +135,11 @@ def test_dirty_events_change_nothing(spark, scratch):
             (5, 1, 12, "seed"), (6, None, 12, "like")]
     ev = spark.createDataFrame(rows, "event_id long, user_id long, item_id long, action string")
     assert as_dict(FB.fold_feedback(ev)) == {(1, 12): ("liked", 5)}
+
+
+def test_salted_hot_keys_fold_alike(spark):
+    """One user with a third of the events and one hot (user, item) key, salted."""
+    ev = fx.feedback(spark, SF_SMALL).select("event_id", "user_id", "item_id", "action")
+    hot = ev.select("event_id", F.when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id")).alias("user_id"),
+                    F.when(F.col("event_id") % 6 == 0, 1).otherwise(F.col("item_id")).alias("item_id"), "action")
+    assert as_dict(FB.fold_feedback(hot, heavy_key=5)) == as_dict(FB.fold_feedback(hot)) == brute_force(hot.toPandas())

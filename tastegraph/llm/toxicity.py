@@ -14,8 +14,9 @@ calibrated largest logit of all its windows (``WINDOW`` words, each starting ``S
 after the last, to the end of the text).
 
 Training reads at most ``sample_rows`` labelled rows, chosen by the hash of their id, of at
-most ``sample_chars`` characters each; scoring reads every text whole. Labels, lang, source
-and doc_id are never inputs of a score.
+most ``sample_chars`` characters each, in one task of its own (a lost executor repeats it;
+the driver holds only the model); scoring reads every text whole. Labels, lang, source and
+doc_id are never inputs of a score.
 
 Defined cases: null and empty texts are one window of padding. Without a toxic training
 row every score is 0; without a clean one, 1. Several labels of one id count as toxic if
@@ -25,6 +26,7 @@ rows get equal scores; a null doc_id is kept. Other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -122,7 +124,7 @@ def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def window_words(starts: np.ndarray, text: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Places of the words of each window; -1 beyond the end of its text."""
     at = starts[:, None] + np.arange(WINDOW)
-    return np.where(at < np.cumsum(lengths)[text][:, None], at, -1)
+    return np.where(at < np.cumsum(lengths)[text][:, None], at, -1).astype(np.int32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -260,8 +262,8 @@ def train(texts: list[bytes], toxic: np.ndarray, epochs: int = 5, seed: int = 7)
     vocabulary: dict[bytes, int] = {}
     rows = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in split_words(t)], np.int64) for t in texts]
     words = list(vocabulary) or [b"-"]
-    fold = np.arange(len(texts)) % FOLDS
-    counts = np.zeros((FOLDS, 2, len(words)))
+    fold = np.random.default_rng(seed).permutation(len(texts)) % FOLDS
+    counts = np.zeros((FOLDS, 2, len(words)), np.float32)
     for row, f, y in zip(rows, fold, toxic, strict=True):
         counts[f, int(y), np.unique(row)] += 1
     slots = word_slots(words)
@@ -361,8 +363,18 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out:
             .filter(F.coalesce(F.length("text"), F.lit(0)) <= sample_chars)
             .join(F.broadcast(known), "doc_id")  # at most sample_rows rows
             .select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), "toxic")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows).toArrow())
-    return train(byte_texts(rows.column("text")), rows.column("toxic").to_numpy().astype(np.int64) > 0)
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows).select("text", "toxic"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += byte_texts(batch.column("text"))
+            toxic += batch.column("toxic").to_pylist()
+        model = train(texts, np.array(toxic, np.int64) > 0)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    found = rows.coalesce(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found["model"]) if found else train([], np.zeros(0, bool))
 
 
 def toxicity_scores(docs: DataFrame, model: Model, folds: int = 4, held_out: int = 2,

@@ -15,7 +15,7 @@ def _csv(spark: SparkSession, path: str, schema) -> DataFrame:
             .option("enforceSchema", False).csv(path))  # the header must name the columns
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     from pyspark.errors import AnalysisException
 
     try:
@@ -48,7 +48,7 @@ def read_items(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 def read_links(spark: SparkSession, path: str | None, fmt: str = "csv") -> DataFrame:
     """item_id, imdb ('' when blank), tmdb (null when blank or not a number). A
     missing table (path None, or no file there) is an empty relation."""
-    if path is None or not _exists(spark, path):
+    if path is None or not path_exists(spark, path):
         return spark.createDataFrame([], schemas.LINKS)
     if fmt == "parquet":
         return spark.read.schema(schemas.LINKS).parquet(path)

@@ -28,6 +28,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tastegraph import schemas
 from tastegraph.session import scratch_path
+from tastegraph.sources.files import path_exists
 
 OUT_SCHEMA = "user_id long, item_id long, state string, since_event long, last_event long, late_events long"
 STATE_SCHEMA = ("last_event long, items array<long>, liked array<int>, disliked array<int>, "
@@ -122,30 +123,44 @@ def start_feedback_stream(spark: SparkSession, source_dir: str, sink: str, check
     return w.start()
 
 
-def current_preferences(spark: SparkSession, sink: str) -> DataFrame:
-    """user_id, item_id, state, since_event from each user's newest snapshot."""
+def _compacted(sink: str) -> str:
+    return f"{sink.rstrip('/')}_compact"
+
+
+def newest_snapshots(spark: SparkSession, sink: str) -> DataFrame:
+    """Each user's newest snapshot rows, with ``batch``: from the last compaction, if there is
+    one, and only the batches written after it."""
     snap = spark.read.parquet(sink)
+    if path_exists(spark, _compacted(sink)):
+        tables = spark.read.parquet(_compacted(sink))
+        upto = tables.agg(F.max("upto")).first()[0]
+        done = tables.where(F.col("upto") == upto).drop("upto")
+        snap = snap.where(F.col("batch") > upto).unionByName(done)
     newest = snap.groupBy("user_id").agg(F.max("batch").alias("batch"))
-    cur = snap.join(newest, ["user_id", "batch"]).where(F.col("item_id").isNotNull())
+    return snap.join(newest, ["user_id", "batch"])
+
+
+def current_preferences(spark: SparkSession, sink: str) -> DataFrame:
+    """user_id, item_id, state, since_event from each user's newest snapshot."""
+    cur = newest_snapshots(spark, sink).where(F.col("item_id").isNotNull())
     return cur.select("user_id", "item_id", "state", "since_event")
 
 
 def stream_stats(spark: SparkSession, sink: str) -> DataFrame:
     """user_id, last_event, late_events (events dropped as at or before the user's
     last applied event, replays included) from each user's newest snapshot."""
-    snap = spark.read.parquet(sink)
-    newest = snap.groupBy("user_id").agg(F.max("batch").alias("batch"))
-    return (snap.join(newest, ["user_id", "batch"])
+    return (newest_snapshots(spark, sink)
             .groupBy("user_id").agg(F.max("last_event").alias("last_event"),
                                     F.max("late_events").alias("late_events")))
 
 
-def compact(spark: SparkSession, sink: str, out: str) -> DataFrame:
-    """Write each user's newest snapshot as one table (the per-batch snapshot
-    folders can then be retired) and return it."""
-    snap = spark.read.parquet(sink)
-    newest = snap.groupBy("user_id").agg(F.max("batch").alias("batch"))
-    snap.join(newest, ["user_id", "batch"]).write.mode("overwrite").parquet(out)
+def compact(spark: SparkSession, sink: str) -> DataFrame:
+    """Write each user's newest snapshot as one table beside the sink and return it. Readers
+    then scan that table and the batches after it; the folders of earlier batches can be
+    retired."""
+    upto = spark.read.parquet(sink).agg(F.max("batch")).first()[0]
+    out = f"{_compacted(sink)}/upto={upto}"
+    newest_snapshots(spark, sink).write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 

@@ -101,8 +101,17 @@ def test_stream_restart_and_replay(spark, scratch):
     stats = FS.stream_stats(spark, sink).toPandas()
     replayed = ev.iloc[half - 50:half]
     assert stats.late_events.sum() == len(replayed)
-    compacted = FS.compact(spark, sink, os.path.join(scratch, "compact"))
+    compacted = FS.compact(spark, sink)
     assert compacted.where("item_id is not null").count() == batch.count()
+    assert as_dict(FS.current_preferences(spark, sink)) == as_dict(batch)  # read from the compacted table
+    assert "_compact" in "".join(FS.current_preferences(spark, sink).inputFiles())
+    # events after the compaction are read on top of it
+    more = pd.DataFrame({"event_id": [10 ** 9], "ts": [ev.ts.iloc[0]], "user_id": [ev.user_id.iloc[0]],
+                         "event_type": ["purchase"], "value": [0.0], "props": ['{"k": 77}']}).astype(ev.dtypes.to_dict())
+    more.to_parquet(os.path.join(src, "events-002.parquet"), index=False)
+    later = FS.run_feedback_stream(spark, src, **{**fx.stream_options(), "glob": "events-*.parquet"}, sink=sink,
+                                   checkpoint=ck)
+    assert as_dict(later)[(ev.user_id.iloc[0], 77)] == ("liked", 10 ** 9)
 
 
 def test_fold_random_sequences(spark):

@@ -25,6 +25,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ from tastegraph.llm.common import byte_texts, slices_by_bytes, written
 CLOSING_ID = 1
 WORD_END = "</w>"
 CONTROL = b"<|"
-CHUNK_CACHE = 800_000
-CHUNKS_KEPT = 400_000
+CHUNK_CACHE = 450_000
+CHUNKS_KEPT = 250_000
 SLICE_BYTES = 4 << 20
 
 
@@ -61,6 +62,20 @@ class _Chunks(dict):
         return at
 
 
+@cache
+def _loaded(path: str) -> tuple:
+    """The tokenizer, the same without its normalizer, and which ids end a word. A worker keeps
+    these between tasks; the chunks' ids are a task's own."""
+    from tokenizers import Tokenizer
+
+    whole, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    plain.normalizer = None
+    vocabulary = whole.get_vocab(with_added_tokens=True)
+    ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+    return whole, plain, ends_word
+
+
 class ChunkTokenizer:
     """Ids of whole texts from the ids of their white-space separated chunks.
 
@@ -72,18 +87,11 @@ class ChunkTokenizer:
     else on its own."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = None
+        self.tokenizer, self.plain, self.ends_word = _loaded(path)
         self.known = _Chunks()
         self.pool = np.zeros(1 << 20, np.uint32)
         self.used = 0
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def _forget(self) -> None:
         """Keeps the chunks that were seen first: the frequent ones are among them."""
@@ -171,15 +179,6 @@ class ChunkTokenizer:
         return np.split(self._gather(at), edges[:-1]) if len(ends) else []
 
 
-_TOKENIZERS: dict[str, ChunkTokenizer] = {}
-
-
-def _tokenizer(path: str) -> ChunkTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ChunkTokenizer(path)
-    return _TOKENIZERS[path]
-
-
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -189,7 +188,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: i
     path = tokenizer_path or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
+        tokenizer = ChunkTokenizer(path)
         for batch in slices_by_bytes(batches, "text", SLICE_BYTES):
             rows, ids_rows = [], []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(),

@@ -53,18 +53,16 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), mos
     running = running_sums(capped, [ratio, F.col("source").isNull(), F.col("source")],
                        {"caps": F.col("cap").cast("decimal(38,0)"), "ws": F.col("w")}, "_r")
     running = written(running, "mix-sources")
-    total = running.agg(F.sum("words").alias("all_words"), F.sum("w").alias("all_w"))
+    all_words, all_w = (running.agg(F.sum(c)).scalar() for c in ("words", "w"))
     # with the sources up to here at their caps, the others share the rest at this level
-    left = (F.col("all_w") - F.col("ws") + F.col("w")).cast("double")
-    rest = (F.col("all_words") - F.col("caps") + F.col("cap")).cast("double")
-    level = running.crossJoin(F.broadcast(total)).withColumn("level", rest / left)  # one row of totals
+    left = (all_w - F.col("ws") + F.col("w")).cast("double")
+    rest = (all_words - F.col("caps") + F.col("cap")).cast("double")
+    level = running.withColumn("level", rest / left)
     # the first source whose cap is not below its share at the level of those before it
     fits = level.filter(F.col("cap").cast("double") >= F.col("level") * F.col("w"))
-    best = fits.agg(F.min(F.struct("_r", "level")).alias("m")).select(F.col("m.level").alias("final"))
-    return (running.crossJoin(F.broadcast(best))  # one row
-            .select("source", "words",
-                    F.coalesce(F.least(F.col("cap").cast("double"), F.col("final") * F.col("w")),
-                               F.col("cap").cast("double")).alias("target")))
+    final = fits.agg(F.min(F.struct("_r", "level")).alias("m")).select("m.level").scalar()
+    cap = F.col("cap").cast("double")
+    return running.select("source", "words", F.coalesce(F.least(cap, final * F.col("w")), cap).alias("target"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_repeats: int = 3, seed: int = 11,

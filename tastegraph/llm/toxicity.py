@@ -44,8 +44,9 @@ GRAMS = (3, 4, 5)
 GRAM_SLOTS = 1 << 18
 WORD_SLOTS = 1 << 18
 FOLDS = 4
-WORD_CACHE = 400_000
-WORDS_KEPT = 200_000
+WORD_CACHE = 300_000
+WORDS_KEPT = 150_000
+WORDS_AT_ONCE = 50_000
 SLICE_BYTES = 3 << 20
 BATCH_WINDOWS = 2048
 
@@ -94,6 +95,9 @@ class Tables:
         self.words, self.grams = words, grams
 
     def inputs(self, words: list[bytes]) -> np.ndarray:
+        if len(words) > WORDS_AT_ONCE:
+            return np.concatenate([self.inputs(words[a:a + WORDS_AT_ONCE])
+                                   for a in range(0, len(words), WORDS_AT_ONCE)])
         out = np.zeros((len(words), INPUTS), np.float32)
         if not words:
             return out
@@ -253,6 +257,21 @@ class Model:
         self.tables, self.network, self.slope, self.offset = tables, network, slope, offset
 
 
+def _totals(words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """(fold, class, word) counts summed by slot of the word, and of each of its n-grams."""
+    by_word = np.zeros((*counts.shape[:2], WORD_SLOTS), np.float32)
+    by_gram = {n: np.zeros((*counts.shape[:2], GRAM_SLOTS), np.float32) for n in GRAMS}
+    for a in range(0, len(words), WORDS_AT_ONCE):
+        own, c = words[a:a + WORDS_AT_ONCE], counts[:, :, a:a + WORDS_AT_ONCE]
+        slots = word_slots(own)
+        grams = {n: gram_slots(own, n) for n in GRAMS}
+        for f, k in np.ndindex(*counts.shape[:2]):
+            by_word[f, k] += np.bincount(slots, weights=c[f, k], minlength=WORD_SLOTS)
+            for n, (at, word) in grams.items():
+                by_gram[n][f, k] += np.bincount(at, weights=c[f, k][word], minlength=GRAM_SLOTS)
+    return by_word, by_gram
+
+
 def train(texts: list[bytes], toxic: np.ndarray, epochs: int = 5, seed: int = 7) -> Model:
     """A model from labelled texts."""
     toxic = toxic.astype(bool)
@@ -266,20 +285,18 @@ def train(texts: list[bytes], toxic: np.ndarray, epochs: int = 5, seed: int = 7)
     counts = np.zeros((FOLDS, 2, len(words)), np.float32)
     for row, f, y in zip(rows, fold, toxic, strict=True):
         counts[f, int(y), np.unique(row)] += 1
-    slots = word_slots(words)
-    grams = {n: gram_slots(words, n) for n in GRAMS}
+    by_word, by_gram = _totals(words, counts)
+    del counts
 
     def tables(kept: np.ndarray) -> Tables:
-        clean, bad = counts[kept].sum(axis=0)
-        total = lambda at, size, n: np.bincount(at, weights=n, minlength=size)
-        return Tables(log_odds(total(slots, WORD_SLOTS, bad), total(slots, WORD_SLOTS, clean), share, 10),
-                      {n: log_odds(total(s, GRAM_SLOTS, bad[w]), total(s, GRAM_SLOTS, clean[w]), share, 20)
-                       for n, (s, w) in grams.items()})
+        odds = lambda of, weight: log_odds(*of[kept].sum(axis=0)[::-1], share, weight)
+        return Tables(odds(by_word, 10), {n: odds(g, 20) for n, g in by_gram.items()})
 
     lengths = np.array([len(r) for r in rows], np.int64)
     starts, text = windows(lengths)
     places = window_words(starts, text, lengths)
-    flat = np.concatenate([*rows, np.zeros(1, np.int64)])
+    flat = np.concatenate([*rows, np.zeros(1, np.int64)]).astype(np.int32)
+    del rows
     inputs = np.zeros((len(flat), INPUTS), np.float32)
     of_fold = np.repeat(fold, lengths)
     for f in range(FOLDS):
@@ -289,8 +306,8 @@ def train(texts: list[bytes], toxic: np.ndarray, epochs: int = 5, seed: int = 7)
             inputs[own] = tables(np.arange(FOLDS) != f).inputs([words[i] for i in used])[back]
     network, state, rng = Network(seed), {}, np.random.default_rng(seed)
     first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
-    masked = np.where(places >= 0, inputs[:, 0][places] + inputs[:, 1:4].max(axis=1)[places], -9)
-    value = masked.max(axis=1)  # before the first epoch: the largest log-odds
+    value = np.where(places >= 0, (inputs[:, 0] + inputs[:, 1:4].max(axis=1))[places], -9)
+    value = value.max(axis=1)  # before the first epoch: the largest log-odds
     n_windows = np.diff(np.r_[first, len(text)])
     for epoch in range(epochs):
         order = np.lexsort((-value, text))

@@ -7,11 +7,18 @@ Passes. A pass has 62 random directions; a vector's key is the row of the signs
 projections. The classes are sorted by (label, length, key), and each is compared with the
 ``WINDOW`` that follow it; verified pairs (cosine at least ``least``) are links. Links are
 reduced to spanning trees where they are found, and trees of all passes are united into
-components. The number of passes follows from the number of vectors of the largest label:
-a pair at the threshold agrees in a sign with p = 1 - acos(least)/pi, has to agree in about
-log2(vectors / WINDOW) signs to stand within the window, and is to be missed by all passes
-with a probability of at most ``miss``. (A window ends with its sorted partition; the next
-pass sorts differently.)
+components.
+
+Crowded keys. Classes of a label and length whose keys begin with the same ``bits_needed``
+signs are a bucket. Up to WINDOW + 1 of them stay in one sorted partition, so the windows
+compare them all. A larger bucket is crowded: if the windows left it in several components,
+its members outside the largest one are compared exactly with all of them, in pairs of
+blocks, each a task of its own, and only links that join components leave it. Where the
+buckets of a label would cost more comparisons than the label itself, the whole label is
+compared so, once. Hence every two classes that share a bucket of any pass are compared or
+already in one component, however close together the vectors of a label lie. A pair at the
+threshold agrees in a sign with p = 1 - acos(least)/pi, and the number of passes is such
+that it shares no bucket with a probability of at most ``miss``.
 
 Links. Two linked vectors found by any chain are in one component, so every link within a
 component is then counted exactly: its members are cut into blocks of about ``BLOCK``, and
@@ -42,6 +49,7 @@ from tastegraph.session import shuffle_partitions
 BITS = 62
 WINDOW = 48
 BLOCK = 512
+CROWD = 2048
 CELL_ROWS = 20_000
 
 
@@ -66,9 +74,14 @@ def units(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+def bits_needed(n: int) -> int:
+    """Signs that name a bucket of a label of n vectors: about WINDOW to a bucket if they split it evenly."""
+    return min(BITS, max(0, math.ceil(math.log2(max(n, 1) / WINDOW))))
+
+
 def passes_needed(n: int, least: float, miss: float) -> int:
     agree = 1 - math.acos(min(max(least, -1.0), 1.0)) / math.pi
-    found = agree ** max(1.0, math.log2(max(n, 2) / WINDOW))
+    found = agree ** max(1, bits_needed(n))
     return max(4, math.ceil(math.log(miss) / math.log(1 - found)))
 
 
@@ -99,7 +112,7 @@ def _vectors(embeddings: DataFrame) -> DataFrame:
 
 
 def _keyed(classes: DataFrame, n_passes: int) -> DataFrame:
-    """A row for each class and pass, with its key."""
+    """A row for each class and pass, with its key and its bucket (the first ``bits`` signs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,15 +121,16 @@ def _keyed(classes: DataFrame, n_passes: int) -> DataFrame:
                 own = batch.filter(pa.array(dims == dim))
                 rows = np.frombuffer(b"".join(own.column("vector").to_pylist()), np.float64).reshape(-1, dim)
                 rows = units(rows)
+                drop = BITS - own.column("bits").to_numpy(zero_copy_only=False).astype(np.int64)
                 for k in range(n_passes):
                     signs = (rows @ _directions(k, dim) >= 0).astype(np.int64)
                     key = signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(rows), k, np.int32)), own.column("label"), own.column("dim"),
-                         pa.array(key), own.column("rep"), own.column("vector")],
-                        names=["pass", "label", "dim", "key", "rep", "vector"])
+                         pa.array(key >> drop), pa.array(key), own.column("rep"), own.column("vector")],
+                        names=["pass", "label", "dim", "bucket", "key", "rep", "vector"])
 
-    return classes.mapInArrow(run, "pass int, label long, dim int, key long, rep long, vector binary")
+    return classes.mapInArrow(run, "pass int, label long, dim int, bucket long, key long, rep long, vector binary")
 
 
 def _windowed(least: float):
@@ -162,6 +176,64 @@ def _windowed(least: float):
     return run
 
 
+def _joining(least: float):
+    """Per block pair of a bucket: links that join components of its members."""
+
+    def work(t: pa.Table) -> pa.RecordBatch | None:
+        outer = t["outer"].to_numpy()
+        rep, part = t["rep"].to_numpy(), t["part"].to_numpy()
+        dim, raw = t["dim"][0].as_py(), t["vector"].to_pylist()
+        rows = units(np.frombuffer(b"".join(raw), np.float64).reshape(-1, dim))
+        left, right = np.flatnonzero(outer), np.flatnonzero(~outer)
+        found, links = UnionFind(), []
+        for a in range(0, len(left), BLOCK):
+            x = left[a:a + BLOCK]
+            for b in range(0, len(right), BLOCK):
+                y = right[b:b + BLOCK]
+                near = (rows[x] @ rows[y].T >= least) & (part[x][:, None] != part[y][None, :])
+                at, to = np.nonzero(near)
+                if len(at):
+                    pairs, first = np.unique(np.stack([part[x[at]], part[y[to]]], axis=1), axis=0, return_index=True)
+                    for (p, q), k in zip(pairs.tolist(), first.tolist(), strict=True):
+                        if found.join(p, q):
+                            links.append((int(rep[x[at[k]]]), int(rep[y[to[k]]])))
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return work
+
+
+def _within_crowded(classes: DataFrame, keyed: DataFrame, crowded: DataFrame, parts: DataFrame, least: float) -> DataFrame:
+    """Links between members of a crowded bucket that are in different components so far."""
+    bucket = ["pass", "label", "dim", "bucket"]
+    whole = (classes.select(F.lit(-1).alias("pass"), "label", "dim", F.lit(0).cast("long").alias("bucket"), "rep", "vector")
+             .join(crowded.select("label", "dim").distinct(), ["label", "dim"], "left_semi"))
+    grouped = (keyed.join(crowded, bucket, "left_semi").select(*bucket, "rep", "vector")
+               .unionByName(whole.select(*bucket, "rep", "vector"))
+               .join(parts, F.col("rep") == F.col("node"), "left")
+               .select(*bucket, "rep", F.coalesce("component", "rep").alias("part"), "vector"))
+    sizes = grouped.groupBy(*bucket, "part").agg(F.count(F.lit(1)).alias("n"))
+    mixed = written(sizes.groupBy(*bucket).agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("n"),
+                                               F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+                    .select(*bucket, "n", F.col("most.part").alias("main"), (F.col("n") - F.col("most.n")).alias("outer_n")),
+                    "embed-mixed")
+    cost = F.sum(F.when(F.col("pass") >= 0, F.col("n") * F.col("outer_n").cast("double")))
+    alone = F.sum(F.when(F.col("pass") < 0, F.col("n") * F.col("outer_n").cast("double")))
+    # a label is compared whole where that takes fewer comparisons than its buckets
+    at_once = mixed.groupBy("label", "dim").agg((cost >= alone).alias("at_once"))
+    chosen = written(mixed.join(at_once, ["label", "dim"]).filter("coalesce(at_once, false) = (pass < 0)")
+                     .select(*bucket, "main", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks"),
+                             F.ceil(F.col("outer_n") / CROWD).cast("int").alias("outer_blocks")), "embed-chosen")
+    left = grouped.join(chosen, bucket)
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    outer = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("outer_blocks")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["rep", "part", "vector"]
+    placed = (left.select(*bucket, F.lit(False).alias("outer"), every("outer_blocks").alias("i"), own.alias("j"), *columns)
+              .unionByName(left.filter("part <> main").select(*bucket, F.lit(True).alias("outer"), outer.alias("i"),
+                                                              every("blocks").alias("j"), *columns)))
+    return by_group(placed, [*bucket, "i", "j"], "a long, b long", _joining(least))
+
+
 def _counts(least: float):
     """Per block pair: the links of each member of either block to the other (or within one)."""
 
@@ -200,12 +272,25 @@ def linked_vectors(embeddings: DataFrame, least: float = 0.98, miss: float = 1e-
                .agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("n")))
     classes = written(vectors.filter("digest IS NOT NULL").join(classes, cell).filter("vec_id = rep")
                       .dropDuplicates(cell).select(*cell, "rep", "n", "vector"), "embed-classes")
-    largest = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    order = ["pass", "label", "dim", "key", "rep"]
+    number = written(classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("number")), "embed-labels")
+    largest = number.agg(F.max("number")).first()[0] or 0
+    bits = sum(((F.col("number") > WINDOW << k).cast("int") for k in range(bits_needed(largest))), F.lit(0))  # bits_needed
+    keyed = _keyed(classes.join(number, ["label", "dim"]).select("label", "dim", bits.alias("bits"), "rep", "vector"),
+                   passes_needed(largest, least, miss))
+    bucket = ["pass", "label", "dim", "bucket"]
+    crowded = written(keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > WINDOW + 1)
+                      .select(*bucket), "embed-crowded")
+    # rows of a bucket stay together unless it is crowded
+    spread = (F.when(F.col("crowded"), F.col(c)) for c in ("key", "rep"))
     ways = shuffle_partitions(embeddings.sparkSession)
-    trees = (_keyed(classes.select("label", "dim", "rep", "vector"), passes_needed(largest, least, miss))
-             .repartitionByRange(ways, *order).sortWithinPartitions(*order).mapInArrow(_windowed(least), "a long, b long"))
-    parts = connected_components(written(trees, "embed-links"))
+    trees = (keyed.join(crowded.withColumn("crowded", F.lit(True)), bucket, "left")
+             .repartitionByRange(ways, *bucket, *spread).sortWithinPartitions("pass", "label", "dim", "key", "rep")
+             .select("pass", "label", "dim", "rep", "vector").mapInArrow(_windowed(least), "a long, b long"))
+    links = written(trees, "embed-links")
+    parts = connected_components(links)
+    more = written(_within_crowded(classes, keyed, crowded, parts, least), "embed-more")
+    if not more.isEmpty():
+        parts = connected_components(links.unionAll(more))
     members = classes.join(parts, F.col("rep") == F.col("node")).drop("node")
     sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")

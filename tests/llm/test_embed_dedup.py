@@ -80,5 +80,33 @@ def test_passes_grow_with_the_input():
     assert 4 <= few < many < 200
 
 
+def crowded_rows(n=5000, dim=64, common=0.96, planted=60):
+    """Vectors of one label whose cosines are all near ``common``, and pairs just above the threshold."""
+    rng = np.random.default_rng(12)
+    mean = np.zeros(dim)
+    mean[0] = math.sqrt(common)
+    own = rng.normal(size=(n, dim - 1))
+    own *= math.sqrt(1 - common) / np.linalg.norm(own, axis=1, keepdims=True)
+    x = np.concatenate([np.full((n, 1), mean[0]), own], axis=1)
+    for k in range(planted):
+        near = x[2 * k] + rng.normal(size=dim) * 0.195 / math.sqrt(dim)
+        x[2 * k + 1] = near / np.linalg.norm(near)
+    return rng.permutation(x)
+
+
+def test_vectors_close_together_equal_brute_force(spark):
+    x = crowded_rows()
+    near = x @ x.T >= 0.98
+    np.fill_diagonal(near, False)
+    found = UnionFind()
+    for a, b in np.argwhere(near).tolist():
+        found.join(a, b)
+    rows = [(i, v, 3, None, None, None) for i, v in enumerate(x.tolist())]
+    out = ed.linked_vectors(spark.createDataFrame(rows, SCHEMA.replace("array<float>", "array<double>")).repartition(4))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    assert near.sum() > 60
+    assert got == {i: (int(n), found.root(i)) for i, n in enumerate(near.sum(axis=1))}
+
+
 def test_empty_table(spark):
     assert ed.linked_vectors(spark.createDataFrame([], SCHEMA)).collect() == []

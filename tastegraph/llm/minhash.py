@@ -29,10 +29,15 @@ the start. Then
 So every pair that shares a bucket is compared or already in one component, and no bucket's
 members are paired all with all. Buckets of the same members are compared once.
 
+Classes and links go by a row id that is written with the documents, so null and repeated
+doc_ids need no care: the row with the smallest (doc_id, row id), null ids last, stands for
+a group.
+
 Result: one row per document with ``class_id``, the smallest doc_id that its links reach, and
 ``kept`` (doc_id = class_id). Defined cases: null and empty texts (and those of white space
 only) have no runs and are copies of each other. Repeated rows are copies. A row with a
-null doc_id gets its class's smallest id, if there is one, and is kept if there is none. An
+null doc_id gets its group's smallest id, if there is one; of a group without any id the
+row that stands for it is kept. Texts that share a doc_id are compared as any others. An
 empty table gives an empty result. Other columns are ignored.
 """
 
@@ -125,7 +130,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return shared / total if total else 1.0
 
 
-SIGNED_SCHEMA = "doc_id long, key binary, bands array<long>, marks binary"
+SIGNED_SCHEMA = "rid long, doc_id long, key binary, bands array<long>, marks binary"
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -146,12 +151,12 @@ def signed(docs: DataFrame) -> DataFrame:
             some = lengths > 0
             offsets = np.r_[0, np.cumsum(some * BANDS)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()),
+                [batch.column("rid"), batch.column("doc_id"), pa.array(keys, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bands[some].ravel().view(np.int64))),
                  pa.array([m.tobytes() for m in marks.astype(np.uint16)], pa.binary())],
-                names=["doc_id", "key", "bands", "marks"])
+                names=["rid", "doc_id", "key", "bands", "marks"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNED_SCHEMA)
+    return docs.select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNED_SCHEMA)
 
 
 def _likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -164,8 +169,8 @@ def _likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
                         for c in ("x", "y"))
                 yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= ESTIMATE))
 
-    return (pairs.join(marks.select(F.col("doc_id").alias("a"), F.col("marks").alias("x")), "a")
-            .join(marks.select(F.col("doc_id").alias("b"), F.col("marks").alias("y")), "b")
+    return (pairs.join(marks.select(F.col("rid").alias("a"), F.col("marks").alias("x")), "a")
+            .join(marks.select(F.col("rid").alias("b"), F.col("marks").alias("y")), "b")
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct())
 
 
@@ -186,8 +191,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             ok = [similarity(x, y) >= least for x, y in zip(*sides, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
+    return (pairs.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("x")), "a")
+            .join(texts.select(F.col("rid").alias("b"), F.col("text").alias("y")), "b")
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
@@ -196,7 +201,7 @@ def _joining(least: float) -> Callable[[pa.Table], pa.RecordBatch | None]:
 
     def work(t: pa.Table) -> pa.RecordBatch | None:
         text, outer = byte_texts(t["text"]), t["outer"].to_pylist()
-        ids, part = t["doc_id"].to_pylist(), t["part"].to_pylist()
+        ids, part = t["rid"].to_pylist(), t["part"].to_pylist()
         run, count, of = multisets(*runs(*WordHashes().tokens(text)))
         total = np.bincount(of, weights=count, minlength=len(ids))
         edges = np.searchsorted(of, np.arange(len(ids) + 1))
@@ -222,11 +227,11 @@ def _joining(least: float) -> Callable[[pa.Table], pa.RecordBatch | None]:
 def _across(met: DataFrame, parts: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links between members of a bucket that are in different components so far."""
     once = met.groupBy("together", "n").agg(F.min("bucket").alias("bucket")).select("bucket")
-    grouped = (met.join(once, "bucket", "left_semi").select("bucket", "doc_id")
-               .join(parts, F.col("doc_id") == F.col("node"), "left")
-               .select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part")))
-    chars = texts.groupBy("doc_id").agg(F.sum(F.length("text")).alias("chars"))
-    sizes = (grouped.join(chars, "doc_id").groupBy("bucket", "part")
+    grouped = (met.join(once, "bucket", "left_semi").select("bucket", "rid")
+               .join(parts, F.col("rid") == F.col("node"), "left")
+               .select("bucket", "rid", F.coalesce("component", "rid").alias("part")))
+    chars = texts.groupBy("rid").agg(F.sum(F.length("text")).alias("chars"))
+    sizes = (grouped.join(chars, "rid").groupBy("bucket", "part")
              .agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars")))
     most = F.max(F.struct("n", "part", "chars")).alias("most")
     mixed = (sizes.groupBy("bucket").agg(most, F.count(F.lit(1)).alias("parts"), F.sum("chars").alias("chars"))
@@ -236,57 +241,66 @@ def _across(met: DataFrame, parts: DataFrame, texts: DataFrame, least: float) ->
                      F.ceil((F.col("chars") - F.col("most.chars") + 1) / BLOCK_CHARS).cast("int").alias("outer_blocks")))
     left = grouped.join(mixed, "bucket")
     side = lambda i, j, outer: left.select(
-        "bucket", "doc_id", "part", F.lit(outer).alias("outer"), i.alias("i"), j.alias("j"), "main", "blocks",
+        "bucket", "rid", "part", F.lit(outer).alias("outer"), i.alias("i"), j.alias("j"), "main", "blocks",
         "outer_blocks")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    outer = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("outer_blocks")).cast("int")
+    own = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
+    outer = F.pmod(F.xxhash64("rid", F.lit(1)), F.col("outer_blocks")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     placed = (side(every("outer_blocks"), own, False)
               .unionByName(side(outer, F.lit(0), True).filter("part <> main").withColumn("j", every("blocks")))
-              .select("bucket", "i", "j", "outer", "doc_id", "part"))
-    return by_group(placed.join(texts, "doc_id"), ["bucket", "i", "j"], "a long, b long", _joining(least))
+              .select("bucket", "i", "j", "outer", "rid", "part"))
+    return by_group(placed.join(texts, "rid"), ["bucket", "i", "j"], "a long, b long", _joining(least))
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """doc_id, class_id and kept of every row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _grouped(docs: DataFrame, least: float) -> DataFrame:
+    """rid, doc_id, class_id and stands (true for one row of each group) of every row of docs (rid,
+    doc_id, text)."""
     sign = written(signed(docs), "minhash-signed")
-    classes = written(sign.groupBy("key").agg(F.min("doc_id").alias("rep")), "minhash-classes")
-    # the smallest id of each class stands for it (ids that stand for two classes join them)
-    reps = sign.join(classes.select("key", F.col("rep").alias("doc_id")), ["key", "doc_id"]).dropDuplicates(["key"])
-    members = reps.select("doc_id", F.explode("bands").alias("bucket"))
+    # the smallest id of each class stands for it, the smallest row of equal ids, null ids last
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
+    classes = written(sign.groupBy("key").agg(first).withColumn("rid", F.col("first.rid")), "minhash-classes")
+    reps = sign.join(classes.select("rid"), "rid", "left_semi")
+    members = reps.select("rid", F.explode("bands").alias("bucket"))
     crowded = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"),
-                                             F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("together"))
+                                             F.sum(F.xxhash64("rid").cast("decimal(38,0)")).alias("together"))
                .filter("n > 1"))
     met = written(members.join(crowded, "bucket"), "minhash-met")
-    central = met.groupBy("doc_id").agg(F.sum("n").alias("meets"))
-    leaders = (met.join(central, "doc_id").groupBy("bucket")
-               .agg(F.max(F.struct("meets", (-F.col("doc_id")).alias("minus"))).alias("most"))
+    central = met.groupBy("rid").agg(F.sum("n").alias("meets"))
+    leaders = (met.join(central, "rid").groupBy("bucket")
+               .agg(F.max(F.struct("meets", (-F.col("rid")).alias("minus"))).alias("most"))
                .select("bucket", (-F.col("most.minus")).alias("leader")))
-    ids = met.select("doc_id").distinct()
-    marks = written(reps.join(ids, "doc_id", "left_semi").select("doc_id", "marks"), "minhash-marks")
-    # one row for each id and text: an id may have several texts, and a text many rows
-    texts = written(docs.join(ids, "doc_id", "left_semi").withColumn("h", F.xxhash64("text"))
-                    .dropDuplicates(["doc_id", "h"]).drop("h"), "minhash-texts")
-    first = (met.join(leaders, "bucket").filter("doc_id <> leader")
-             .select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct())
+    ids = met.select("rid").distinct()
+    marks = written(reps.join(ids, "rid", "left_semi").select("rid", "marks"), "minhash-marks")
+    texts = written(docs.select("rid", "text").join(ids, "rid", "left_semi"), "minhash-texts")
+    first = (met.join(leaders, "bucket").filter("rid <> leader")
+             .select(F.least("leader", "rid").alias("a"), F.greatest("leader", "rid").alias("b")).distinct())
     links = written(_verified(_likely(first, marks), texts, least), "minhash-links")
     more = written(_across(met.filter("n > 2"), connected_components(links), texts, least), "minhash-more")
     parts = connected_components(links.unionAll(more))
-    classed = (classes.join(parts, F.col("rep") == F.col("node"), "left")
-               .select("key", F.coalesce("component", "rep").alias("class_id")))
-    return (sign.select("doc_id", "key").join(classed, "key")
-            .select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull())
-                    .alias("kept")))
+    classed = written(classes.join(parts, F.col("rid") == F.col("node"), "left")
+                      .select("key", "first", F.coalesce("component", "rid").alias("part")), "minhash-classed")
+    groups = classed.groupBy("part").agg(F.min("first").alias("first"))
+    standing = classed.select("key", "part").join(groups, "part").select(
+        "key", F.col("first.doc_id").alias("class_id"), F.col("first.rid").alias("stand"))
+    return (sign.select("rid", "doc_id", "key").join(standing, "key")
+            .select("rid", "doc_id", "class_id", (F.col("rid") == F.col("stand")).alias("stands")))
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """doc_id, class_id and kept of every row."""
+    rows = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+                               "text"), "minhash-rows")
+    return _grouped(rows, least).select(
+        "doc_id", "class_id",
+        F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull() & F.col("stands")).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """docs without the rows whose class has a smaller id, all columns kept. Of rows that
-    share the kept doc_id one stays."""
-    found = near_duplicates(docs, least)
-    gone = found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone")).distinct()
-    twice = found.filter("kept").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_twice"))
-    rows = docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
-    many = rows.join(twice, rows["doc_id"].cast("long").eqNullSafe(F.col("_twice")), "left_semi")
-    once = rows.join(twice, rows["doc_id"].cast("long").eqNullSafe(F.col("_twice")), "left_anti")
-    return once.unionByName(many.dropDuplicates(["doc_id"])).select(*docs.columns)
+    """docs with the one row of each group that stands for it, all columns kept. Of rows that
+    share a doc_id and stand for several groups the first stays."""
+    rows = written(docs.withColumn("_near_row", F.monotonically_increasing_id()), "minhash-rows")
+    found = _grouped(rows.select(F.col("_near_row").alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text"),
+                     least)
+    stays = (found.filter("stands").groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("rid")).alias("alone"))
+             .agg(F.min("rid").alias("_near_row")).select("_near_row"))
+    return rows.join(stays, "_near_row", "left_semi").select(*docs.columns)

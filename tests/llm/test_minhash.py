@@ -131,6 +131,23 @@ def test_one_row_of_each_group_stays(spark):
     assert LONG in [r.text for r in left.collect()]
 
 
+def test_rows_without_ids_and_ids_with_two_texts(spark):
+    rng = random.Random(11)
+    a, b, c, base, own = (sentence(rng, 60) for _ in range(5))
+    near = a + " tail"
+    rows = [(None, a), (None, b), (None, c), (None, near), (None, base), (None, c), (1, base), (2, base), (2, own),
+            (3, "short")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOC_SCHEMA).repartition(3)
+    out = minhash.near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), str(r.class_id)) for r in out) == sorted(
+        [("1", "1"), ("2", "1"), ("2", "2"), ("3", "3"), ("None", "1"), *[("None", "None")] * 5])
+    assert sorted(str(r.doc_id) for r in out if r.kept) == ["1", "2", "3", "None", "None", "None"]
+    left = [(r.doc_id, r.text) for r in minhash.without_near_duplicates(docs).collect()]
+    assert sorted((x for x in left if x[0] is not None)) == [(1, base), (2, own), (3, "short")]
+    texts = [t for i, t in left if i is None]
+    assert len(texts) == 3 and {b, c} < set(texts) and {a, near} & set(texts)
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(no_docs(spark)).collect() == []
     assert minhash.without_near_duplicates(no_docs(spark)).collect() == []

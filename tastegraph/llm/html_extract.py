@@ -5,7 +5,12 @@ them. A linear classifier (tags, roles and names around a block, link share, len
 punctuation) gives the cost of calling a block content or boilerplate. Neighbouring blocks,
 and a block and the block before it in the same parent element, are joined by an edge whose
 weight follows how much of their element paths they share: that is the price of labelling
-them differently. Terminal capacities are the costs, and the minimum cut between the two
+them differently. A class or id
+of which a whole name is a boilerplate word ("sidebar", "cookie-notice") counts unless the
+element holds half of the page's text and an h1 or main. A word that is only part of a name
+("has-sidebar", "entry-header") does not count for an element that holds half of the text,
+or a fifth of it with an article, main or h1, nor for the head of content with its h1;
+inside content its penalty is finite. Terminal capacities are the costs, and the minimum cut between the two
 terminals is the cheapest labelling of the whole page. Blocks whose own costs outweigh all
 their edges are settled first (that changes no minimum), and maximum flow (Dinic) on the
 rest gives the cut; of several minimum cuts, the one with the least content is taken.
@@ -68,21 +73,21 @@ SCALE = 1000  # capacities are whole numbers
 
 
 class _Element:
-    __slots__ = ("name", "depth", "parent", "weight", "unshown")
+    __slots__ = ("name", "depth", "parent", "weight", "unshown", "own", "named", "plain", "holds")
 
     def __init__(self, name: str, parent: _Element | None, attributes: str):
         self.name, self.parent = name, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.weight = parent.weight if parent else 0.0
         self.unshown = parent.unshown if parent else False
-        own = TAG_WEIGHT.get(name, 0.0)
-        if name == "header" and self.weight > 0:
-            own = -2  # the head of an article
+        self.own, self.weight = 0.0, 0.0
+        self.named = 0  # boilerplate names: 1 part of a name, 2 that of a part of content, 3 a whole name
+        self.plain = 0  # characters of text outside links
+        self.holds = {name} & {"article", "main", "h1"}
         if attributes:
             for m in ATTRIBUTE.finditer(attributes):
                 key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
                 if key == "role":
-                    own += ROLE_WEIGHT.get(value.strip(), 0)
+                    self.own += ROLE_WEIGHT.get(value.strip(), 0)
                 elif key == "style":
                     self.unshown |= bool(HIDDEN_STYLE.search(value))
                 elif key == "hidden" or key == "aria-hidden" and value == "true":
@@ -90,11 +95,42 @@ class _Element:
                 else:
                     names = set(NAME_PART.findall(value))
                     if names & BOILERPLATE_NAMES and name not in ("body", "html", "main", "article"):
-                        own -= 9
+                        whole = [set(NAME_PART.findall(x)) for x in value.split()]
+                        of_content = any(x & BOILERPLATE_NAMES and x & CONTENT_NAMES for x in whole)
+                        kind = 3 if any(x and x <= BOILERPLATE_NAMES for x in whole) else 2 if of_content else 1
+                        self.named = max(self.named, kind)
                     elif names & CONTENT_NAMES:
-                        own += 2
+                        self.own += 2
+
+    def weigh(self, total: int) -> None:
+        """The weight of an element whose parent is weighed, on a page of ``total`` characters outside links."""
+        around = self.parent.weight if self.parent else 0.0
+        own = self.own + (-2 if self.name == "header" and around > 0 else TAG_WEIGHT.get(self.name, 0.0))
+        if self.named == 3:
+            if not (2 * self.plain >= total > 0 and self.holds & {"h1", "main"}):
+                own -= 9
+        elif self.named:
+            wrapper = total > 0 and (2 * self.plain >= total or 5 * self.plain >= total and self.holds)
+            head = "h1" in self.holds and (self.named == 2 or around > 0)
+            if not (wrapper or head):
+                if around > 0:  # finite inside content: the cut decides
+                    self.weight = around + own - 7
+                    return
+                own -= 9
         # boilerplate is not undone by what lies inside it
-        self.weight = min(self.weight, 0) + min(own, 0) if min(self.weight, own) <= -5 else self.weight + own
+        self.weight = min(around, 0) + min(own, 0) if min(around, own) <= -5 else around + own
+
+
+def _weigh(elements: list[_Element], found: list[Block]) -> None:
+    """Weights of all elements of a page; parents come before what they hold."""
+    for block in found:
+        block.element.plain += len(block.text) - block.linked
+    for e in reversed(elements):
+        if e.parent:
+            e.parent.plain += e.plain
+            e.parent.holds |= e.holds
+    for e in elements:
+        e.weigh(elements[0].plain)
 
 
 class Block:
@@ -109,6 +145,7 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     pieces: list[str] = []
     top = _Element("", None, "")
+    elements = [top]
     element, links, linked, owner, at = top, 0, 0, None, 0
 
     def end_block() -> None:
@@ -175,8 +212,10 @@ def blocks(page: str) -> list[Block]:
             links = 1
         if name not in VOID and not m[3].endswith("/"):
             element = _Element(name, element, m[3])
+            elements.append(element)
     add(page[at:])
     end_block()
+    _weigh(elements, found)
     return found
 
 

@@ -23,6 +23,20 @@ def test_article_without_its_surroundings():
         "Second & more text here, is <also> fine.", "Short.", "One item of the list", "Two items"]
 
 
+def test_wrappers_named_after_boilerplate():
+    text = ["A title", "The first paragraph of the article goes on for a while, as they do.",
+            "The second paragraph, too, has some words to say about it."]
+    inner = f"<h1>{text[0]}</h1><p>{text[1]}</p><p>{text[2]}</p>"
+    side = ('<div class="sidebar-left"><p>Read what others say of this, here and there.</p></div>'
+            '<div id="main-nav"><a href=1>Home</a> <a href=2>About us</a></div><div class="site-footer"><p>Some rights.</p></div>')
+    for wrapper in ('class="content has-sidebar"', 'id="page" class="header-fixed"', 'class="layout menu-left"'):
+        for page in (f"<div {wrapper}>{inner}</div>{side}", f"<div {wrapper}><article>{inner}</article>{side}</div>",
+                     f"<div {wrapper}><div class=content>{inner}</div>{side}</div>"):
+            assert he.main_text(f"<body>{page}</body>").split("\n\n") == text, page
+    page = f'<article><header class="entry-header"><h1>{text[0]}</h1></header><p>{text[1]}</p><p>{text[2]}</p></article>{side}'
+    assert he.main_text(page).split("\n\n") == text
+
+
 def test_broken_pages():
     for page in ("", " ", "<", "<<<>>>", "<p", "<!-- never closed", "<script>var a", "<p class='x", "</div></p>", "&", "a<b"):
         he.main_text(page)

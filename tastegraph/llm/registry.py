@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegraph.llm import chat, mixing
+from tastegraph.llm import chat, fill_middle, mixing
 from tastegraph.llm.chat import chat_digest, with_probe
 from tastegraph.llm.common import table
 from tastegraph.llm.embed_dedup import linked_vectors
+from tastegraph.llm.fill_middle import fim_digest
 from tastegraph.llm.fingerprints import edited_fingerprints
 from tastegraph.llm.html_extract import main_texts
 from tastegraph.llm.lm_score import lm_scores
@@ -60,6 +61,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -71,9 +76,11 @@ QUERIES = {
     "op8_chat_windows": op8_chat_windows,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLE = {
     "op7_mix_sources": mixing.ORACLE_SQL,
     "op8_chat_windows": chat.ORACLE_SQL,
+    "op12_fill_in_middle": fill_middle.ORACLE_SQL,
 }

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegraph.llm import chat, fill_middle, mixing
+from tastegraph.llm import chat, fill_middle, hard_negatives, mixing
 from tastegraph.llm.chat import chat_digest, with_probe
 from tastegraph.llm.common import table
 from tastegraph.llm.embed_dedup import linked_vectors
 from tastegraph.llm.fill_middle import fim_digest
 from tastegraph.llm.fingerprints import edited_fingerprints
+from tastegraph.llm.hard_negatives import mined
 from tastegraph.llm.html_extract import main_texts
 from tastegraph.llm.lm_score import lm_scores
 from tastegraph.llm.minhash import near_duplicates
@@ -65,6 +66,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mined(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -77,10 +82,12 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE = {
     "op7_mix_sources": mixing.ORACLE_SQL,
     "op8_chat_windows": chat.ORACLE_SQL,
     "op12_fill_in_middle": fill_middle.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }

@@ -18,6 +18,7 @@ from tastegraph.llm.minhash import near_duplicates
 from tastegraph.llm.mixing import mix_digest
 from tastegraph.llm.packing import pack_documents
 from tastegraph.llm.secret_scan import secret_digest
+from tastegraph.llm.token_files import token_file_digest
 from tastegraph.llm.toxicity import toxicity_model, toxicity_scores
 
 
@@ -62,6 +63,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digest(table(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digest(table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_chat_windows": op8_chat_windows,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_token_files": op11_token_files,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_hard_negatives": op13_hard_negatives,
 }

@@ -8,17 +8,23 @@ Event rules (applied in event order per user):
   remove   clear the like only
   clear    clear likes and dislikes of every item of the user
 
-Closed form, with all events before the user's last clear ignored:
-  liked     <=> (init + nl) is odd, where se is the last seed/dislike/remove,
-               init = 1 if se is a seed, nl = likes after se;
-  disliked  <=> the last like/seed/dislike is a dislike.
-``since_event`` of a liked item is the event that started its current liked run
-(the like list's insertion order, newest last).
+One associative aggregate. An item of a user is neutral, liked (since some event) or
+disliked, so a run of events is a function on three states: for each of them it tells which
+state follows, and since when (``since`` stays null where a like from before the run
+is kept). Such functions (transitions) compose, and composition is associative, so events
+are composed in parts and the parts in order:
+
+1. events of one user whose ids fall in one interval of ``width`` ids become one transition
+   per item. The group is bounded by the interval, whatever the user's share of all events;
+   a repeated event counts once; a clear in the interval voids what came before it there.
+2. transitions of intervals before the user's last clear are void (one row for each user who
+   cleared is joined to the transitions).
+3. the transitions of a (user, item) are composed in interval order, in levels of bounded
+   size, within one partitioning by (user, item).
 
-Every step is a hash aggregate by key (partial on the map side) or an equi-join
-with a one-row-per-key aggregate; there is no window. Keys with more than
-``heavy_key`` events are salted in those joins: an aggregate on the join's own key
-would else follow without an exchange, and AQE does not split such a join.
+``since_event`` of a liked item is the event that started its current liked run
+(the like list's insertion order, newest last). The events are never joined with an
+aggregate of theirs, and there is no window.
 """
 
 from __future__ import annotations
@@ -26,104 +32,125 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.operators.skew import salted_join
-
 KEY = ["user_id", "item_id"]
-RESETS = ("seed", "dislike", "remove")
-
-
-def _max_where(cond: Column, value: Column | None = None) -> Column:
-    return F.max(F.when(cond, value if value is not None else F.col("event_id")))
-
-
-HEAVY_KEY = 1_000_000
-
-
-def _after_last_clear(events: DataFrame, heavy_key: int = HEAVY_KEY) -> DataFrame:
-    # an event without a user, an unknown action, or a per-item action without an
-    # item cannot change any state; a clear needs no item
-    # a repeated event counts once, as in the stream
-    ev = (events.select("event_id", "user_id", "item_id", "action").distinct()
-          .where(F.col("user_id").isNotNull() & F.col("event_id").isNotNull()
-                 & F.col("action").isin("like", "seed", "dislike", "remove", "clear")
-                 & (F.col("item_id").isNotNull() | (F.col("action") == "clear"))))
-    clears = (ev.where(F.col("action") == "clear").groupBy("user_id")
-              .agg(F.max("event_id").alias("clear_id")))
-    kept = salted_join(ev.where(F.col("action") != "clear"), clears, ["user_id"], salt_cols=["event_id"],
-                       threshold=heavy_key, how="left")
-    return (kept.where(F.col("clear_id").isNull() | (F.col("event_id") > F.col("clear_id")))
-            .drop("clear_id"))
-
-
-def fold_feedback(events: DataFrame, *, heavy_key: int = HEAVY_KEY) -> DataFrame:
-    """user_id, item_id, state ('liked' | 'disliked'), since_event (liked rows)."""
-    a = _after_last_clear(events, heavy_key)
-    act = F.col("action")
-    eid = F.col("event_id")
-
-    # pass 1: last events of each kind per key
-    k1 = a.groupBy(*KEY).agg(
-        _max_where(act.isin(*RESETS)).alias("se"),
-        _max_where(act == "seed").alias("last_seed"),
-        _max_where(act.isin("like", "seed", "dislike")).alias("le"),
-        _max_where(act == "dislike").alias("last_dislike"),
-        _max_where(act == "like").alias("last_like"),
-        _max_where(act != "seed").alias("p"),
-    )
-    # pass 2: likes after se; first seed of the trailing seed block (after p);
-    # the last reset before p (the anchor that fixes the state after p)
-    j2 = salted_join(a, k1, KEY, salt_cols=["event_id"], threshold=heavy_key)
-    se, p = F.col("se"), F.col("p")
-    k2 = j2.groupBy(*KEY).agg(
-        F.count(F.when((act == "like") & (se.isNull() | (eid > se)), 1)).alias("nl"),
-        F.min(F.when((act == "seed") & (p.isNull() | (eid > p)), eid)).alias("first_seed"),
-        F.max(F.when(act.isin(*RESETS) & (eid < p), F.struct(eid.alias("id"), act.alias("a")))).alias("q"),
-        F.max(F.when(eid == p, act)).alias("p_action"),
-    )
-    # pass 3: likes in (q, p]: the parity that tells whether the like at p set the like
-    j3 = salted_join(a, k2.select(*KEY, "q"), KEY, salt_cols=["event_id"], threshold=heavy_key)
-    qid = F.col("q.id")
-    k3 = j3.groupBy(*KEY).agg(
-        F.count(F.when((act == "like") & (qid.isNull() | (eid > qid)), 1)).alias("m_all"))
-    # m counts likes up to p only; likes after p do not exist when it is used
-    # (it is used only when no like follows the last seed, and p is a like)
-    st = k1.join(k2, KEY).join(k3, KEY)
-
-    init = F.coalesce(F.col("se") == F.col("last_seed"), F.lit(False)).cast("int")
-    liked = ((init + F.col("nl")) % 2) == 1
-    disliked = F.coalesce(F.col("le") == F.col("last_dislike"), F.lit(False))
-    m = F.col("m_all")
-    q_is_seed = F.coalesce(F.col("q.a") == "seed", F.lit(False))
-    on_after_p = F.when(q_is_seed, (m % 2) == 0).otherwise((m % 2) == 1)
-    since = (F.when(F.col("nl") > 0, F.col("last_like"))
-             .when(F.col("p").isNull(), F.col("first_seed"))
-             .when(F.coalesce((F.col("p_action") == "like") & on_after_p, F.lit(False)), F.col("p"))
-             .otherwise(F.col("first_seed")))
-    return (st.where(liked | disliked)
-            .select(*KEY,
-                    F.when(liked, F.lit("liked")).otherwise(F.lit("disliked")).alias("state"),
-                    F.when(liked, since).alias("since_event")))
+ACTIONS = ("like", "seed", "dislike", "remove", "clear")
+WIDTH = 1 << 16  # event ids of an interval
+LEVELS = (1 << 20,)  # intervals composed at once: at most so many rows in a group of a level
+
+NEUTRAL, LIKED, DISLIKED = 0, 1, 2
+#: what follows from each starting state; ``since`` is null where an earlier like is kept
+TRANSITION = "struct<n:int,n_since:bigint,l:int,l_since:bigint,d:int,d_since:bigint>"
+
+
+def valid_events(events: DataFrame) -> DataFrame:
+    """Events that can change a state: one without a user or id, with an unknown action, or a
+    per-item action without an item cannot. A clear needs no item."""
+    return (events.select("event_id", "user_id", "item_id", "action")
+            .where(F.col("user_id").isNotNull() & F.col("event_id").isNotNull() & F.col("action").isin(*ACTIONS)
+                   & (F.col("item_id").isNotNull() | (F.col("action") == "clear"))))
+
+
+def interval_of(width: int) -> Column:
+    """First id of the interval that holds the event."""
+    return F.col("event_id") - F.pmod(F.col("event_id"), F.lit(width).cast("long"))
+
+
+def _after(event: Column, state: Column, since: Column) -> tuple[Column, Column]:
+    """State and since after one event."""
+    action, was_liked = event["action"], state == LIKED
+    then = (F.when(action == "like", F.when(was_liked, NEUTRAL).otherwise(LIKED))
+            .when(action == "seed", LIKED).when(action == "dislike", DISLIKED)
+            .otherwise(F.when(state == DISLIKED, DISLIKED).otherwise(NEUTRAL)))
+    kept = F.when((action == "seed") & was_liked, since).when(then == LIKED, event["event_id"])
+    return then, kept
+
+
+def _struct(parts: list[tuple[Column, Column]]) -> Column:
+    return F.struct(*[c.alias(name) for name, pair in zip("nld", parts, strict=True)
+                      for name, c in ((name, pair[0]), (f"{name}_since", pair[1]))]).cast(TRANSITION)
+
+
+def _identity() -> Column:
+    null = F.lit(None).cast("long")
+    return _struct([(F.lit(s), null) for s in (NEUTRAL, LIKED, DISLIKED)])
+
+
+def _reset() -> Column:
+    null = F.lit(None).cast("long")
+    return _struct([(F.lit(NEUTRAL), null)] * 3)
+
+
+def _composed(first: Column, then: Column) -> Column:
+    """``first``, then ``then``."""
+    parts = []
+    for name in "nld":
+        state, since = first[name], first[f"{name}_since"]
+        follows = F.when(state == NEUTRAL, then["n"]).when(state == LIKED, then["l"]).otherwise(then["d"])
+        # a like that goes on through ``then`` keeps its since
+        new = (F.when(state == NEUTRAL, then["n_since"]).when(state == LIKED, F.coalesce(then["l_since"], since))
+               .otherwise(then["d_since"]))
+        parts.append((follows, F.when(follows == LIKED, new)))
+    return _struct(parts)
+
+
+def interval_transitions(events: DataFrame, width: int = WIDTH) -> DataFrame:
+    """user_id, interval, item_id, t: one transition for each item that a user touched in an interval."""
+    ev = valid_events(events).withColumn("interval", interval_of(width))
+    own = (ev.groupBy("user_id", "interval")
+           .agg(F.collect_set(F.struct("event_id", "action", "item_id")).alias("events"))
+           .withColumn("clear_id", F.array_max(F.transform(F.filter("events", lambda e: e["action"] == "clear"),
+                                                           lambda e: e["event_id"]))))
+    # the groups stay where they are: (user, interval, item) lies within (user, interval)
+    one = own.select("user_id", "interval", "clear_id", F.explode("events").alias("e"))
+    by_item = (one.where(F.col("e.action") != "clear")
+               .groupBy("user_id", "interval", F.col("e.item_id").alias("item_id"))
+               .agg(F.array_sort(F.collect_list(F.struct("e.event_id", "e.action"))).alias("run"),
+                    F.max("clear_id").alias("clear_id")))
+    left = F.when(F.col("clear_id").isNull(), F.col("run")).otherwise(
+        F.filter("run", lambda e: e["event_id"] > F.col("clear_id")))
+    start = F.when(F.col("clear_id").isNull(), _identity()).otherwise(_reset())
+    step = lambda t, e: _struct([_after(e, t[n], t[f"{n}_since"]) for n in "nld"])
+    return by_item.select("user_id", "interval", "item_id", F.aggregate(left, start, step).alias("t"))
+
+
+def last_clears(events: DataFrame, width: int = WIDTH) -> DataFrame:
+    """user_id, last_clear: the interval of the last clear of each user who cleared."""
+    return (valid_events(events).where(F.col("action") == "clear")
+            .groupBy("user_id").agg(F.max(interval_of(width)).alias("last_clear")))
+
+
+def merged_preferences(transitions: DataFrame, clears: DataFrame, width: int = WIDTH) -> DataFrame:
+    """user_id, item_id, state ('liked' | 'disliked'), since_event (liked rows) from one transition
+    for each user, interval and item, and the users' last clears."""
+    # transitions of the clear's own interval know of it already
+    rows = (transitions.join(clears, "user_id", "left")
+            .where(F.col("last_clear").isNull() | (F.col("interval") >= F.col("last_clear")))
+            .select("user_id", "item_id", "interval", "t").repartition(*KEY))
+
+    def composed(df: DataFrame, keys: list[str]) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct("interval", "t")))
+        return df.groupBy(*keys).agg(F.aggregate(ordered, _identity(), lambda t, x: _composed(t, x["t"])).alias("t"))
+
+    span = width
+    for most in LEVELS:
+        span *= most
+        wider = F.col("interval") - F.pmod(F.col("interval"), F.lit(span).cast("long"))
+        rows = composed(rows.withColumn("wider", wider), [*KEY, "wider"]).withColumnRenamed("wider", "interval")
+    last = composed(rows, KEY)
+    return (last.where(F.col("t.n") != NEUTRAL)
+            .select(*KEY, F.when(F.col("t.n") == LIKED, "liked").otherwise("disliked").alias("state"),
+                    F.col("t.n_since").alias("since_event")))
+
+
+def fold_feedback(events: DataFrame, *, heavy_key: int = WIDTH) -> DataFrame:
+    """user_id, item_id, state ('liked' | 'disliked'), since_event (liked rows). ``heavy_key``: event ids
+    of an interval, so at most so many events of a user are composed in one group."""
+    return merged_preferences(interval_transitions(events, heavy_key), last_clears(events, heavy_key), heavy_key)
 
 
 def fold_feedback_simple(events: DataFrame) -> DataFrame:
-    """The state alone (no insertion position): two aggregate passes."""
-    a = _after_last_clear(events)
-    act, eid = F.col("action"), F.col("event_id")
-    k1 = a.groupBy(*KEY).agg(
-        _max_where(act.isin(*RESETS)).alias("se"),
-        _max_where(act == "seed").alias("last_seed"),
-        _max_where(act.isin("like", "seed", "dislike")).alias("le"),
-        _max_where(act == "dislike").alias("last_dislike"))
-    se = F.col("se")
-    k2 = a.join(k1, KEY).groupBy(*KEY).agg(
-        F.first("se").alias("se"), F.first("last_seed").alias("last_seed"),
-        F.first("le").alias("le"), F.first("last_dislike").alias("last_dislike"),
-        F.count(F.when((act == "like") & (se.isNull() | (eid > se)), 1)).alias("nl"))
-    init = F.coalesce(F.col("se") == F.col("last_seed"), F.lit(False)).cast("int")
-    liked = ((init + F.col("nl")) % 2) == 1
-    disliked = F.coalesce(F.col("le") == F.col("last_dislike"), F.lit(False))
-    return (k2.where(liked | disliked)
-            .select(*KEY, F.when(liked, F.lit("liked")).otherwise(F.lit("disliked")).alias("state")))
+    """The state alone (no insertion position)."""
+    return fold_feedback(events).drop("since_event")
 
 
 def preference_counts(prefs: DataFrame) -> DataFrame:

@@ -1,42 +1,54 @@
-"""The feedback fold as a Structured Streaming job.
-
-Events arrive as files (parquet, fixed schema). State is kept per user with
-``applyInPandasWithState``: the last applied event id and the user's current item
-states. Within a micro-batch a user's new events are applied in event-id order;
-an event at or below the last applied id is a replay or arrived late; it is
-ignored and counted (``late_events``), so a batch re-run after a failure changes
-nothing. ``clear`` touches every item of the user,
-which is why the state key is the user and not (user, item). A user's group in one
-call holds that user's events of one micro-batch (bounded by ``max_files``) plus
-their current items (bounded by the catalogue).
-
-Each micro-batch writes, for every user it touched, a full snapshot of that user's
-current preferences to ``<sink>/batch=<id>`` (overwrite, so replays are
-idempotent); a user left with no preference writes one marker row (item_id null).
-``current_preferences`` reads the newest snapshot of every user. An optional
-``on_batch`` callback receives the touched users' snapshot (used to re-score them).
+"""The feedback fold as a Structured Streaming job whose state merges in any order.
+
+Events arrive as files (parquet, fixed schema), in any order and cut into any batches. The
+state is kept as tables in the sink, one folder for each micro-batch and table:
+
+events       the batch's events, by era (a range of ids that prunes the reads below)
+transitions  for every (user, interval of ids) the batch touched, the composed transition of
+             each item there (``operators/feedback.py``), by bucket of users
+clears       the interval of each touched user's last clear
+users        each touched user's last event and number of late or repeated events
+
+A micro-batch writes its events, reads back all events of the intervals it touched, and writes
+their transitions anew: a late event changes its own interval alone, a repeated one nothing.
+The newest batch's row of a (user, interval, item) holds; the clears take their maximum. A
+micro-batch's work is bounded by the events of the intervals that it touches; a user with many
+events is many intervals, and no task or group holds a whole user. Each folder is overwritten
+when a batch runs again, so a failed batch leaves no trace.
+
+``current_preferences`` composes the transitions. ``compact`` writes that result once; readers then
+compose only users with events after it. An optional ``on_batch`` callback receives the
+touched users' preferences (used to re-score them); a user left with none has one marker row
+(item_id null).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tastegraph import schemas
-from tastegraph.session import scratch_path
+from tastegraph.operators import feedback as fb_ops
+from tastegraph.session import persisted, scratch_path
 from tastegraph.sources.files import path_exists
 
-OUT_SCHEMA = "user_id long, item_id long, state string, since_event long, last_event long, late_events long"
-STATE_SCHEMA = ("last_event long, items array<long>, liked array<int>, disliked array<int>, "
-                "since array<long>, late long")
+ERA = 1 << 24  # event ids of an era, a folder of the events table
+USER_BUCKETS = 64
+# Files per micro-batch: bounds each batch even when a large backlog is waiting;
+# Trigger.AvailableNow honours it.
+MAX_FILES_PER_TRIGGER = 64
+
+TRANSITIONS_SCHEMA = (f"user_id long, interval long, item_id long, t {fb_ops.TRANSITION}, batch long, bucket int")
+EVENTS_SCHEMA = "event_id long, user_id long, item_id long, action string, batch long, era long"
+CLEARS_SCHEMA = "user_id long, last_clear long, batch long"
+USERS_SCHEMA = "user_id long, last_event long, late_events long, batch long"
 
 
 def _apply(cur: dict, event_id: int, item: int, action: str) -> dict:
-    """One event of the fold on a user's {item: [liked, disliked, since]}."""
+    """One event of the fold on a user's {item: [liked, disliked, since]}: the rules in their plain form,
+    against which the composed transitions are tested."""
     if action == "clear":
         return {}
     e = cur.get(item, [0, 0, None])
@@ -57,42 +69,69 @@ def _apply(cur: dict, event_id: int, item: int, action: str) -> dict:
     return cur
 
 
-def fold_user(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    user_id = int(key[0])
-    if state.exists:
-        last, items, liked, disliked, since, late = state.get
-        cur = {int(i): [int(a), int(b), None if s is None or pd.isna(s) else int(s)]
-               for i, a, b, s in zip(items, liked, disliked, since)}
-    else:
-        last, cur, late = -1, {}, 0
-    ev = pd.concat(list(pdfs), ignore_index=True).drop_duplicates().sort_values("event_id", kind="stable")
-    stale = ev["event_id"] <= last  # replayed or late: at or before the last applied event
-    late = int(late) + int(stale.sum())
-    ev = ev[~stale]
-    for eid, item, action in zip(ev["event_id"], ev["item_id"], ev["action"]):
-        if action is None:
-            continue
-        cur = _apply(cur, int(eid), None if pd.isna(item) else int(item), action)
-        last = int(eid)
-    cur = {i: e for i, e in cur.items() if i is not None and (e[0] or e[1])}
-    keys = sorted(cur)
-    state.update((last, keys, [cur[i][0] for i in keys], [cur[i][1] for i in keys],
-                  [cur[i][2] for i in keys], late))
-    rows = [(i, "liked" if cur[i][0] else "disliked", cur[i][2] if cur[i][0] else None) for i in keys]
-    rows = rows or [(None, None, None)]  # the marker of a user without preferences
-    yield pd.DataFrame({
-        "user_id": [user_id] * len(rows),
-        "item_id": pd.array([r[0] for r in rows], dtype="Int64"),
-        "state": pd.array([r[1] for r in rows], dtype="string"),
-        "since_event": pd.array([r[2] for r in rows], dtype="Int64"),
-        "last_event": [last] * len(rows),
-        "late_events": [late] * len(rows),
-    })
-
-
-# Files per micro-batch: bounds each batch (and so each user's group in one call)
-# even when a large backlog is waiting; Trigger.AvailableNow honours it.
-MAX_FILES_PER_TRIGGER = 64
+def user_bucket(buckets: int = USER_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+
+
+def _era() -> Column:
+    return F.col("event_id") - F.pmod(F.col("event_id"), F.lit(ERA).cast("long"))
+
+
+def _read(spark: SparkSession, sink: str, name: str, schema: str) -> DataFrame:
+    path = f"{sink.rstrip('/')}/{name}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
+def _write(df: DataFrame, sink: str, name: str, batch_id: int, *by: str) -> DataFrame:
+    path = f"{sink.rstrip('/')}/{name}/batch={batch_id}"
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).option("basePath", path).parquet(path)
+
+
+def fold_batch(spark: SparkSession, sink: str, new: DataFrame, batch_id: int, width: int = fb_ops.WIDTH) -> DataFrame:
+    """Merges a micro-batch of events into the state; returns the users it touched. No order is asked
+    of the batches, and the events of earlier ones may come again."""
+    own = _write(fb_ops.valid_events(new).distinct().withColumn("era", _era()), sink, "events", batch_id, "era")
+    low, high = own.agg(F.min("era"), F.max("era")).first()
+    if low is None:
+        return spark.createDataFrame([], "user_id long")
+    touched = own.select("user_id", fb_ops.interval_of(width).alias("interval")).distinct()
+    # a batch that ran before and failed left a folder of its own number at most
+    log = (_read(spark, sink, "events", EVENTS_SCHEMA).where(F.col("era").between(low, high) & (F.col("batch") <= batch_id))
+           .withColumn("interval", fb_ops.interval_of(width)))
+    again = log.join(touched, ["user_id", "interval"], "left_semi").drop("interval")
+    rows = fb_ops.interval_transitions(again, width).withColumn("bucket", user_bucket())
+    _write(rows, sink, "transitions", batch_id, "bucket")
+    _write(fb_ops.last_clears(own, width), sink, "clears", batch_id)
+    before = _stats(spark, sink, batch_id - 1)
+    late = F.count_if(F.col("event_id") <= F.col("last_event"))
+    users = (own.join(before, "user_id", "left").groupBy("user_id")
+             .agg(F.greatest(F.max("event_id"), F.max("last_event")).alias("last_event"),
+                  (late + F.coalesce(F.max("late_events"), F.lit(0))).alias("late_events")))
+    return _write(users, sink, "users", batch_id).select("user_id")
+
+
+def _stats(spark: SparkSession, sink: str, upto: int | None = None) -> DataFrame:
+    rows = _read(spark, sink, "users", USERS_SCHEMA)
+    if upto is not None:
+        rows = rows.where(F.col("batch") <= upto)
+    return (rows.groupBy("user_id").agg(F.max("last_event").alias("last_event"), F.max("late_events").alias("late_events")))
+
+
+def preferences_of(spark: SparkSession, sink: str, users: DataFrame | None = None,
+                   width: int = fb_ops.WIDTH) -> DataFrame:
+    """user_id, item_id, state, since_event of ``users`` (all if None), composed from the transitions."""
+    rows = _read(spark, sink, "transitions", TRANSITIONS_SCHEMA)
+    clears = _read(spark, sink, "clears", CLEARS_SCHEMA)
+    if users is not None:
+        buckets = [r[0] for r in users.select(user_bucket()).distinct().collect()]  # at most USER_BUCKETS
+        rows = rows.where(F.col("bucket").isin(buckets)).join(users, "user_id", "left_semi")
+        clears = clears.join(users, "user_id", "left_semi")
+    newest = rows.groupBy("user_id", "interval", "item_id").agg(F.max_by("t", "batch").alias("t"))
+    last = clears.groupBy("user_id").agg(F.max("last_clear").alias("last_clear"))
+    return fb_ops.merged_preferences(newest, last, width)
 
 
 def start_feedback_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, *,
@@ -106,19 +145,17 @@ def start_feedback_stream(spark: SparkSession, source_dir: str, sink: str, check
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = reader.parquet(source_dir)
-    events = ((to_events(raw) if to_events else raw)
-              .select("event_id", "user_id", "item_id", "action")
-              .where(F.col("user_id").isNotNull() & F.col("event_id").isNotNull()))
-    folded = events.groupBy("user_id").applyInPandasWithState(
-        fold_user, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    events = (to_events(raw) if to_events else raw).select("event_id", "user_id", "item_id", "action")
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        session = df.sparkSession
+        users = fold_batch(session, sink, df, batch_id)
         if on_batch is not None:
-            on_batch(spark.read.parquet(f"{sink}/batch={batch_id}"), batch_id)
+            # one marker row stands for a touched user without preferences
+            with persisted(users.join(preferences_of(session, sink, users), "user_id", "left")) as snapshot:
+                on_batch(snapshot, batch_id)
 
-    w = (folded.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint))
+    w = events.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
@@ -127,40 +164,32 @@ def _compacted(sink: str) -> str:
     return f"{sink.rstrip('/')}_compact"
 
 
-def newest_snapshots(spark: SparkSession, sink: str) -> DataFrame:
-    """Each user's newest snapshot rows, with ``batch``: from the last compaction, if there is
-    one, and only the batches written after it."""
-    snap = spark.read.parquet(sink)
-    if path_exists(spark, _compacted(sink)):
-        tables = spark.read.parquet(_compacted(sink))
-        upto = tables.agg(F.max("upto")).first()[0]
-        done = tables.where(F.col("upto") == upto).drop("upto")
-        snap = snap.where(F.col("batch") > upto).unionByName(done)
-    newest = snap.groupBy("user_id").agg(F.max("batch").alias("batch"))
-    return snap.join(newest, ["user_id", "batch"])
-
-
 def current_preferences(spark: SparkSession, sink: str) -> DataFrame:
-    """user_id, item_id, state, since_event from each user's newest snapshot."""
-    cur = newest_snapshots(spark, sink).where(F.col("item_id").isNotNull())
-    return cur.select("user_id", "item_id", "state", "since_event")
+    """user_id, item_id, state, since_event: from the last compaction, if there is one, for the users
+    without later events, and from the transitions for the others."""
+    columns = ["user_id", "item_id", "state", "since_event"]
+    if not path_exists(spark, _compacted(sink)):
+        return preferences_of(spark, sink).select(*columns)
+    tables = spark.read.parquet(_compacted(sink))
+    upto = tables.agg(F.max("upto")).first()[0]
+    done = tables.where(F.col("upto") == upto).select(*columns)
+    users = _read(spark, sink, "users", USERS_SCHEMA).where(F.col("batch") > upto).select("user_id").distinct()
+    later = preferences_of(spark, sink, users).select(*columns)
+    return done.join(users, "user_id", "left_anti").unionByName(later)
 
 
 def stream_stats(spark: SparkSession, sink: str) -> DataFrame:
-    """user_id, last_event, late_events (events dropped as at or before the user's
-    last applied event, replays included) from each user's newest snapshot."""
-    return (newest_snapshots(spark, sink)
-            .groupBy("user_id").agg(F.max("last_event").alias("last_event"),
-                                    F.max("late_events").alias("late_events")))
+    """user_id, last_event, late_events: each user's newest event, and how many events came at or below
+    the newest one of an earlier batch (repeated ones, which change nothing, and late ones, which count)."""
+    return _stats(spark, sink)
 
 
 def compact(spark: SparkSession, sink: str) -> DataFrame:
-    """Write each user's newest snapshot as one table beside the sink and return it. Readers
-    then scan that table and the batches after it; the folders of earlier batches can be
-    retired."""
-    upto = spark.read.parquet(sink).agg(F.max("batch")).first()[0]
-    out = f"{_compacted(sink)}/upto={upto}"
-    newest_snapshots(spark, sink).write.mode("overwrite").parquet(out)
+    """Write everyone's current preferences as one table beside the sink and return it (a marker row
+    keeps a table without preferences readable). Readers then compose only later batches' users."""
+    upto = _read(spark, sink, "users", USERS_SCHEMA).agg(F.max("batch")).first()[0]
+    out = f"{_compacted(sink)}/upto={-1 if upto is None else upto}"
+    current_preferences(spark, sink).write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 

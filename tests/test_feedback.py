@@ -152,3 +152,93 @@ def test_salted_hot_keys_fold_alike(spark):
     hot = ev.select("event_id", F.when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id")).alias("user_id"),
                     F.when(F.col("event_id") % 6 == 0, 1).otherwise(F.col("item_id")).alias("item_id"), "action")
     assert as_dict(FB.fold_feedback(hot, heavy_key=5)) == as_dict(FB.fold_feedback(hot)) == brute_force(hot.toPandas())
+
+
+def hot_events(n=1200, seed=3):
+    """Events of a few users and items, a third of them of one user, one third of those of one item."""
+    import random
+
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        user = 7 if k % 3 == 0 else rng.randint(1, 9)
+        item = 5 if user == 7 and k % 9 == 0 else rng.randint(1, 12)
+        rows.append((k * 3 + 1, user, item, rng.choice(["like", "like", "seed", "dislike", "remove"] * 12 + ["clear"]), None))
+    return rows
+
+
+EVENTS = "event_id long, user_id long, item_id long, action string, ts timestamp"
+
+
+@pytest.mark.parametrize("width", [1, 7, 64, 1 << 16])
+def test_any_cut_into_intervals_composes_alike(spark, width, monkeypatch):
+    monkeypatch.setattr(FB, "LEVELS", (3, 5))
+    ev = spark.createDataFrame(hot_events(), EVENTS)
+    assert as_dict(FB.fold_feedback(ev, heavy_key=width)) == brute_force(ev.toPandas())
+
+
+def test_events_meet_no_aggregate_of_theirs(spark):
+    """Two exchanges of the events, and a join of transitions with clears only."""
+    from .test_plans import plan
+
+    text = plan(FB.fold_feedback(fx.feedback(spark, SF_SMALL)), "simple")
+    assert sum("Join" in line for line in text.splitlines()) == 1 and "Window" not in text
+    assert text.count("Exchange hashpartitioning(user_id") == 3  # events, transitions, clears
+
+
+def test_stream_in_any_file_order(spark, scratch):
+    """Files in shuffled order, two a batch, with events that come again: the batch fold's rows."""
+    import random
+
+    rows = hot_events()
+    rng = random.Random(11)
+    parts = [rows[k::8] + rng.sample(rows, 20) for k in range(8)]  # every file spans all ids
+    rng.shuffle(parts)
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    for k, part in enumerate(parts):
+        path = os.path.join(src, f"e{k}.parquet")
+        pd.DataFrame(part, columns=["event_id", "user_id", "item_id", "action", "ts"]) \
+            .astype({"ts": "datetime64[us]"}).to_parquet(path, index=False)
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    sink = os.path.join(scratch, "sink")
+    seen = []
+    got = FS.run_feedback_stream(spark, src, sink=sink, max_files=2, on_batch=lambda df, k: seen.append(
+        {r.user_id for r in df.select("user_id").distinct().collect()}))
+    ev = spark.createDataFrame(rows, EVENTS)
+    want = brute_force(ev.toPandas())
+    assert as_dict(got) == want == as_dict(FB.fold_feedback(ev))
+    assert len(seen) == 4 and 7 in seen[0]
+    last = {r.user_id: r.last_event for r in FS.stream_stats(spark, sink).collect()}
+    assert last == {u: max(r[0] for r in rows if r[1] == u) for u in {r[1] for r in rows}}
+
+
+def test_batches_fold_in_small_intervals_and_again(spark, scratch):
+    rows = hot_events(400, 5)
+    ev = spark.createDataFrame(rows, EVENTS)
+    batches = [rows[300:], rows[100:200], rows[:100], rows[200:300]]
+    for k, part in enumerate(batches):
+        df = spark.createDataFrame(part, EVENTS)
+        FS.fold_batch(spark, scratch, df, k, width=16)
+        if k == 2:
+            FS.fold_batch(spark, scratch, df, k, width=16)  # a batch that runs again
+    FS.fold_batch(spark, scratch, spark.createDataFrame([], EVENTS), 4, width=16)
+    assert as_dict(FS.preferences_of(spark, scratch, width=16)) == brute_force(ev.toPandas())
+    some = spark.createDataFrame([(7,), (2,), (99,)], "user_id long")
+    want = {k: v for k, v in brute_force(ev.toPandas()).items() if k[0] in (7, 2)}
+    assert as_dict(FS.preferences_of(spark, scratch, some, width=16)) == want
+
+
+def test_lists_are_replaced_in_place(spark, scratch):
+    from tastegraph.streaming import rescore
+
+    sink = os.path.join(scratch, "lists")
+    schema = "user_id long, item_id long, rank int"
+    for rows in ([(u, 10 * u + r, r) for u in range(200) for r in (1, 2)], [(5, 99, 1), (6, None, None)], [(5, 98, 1), (300, 1, 1)]):
+        lists = spark.createDataFrame(rows, schema)
+        rescore.upsert_lists(spark, sink, lists.select("user_id").distinct(), lists)
+    stored = spark.read.parquet(sink)
+    assert stored.where("user_id = 5").count() == 1 and stored.count() == 2 * 198 + 3  # one list a user is stored
+    got = {(r.user_id, r.item_id) for r in rescore.current_recommendations(spark, sink).collect()}
+    assert {g for g in got if g[0] in (5, 6, 300)} == {(5, 98), (300, 1)}
+    assert len(got) == 2 * 198 + 2

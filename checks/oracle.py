@@ -496,6 +496,22 @@ ORACLE["item_multihot"] = with_ctes(*catalog_ctes(), """gix AS (
 SELECT DISTINCT ig.item_id, CAST(gix.genre_index AS BIGINT) AS genre_index, 1.0::DOUBLE AS value
 FROM ig JOIN gix ON ig.genre = gix.genre""")
 
+ORACLE["genre_encoder_vectors"] = ORACLE["item_multihot"]
+
+ORACLE["forest_reloaded"] = with_ctes(*SPLIT_CTES, select="""
+SELECT user_id, item_id, true AS same FROM te WHERE item_id IN (SELECT item_id FROM items)""")
+
+# the split of the train ratings by one genre that leaves the least squared error, and its two means
+ORACLE["forest_stump"] = with_ctes(*SPLIT_CTES, *catalog_ctes(), """lst AS (SELECT DISTINCT item_id, genre FROM ig)""",
+    """known AS (SELECT tr.item_id, tr.r2 FROM tr WHERE item_id IN (SELECT item_id FROM items))""",
+    """whole AS (SELECT count(*) AS n, sum(r2) AS s FROM known)""",
+    """sides AS (SELECT genre, count(*) AS n1, sum(r2) AS s1 FROM known JOIN lst USING (item_id) GROUP BY genre)""",
+    """best AS (SELECT genre, s1 / n1 / 2.0 AS with_it, (s - s1) / (n - n1) / 2.0 AS without_it FROM sides, whole
+  WHERE n1 < n ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) DESC, genre LIMIT 1)""", select="""
+SELECT te.user_id, te.item_id, round(CAST(CASE WHEN lst.item_id IS NOT NULL THEN with_it ELSE without_it END AS DOUBLE), 6) AS prediction
+FROM te JOIN items ON te.item_id = items.item_id CROSS JOIN best
+LEFT JOIN lst ON lst.item_id = te.item_id AND lst.genre = best.genre""")
+
 # K2 / K3: the stream ends in the batch results
 ORACLE["feedback_stream"] = ORACLE["feedback_state"]
 ORACLE["feedback_stream_recommendations"] = ORACLE["recommendations"]

@@ -24,7 +24,7 @@ from tastegraph.plans import batch as batch_plan
 # support gates, shrinkage and cut: the fixed values of the artefact stage
 from tastegraph.plans.artefact import (MIN_COMMON, MIN_RATINGS_CATALOG, MIN_RATINGS_SIM, MIN_SIM,
                                        SHRINK_LAMBDA, TOP_NEIGHBOURS)
-from tastegraph.session import ensure_checkpoint_dir
+from tastegraph.session import ensure_checkpoint_dir, scratch_path
 from tastegraph.sources import files, sinks
 from tastegraph.sources import fixtures as fx
 from tastegraph.streaming import feedback_stream as stream_ops
@@ -122,8 +122,6 @@ def q_pair_similarity_parts(spark, sf_dir):
 # ---- A1-A3, A5, A6: the fixture through files and back -----------------------------------------
 
 def _csv_path(spark: SparkSession, df: DataFrame, name: str) -> str:
-    from tastegraph.session import scratch_path
-
     path = scratch_path(spark, name)
     df.write.option("header", True).option("escape", '"').csv(path)
     return path
@@ -154,8 +152,6 @@ def q_links_csv(spark, sf_dir):
 @query("metrics_csv")
 def q_metrics_csv(spark, sf_dir):
     """The metrics of item-CF through the CSV sink and back."""
-    from tastegraph.session import scratch_path
-
     path = scratch_path(spark, "metrics-csv")
     sinks.write_metrics_csv(q_rating_metrics(spark, sf_dir), path)
     return spark.read.schema("metric string, value double, detail string").option("header", True).csv(path)
@@ -165,8 +161,6 @@ def q_metrics_csv(spark, sf_dir):
 def q_artefact_neighbours(spark, sf_dir):
     """The neighbour lists of the written artefact (JSON lines), flat again."""
     from tastegraph.plans import artefact
-    from tastegraph.session import scratch_path
-
     path = scratch_path(spark, "artefact")
     artefact.run(fx.ratings(spark, sf_dir), fx.items(spark, sf_dir), fx.links(spark, sf_dir), out=path)
     lists = spark.read.schema("item_id long, neighbours array<struct<neighbour_id: long, sim: double>>") \
@@ -484,6 +478,15 @@ def q_item_multihot(spark, sf_dir):
     return m.select("item_id", F.col("genre_index").cast("long").alias("genre_index"), "value")
 
 
+@query("genre_encoder_vectors")
+def q_genre_encoder_vectors(spark, sf_dir):
+    """The encoder pipeline, fitted, stored and loaded again: its items' vectors in coordinate form."""
+    items = fx.items(spark, sf_dir)
+    encoder = content_ops.genre_encoder(content_ops.item_genre_rows(items))
+    loaded = content_ops.stored(encoder, scratch_path(spark, "genre-encoder"))
+    return content_ops.vector_places(content_ops.item_vectors(loaded, items))
+
+
 @query("als_predictions")
 def q_als_predictions(spark, sf_dir):
     train, test = split_of(spark, sf_dir)
@@ -513,6 +516,30 @@ def q_forest_predictions(spark, sf_dir):
     return content_ops.score_content(model, feats, test)
 
 
+@query("forest_reloaded")
+def q_forest_reloaded(spark, sf_dir):
+    """Each held-out pair that the forest pipeline scores, and whether the stored pipeline, loaded again,
+    gives the same prediction."""
+    train, test = split_of(spark, sf_dir)
+    model, feats = content_ops.content_model(train, fx.items(spark, sf_dir))
+    feats = materialize(feats)
+    loaded = content_ops.stored(model, scratch_path(spark, "forest-pipeline"))
+    again = content_ops.score_content(loaded, feats, test).withColumnRenamed("prediction", "again")
+    return (content_ops.score_content(model, feats, test).join(again, ["user_id", "item_id"])
+            .select("user_id", "item_id", (F.col("prediction") == F.col("again")).alias("same")))
+
+
+@query("forest_stump")
+def q_forest_stump(spark, sf_dir):
+    """The forest as one tree of depth 1 on all features: its best genre and both means have a closed form.
+    (Bins enough that MLlib looks for its splits in up to a million ratings, not in a sample of 10,000.)"""
+    train, test = split_of(spark, sf_dir)
+    model, feats = content_ops.content_model(train, fx.items(spark, sf_dir), num_trees=1, max_depth=1, bootstrap=False,
+                                             subsamplingRate=1.0, featureSubsetStrategy="all", maxBins=1000)
+    p = content_ops.score_content(model, feats, test)
+    return p.select("user_id", "item_id", r6(F.col("prediction")).alias("prediction"))
+
+
 # ---- facts about the models' outputs that SQL can state ---------------------------------------
 
 @query("als_prediction_pairs")
@@ -587,8 +614,6 @@ def q_feedback_stream(spark, sf_dir):
 def q_feedback_stream_recommendations(spark, sf_dir):
     """Recommendations kept current by re-scoring each micro-batch's touched users;
     after the stream has consumed everything, the same rows as recommendations."""
-    from tastegraph.session import scratch_path
-
     r = materialize(fx.ratings(spark, sf_dir))
     cat = materialize(catalog_of(spark, sf_dir, r))
     nb = materialize(cat_ops.prune_neighbours(item_neighbours(spark, sf_dir, r), cat))

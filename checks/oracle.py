@@ -196,15 +196,20 @@ SELECT item_id, title, n, CAST(position AS BIGINT) AS position, CAST(total AS BI
          count(*) OVER () AS total FROM cat)
 WHERE position >= 54 AND position < 108""")
 
-ORACLE["seed_profiles"] = with_ctes(*catalog_ctes(), select="""
-SELECT user_id, pick, item_id FROM (
-  SELECT u.user_id, pool.item_id,
-         row_number() OVER (PARTITION BY u.user_id
-                            ORDER BY md5(concat('0:', CAST(u.user_id AS VARCHAR), ':', CAST(pool.item_id AS VARCHAR))),
-                                     pool.item_id) AS pick
-  FROM (SELECT DISTINCT user_id FROM f) u
-  CROSS JOIN (SELECT item_id FROM cat ORDER BY n DESC, item_id LIMIT 260) pool)
-WHERE pick <= 4""")
+def _draw(t: int, taken: list[str], k: int = 4) -> str:
+    """Draw t: a place by hash below size - k + t + 1, or size - k + t where that place is taken."""
+    place = f"CAST('0x' || substr(md5(concat('0:', CAST(user_id AS VARCHAR), ':{t}')), 1, 8) AS BIGINT) % (size - {k - t - 1})"
+    return f"CASE WHEN {place} IN ({', '.join(taken)}) THEN size - {k - t} ELSE {place} END" if taken else place
+
+
+# the pool holds more than four items at every scale
+ORACLE["seed_profiles"] = with_ctes(*catalog_ctes(), """pool AS (
+  SELECT item_id, row_number() OVER (ORDER BY n DESC, item_id) - 1 AS slot FROM cat QUALIFY slot < 260)""",
+    """u0 AS (SELECT DISTINCT user_id, (SELECT count(*) FROM pool) AS size FROM f)""",
+    *[f"u{t + 1} AS (SELECT *, {_draw(t, [f's{x}' for x in range(t)])} AS s{t} FROM u{t})" for t in range(4)],
+    select="""
+SELECT user_id, pick, item_id
+FROM (SELECT user_id, unnest([1, 2, 3, 4]) AS pick, unnest([s0, s1, s2, s3]) AS slot FROM u4) JOIN pool USING (slot)""")
 
 
 # ---- K1 feedback fold: closed form for the state, per-event replay for the
@@ -496,6 +501,16 @@ ORACLE["item_multihot"] = with_ctes(*catalog_ctes(), """gix AS (
 SELECT DISTINCT ig.item_id, CAST(gix.genre_index AS BIGINT) AS genre_index, 1.0::DOUBLE AS value
 FROM ig JOIN gix ON ig.genre = gix.genre""")
 
+ORACLE["als_folds"] = with_ctes(*SPLIT_CTES, select="""
+SELECT user_id, item_id,
+       CAST('0x' || substr(md5(concat(CAST(user_id AS VARCHAR), ':', CAST(item_id AS VARCHAR), ':fold')), 1, 8) AS BIGINT) % 3 AS fold
+FROM tr""")
+
+ORACLE["ratings_csv_checked"] = with_ctes(select="""
+SELECT CASE WHEN rating IN (0.5, 1.0, 2.0) THEN 'malformed' WHEN rating = 1.5 THEN 'no user_id' ELSE 'accepted' END AS reason,
+       count(*) AS n
+FROM r GROUP BY 1""")
+
 ORACLE["genre_encoder_vectors"] = ORACLE["item_multihot"]
 
 ORACLE["forest_reloaded"] = with_ctes(*SPLIT_CTES, select="""

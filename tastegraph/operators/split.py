@@ -22,6 +22,13 @@ def train_test(ratings: DataFrame, *, seed: int = 0, cut: str = "cd") -> tuple[D
             s.where(F.col("split") == "test").drop("split"))
 
 
+def with_fold(ratings: DataFrame, folds: int = 3, *, seed: int | str = "fold") -> DataFrame:
+    """Adds ``fold`` (int, 0 to folds - 1) by the hash of the (user, item) pair: the folds of a
+    cross-validation are the same in every run, however the ratings are partitioned."""
+    digest = hashing.pair_digest(F.col("user_id"), F.col("item_id"), seed)
+    return ratings.withColumn("fold", (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % folds).cast("int"))
+
+
 def random_split(ratings: DataFrame, *, weights=(0.8, 0.2), seed: int = 0) -> list[DataFrame]:
     """MLlib-style random split (rows on each side depend on the partitioning of
     the input; sort or hash-split for reproducible sides)."""

@@ -149,6 +149,23 @@ def q_links_csv(spark, sf_dir):
     return files.read_links(spark, _csv_path(spark, out, "links-csv")).select("item_id", "imdb", "tmdb")
 
 
+@query("ratings_csv_checked")
+def q_ratings_csv_checked(spark, sf_dir):
+    """A ratings file in which some rows are damaged, by the rating's own values: how many rows are
+    accepted, and rejected for which reason."""
+    user, item = F.col("user_id").cast("string"), F.col("item_id").cast("string")
+    line = (F.when(F.col("rating") == 0.5, F.concat_ws(",", user, item, F.lit("half a star"), F.lit("1")))
+            .when(F.col("rating") == 1.0, F.concat_ws(",", user, item))
+            .when(F.col("rating") == 1.5, F.concat_ws(",", F.lit(""), item, F.lit("1.5"), F.lit("1")))
+            .when(F.col("rating") == 2.0, F.concat_ws(",", user, item, F.lit("2.0"), F.lit("1"), F.lit("more")))
+            .otherwise(F.concat_ws(",", user, item, F.col("rating").cast("string"), F.lit("1"))))
+    path = scratch_path(spark, "ratings-damaged")
+    fx.ratings(spark, sf_dir).select(line.alias("value")).write.text(path)
+    accepted, rejected = files.checked_ratings(spark, path, header=False)
+    return (accepted.groupBy(F.lit("accepted").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+            .unionByName(rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))))
+
+
 @query("metrics_csv")
 def q_metrics_csv(spark, sf_dir):
     """The metrics of item-CF through the CSV sink and back."""
@@ -502,6 +519,13 @@ def q_als_topk(spark, sf_dir):
         "user_id", F.col("rank").cast("long").alias("rank"), "item_id", "score")
 
 
+@query("als_folds")
+def q_als_folds(spark, sf_dir):
+    """The cross-validation fold of each train rating."""
+    train, _ = split_of(spark, sf_dir)
+    return split_ops.with_fold(train).select("user_id", "item_id", F.col("fold").cast("long").alias("fold"))
+
+
 @query("als_grid")
 def q_als_grid(spark, sf_dir):
     train, _ = split_of(spark, sf_dir)

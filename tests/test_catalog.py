@@ -90,3 +90,16 @@ def test_genre_ids_in_list_order(spark):
     for item, (genres, gids) in got.items():
         assert gids == [ids[g] for g in genres]
     assert got[2][1] == [ids["Y"]]
+
+
+def test_seed_profiles_draw_evenly_from_a_few_rows_a_user(spark):
+    from .test_plans import plan
+
+    cat = spark.createDataFrame([(i, 100 - i) for i in range(20)], "item_id long, n long")
+    picks = C.seed_profiles(cat, spark.range(6000).withColumnRenamed("id", "user_id"), pool=10, k=4)
+    rows = picks.toPandas()
+    assert (rows.groupby("user_id").item_id.nunique() == 4).all() and set(rows.pick) == {1, 2, 3, 4}
+    times = rows.groupby("item_id").size()
+    assert set(times.index) == set(range(10)) and times.min() > 2200 and times.max() < 2600  # 2400 on average
+    text = plan(picks, "simple")
+    assert "sequence(0, 9" not in text and "md5" in text  # places are drawn, the pool is not fanned out

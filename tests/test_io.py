@@ -46,3 +46,23 @@ def test_precompute_artefact(spark, scratch):
     assert js.count() == meta.with_neighbours
     assert js.select(F.max(F.size("neighbours"))).first()[0] <= 30
     assert res["neighbours"].count() > 500
+
+
+def test_rows_that_do_not_parse_are_set_aside(spark, scratch):
+    with open(os.path.join(scratch, "ratings.csv"), "w") as f:
+        f.write("userId,movieId,rating,timestamp\n1,1,4.5,964982703\n1,2,four,964981247\n,3,1.0,1\n2,4\n3,5,2.0,1,x\n4,6,3.0,\n")
+    good, bad = files.checked_ratings(spark, os.path.join(scratch, "ratings.csv"))
+    assert sorted((r.user_id, r.item_id) for r in good.collect()) == [(1, 1), (4, 6)]
+    assert sorted((r.reason, r.line) for r in bad.collect()) == [
+        ("malformed", "1,2,four,964981247"), ("malformed", "2,4"), ("malformed", "3,5,2.0,1,x"), ("no user_id", ",3,1.0,1")]
+    assert good.count() + bad.count() == 6  # whatever columns a count asks for
+    assert bad.groupBy("reason").count().where("reason = 'malformed'").first()["count"] == 3
+    with open(os.path.join(scratch, "movies.csv"), "w") as f:
+        f.write('movieId,title,genres\n1,"A, B (1999)",x|y\ntwo,C,x\n,D,y\n')
+    good, bad = files.checked_items(spark, os.path.join(scratch, "movies.csv"))
+    assert [r.title for r in good.collect()] == ["A, B (1999)"]
+    assert sorted(r.reason for r in bad.collect()) == ["malformed", "no item_id"]
+    with open(os.path.join(scratch, "links.csv"), "w") as f:
+        f.write("movieId,imdbId,tmdbId\n1,0133093,603\nx,1,2\n")
+    good, bad = files.checked_links(spark, os.path.join(scratch, "links.csv"))
+    assert (good.count(), bad.count()) == (1, 1)

@@ -31,6 +31,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """``n`` column names that df does not use (names are compared without regard to case)."""
+    taken = {c.lower() for c in df.columns}
+    return [name for k in range(n + len(taken)) if (name := f"_own_{k}") not in taken][:n]
+
+
 def id_remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % divisor

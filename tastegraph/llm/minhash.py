@@ -29,9 +29,12 @@ the start. Then
 So every pair that shares a bucket is compared or already in one component, and no bucket's
 members are paired all with all. Buckets of the same members are compared once.
 
-Classes and links go by a row id that is written with the documents, so null and repeated
+Classes and links go by a row id that is written with the signatures, so null and repeated
 doc_ids need no care: the row with the smallest (doc_id, row id), null ids last, stands for
-a group.
+a group. The texts themselves are not written again: a row is found again by its doc_id and
+the 64-bit hash of its text (rows that share both are copies). ``docs`` is read more than once, so
+it should be a stored table. Joins that move texts are shuffled at every size, so
+that the work at 1 GB tells that at 1000.
 
 Result: one row per document with ``class_id``, the smallest doc_id that its links reach, and
 ``kept`` (doc_id = class_id). Defined cases: null and empty texts (and those of white space
@@ -51,7 +54,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import MIX_1, WordHashes, by_group, byte_texts, mix64, slices_by_bytes, unit_open, written
+from tastegraph.llm.common import (MIX_1, WordHashes, by_group, byte_texts, free_names, mix64, slices_by_bytes, unit_open,
+                                   written)
 from tastegraph.llm.components import UnionFind, connected_components
 
 WORDS = 5
@@ -130,7 +134,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return shared / total if total else 1.0
 
 
-SIGNED_SCHEMA = "rid long, doc_id long, key binary, bands array<long>, marks binary"
+SIGNED_SCHEMA = "rid long, doc_id long, h long, key binary, bands array<long>, marks binary"
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -151,12 +155,13 @@ def signed(docs: DataFrame) -> DataFrame:
             some = lengths > 0
             offsets = np.r_[0, np.cumsum(some * BANDS)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("doc_id"), pa.array(keys, pa.binary()),
+                [*[batch.column(c) for c in ("rid", "doc_id", "h")], pa.array(keys, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bands[some].ravel().view(np.int64))),
                  pa.array([m.tobytes() for m in marks.astype(np.uint16)], pa.binary())],
-                names=["rid", "doc_id", "key", "bands", "marks"])
+                names=["rid", "doc_id", "h", "key", "bands", "marks"])
 
-    return docs.select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNED_SCHEMA)
+    return (docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.xxhash64("text").alias("h"), "text").mapInArrow(run, SIGNED_SCHEMA))
 
 
 def _likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -253,8 +258,7 @@ def _across(met: DataFrame, parts: DataFrame, texts: DataFrame, least: float) ->
 
 
 def _grouped(docs: DataFrame, least: float) -> DataFrame:
-    """rid, doc_id, class_id and stands (true for one row of each group) of every row of docs (rid,
-    doc_id, text)."""
+    """doc_id, h (hash of the text), class_id and stands (true for one row of each group) of every row of docs."""
     sign = written(signed(docs), "minhash-signed")
     # the smallest id of each class stands for it, the smallest row of equal ids, null ids last
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
@@ -264,14 +268,18 @@ def _grouped(docs: DataFrame, least: float) -> DataFrame:
     crowded = (members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"),
                                              F.sum(F.xxhash64("rid").cast("decimal(38,0)")).alias("together"))
                .filter("n > 1"))
-    met = written(members.join(crowded, "bucket"), "minhash-met")
+    met = written(members.hint("merge").join(crowded, "bucket"), "minhash-met")
     central = met.groupBy("rid").agg(F.sum("n").alias("meets"))
     leaders = (met.join(central, "rid").groupBy("bucket")
                .agg(F.max(F.struct("meets", (-F.col("rid")).alias("minus"))).alias("most"))
                .select("bucket", (-F.col("most.minus")).alias("leader")))
     ids = met.select("rid").distinct()
     marks = written(reps.join(ids, "rid", "left_semi").select("rid", "marks"), "minhash-marks")
-    texts = written(docs.select("rid", "text").join(ids, "rid", "left_semi"), "minhash-texts")
+    wanted = reps.join(ids, "rid", "left_semi").select("rid", F.col("doc_id").alias("id"), "h")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+    # repeated rows give their text once
+    texts = written(own.hint("merge").join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (own["h"] == wanted["h"]))
+                    .groupBy("rid").agg(F.first("text").alias("text")), "minhash-texts")
     first = (met.join(leaders, "bucket").filter("rid <> leader")
              .select(F.least("leader", "rid").alias("a"), F.greatest("leader", "rid").alias("b")).distinct())
     links = written(_verified(_likely(first, marks), texts, least), "minhash-links")
@@ -282,25 +290,27 @@ def _grouped(docs: DataFrame, least: float) -> DataFrame:
     groups = classed.groupBy("part").agg(F.min("first").alias("first"))
     standing = classed.select("key", "part").join(groups, "part").select(
         "key", F.col("first.doc_id").alias("class_id"), F.col("first.rid").alias("stand"))
-    return (sign.select("rid", "doc_id", "key").join(standing, "key")
-            .select("rid", "doc_id", "class_id", (F.col("rid") == F.col("stand")).alias("stands")))
+    return (sign.select("rid", "doc_id", "h", "key").join(standing, "key")
+            .select("doc_id", "h", "class_id", (F.col("rid") == F.col("stand")).alias("stands")))
 
 
 def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """doc_id, class_id and kept of every row."""
-    rows = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                               "text"), "minhash-rows")
-    return _grouped(rows, least).select(
+    return _grouped(docs, least).select(
         "doc_id", "class_id",
         F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull() & F.col("stands")).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """docs with the one row of each group that stands for it, all columns kept. Of rows that
-    share a doc_id and stand for several groups the first stays."""
-    rows = written(docs.withColumn("_near_row", F.monotonically_increasing_id()), "minhash-rows")
-    found = _grouped(rows.select(F.col("_near_row").alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text"),
-                     least)
-    stays = (found.filter("stands").groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("rid")).alias("alone"))
-             .agg(F.min("rid").alias("_near_row")).select("_near_row"))
-    return rows.join(stays, "_near_row", "left_semi").select(*docs.columns)
+    """docs with the one row of each group that stands for it, all columns kept."""
+    own_id, own_hash, same_id, same_hash, twice = free_names(docs, 5)
+    # rows with the same id and text are in one group: one of them stands for it, or none
+    stays = written(_grouped(docs, least).groupBy(F.col("doc_id").alias(same_id), F.col("h").alias(same_hash))
+                    .agg((F.count(F.lit(1)) > 1).alias(twice), F.max("stands").alias("stands"))
+                    .filter("stands").drop("stands"), "minhash-stays")
+    keyed = docs.withColumn(own_id, F.col("doc_id").cast("long")).withColumn(own_hash, F.xxhash64("text"))
+    kept = keyed.hint("merge").join(stays, F.col(own_id).eqNullSafe(F.col(same_id)) & (F.col(own_hash) == F.col(same_hash)))
+    if stays.filter(F.col(twice)).isEmpty():
+        return kept.select(*docs.columns)
+    return (kept.filter(~F.col(twice)).unionByName(kept.filter(F.col(twice)).dropDuplicates([own_id, own_hash]))
+            .select(*docs.columns))

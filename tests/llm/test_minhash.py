@@ -125,10 +125,34 @@ def test_one_row_of_each_group_stays(spark):
     docs = odd_docs(spark)
     left = minhash.without_near_duplicates(docs)
     assert left.columns == docs.columns
-    ids = [r.doc_id for r in left.collect()]
-    kept = {c for _, c in brute(odd_rows()) if c != "None"}
-    assert sorted(str(i) for i in ids if i is not None) == sorted(kept)
-    assert LONG in [r.text for r in left.collect()]
+    rows = left.collect()
+    # an id with two different texts keeps both: each stands for its own group
+    assert sorted(str(r.doc_id) for r in rows if r.doc_id is not None) == sorted(groups_of(odd_rows()))
+    assert {r.text for r in rows if r.doc_id == 8} == {r[1] for r in odd_rows() if r[0] == 8}
+    assert LONG in [r.text for r in rows]
+
+
+def groups_of(rows, least=0.8):
+    """The smallest id of each group of near-copies, whatever the ids are."""
+    bags, groups = [bag(r[1]) for r in rows], []
+    for k, own in enumerate(bags):
+        near = [g for g in groups if any(jaccard(own, bags[j]) >= least for j in g)]
+        groups = [g for g in groups if g not in near] + [[k, *itertools.chain(*near)]]
+    ids = [[rows[j][0] for j in g if rows[j][0] is not None] for g in groups]
+    return [str(min(g)) for g in ids if g]
+
+
+def test_groups_that_share_an_id_keep_their_texts(spark):
+    """Three unrelated texts under two ids, clashing columns and rows that come twice."""
+    rng = random.Random(21)
+    a, b, c = (sentence(rng, 50) for _ in range(3))
+    rows = [(1, a, "x", "k1"), (2, b, "y", "k2"), (2, c, "z", "k3"), (2, c, "other", "k4"), (None, c + " tail", "n", "k5")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _near_row string, _own_0 string").repartition(2)
+    left = minhash.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    got = {(r.doc_id, r.text, r._near_row, r._own_0) for r in left.collect()}
+    assert {g[:2] for g in got} == {(1, a), (2, b), (2, c)} and len(got) == 3
+    assert got <= set(rows)
 
 
 def test_rows_without_ids_and_ids_with_two_texts(spark):

@@ -121,6 +121,8 @@ SELECT i AS item_i, j AS item_j, c AS n_common, round(sim, 6) AS sim FROM p""")
 ORACLE["pair_similarity_shrunk"] = with_ctes(*pair_cte("p", min_item=8), shrunk_cte("ps", "p"), select="""
 SELECT i AS item_i, j AS item_j, c AS n_common, round(sim, 6) AS sim FROM ps""")
 
+ORACLE["pair_similarity_updated"] = ORACLE["pair_similarity_shrunk"]
+
 ORACLE["item_neighbours_topk"] = with_ctes(
     *pair_cte("p", min_item=8), shrunk_cte("ps", "p"), *neighbour_cte("nb", "ps"), select="""
 SELECT item_id, rank, neighbour_id, sim FROM nb""")
@@ -506,6 +508,9 @@ SELECT user_id, item_id,
        CAST('0x' || substr(md5(concat(CAST(user_id AS VARCHAR), ':', CAST(item_id AS VARCHAR), ':fold')), 1, 8) AS BIGINT) % 3 AS fold
 FROM tr""")
 
+ORACLE["als_topk_by_bounds"] = with_ctes(*SPLIT_CTES, select="""
+SELECT user_id, least(10, (SELECT count(DISTINCT item_id) FROM tr)) AS n, true AS same FROM tr GROUP BY user_id""")
+
 ORACLE["ratings_csv_checked"] = with_ctes(select="""
 SELECT CASE WHEN rating IN (0.5, 1.0, 2.0) THEN 'malformed' WHEN rating = 1.5 THEN 'no user_id' ELSE 'accepted' END AS reason,
        count(*) AS n

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.operators.skew import BUCKETS, heavy_keys
+from tastegraph.operators.skew import BUCKETS, heavy_keys, salted_join
 from tastegraph.session import shuffle_partitions
 
 
@@ -65,7 +65,15 @@ def pair_similarity(ratings: DataFrame, *, min_item: int = 0, min_common: int =
     many; no limit by default).
     """
     r, stats = _prepared(ratings, scale, user_col, item_col, rating_col, min_item)
+    pairs = _co_sums(r, heavy_degree, max_salt)
+    if min_common > 0:
+        pairs = pairs.where(F.col("c") >= min_common)
+
+    return _finish(pairs, stats, scale=scale, clip=clip, shrink=shrink)
 
+
+def _co_sums(r: DataFrame, heavy_degree: int, max_salt: int | None = None) -> DataFrame:
+    """(i < j, c, sx, sy, sxy, sxx, syy) over the users of r (u, item, x) who rated both."""
     # Only heavy users need their degree: the table of users above heavy_degree has
     # at most rows / heavy_degree entries, so joining it costs no full shuffle of the
     # ratings by user (AQE broadcasts it while it is small). Users with a single
@@ -81,32 +89,29 @@ def pair_similarity(ratings: DataFrame, *, min_item: int = 0, min_common: int =
     # AQE (which coalesces by input bytes) would merge the salt buckets back into a
     # few tasks. Both sides are therefore partitioned explicitly by (user, salt) into
     # the session's shuffle-partition count, which AQE keeps.
-    n_parts = shuffle_partitions(ratings.sparkSession)
+    n_parts = shuffle_partitions(r.sparkSession)
     left = left.repartition(n_parts, "u", "salt")
     right = right.repartition(n_parts, "u", "salt")
     co = left.join(right, ["u", "salt"]).where(F.col("i") < F.col("j"))
-    pairs = co.groupBy("i", "j").agg(
+    return co.groupBy("i", "j").agg(
         F.count(F.lit(1)).alias("c"),
         F.sum("xa").alias("sx"), F.sum("xb").alias("sy"),
         F.sum(F.col("xa") * F.col("xb")).alias("sxy"),
         F.sum(F.col("xa") * F.col("xa")).alias("sxx"),
         F.sum(F.col("xb") * F.col("xb")).alias("syy"),
     )
-    if min_common > 0:
-        pairs = pairs.where(F.col("c") >= min_common)
 
-    return _finish(pairs, stats, scale=scale, clip=clip, shrink=shrink)
+
+def _steps(rating: Column, scale: int) -> Column:
+    """The rating in whole steps of 1/scale; any other rating raises an error."""
+    steps = rating * F.lit(scale)
+    whole = F.round(steps)
+    return F.when(steps == whole, whole.cast("long")).when(steps.isNotNull(), F.raise_error(F.concat(
+        F.lit(f"rating is not a multiple of 1/{scale}; use scale=None: "), rating.cast("string"))).cast("long"))
 
 
 def _scaled(ratings: DataFrame, scale, user_col, item_col, rating_col) -> DataFrame:
-    if scale is None:
-        x = F.col(rating_col).cast("double")
-    else:
-        steps = F.col(rating_col) * F.lit(scale)
-        whole = F.round(steps)
-        x = F.when(steps == whole, whole.cast("long")).when(steps.isNotNull(), F.raise_error(F.concat(
-            F.lit(f"rating is not a multiple of 1/{scale}; use scale=None: "), F.col(rating_col).cast("string")))
-            .cast("long"))
+    x = F.col(rating_col).cast("double") if scale is None else _steps(F.col(rating_col), scale)
     return ratings.select(F.col(user_col).alias("u"), F.col(item_col).alias("item"), x.alias("x"))
 
 
@@ -177,6 +182,70 @@ def similarity_to(ratings: DataFrame, items: list[int], *, min_item: int = 0, mi
     return _finish(pairs, stats, scale=scale, clip=clip, shrink=shrink)
 
 
+# ---- a stored pair table that is kept up to date --------------------------------------------------
+
+SUMS = ["c", "sx", "sy", "sxy", "sxx", "syy"]
+
+
+def pair_table(ratings: DataFrame, *, scale: int = 2, heavy_degree: int = 20000) -> tuple[DataFrame, DataFrame]:
+    """(sums of every pair of items with a co-rater: i, j, c, sx, sy, sxy, sxx, syy; stats of every item: item,
+    n, s), both exact integers: what ``similarity_of`` needs, and what merges by addition."""
+    r, stats = _prepared(ratings, scale, "user_id", "item_id", "rating", 0)
+    return _co_sums(r, heavy_degree), stats
+
+
+def rating_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """user_id, item_id, rating, weight: +1 for each new rating and -1 for each that is gone; a changed one is both."""
+    key = ["user_id", "item_id"]
+    both = (before.select(*key, F.col("rating").alias("old"))
+            .join(after.select(*key, F.col("rating").alias("new")), key, "full"))
+    moved = both.where(~F.col("old").eqNullSafe(F.col("new")))
+    sides = F.array(F.struct(F.col("old").alias("rating"), F.lit(-1).alias("weight")),
+                    F.struct(F.col("new").alias("rating"), F.lit(1).alias("weight")))
+    return (moved.select(*key, F.explode(sides).alias("s")).select(*key, "s.rating", "s.weight")
+            .where(F.col("rating").isNotNull()))
+
+
+def updated_pair_table(sums: DataFrame, stats: DataFrame, before: DataFrame, changes: DataFrame, *, scale: int = 2,
+                       heavy_degree: int = 20000) -> tuple[DataFrame, DataFrame]:
+    """The pair table of the ratings after ``changes``, from that of the ratings ``before`` them. With R the
+    ratings and D the signed changes, the new sums less the old ones are those of D with R, R with D and
+    D with D: only the ratings of users who changed something are read."""
+    r = _scaled(before, scale, "user_id", "item_id", "rating")
+    signed = changes.select(F.col("user_id").alias("u"), F.col("item_id").alias("item"),
+                            _steps(F.col("rating"), scale).alias("x"), F.col("weight").cast("long").alias("w"))
+    left = signed.select("u", F.col("item").alias("a"), F.col("x").alias("xa"), F.col("w").alias("wa"))
+    known = r.join(signed.select("u").distinct(), "u", "left_semi")
+    right = (known.select("u", F.col("item").alias("b"), F.col("x").alias("xb"), F.lit(1).cast("long").alias("wb"),
+                          F.lit(False).alias("new"))
+             .unionByName(signed.select("u", F.col("item").alias("b"), F.col("x").alias("xb"), F.col("w").alias("wb"),
+                                        F.lit(True).alias("new"))))
+    met = salted_join(left, right, ["u"], salt_cols=["a"], threshold=heavy_degree,
+                      partitions=shuffle_partitions(before.sparkSession))
+    # two changes of a user meet twice, once from either side: the one with a < b counts
+    met = met.where((F.col("a") != F.col("b")) & (~F.col("new") | (F.col("a") < F.col("b"))))
+    first = F.col("a") < F.col("b")
+    x, y = (F.when(first, F.col(p)).otherwise(F.col(q)) for p, q in (("xa", "xb"), ("xb", "xa")))
+    rows = met.select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"),
+                      (F.col("wa") * F.col("wb")).alias("w"), x.alias("x"), y.alias("y"))
+    w, x, y = F.col("w"), F.col("x"), F.col("y")
+    delta = rows.groupBy("i", "j").agg(*[F.sum(e).alias(n) for n, e in zip(
+        SUMS, (w, w * x, w * y, w * x * y, w * x * x, w * y * y), strict=True)])
+    merged = (sums.select("i", "j", *SUMS).unionByName(delta).groupBy("i", "j")
+              .agg(*[F.sum(n).alias(n) for n in SUMS]).where(F.col("c") > 0))
+    moved = signed.groupBy("item").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x")).alias("s"))
+    counts = (stats.select("item", "n", "s").unionByName(moved).groupBy("item")
+              .agg(F.sum("n").alias("n"), F.sum("s").alias("s")).where(F.col("n") > 0))
+    return merged, counts
+
+
+def similarity_of(sums: DataFrame, stats: DataFrame, *, min_item: int = 0, min_common: int = 0, shrink: float = 0.0,
+                  clip: bool = False) -> DataFrame:
+    """The rows of ``pair_similarity`` (ratings on a grid) from a pair table."""
+    pairs = sums.where(F.col("c") >= min_common) if min_common > 0 else sums
+    return _finish(pairs, stats.where(F.col("n") >= min_item), scale=2, clip=clip, shrink=shrink)
+
+
 def symmetrise(sims: DataFrame) -> DataFrame:
     """Both directions of every unordered pair: item_id, neighbour_id, n_common, sim."""
     fwd = sims.select(F.col("item_i").alias("item_id"), F.col("item_j").alias("neighbour_id"),

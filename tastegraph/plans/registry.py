@@ -24,7 +24,7 @@ from tastegraph.plans import batch as batch_plan
 # support gates, shrinkage and cut: the fixed values of the artefact stage
 from tastegraph.plans.artefact import (MIN_COMMON, MIN_RATINGS_CATALOG, MIN_RATINGS_SIM, MIN_SIM,
                                        SHRINK_LAMBDA, TOP_NEIGHBOURS)
-from tastegraph.session import ensure_checkpoint_dir, scratch_path
+from tastegraph.session import bucketed, materialized, scratch_path
 from tastegraph.sources import files, sinks
 from tastegraph.sources import fixtures as fx
 from tastegraph.streaming import feedback_stream as stream_ops
@@ -48,10 +48,12 @@ def r6(c):
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the session's checkpoint folder and read it back: a
-    reused intermediate is computed once, its lineage is cut, and a lost executor
-    cannot force a recompute of everything before it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    reused intermediate is computed once, its lineage is cut, a lost executor
+    cannot force a recompute of everything before it, and later scans are pruned."""
+    return materialized(df, "query")
+
+
+UPDATE_DAY = "2000-07-01"  # about four lines in five are older
 
 
 # ---- shared sub-plans -------------------------------------------------------
@@ -112,6 +114,18 @@ def q_similar_items_topk(spark, sf_dir):
         "item_id", F.col("rank").cast("long").alias("rank"), "neighbour_id", "sim")
 
 
+@query("pair_similarity_updated")
+def q_pair_similarity_updated(spark, sf_dir):
+    """The pair table of the ratings as they stood on a day, written, then brought up to date by the ratings
+    added and changed since; the rows of pair_similarity_shrunk."""
+    old = materialize(fx.ratings(spark, sf_dir, before=UPDATE_DAY))
+    new = materialize(fx.ratings(spark, sf_dir))
+    sums, stats = (materialize(t) for t in sim_ops.pair_table(old))
+    sums, stats = sim_ops.updated_pair_table(sums, stats, old, materialize(sim_ops.rating_changes(old, new)))
+    s = sim_ops.similarity_of(sums, stats, min_item=MIN_RATINGS_SIM, min_common=MIN_COMMON, shrink=SHRINK_LAMBDA, clip=True)
+    return s.select("item_i", "item_j", "n_common", r6(F.col("sim")).alias("sim"))
+
+
 @query("pair_similarity_parts")
 def q_pair_similarity_parts(spark, sf_dir):
     """Similarity with every part an item: sparse co-ratings, pairs of three or more co-raters."""
@@ -428,13 +442,13 @@ def q_item_cf_predictions_as_written(spark, sf_dir):
 
 
 def baseline_components(spark, sf_dir):
+    """(train, test, component predictions), the last two in buckets of (user, item): their joins need no
+    exchange."""
     train, test = split_of(spark, sf_dir)
-    cf = materialize(cf_predictions(train, test))
-    return train, test, {
-        "item_mean": pred_ops.predict_item_mean(test, train),
-        "cf": cf,
-        "user_mean": pred_ops.predict_user_mean(test, train),
-    }
+    key = ["user_id", "item_id"]
+    comps = {"item_mean": pred_ops.predict_item_mean(test, train), "cf": cf_predictions(train, test),
+             "user_mean": pred_ops.predict_user_mean(test, train)}
+    return train, bucketed(test, "blend-test", key), {n: bucketed(c, f"blend-{n}", key) for n, c in comps.items()}
 
 
 @query("blend_equal")
@@ -592,6 +606,20 @@ def q_als_topk_lists(spark, sf_dir):
                     .alias("falling"), F.coalesce("seen", F.lit(0)).cast("long").alias("seen")))
 
 
+@query("als_topk_by_bounds")
+def q_als_topk_by_bounds(spark, sf_dir):
+    """Per user: the length of the list found by norm bounds, and whether its scores are those of MLlib's own
+    list, which scores all pairs (single-precision products, so to six digits)."""
+    train, _ = split_of(spark, sf_dir)
+    model = factor_ops.fit_factors(train, **ALS_FIXED)
+    ours = factor_ops.recommend_from_factors(model, 10).select("user_id", "rank", "score")
+    theirs = factor_ops.mllib_lists(model, 10).select(F.col("uid").cast("long").alias("user_id"), "rank",
+                                                      F.col("score").alias("other"))
+    near = F.abs(F.col("score") - F.col("other")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("other"))
+    return (ours.join(theirs, ["user_id", "rank"], "full").groupBy("user_id")
+            .agg(F.count("score").alias("n"), F.min(F.coalesce(near, F.lit(False))).alias("same")))
+
+
 @query("als_grid_points")
 def q_als_grid_points(spark, sf_dir):
     g = materialize(q_als_grid(spark, sf_dir))

@@ -90,6 +90,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialized(df, name: str):
+    """df written once to the shared checkpoint folder (Parquet) and read back: its lineage ends
+    there, and every later use reads the same rows and only the columns it needs."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df, name: str, keys: list[str], buckets: int | None = None):
+    """df written in buckets by hash of ``keys`` (one sorted file each) as an external table of its own name
+    in the shared checkpoint folder. Tables with the same buckets are joined on the keys
+    without an exchange, as often as they are read."""
+    spark = df.sparkSession
+    n = buckets or shuffle_partitions(spark)
+    path = scratch_path(spark, name)
+    table = "tastegraph_" + path.rsplit("/", 1)[-1].replace("-", "_")
+    (df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).format("parquet")
+     .saveAsTable(table))
+    return spark.table(table)
+
+
 class persisted:
     """``with persisted(df) as d:`` keeps ``df`` in memory/disk for the block and
     releases it afterwards (an explicit cache scope for a reused intermediate)."""

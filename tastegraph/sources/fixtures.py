@@ -35,9 +35,9 @@ def _item_id(part: Column, line: Column, classes: Column) -> Column:
     return F.when(rare, classes + part * 8 + line).otherwise(part % classes)
 
 
-def ratings(spark: SparkSession, sf_dir: str, by_part: bool = False) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, by_part: bool = False, before: str | None = None) -> DataFrame:
     """One rating per (user, item): the newest line of that customer for that item
-    (``by_part``: every part is an item). ``r2`` = 2 * rating is kept as an exact integer
+    (``by_part``: every part is an item; ``before``: as the ratings stood on that day). ``r2`` = 2 * rating is kept as an exact integer
     (ratings are half-steps).
 
     The newest line is an arg-max aggregate (partial on the map side), not a window,
@@ -46,6 +46,8 @@ def ratings(spark: SparkSession, sf_dir: str, by_part: bool = False) -> DataFram
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate",
         (F.col("l_partkey") if by_part else _item_id(F.col("l_partkey"), F.col("l_linenumber"),
                                                      class_count(spark, sf_dir))).alias("item_id"))
+    if before is not None:
+        line = line.where(F.col("l_shipdate") < F.lit(before))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey)
     newest = F.max(F.struct(

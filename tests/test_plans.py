@@ -14,7 +14,7 @@ from .conftest import SF_SMALL
 
 RELATIONAL = [n for n in QUERIES if n not in
               {"als_predictions", "als_topk", "als_grid", "forest_predictions", "metrics_report",
-               "als_prediction_pairs", "als_topk_lists", "als_grid_points", "forest_prediction_pairs",
+               "als_prediction_pairs", "als_topk_lists", "als_grid_points", "als_topk_by_bounds", "forest_prediction_pairs",
                "metrics_report_counts", "feedback_stream", "feedback_stream_recommendations"}]
 
 
@@ -53,3 +53,20 @@ def test_scan_pruning_and_pushdown(spark):
 def test_pair_aggregate_is_partial(spark):
     p = plan(S.pair_similarity(fx.ratings(spark, SF_SMALL)))
     assert "partial_sum" in p and "partial_count" in p
+
+
+def test_components_join_without_an_exchange(spark):
+    from tastegraph.operators import blend as B
+    from tastegraph.plans.registry import baseline_components
+
+    _, test, comps = baseline_components(spark, SF_SMALL)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # small tables would be broadcast
+    try:
+        text = plan(B.blend({n: c for n, c in comps.items()}, {n: "0.3" for n in comps}), "simple")
+        assert text.count("SortMergeJoin") == 2 and "Exchange" not in text
+        searched = plan(B.search_weights(comps, test, [("0.2", "0.3", "0.5")]), "simple")
+        assert searched.count("SortMergeJoin") == 3 and "Exchange hashpartitioning" not in searched
+    finally:
+        spark.conf.set(key, old)

@@ -202,3 +202,39 @@ def test_large_counts_are_exact(spark):
     num = n * n * 80 * n - 2 * s * n * s + n * s * s
     dx, dy = (n * n * k * n - 2 * n * s * s + n * s * s for k in (90, 95))
     assert got == pytest.approx(num / (math.sqrt(dx) * math.sqrt(dy)), rel=1e-12)
+
+
+def test_pair_table_is_kept_up_to_date(spark):
+    """New, changed and withdrawn ratings, a heavy user among them: the table of the ratings after."""
+    import random
+
+    rng = random.Random(4)
+    stars = [x / 2 for x in range(1, 11)]
+    before = {(u, i): rng.choice(stars) for u in range(40) for i in rng.sample(range(25), rng.randint(1, 12))}
+    before.update({(99, i): rng.choice(stars) for i in range(20)})
+    after = {k: (rng.choice(stars) if rng.random() < 0.3 else v) for k, v in before.items() if rng.random() < 0.85}
+    after.update({(u, i): rng.choice(stars) for u in range(30, 55) for i in rng.sample(range(30), 4)})
+    after.update({(99, i): rng.choice(stars) for i in range(10, 30)})
+    old, new = (ratings_df(spark, [(u, i, x) for (u, i), x in sorted(r.items())]) for r in (before, after))
+    changes = S.rating_changes(old, new)
+    net = {(r.user_id, r.item_id, r.rating): r.weight for r in changes.collect()}
+    assert all((w == 1) == (after.get((u, i)) == x) for (u, i, x), w in net.items())
+    for heavy in (3, 20000):
+        sums, stats = S.updated_pair_table(*S.pair_table(old), old, changes, heavy_degree=heavy)
+        want_sums, want_stats = S.pair_table(new)
+        cols = ["i", "j", *S.SUMS]
+        assert sorted(map(tuple, sums.select(*cols).collect())) == sorted(map(tuple, want_sums.select(*cols).collect()))
+        assert sorted(map(tuple, stats.collect())) == sorted(map(tuple, want_stats.collect()))
+    for gates in (dict(), dict(min_item=4, min_common=3, shrink=25, clip=True)):
+        assert sims_dict(S.similarity_of(sums, stats, **gates)) == sims_dict(S.pair_similarity(new, **gates))
+    same = S.updated_pair_table(sums, stats, new, changes.limit(0))
+    assert same[0].count() == want_sums.count()
+
+
+def test_changes_read_only_the_users_who_changed(spark):
+    from .test_plans import plan
+
+    old = fx.ratings(spark, SF_SMALL, before="2000-07-01")
+    table = S.pair_table(old)
+    text = plan(S.updated_pair_table(*table, old, S.rating_changes(old, fx.ratings(spark, SF_SMALL)))[0], "simple")
+    assert "LeftSemi" in text and "CartesianProduct" not in text

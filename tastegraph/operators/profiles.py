@@ -177,11 +177,12 @@ def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, prepared:
 
     need: user_id, want (= MIN_RECS - have > 0). Items with the same genre list
     (a signature) have the same genre score for a user, so within a signature
-    the best items are those with the highest popularity. For each (user,
-    signature sharing a genre with the profile) only the first want + (excluded
-    items of that signature) items in signature order can qualify; those ranks are
-    generated and equi-joined, so the work is bounded by users x signatures x 12
-    instead of users x catalogue."""
+    the best items are those with the highest popularity, and its most popular item
+    bounds all of them. With x excluded items, the first want + x signatures by that bound hold
+    want items that are not excluded, each at least as good as any item of a later signature
+    (signatures that tie with the last one stay). In each of them only the first want + (excluded
+    items of that signature) items can qualify; those ranks are generated and equi-joined. So a user
+    has at most (want + x) * want + x candidates but for ties, whatever the catalogue holds."""
     sig_items, sig_genres = prepared["sig_items"], prepared["sig_genres"]
     items = sig_items.select("item_id", "sig")
     prof = counts.join(need.select("user_id"), "user_id", "left_semi")
@@ -191,7 +192,15 @@ def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, prepared:
     ex = excluded.join(need.select("user_id"), "user_id", "left_semi")
     ex_sig = (ex.join(items.select("item_id", "sig"), "item_id")
               .groupBy("user_id", "sig").agg(F.count(F.lit(1)).alias("n_ex")))
-    lim = (user_sig.join(need, "user_id").join(ex_sig, ["user_id", "sig"], "left")
+    excluded_items = ex_sig.groupBy("user_id").agg(F.sum("n_ex").alias("x"))
+    tops = sig_items.where(F.col("sig_rank") == 1).select("sig", F.col("pop6"))
+    bounded = (user_sig.join(tops, "sig").withColumn("g6", _u6(F.col("gsum") / F.col("total")))
+               .withColumn("bound", _final(F.lit(0).cast("long"))).drop("g6", "pop6")
+               .join(need.join(excluded_items, "user_id", "left"), "user_id"))
+    by_bound = F.rank().over(Window.partitionBy("user_id").orderBy(F.col("bound").desc()))
+    reached = (bounded.withColumn("by_bound", by_bound)
+               .where(F.col("by_bound") <= F.col("want") + F.coalesce(F.col("x"), F.lit(0))).drop("x", "bound", "by_bound"))
+    lim = (reached.join(ex_sig, ["user_id", "sig"], "left")
            .withColumn("lim", F.col("want") + F.coalesce(F.col("n_ex"), F.lit(0))))
     ranks = lim.select("user_id", "sig", "gsum", "total", "want",
                        F.explode(F.sequence(F.lit(1), F.col("lim"))).alias("sig_rank"))

@@ -26,25 +26,29 @@ from tastegraph.session import shuffle_partitions
 
 
 EXACT = "decimal(38,0)"
+SMALL = 1 << 20  # three factors below it and four such products: a sum below 2^62
 
 
-def _exact_terms(n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy):
-    """Integer numerator and squared norms, all scale factors cancelled. The products
-    are taken in decimal(38,0): exact up to about 10^9 ratings of each item, and the same
-    form at every size."""
-    d = [x.cast("decimal(19,0)") for x in (n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy)]
-    n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy = d
-    m = lambda a, b, z: ((a * b).cast(EXACT) * z).cast(EXACT)
+def _terms(n_i, s_i, n_j, s_j, c, sx, sy, sxy, sxx, syy, m):
+    """Numerator and squared norms, all scale factors cancelled; ``m`` is the product of three."""
     num = m(n_i, n_j, sxy) - m(s_i, n_j, sy) - m(s_j, n_i, sx) + m(s_i, s_j, c)
     dx = m(n_i, n_i, sxx) - m(n_i, s_i, sx) * 2 + m(s_i, s_i, c)
     dy = m(n_j, n_j, syy) - m(n_j, s_j, sy) * 2 + m(s_j, s_j, c)
     return num, dx, dy
 
 
+def _exact_terms(*parts: Column) -> tuple[Column, ...]:
+    """``_terms`` as exact integers: in longs where all ten parts are below SMALL, in decimal(38,0)
+    elsewhere (up to about 10^9 ratings of each item). Both give the same integer and the
+    double nearest to it, which is what is returned."""
+    longs = _terms(*[x.cast("long") for x in parts], lambda a, b, z: a * b * z)
+    wide = _terms(*[x.cast("decimal(19,0)") for x in parts], lambda a, b, z: ((a * b).cast(EXACT) * z).cast(EXACT))
+    small = F.greatest(*[F.abs(x) for x in parts]) < SMALL
+    return tuple(F.when(small, x.cast("double")).otherwise(y.cast("double")) for x, y in zip(longs, wide, strict=True))
+
+
 def _cosine(num: Column, dx: Column, dy: Column) -> Column:
-    dxd, dyd = dx.cast("double"), dy.cast("double")
-    return (F.when((dx > 0) & (dy > 0), num.cast("double") / (F.sqrt(dxd) * F.sqrt(dyd)))
-            .otherwise(F.lit(0.0)))
+    return F.when((dx > 0) & (dy > 0), num / (F.sqrt(dx) * F.sqrt(dy))).otherwise(F.lit(0.0))
 
 
 def pair_similarity(ratings: DataFrame, *, min_item: int = 0, min_common: int = 0,
@@ -141,8 +145,10 @@ def _finish(pairs: DataFrame, stats: DataFrame, *, scale, clip: bool, shrink: fl
         si = stats.select(F.col("item").alias("i"), F.col("n").alias("n_i"), F.col("s").alias("s_i"))
         sj = stats.select(F.col("item").alias("j"), F.col("n").alias("n_j"), F.col("s").alias("s_j"))
         p = pairs.join(si, "i").join(sj, "j")
-        sim = _cosine(*_exact_terms(*[F.col(k) for k in (
-            "n_i", "s_i", "n_j", "s_j", "c", "sx", "sy", "sxy", "sxx", "syy")]))
+        names = ("n_i", "s_i", "n_j", "s_j", "c", "sx", "sy", "sxy", "sxx", "syy")
+        terms = p.select("i", "j", "c", *[x.alias(n) for n, x in zip(
+            ("num", "dx", "dy"), _exact_terms(*[F.col(k) for k in names]), strict=True)])
+        p, sim = terms, _cosine(F.col("num"), F.col("dx"), F.col("dy"))
     if clip:
         sim = F.least(F.greatest(sim, F.lit(-1.0)), F.lit(1.0))
     if shrink and shrink > 0:

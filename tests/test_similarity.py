@@ -238,3 +238,19 @@ def test_changes_read_only_the_users_who_changed(spark):
     table = S.pair_table(old)
     text = plan(S.updated_pair_table(*table, old, S.rating_changes(old, fx.ratings(spark, SF_SMALL)))[0], "simple")
     assert "LeftSemi" in text and "CartesianProduct" not in text
+
+
+def test_longs_and_decimals_give_the_same_doubles(spark):
+    """Parts around the switch and far beyond it, against Python's integers."""
+    import random
+
+    rng = random.Random(9)
+    rows = []
+    for top in (3, 1000, S.SMALL - 1, S.SMALL, S.SMALL + 5, 10 ** 9, 10 ** 11):
+        rows += [tuple(rng.randint(-top if k > 4 else 1, top) for k in range(10)) for _ in range(20)]
+    names = ["a", "b", "c", "d", "e", "f", "g", "h", "i", "j"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names))
+    out = df.select(*names, *[x.alias(f"t{k}") for k, x in enumerate(S._exact_terms(*[F.col(n) for n in names]))]).collect()
+    for r in out:
+        want = S._terms(*[r[n] for n in names], lambda a, b, z: a * b * z)
+        assert [r.t0, r.t1, r.t2] == [float(x) for x in want]

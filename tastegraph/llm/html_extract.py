@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,8 +41,8 @@ from tastegraph.llm.common import byte_texts, slices_by_bytes
 TAG = re.compile(
     r"<(?:!--(?:.*?)(?:-->|\Z)|[!?][^>]*+(?:>|\Z)|"
     r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?)*+)(?:>|\Z))", re.DOTALL)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""",
-                       re.IGNORECASE)
+# one attribute after the other, so that nothing in a value is taken for a name
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>]+)))?""")
 
 # fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,21 +63,23 @@ ROLE_WEIGHT = {"navigation": -9, "banner": -7, "contentinfo": -9, "complementary
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
     "notice notices banner sidebar side menu menus nav navbar navigation breadcrumb breadcrumbs comment comments "
-    "disqus reply replies respond footer header masthead share sharing social related recommended newsletter "
+    "discussion disqus reply replies respond footer header masthead share sharing social related recommended newsletter "
     "subscribe subscription signup login popup modal overlay pagination pager toolbar widget copyright legal "
     "disclaimer tags taglist skip search".split())
 CONTENT_NAMES = frozenset("article content story post entry body text main prose".split())
+INLINE = frozenset("p b i em strong span a u small font".split())  # what may stand between a block and an open paragraph
 NAME_PART = re.compile(r"[a-z]+")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 SCALE = 1000  # capacities are whole numbers
 
 
 class _Element:
-    __slots__ = ("name", "depth", "parent", "weight", "unshown", "own", "named", "plain", "holds")
+    __slots__ = ("name", "depth", "parent", "block", "weight", "unshown", "own", "named", "plain", "holds")
 
     def __init__(self, name: str, parent: _Element | None, attributes: str):
         self.name, self.parent = name, parent
         self.depth = parent.depth + 1 if parent else 0
+        self.block = self if parent is None or name in BLOCK else parent.block  # the nearest block-level element
         self.unshown = parent.unshown if parent else False
         self.own, self.weight = 0.0, 0.0
         self.named = 0  # boilerplate names: 1 part of a name, 2 that of a part of content, 3 a whole name
@@ -90,9 +92,9 @@ class _Element:
                     self.own += ROLE_WEIGHT.get(value.strip(), 0)
                 elif key == "style":
                     self.unshown |= bool(HIDDEN_STYLE.search(value))
-                elif key == "hidden" or key == "aria-hidden" and value == "true":
-                    self.unshown |= key == "hidden"
-                else:
+                elif key == "hidden":
+                    self.unshown |= value not in ("until-found", "false")
+                elif key in ("class", "id"):
                     names = set(NAME_PART.findall(value))
                     if names & BOILERPLATE_NAMES and name not in ("body", "html", "main", "article"):
                         whole = [set(NAME_PART.findall(x)) for x in value.split()]
@@ -134,10 +136,11 @@ def _weigh(elements: list[_Element], found: list[Block]) -> None:
 
 
 class Block:
-    __slots__ = ("text", "linked", "element")
+    __slots__ = ("text", "linked", "element", "shared")
 
-    def __init__(self, text: str, linked: int, element: _Element):
+    def __init__(self, text: str, linked: int, element: _Element, shared: int):
         self.text, self.linked, self.element = text, linked, element
+        self.shared = shared  # depth of the innermost element around this block and the one before it
 
 
 def blocks(page: str) -> list[Block]:
@@ -147,24 +150,36 @@ def blocks(page: str) -> list[Block]:
     top = _Element("", None, "")
     elements = [top]
     element, links, linked, owner, at = top, 0, 0, None, 0
+    opened: Counter[str] = Counter()  # open elements by name
+    lowest = shared = 0  # depth of the shallowest element since the last block began
 
     def end_block() -> None:
         nonlocal linked, owner
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                found.append(Block(text, min(linked, len(text)), owner or element))
+                found.append(Block(text, min(linked, len(text)), owner or element, shared))
             pieces.clear()
         linked, owner = 0, None
 
+    def close(upto: _Element) -> None:
+        """Closes what is open inside ``upto``."""
+        nonlocal element, lowest
+        while element is not upto:
+            opened[element.name] -= 1
+            element = element.parent
+        lowest = min(lowest, element.depth)
+
     def add(raw: str) -> None:
-        nonlocal linked, owner
+        nonlocal linked, owner, lowest, shared
         if not raw or element.unshown:
             return
         text = html.unescape(raw) if "&" in raw else raw
         pieces.append(text)
         if owner is None and not text.isspace():
             owner = element
+            shared = min(lowest, element.depth)
+            lowest = element.depth
         if links:
             linked += len(text)
 
@@ -178,41 +193,43 @@ def blocks(page: str) -> list[Block]:
                 end_block()
             if name == "a":
                 links = max(0, links - 1)
-            e = element
-            while e is not top and e.name != name:
-                e = e.parent
-            if e is not top:
-                element = e.parent
+            if opened[name]:  # each step closes an element, so all of them take time in proportion to the page
+                e = element
+                while e.name != name:
+                    e = e.parent
+                close(e.parent)
             continue
         if name in UNSHOWN:
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+            closing = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             if not m[3].endswith("/"):
-                at = close.end() if close else len(page)
+                at = closing.end() if closing else len(page)
             continue
         if name == "br":
             pieces.append(" ")
         if name in BLOCK:
             end_block()
             ending = ENDS_WITH_NEXT.get(name, ())
-            e = element
+            e, inside = element, None
             if name != "p" and not ending:
-                while e.name in ("p", "b", "i", "em", "strong", "span", "a", "u", "small", "font") and e is not top:
+                while opened["p"] and e.name in INLINE:
                     if e.name == "p":  # a block ends an open paragraph and what is open inside it
-                        element = e.parent
+                        inside = e
                         break
                     e = e.parent
-            else:
-                stop = {"p": {"p"}}.get(name, ending)
-                while e is not top and (e.name in stop or e.name not in BLOCK or e.name == "p"):
-                    if e.name in stop or e.name == "p":
-                        element = e.parent
+            elif opened["p"] or any(opened[x] for x in ending):
+                while e is not top and (e.name in ending or e.name not in BLOCK or e.name == "p"):
+                    if e.name in ending or e.name == "p":
+                        inside = e
                     e = e.parent
+            if inside is not None:
+                close(inside.parent)
             links = links if element.name == "a" else 0
         if name == "a":
             links = 1
         if name not in VOID and not m[3].endswith("/"):
             element = _Element(name, element, m[3])
             elements.append(element)
+            opened[name] += 1
     add(page[at:])
     end_block()
     _weigh(elements, found)
@@ -224,38 +241,21 @@ def content_score(block: Block) -> float:
     n = len(block.text)
     words = block.text.count(" ") + 1
     share = block.linked / n
-    score = block.element.weight - 1.5 + min(words, 40) * 0.06 - 4 * share
+    # a list of links within an article is part of it, unless its element says otherwise
+    score = block.element.weight - 1.5 + min(words, 40) * 0.06 - (2.5 if block.element.weight >= 4 else 4) * share
     if block.text[-1] in ".!?:;\"'”»…":
         score += 0.7
     return max(-12.0, min(12.0, score))
 
 
-def _shared(a: _Element, b: _Element) -> float:
-    """Share of the longer element path that both have."""
-    depth = max(a.depth, b.depth)
-    while a.depth > b.depth:
-        a = a.parent
-    while b.depth > a.depth:
-        b = b.parent
-    while a is not b:
-        a, b = a.parent, b.parent
-    return a.depth / depth if depth else 1.0
-
-
-def _container(e: _Element) -> _Element:
-    """The nearest element around a block's own tag."""
-    while e.parent is not None and e.name not in BLOCK:
-        e = e.parent
-    return e.parent or e
-
-
 def edges_of(found: list[Block], strength: float = 1.2) -> list[tuple[int, int, int]]:
     """(block, later block, weight): neighbours, and siblings with others between them."""
     out, last = [], {}
-    containers = [_container(b.element) for b in found]
+    containers = [b.element.block.parent or b.element.block for b in found]  # around the blocks' own tags
     for i, block in enumerate(found):
         if i:
-            near = _shared(found[i - 1].element, block.element)
+            depth = max(found[i - 1].element.depth, block.element.depth)
+            near = block.shared / depth if depth else 1.0  # share of the longer element path that both have
             out.append((i - 1, i, int(SCALE * strength * near * near)))
         before = last.get(id(containers[i]))
         if before is not None and before < i - 1:

@@ -37,6 +37,34 @@ def test_wrappers_named_after_boilerplate():
     assert he.main_text(page).split("\n\n") == text
 
 
+def test_attribute_values_are_no_names():
+    head = "<article><h1>Title of it</h1><p>A first paragraph of the text that goes on for a while.</p>"
+    for piece, want in (
+            ('<p>See the <a href="/wiki/Hidden_Markov_model">Markov model</a> there.</p>', "See the Markov model there."),
+            ('<p title="the hidden village">A hidden village is here.</p>', "A hidden village is here."),
+            ('<p data-hidden="false">Some words that are shown.</p>', "Some words that are shown."),
+            ('<div data-id="menu"><p>Not a menu but a paragraph.</p></div>', "Not a menu but a paragraph."),
+            ("""<p data-role=banner title='id="menu" hidden'>Words of a paragraph.</p>""", "Words of a paragraph."),
+            ("<ul><li><a href=1>First linked work</a></li><li><a href=2>Second linked work</a></li></ul>",
+             "First linked work\n\nSecond linked work"),
+            ("<p hidden>It is not shown at all.</p>", None), ('<p HIDDEN="">It is not shown at all.</p>', None),
+            ('<ul class="menu"><li><a href=1>First linked work</a></li></ul>', None),
+            ('<section id="discussion"><p>I think so too, it is very good and long.</p></section>', None)):
+        texts = he.main_text(f"{head}{piece}</article>").split("\n\n", 2)[2:]
+        assert texts == ([want] if want else []), piece
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    start = time.monotonic()
+    n = 60_000
+    assert he.main_text("<article>" + "<div>" * n + "deep text is found here." + "</span></div>" * n) == "deep text is found here."
+    page = "<article>" + "".join(f"<div><p>text {k} is here.</p>" for k in range(n))
+    assert he.main_text(page).count("\n\n") == n - 1
+    assert time.monotonic() - start < 60  # minutes, where every tag walks the whole depth
+
+
 def test_broken_pages():
     for page in ("", " ", "<", "<<<>>>", "<p", "<!-- never closed", "<script>var a", "<p class='x", "</div></p>", "&", "a<b"):
         he.main_text(page)

@@ -560,7 +560,6 @@ def q_forest_reloaded(spark, sf_dir):
     gives the same prediction."""
     train, test = split_of(spark, sf_dir)
     model, feats = content_ops.content_model(train, fx.items(spark, sf_dir))
-    feats = materialize(feats)
     loaded = content_ops.stored(model, scratch_path(spark, "forest-pipeline"))
     again = content_ops.score_content(loaded, feats, test).withColumnRenamed("prediction", "again")
     return (content_ops.score_content(model, feats, test).join(again, ["user_id", "item_id"])

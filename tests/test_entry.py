@@ -14,5 +14,5 @@ def test_entry_flagship(spark):
 def test_oracle_keys_are_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(set(q) - set(LLM)) == 55 and len(set(o) - set(LLM)) == 50
+    assert len(set(q) - set(LLM)) == 62 and len(set(o) - set(LLM)) == 57
     assert all(callable(f) for f in q.values())

@@ -103,3 +103,16 @@ def test_seed_profiles_draw_evenly_from_a_few_rows_a_user(spark):
     assert set(times.index) == set(range(10)) and times.min() > 2200 and times.max() < 2600  # 2400 on average
     text = plan(picks, "simple")
     assert "sequence(0, 9" not in text and "md5" in text  # places are drawn, the pool is not fanned out
+
+
+def test_seed_profiles_order_the_whole_pool(spark):
+    from hashlib import md5
+
+    cat = spark.createDataFrame([(i, 100 - i) for i in range(20)], "item_id long, n long")
+    rows = C.seed_profiles(cat, spark.range(50).withColumnRenamed("id", "user_id"), pool=10, k=4).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.user_id, r.pick)):
+        got.setdefault(r.user_id, []).append(r.item_id)
+    assert got == {u: sorted(range(10), key=lambda i: (md5(f"0:{u}:{i}".encode()).hexdigest(), i))[:4] for u in range(50)}
+    few = C.seed_profiles(cat.where("item_id < 3"), spark.range(2).withColumnRenamed("id", "user_id"), pool=10, k=4)
+    assert few.count() == 6

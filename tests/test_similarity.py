@@ -1,5 +1,6 @@
 """Hand-worked similarities, properties of the pair table, salting, neighbours."""
 
+import collections
 import math
 
 import pytest
@@ -254,3 +255,32 @@ def test_longs_and_decimals_give_the_same_doubles(spark):
     for r in out:
         want = S._terms(*[r[n] for n in names], lambda a, b, z: a * b * z)
         assert [r.t0, r.t1, r.t2] == [float(x) for x in want]
+
+
+def test_pairs_are_made_at_their_owner_and_not_shuffled(spark):
+    # items 1 to 40 with few and many raters, one of them twice by a user, one rating null, users and items null
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(60) for i in range(1, 41) if (u * 7 + i * i) % (1 + i % 6) == 0]
+    rows += [(3, 5, 2.5), (None, 1, 1.0), (None, 2, 2.0), (4, None, 3.0), (5, 7, None)]
+    r = ratings_df(spark, rows)
+    by_user = collections.defaultdict(list)
+    for u, i, x in rows:
+        if u is not None and i is not None:
+            by_user[u].append((i, x))
+    want = collections.Counter()
+    for l in by_user.values():
+        want.update((i, j) for i, _ in l for j, _ in l if i < j)
+    sxy = collections.Counter()
+    for l in by_user.values():
+        for i, x in l:
+            for j, y in l:
+                if i < j and x is not None and y is not None:
+                    sxy[i, j] += int(4 * x * y)
+    for heavy in (20000, 3):
+        sums = S.pair_table(r, heavy_degree=heavy)[0].collect()
+        assert {(s.i, s.j): s.c for s in sums} == dict(want)
+        assert {(s.i, s.j): s.sxy for s in sums if s.sxy is not None} == dict(sxy)
+    from .test_plans import plan
+
+    text = plan(S.pair_table(r)[0], "simple")
+    top = text[:text.index("Exchange")]  # from the sums down to the first exchange: the pairs are made and summed there
+    assert "Generate posexplode" in top and "partial_sum" in top

@@ -116,3 +116,5 @@ def test_seed_profiles_order_the_whole_pool(spark):
     assert got == {u: sorted(range(10), key=lambda i: (md5(f"0:{u}:{i}".encode()).hexdigest(), i))[:4] for u in range(50)}
     few = C.seed_profiles(cat.where("item_id < 3"), spark.range(2).withColumnRenamed("id", "user_id"), pool=10, k=4)
     assert few.count() == 6
+    no_user = C.seed_profiles(cat, spark.createDataFrame([(None,)], "user_id long"), pool=10, k=2).orderBy("pick").collect()
+    assert [r.item_id for r in no_user] == sorted(range(10), key=lambda i: md5(f"0::{i}".encode()).hexdigest())[:2]

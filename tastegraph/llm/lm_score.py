@@ -49,6 +49,8 @@ BITS_PER_KEY = 8
 LEVEL_STEP = 0xD6E8FEB86659FD93
 FLUSH_TOKENS = 2_000_000
 SLICE_BYTES = 2 << 20
+ASK_BYTES = 4 << 20  # text of a slice whose probes travel together
+PROBE_KEYS = 1 << 20
 
 
 def contexts(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -257,10 +259,12 @@ def _score(model: Model, hashes: np.ndarray, lengths: np.ndarray, probe) -> np.n
 
 SCORE_SCHEMA = ("rid long, doc_id long, held_out boolean, n_tokens long, hot_known long, hot_score double, "
                 "rare array<long>, score double")
-ASK_SCHEMA = SCORE_SCHEMA + ", part int, keys binary"
+ASK_SCHEMA = SCORE_SCHEMA + ", part int, keys binary, codes binary, rids binary, lengths binary"
 ASK_TYPES = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                        ("hot_known", pa.int64()), ("hot_score", pa.float64()), ("rare", pa.list_(pa.int64())),
-                       ("score", pa.float64()), ("part", pa.int32()), ("keys", pa.binary())])
+                       ("score", pa.float64()), ("part", pa.int32()), ("keys", pa.binary()), ("codes", pa.binary()),
+                       ("rids", pa.binary()), ("lengths", pa.binary())])
+TEXT, TOKENS = -2, -1  # rows that ask no part: a text's columns, a slice's tokens
 
 
 class _Hot:
@@ -301,58 +305,74 @@ def _scored(docs: DataFrame, model: Model, hot, filter_) -> DataFrame:
     return written(docs.select("rid", "doc_id", "held_out", "text").mapInArrow(run, SCORE_SCHEMA), "lm-scored")
 
 
+def _asked_keys(words: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The token hashes of a slice, and its distinct n-gram keys in rising order (so also by part)."""
+    hashes = words[codes]
+    return hashes, np.unique(np.concatenate([words, pair_key(contexts(hashes, lengths), hashes)]))
+
+
 def _routed(docs: DataFrame, parts: DataFrame, model: Model, hot, part_bits: int) -> DataFrame:
-    """SCORE_SCHEMA when the filter is too large to broadcast: each text's distinct n-gram keys go
-    to the part that owns them, are probed there, and their levels come back to the text."""
+    """SCORE_SCHEMA when the filter is too large to broadcast: the distinct n-gram keys of a slice of texts
+    go to the parts that own them, a row for each part, are probed there, and their levels come back to the
+    slice, whose texts are scored together. A slice is named by the rid of its first text."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, words = _Hot(*hot.value), WordHashes(END)
-        for batch in slices_by_bytes(batches, "text", SLICE_BYTES):
+        for batch in slices_by_bytes(batches, "text", ASK_BYTES):
             hashes, lengths = words.tokens(byte_texts(batch.column("text")))
-            ends = np.cumsum(lengths)
             n = len(lengths)
-            own = [hashes[e - m:e] for e, m in zip(ends, lengths, strict=True)]
-            # a row for each text, with its tokens, and one for each part that it asks
-            yield pa.RecordBatch.from_arrays(
-                [*frequent.columns(batch, hashes, lengths), pa.nulls(n, pa.float64()),
-                 pa.array(np.full(n, -1, np.int32)), pa.array([h.tobytes() for h in own], pa.binary())],
-                schema=ASK_TYPES)
-            found = []
-            for rid, h in zip(batch.column("rid").to_pylist(), own, strict=True):
-                keys = np.unique(np.concatenate([h, pair_key(contexts(h, np.array([len(h)])), h)]))
-                found += [(rid, part, blob) for part, _, blob, _ in _blobs(part_bits, 0, keys, np.zeros(len(keys)))]
-            filled = {"rid": pa.array([f[0] for f in found], pa.int64()),
-                      "part": pa.array([f[1] for f in found], pa.int32()),
-                      "keys": pa.array([f[2] for f in found], pa.binary())}
+            texts = frequent.columns(batch, hashes, lengths)
+            filled = dict(zip(ASK_TYPES.names, texts, strict=False)) | {"part": pa.array(np.full(n, TEXT, np.int32))}
+            yield pa.RecordBatch.from_arrays([filled.get(f.name, pa.nulls(n, f.type)) for f in ASK_TYPES], schema=ASK_TYPES)
+            distinct, codes = np.unique(hashes, return_inverse=True)
+            _, keys = _asked_keys(distinct, codes, lengths)
+            found = [(TOKENS, distinct.tobytes(), codes.astype(np.int32).tobytes(),
+                      batch.column("rid").to_numpy().tobytes(), lengths.tobytes())]
+            found += [(part, blob, None, None, None) for part, _, blob, _ in _blobs(part_bits, 0, keys, np.zeros(len(keys)))]
+            filled = {"rid": pa.array([batch.column("rid")[0].as_py()] * len(found), pa.int64())}
+            filled |= {name: pa.array([f[k] for f in found], ASK_TYPES.field(name).type)
+                       for k, name in enumerate(("part", "keys", "codes", "rids", "lengths"))}
             yield pa.RecordBatch.from_arrays([filled.get(f.name, pa.nulls(len(found), f.type)) for f in ASK_TYPES],
                                              schema=ASK_TYPES)
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         pieces = right["piece"].to_pylist()
         probe = Filter(pieces[0], [len(pieces[0])]).levels if pieces else (lambda keys: np.zeros(len(keys), np.int64))
-        rows = [(r["rid"], r["keys"], probe(np.frombuffer(r["keys"], np.uint64)).astype(np.uint8).tobytes())
-                for r in left.to_pylist()]
-        return pa.Table.from_batches([_rows(rows, [("rid", pa.int64()), ("keys", pa.binary()),
-                                                   ("levels", pa.binary())])])
+        levels, asks = [], left["keys"].to_pylist()
+        at = 0
+        while at < len(asks):  # the asks of about PROBE_KEYS keys at a time
+            end, held = at, 0
+            while end < len(asks) and (end == at or held < PROBE_KEYS):
+                held += len(asks[end]) // 8
+                end += 1
+            found = probe(np.frombuffer(b"".join(asks[at:end]), np.uint64)).astype(np.uint8).tobytes()
+            place = 0
+            for blob in asks[at:end]:
+                levels.append(found[place:place + len(blob) // 8])
+                place += len(blob) // 8
+            at = end
+        return pa.table({"rid": left["rid"], "part": left["part"], "levels": pa.array(levels, pa.binary())})
 
     def finish(t: pa.Table) -> pa.Table:
         rows = t.to_pylist()
-        hashes = np.frombuffer(next(r["keys"] for r in rows if r["levels"] is None), np.uint64)
-        keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows if r["levels"] is not None])
-        levels = np.concatenate([np.frombuffer(r["levels"], np.uint8) for r in rows if r["levels"] is not None])
-        order = np.argsort(keys)
-        keys, levels = keys[order], levels[order].astype(np.int64)
-        score = _score(model, hashes, np.array([len(hashes)]), lambda k: levels[np.searchsorted(keys, k)])
-        return pa.table({"rid": [rows[0]["rid"]], "score": [float(score[0])]})
+        own = next(r for r in rows if r["part"] == TOKENS)
+        lengths = np.frombuffer(own["lengths"], np.int64)
+        hashes, keys = _asked_keys(np.frombuffer(own["keys"], np.uint64), np.frombuffer(own["codes"], np.int32), lengths)
+        answers = sorted((r["part"], r["levels"]) for r in rows if r["part"] != TOKENS)
+        levels = np.frombuffer(b"".join(x for _, x in answers), np.uint8).astype(np.int64)
+        score = _score(model, hashes, lengths, lambda k: levels[np.searchsorted(keys, k)])
+        return pa.table({"rid": pa.array(np.frombuffer(own["rids"], np.int64)), "score": pa.array(score)})
 
     asked = written(docs.select("rid", "doc_id", "held_out", "text").mapInArrow(ask, ASK_SCHEMA), "lm-probes")
     answered = (asked.filter("part >= 0").select("part", "rid", "keys").groupBy("part")
                 .cogroup(parts.select("part", "piece").groupBy("part"))
-                .applyInArrow(answer, "rid long, keys binary, levels binary"))
-    texts = asked.filter("part < 0")
-    sequences = texts.select("rid", "keys", F.lit(None).cast("binary").alias("levels"))
-    scores = answered.unionByName(sequences).groupBy("rid").applyInArrow(finish, "rid long, score double")
-    return written(texts.drop("part", "keys", "score").join(scores, "rid"), "lm-scored")
+                .applyInArrow(answer, "rid long, part int, levels binary"))
+    sent = ["keys", "codes", "rids", "lengths"]
+    slices = (asked.filter(F.col("part") == TOKENS).select("rid", "part", *sent, F.lit(None).cast("binary").alias("levels")))
+    scores = (answered.select("rid", "part", *[F.lit(None).cast("binary").alias(c) for c in sent], "levels")
+              .unionByName(slices).groupBy("rid").applyInArrow(finish, "rid long, score double"))
+    texts = asked.filter(F.col("part") == TEXT)
+    return written(texts.drop("part", "score", *sent).join(scores, "rid"), "lm-scored")
 
 
 def _joined(parts: DataFrame, n_parts: int) -> tuple[bytes, list[int]]:

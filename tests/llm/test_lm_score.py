@@ -50,6 +50,23 @@ def test_routed_probes_give_the_same_scores(spark):
     assert np.allclose([r.score for r in a], [r.score for r in b])
 
 
+def test_routed_probes_travel_by_slices_of_texts(spark, monkeypatch):
+    """A slice asks each part once, so the rows that travel do not grow with texts times parts."""
+    rows = [(i, " ".join(f"w{(i * 37 + k * k) % 900}" for k in range(60))) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    plain = sorted((r.doc_id, r.score) for r in lm_score.lm_scores(docs).collect())
+    kept, own = {}, lm_score.written
+    monkeypatch.setattr(lm_score, "written", lambda df, name: kept.setdefault(name, own(df, name)))
+    out = lm_score.lm_scores(docs, max_broadcast_bytes=0, part_bytes=1 << 13).collect()
+    parts = kept["lm-parts"].count()
+    assert parts >= 32
+    assert kept["lm-probes"].filter("part >= 0").count() <= 2 * parts
+    got = sorted((r.doc_id, r.score) for r in out)
+    assert [i for i, _ in got] == [i for i, _ in plain]
+    # filters cut into other parts have other false positives
+    assert np.allclose([s for _, s in got], [s for _, s in plain], rtol=0.03, atol=1.0)
+
+
 def test_empty_table(spark):
     assert lm_score.lm_scores(no_docs(spark)).collect() == []
 

@@ -215,10 +215,11 @@ def _backfill(need: DataFrame, counts: DataFrame, excluded: DataFrame, prepared:
 
 def recommend(prefs: DataFrame, nb: DataFrame, catalog: DataFrame, *, max_recs: int = MAX_RECS,
               min_recs: int = MIN_RECS, backfill: bool = True,
-              prepared: dict[str, DataFrame] | None = None) -> DataFrame:
+              prepared: dict[str, DataFrame] | None = None, scores: DataFrame | None = None) -> DataFrame:
     """user_id, rank, item_id, cf, genre_score, pop, final, pct, genre_only.
-    ``prepared``: the output of ``prepare_catalog(catalog)``, if already computed."""
-    scores = candidate_scores(prefs, nb)
+    ``prepared``: the output of ``prepare_catalog(catalog)``, if already computed.
+    ``scores``: the output of ``candidate_scores(prefs, nb)``, likewise."""
+    scores = candidate_scores(prefs, nb) if scores is None else scores
     counts = genre_counts(prefs, catalog)
     if prepared is None:
         prepared = prepare_catalog(catalog) if backfill else {"pop": _popularity(catalog)}

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.operators import feedback as fb_ops
 from tastegraph.operators import profiles as prof_ops
+from tastegraph.session import materialized
 from tastegraph.sources.files import path_exists
 from tastegraph.streaming.feedback_stream import user_bucket
 
@@ -42,9 +43,11 @@ def rescorer(nb: DataFrame, catalog: DataFrame, sink: str):
 
     def on_batch(snapshot: DataFrame, batch_id: int) -> None:
         users = snapshot.select("user_id").distinct()
-        prefs = fb_ops.valid_prefs(snapshot.where(F.col("item_id").isNotNull())
-                                   .select("user_id", "item_id", "state"), catalog)
-        recs = prof_ops.recommend(prefs, nb, catalog, prepared=prepared)
+        # scoring reads both several times: written once, or each read would join and broadcast anew
+        prefs = materialized(fb_ops.valid_prefs(snapshot.where(F.col("item_id").isNotNull())
+                                                .select("user_id", "item_id", "state"), catalog), "batch-prefs")
+        scores = materialized(prof_ops.candidate_scores(prefs, nb), "batch-scores")
+        recs = prof_ops.recommend(prefs, nb, catalog, prepared=prepared, scores=scores)
         # one pass: a touched user without recommendations comes out as the marker row
         upsert_lists(snapshot.sparkSession, sink, users, users.join(recs, "user_id", "left"))
     return on_batch

@@ -242,3 +242,26 @@ def test_lists_are_replaced_in_place(spark, scratch):
     got = {(r.user_id, r.item_id) for r in rescore.current_recommendations(spark, sink).collect()}
     assert {g for g in got if g[0] in (5, 6, 300)} == {(5, 98), (300, 1)}
     assert len(got) == 2 * 198 + 2
+
+
+def test_a_batch_is_scored_from_preferences_and_scores_written_once(spark, scratch, monkeypatch):
+    from tastegraph.streaming import rescore
+
+    catalog = spark.createDataFrame([(i, f"T{i}", ["a", "b"][: 1 + i % 2], 10 + i) for i in range(1, 9)],
+                                    "item_id long, title string, genres array<string>, n long")
+    nb = spark.createDataFrame([(i, 1, i % 8 + 1, 0.5) for i in range(1, 9)],
+                               "item_id long, rank int, neighbour_id long, sim double")
+    snapshot = spark.createDataFrame([(1, 1, "liked"), (1, 2, "disliked"), (2, 3, "liked"), (2, 99, "liked"), (3, None, None)],
+                                     "user_id long, item_id long, state string")
+    seen, own = {}, rescore.prof_ops.recommend
+    monkeypatch.setattr(rescore.prof_ops, "recommend",
+                        lambda prefs, *a, **k: seen.update(prefs=prefs, scores=k.get("scores")) or own(prefs, *a, **k))
+    sink = os.path.join(scratch, "recs")
+    rescore.rescorer(nb, catalog, sink)(snapshot, 0)
+    for name in ("prefs", "scores"):
+        assert seen[name] is not None
+        plan = seen[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan, plan
+    prefs = snapshot.where("item_id < 9")
+    key = lambda df: sorted((r.user_id, r.rank, r.item_id, r.final) for r in df.collect())
+    assert key(rescore.current_recommendations(spark, sink)) == key(own(prefs, nb, catalog))

@@ -284,3 +284,13 @@ def test_pairs_are_made_at_their_owner_and_not_shuffled(spark):
     text = plan(S.pair_table(r)[0], "simple")
     top = text[:text.index("Exchange")]  # from the sums down to the first exchange: the pairs are made and summed there
     assert "Generate posexplode" in top and "partial_sum" in top
+
+
+def test_both_directions_read_the_pairs_once(spark):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        S.symmetrise(S.pair_similarity(fx.ratings(spark, SF_SMALL))).explain("simple")
+    assert "Union" not in buf.getvalue() and buf.getvalue().count("posexplode(js") == 1

@@ -83,6 +83,24 @@ def test_filter_never_reads_below_the_stored_level():
     assert (other > 0).mean() < 0.06
 
 
+def test_each_distinct_word_of_a_slice_is_looked_up_once(monkeypatch):
+    looked = []
+
+    class Counted(WordHashes):
+        def __getitem__(self, word):
+            looked.append(word)
+            return super().__getitem__(word)
+
+    texts = [b" a  B\x0bb\x0c", b"", b" \t", b"a\x1cb \xc3\x89 \xc2\xa0", b"b a B A\r\n"] * 20
+    hashes, lengths = Counted(lm_score.END).tokens(texts)
+    plain = [[*t.lower().split(), lm_score.END] for t in texts]
+    one = WordHashes()
+    assert hashes.tolist() == [one[w] for words in plain for w in words] and lengths.tolist() == [len(w) for w in plain]
+    assert len(looked) <= 7
+    hashes, lengths = WordHashes().tokens([])
+    assert len(hashes) == len(lengths) == 0
+
+
 def test_score_equals_the_formula_with_exact_levels(spark):
     """Probing exact levels from a dict instead of the filter changes few scores, and little."""
     rows = [(i, t, None, None, None) for i, t, *_ in odd_rows() if i is not None]

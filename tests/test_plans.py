@@ -70,3 +70,20 @@ def test_components_join_without_an_exchange(spark):
         assert searched.count("SortMergeJoin") == 3 and "Exchange hashpartitioning" not in searched
     finally:
         spark.conf.set(key, old)
+
+
+def test_summed_pairs_are_not_shuffled_for_their_items(spark, monkeypatch):
+    """Item stats above the session's broadcast threshold are still sent to the pairs; more than the bound are joined."""
+    rows = [(u, i, (u * i % 10 + 1) / 2) for u in range(30) for i in range(u % 7 + 2)]
+    ratings = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sent = S.pair_similarity(ratings)
+        assert plan(sent, "simple").count("BroadcastHashJoin") == 2
+        monkeypatch.setattr(S, "BROADCAST_ITEMS", 0)
+        joined = S.pair_similarity(ratings)
+        assert "BroadcastHashJoin" not in plan(joined, "simple")
+        assert sorted(sent.collect()) == sorted(joined.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -294,3 +294,28 @@ def test_both_directions_read_the_pairs_once(spark):
     with contextlib.redirect_stdout(buf):
         S.symmetrise(S.pair_similarity(fx.ratings(spark, SF_SMALL))).explain("simple")
     assert "Union" not in buf.getvalue() and buf.getvalue().count("posexplode(js") == 1
+
+
+def test_long_ids_travel_in_two_parts(spark):
+    ids = [0, 5, 32_767, 32_768, 70_000, 2 ** 33 + 1, -1, -40_000]
+    rows = [(u, i, float(1 + (u * k) % 5)) for u in range(4) for k, i in enumerate(ids)]
+    r = ratings_df(spark, rows)
+    kinds = S.narrow_types(r.select(F.col("item_id").alias("item"), F.col("user_id").alias("x")))
+    assert kinds == (32, "smallint", "int", "tinyint")
+    flat = spark.createDataFrame([(ids,)], "l array<long>").select(*S.halves(F.col("l"), *kinds[1:3]))
+    back = F.transform("ids", lambda x, p: S.whole(x, F.get("uppers", p), kinds[2]))
+    assert flat.select(back).first()[0] == ids and dict(flat.dtypes)["ids"] == "array<smallint>"
+    low = spark.createDataFrame([([3, 32_767],)], "l array<long>").select(*S.halves(F.col("l"), *kinds[1:3])).first()
+    assert list(low.ids) == [3, 32_767] and low.uppers is None  # nothing but zeros
+    # the pairs of such items are those of the same items with small ids
+    small = ratings_df(spark, [(u, ids.index(i), x) for u, i, x in rows])
+    want = {frozenset((ids[i], ids[j])): (c, round(s, 12)) for (i, j), (c, s) in sims_dict(S.pair_similarity(small)).items()}
+    got = {frozenset(p): (c, round(s, 12)) for p, (c, s) in sims_dict(S.pair_similarity(r)).items()}
+    assert got == want and len(got) == 28
+
+
+def test_only_the_deciding_columns_of_a_line_are_read(spark):
+    from .test_plans import plan
+
+    text = plan(fx.ratings(spark, SF_SMALL), "simple")
+    assert "l_extendedprice" not in text and "l_quantity" in text

@@ -314,6 +314,49 @@ def test_long_ids_travel_in_two_parts(spark):
     assert got == want and len(got) == 28
 
 
+def test_pairs_of_changes_are_not_shuffled(spark):
+    from .test_plans import plan
+
+    old = fx.ratings(spark, SF_SMALL, before="2000-07-01")
+    table = S.pair_table(old)
+    changes = S.rating_changes(old, fx.ratings(spark, SF_SMALL))
+    text = plan(S.updated_pair_table(*table, old, changes)[0], "simple")
+    top = text[:text.index("Exchange")]  # the pairs of two ratings are made and added below the last exchange only
+    assert "Generate posexplode" in top and "partial_sum" in top
+    plain = S.updated_pair_table(*table, old, changes)[0].select("i", "j", *S.SUMS)
+    dealt = S.updated_pair_table(*table, old, changes, heavy_item=5, heavy_degree=10)[0].select("i", "j", *S.SUMS)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, dealt.collect()))
+
+
+def test_changes_with_large_ids_nulls_and_no_weight(spark):
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(8) for i in (1, 2, 40_000, 2 ** 40, -3)]
+    old = ratings_df(spark, rows + [(None, 1, 2.0), (3, None, 2.0), (3, 9, None)])
+    changes = spark.createDataFrame([(1, 2, 3.0, -1), (1, 2, 5.0, 1), (2, 2 ** 41, 4.0, 1), (3, 1, 2.0, 0), (4, 1, 2.0, None),
+                                     (None, 7, 1.0, 1), (5, None, 1.0, 1)],
+                                    "user_id long, item_id long, rating double, weight int")
+    before = {(r.user_id, r.item_id): r.rating for r in old.collect()}
+    first = before[1, 2]
+    changes = changes.withColumn("rating", F.when(F.col("weight") == -1, F.lit(first)).otherwise(F.col("rating")))
+    new = old.where(~(F.col("user_id").eqNullSafe(1) & F.col("item_id").eqNullSafe(2))).unionByName(
+        ratings_df(spark, [(1, 2, 5.0), (2, 2 ** 41, 4.0)]))
+    got = S.updated_pair_table(*S.pair_table(old), old, changes)[0]
+    want = S.pair_table(new)[0]
+    cols = ["i", "j", *S.SUMS]
+    key = lambda t: tuple((x is None, x) for x in t)
+    rows_of = lambda df: sorted((tuple(x) for x in df.select(*cols).collect()), key=key)
+    # a sum over no rating at all is null in a table made anew, and 0 or null in one that was kept up to date
+    assert [tuple(v or 0 for v in t) for t in rows_of(got)] == [tuple(v or 0 for v in t) for t in rows_of(want)]
+
+
+def test_both_states_of_the_ratings_come_from_one_pass(spark):
+    day = "2000-07-01"
+    both = fx.ratings_then_and_now(spark, SF_SMALL, day)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(both.select("user_id", "item_id", "rating")) == rows(fx.ratings(spark, SF_SMALL).select("user_id", "item_id", "rating"))
+    was = fx.ratings(spark, SF_SMALL, before=day).select("user_id", "item_id", "rating")
+    assert rows(both.where("had").select("user_id", "item_id", "old")) == rows(was)
+
+
 def test_only_the_deciding_columns_of_a_line_are_read(spark):
     from .test_plans import plan
 
